@@ -114,3 +114,49 @@ def nest_events(events: DataFrame, drop_error_meta: bool = True, empty_entry: bo
     # splice the extra entries in before the closing brace of the object
     head = F.expr("substr(_b, 1, length(_b) - 1)")
     return base.select("doc_id", F.concat(head, *extra, F.lit("}")).alias("body"))
+
+
+# --- request events ------------------------------------------------------------
+
+REQUEST_CASES = 13
+
+
+def request_events(events: DataFrame) -> DataFrame:
+    """events -> request events ``(request_id STRING, event STRING)``.
+
+    ``event_id % 13`` picks one of the handler's input shapes (every event
+    becomes one request; nothing is dropped):
+    0 direct full, 1 direct partial, 2 direct wins over body, 3 JSON body,
+    4 base64 body, 5 broken body, 6 body not an object, 7 empty body,
+    8 null event, 9 empty event, 10 symbols null, 11 symbols as a string,
+    12 base64 body of bad length.
+    """
+    day = F.date_format("ts", "yyyy-MM-dd")
+    sym = F.col("event_type")
+    uid = F.col("user_id").cast("string")
+    case = F.col("event_id") % REQUEST_CASES
+
+    def obj(*cols):
+        return F.to_json(F.struct(*cols))
+
+    shapes = [
+        obj(F.array(sym, F.concat(F.lit("S"), uid)).alias("symbols"), day.alias("start_date"),
+            day.alias("end_date")),
+        obj(day.alias("start_date")),
+        obj(day.alias("end_date"), F.lit('{"symbols":["Z"]}').alias("body")),
+        obj(obj(F.array(sym).alias("symbols"), day.alias("end_date")).alias("body")),
+        obj(F.lit(True).alias("isBase64Encoded"),
+            F.base64(F.encode(obj(F.array(sym).alias("symbols")), "UTF-8")).alias("body")),
+        obj(F.concat(F.lit("{oops "), uid).alias("body")),
+        obj(F.concat(F.lit("["), uid, F.lit("]")).alias("body")),
+        F.lit('{"body":""}'),
+        F.lit("null"),
+        F.lit("{}"),
+        F.lit('{"symbols":null}'),
+        obj(sym.alias("symbols")),
+        F.lit('{"isBase64Encoded":true,"body":"abc"}'),
+    ]
+    event = None
+    for i, shape in enumerate(shapes):
+        event = F.when(case == i, shape) if event is None else event.when(case == i, shape)
+    return events.select(F.col("event_id").cast("string").alias("request_id"), event.alias("event"))

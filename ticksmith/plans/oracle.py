@@ -107,3 +107,46 @@ ORACLE["reject_documents"] = f"""SELECT DISTINCT {DOC} AS doc_id, 'entry_not_obj
     FROM events WHERE dayofmonth(ts) % 5 = 0"""
 
 ORACLE["reject_keep_rest"] = f"SELECT {fact_select()} FROM events WHERE dayofmonth(ts) % 5 <> 0"
+
+
+# --- requests -------------------------------------------------------------------
+
+def _requests_cte() -> str:
+    from ticksmith.constants import (API_BASE_URL, BAD_BODY_ERROR, DEFAULT_END_DATE, DEFAULT_START_DATE,
+                                     DEFAULT_SYMBOLS)
+    from ticksmith.operators.requests import ERR_BODY_BASE64, ERR_BODY_OBJECT, ERR_SYMBOLS
+    from ticksmith.plans.fixtures import REQUEST_CASES
+
+    defaults = ",".join(DEFAULT_SYMBOLS)
+    return f"""WITH r AS (
+        SELECT CAST(event_id AS VARCHAR) AS request_id, event_id % {REQUEST_CASES} AS c, event_type AS sym,
+               CAST(user_id AS VARCHAR) AS uid, strftime(ts, '%Y-%m-%d') AS day FROM events),
+    n AS (SELECT request_id, c,
+        CASE WHEN c IN (0, 1, 2, 10, 11) THEN 'direct' WHEN c IN (3, 4, 5, 6, 12) THEN 'body'
+             ELSE 'default' END AS route,
+        CASE WHEN c IN (5, 6, 10, 11, 12) THEN 500 ELSE 200 END AS status,
+        CASE c WHEN 5 THEN '{BAD_BODY_ERROR}' WHEN 6 THEN '{ERR_BODY_OBJECT}'
+               WHEN 10 THEN '{ERR_SYMBOLS}' WHEN 11 THEN '{ERR_SYMBOLS}'
+               WHEN 12 THEN '{ERR_BODY_BASE64}' END AS error,
+        CASE WHEN c = 0 THEN sym || ',S' || uid WHEN c IN (3, 4) THEN sym
+             WHEN c IN (1, 2, 7, 8, 9) THEN '{defaults}' END AS symbols,
+        CASE WHEN c IN (0, 1) THEN day WHEN c IN (2, 3, 4, 7, 8, 9) THEN '{DEFAULT_START_DATE}' END AS start_date,
+        CASE WHEN c IN (0, 2, 3) THEN day WHEN c IN (1, 4, 7, 8, 9) THEN '{DEFAULT_END_DATE}' END AS end_date,
+        CASE c WHEN 3 THEN '{{"symbols":["' || sym || '"],"end_date":"' || day || '"}}'
+               WHEN 4 THEN '{{"symbols":["' || sym || '"]}}'
+               WHEN 5 THEN '{{oops ' || uid WHEN 6 THEN '[' || uid || ']' END AS body_text,
+        '{API_BASE_URL}' AS base_url
+        FROM r)"""
+
+
+ORACLE["request_scan"] = _requests_cte() + " SELECT request_id, route, status FROM n"
+ORACLE["request_route"] = _requests_cte() + " SELECT request_id, route, status, error FROM n"
+ORACLE["request_defaults"] = _requests_cte() + " SELECT request_id, symbols, start_date, end_date FROM n"
+ORACLE["request_base64"] = _requests_cte() + " SELECT request_id, body_text FROM n"
+ORACLE["request_bad_json"] = _requests_cte() + """ SELECT error, count(*) AS requests FROM n
+    WHERE status = 500 GROUP BY error"""
+ORACLE["request_null_event"] = _requests_cte() + " SELECT route, count(*) AS requests FROM n GROUP BY route"
+ORACLE["symbols_join"] = _requests_cte() + " SELECT request_id, symbols AS symbol_param FROM n"
+ORACLE["request_url"] = _requests_cte() + """ SELECT request_id,
+    CASE WHEN status = 200 THEN base_url || '?interval=1day&start_date=' || start_date || '&end_date='
+         || end_date || '&symbol=' || replace(symbols, ',', '%2C') END AS url FROM n"""

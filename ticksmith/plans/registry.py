@@ -14,8 +14,9 @@ from pyspark.sql import functions as F
 
 from ticksmith.functions.stamps import FIXED_STAMP, RunStamp, extract_date_text, isoformat_text, run_id_text
 from ticksmith.operators import flatten as fl
-from ticksmith.plans.fixtures import nest_events
-from ticksmith.session import configure
+from ticksmith.operators import requests as rq
+from ticksmith.plans.fixtures import nest_events, request_events
+from ticksmith.session import configure, shared_dir
 
 STAMP = FIXED_STAMP.extracted_at_utc
 SECOND_STAMP = RunStamp(FIXED_STAMP.at.replace(hour=23)).extracted_at_utc
@@ -157,3 +158,64 @@ def reject_documents(spark, sf_dir):
 def reject_keep_rest(spark, sf_dir):
     """The batch goes on; facts of the accepted documents only."""
     return fl.fact_rows(fl.entry_rows(_parsed(spark, sf_dir, scalar_every=5)), STAMP)
+
+
+# --- requests (A3-A10) -----------------------------------------------------------
+
+def _requests(spark, sf_dir) -> DataFrame:
+    return rq.normalise_requests(request_events(table(spark, sf_dir, "events")))
+
+
+@query
+def request_scan(spark, sf_dir):
+    """A3: request events landed as JSON lines, read back as a table."""
+    landing = shared_dir(spark, "requests")
+    request_events(table(spark, sf_dir, "events")).write.mode("overwrite").json(landing)
+    raw = spark.read.schema("request_id string, event string").json(landing)
+    return rq.normalise_requests(raw).select("request_id", "route", "status")
+
+
+@query
+def request_route(spark, sf_dir):
+    """A4: which branch of the routing each event takes."""
+    return _requests(spark, sf_dir).select("request_id", "route", "status", "error")
+
+
+@query
+def request_defaults(spark, sf_dir):
+    """A5: absent keys take the defaults; explicit values are kept."""
+    return _requests(spark, sf_dir).select(
+        "request_id", F.array_join("symbols", ",").alias("symbols"), "start_date", "end_date")
+
+
+@query
+def request_base64(spark, sf_dir):
+    """The body text after the optional base64 decoding."""
+    return _requests(spark, sf_dir).select("request_id", "body_text")
+
+
+@query
+def request_bad_json(spark, sf_dir):
+    """Failing requests become status-500 rows with an error text."""
+    return _requests(spark, sf_dir).where(F.col("status") == 500).groupBy("error").agg(
+        F.count(F.lit(1)).alias("requests"))
+
+
+@query
+def request_null_event(spark, sf_dir):
+    """Null or empty events route to the defaults."""
+    return _requests(spark, sf_dir).groupBy("route").agg(F.count(F.lit(1)).alias("requests"))
+
+
+@query
+def symbols_join(spark, sf_dir):
+    """The API's comma-joined ``symbol`` parameter."""
+    from ticksmith.functions.encoding import symbols_param
+    return _requests(spark, sf_dir).select("request_id", symbols_param(F.col("symbols")).alias("symbol_param"))
+
+
+@query
+def request_url(spark, sf_dir):
+    """A10: the form-encoded GET URL (credential never part of it)."""
+    reqs = _requests(spark, sf_dir)
+    return reqs.select("request_id", rq.request_url(reqs).alias("url"))
