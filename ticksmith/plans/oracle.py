@@ -150,3 +150,41 @@ ORACLE["symbols_join"] = _requests_cte() + " SELECT request_id, symbols AS symbo
 ORACLE["request_url"] = _requests_cte() + """ SELECT request_id,
     CASE WHEN status = 200 THEN base_url || '?interval=1day&start_date=' || start_date || '&end_date='
          || end_date || '&symbol=' || replace(symbols, ',', '%2C') END AS url FROM n"""
+
+
+# --- sinks and runs ---------------------------------------------------------------
+
+def _oracle_runs():
+    from ticksmith.plans.registry import _two_runs
+    return _two_runs()
+
+
+def _sinks():
+    from ticksmith.constants import ERROR_MESSAGE, SUCCESS_MESSAGE
+    from ticksmith.functions.stamps import FIXED_STAMP
+    from ticksmith.sinks.files import run_key
+
+    ORACLE["sink_raw"] = f"""SELECT count(*) AS fact_row_count, count(DISTINCT event_type) + 1 AS dim_row_count
+        FROM events GROUP BY {DOC}"""
+    ORACLE["sink_fact_csv"] = ORACLE["fact_rows"]
+    ORACLE["sink_dim_csv"] = ORACLE["dim_rows"]
+    parts = []
+    for s in _oracle_runs():
+        parts.append(f"SELECT {fact_select(stamp=s.extracted_at_utc)}, '{s.extract_date}' AS extract_date, "
+                     f"'{s.run_id}' AS run_id FROM events")
+    ORACLE["read_partitioned"] = " UNION ALL ".join(parts)
+    parts = []
+    for s in _oracle_runs():
+        d, r = s.extract_date, s.run_id
+        parts.append(f"""SELECT 200 AS status, '{SUCCESS_MESSAGE}' AS message,
+            '{run_key("raw", d, r)}' AS raw_key, '{run_key("fact", d, r)}' AS fact_key,
+            '{run_key("dim", d, r)}' AS dim_key,
+            (SELECT count(*) FROM events) AS fact_row_count,
+            (SELECT count(*) FROM ({DOC_SYMBOLS})) AS dim_row_count,
+            CAST(0 AS BIGINT) AS rejected_count, '{d}' AS extract_date, '{r}' AS run_id""")
+    ORACLE["run_manifest"] = " UNION ALL ".join(parts)
+    ORACLE["error_manifest"] = _requests_cte() + f""" SELECT request_id, status, '{ERROR_MESSAGE}' AS message,
+        error, '{FIXED_STAMP.run_id}' AS run_id FROM n WHERE status <> 200"""
+
+
+_sinks()

@@ -219,3 +219,79 @@ def request_url(spark, sf_dir):
     """A10: the form-encoded GET URL (credential never part of it)."""
     reqs = _requests(spark, sf_dir)
     return reqs.select("request_id", rq.request_url(reqs).alias("url"))
+
+
+# --- sinks and runs (A29-A33, A36) ------------------------------------------------
+
+def _ingest(spark, sf_dir, stamps=(FIXED_STAMP,)):
+    from ticksmith.plans.ingest import ingest_documents
+
+    root = shared_dir(spark, "ingest")
+    docs = _documents(spark, sf_dir)
+    results = [ingest_documents(spark, docs, root, s) for s in stamps]
+    return root, results
+
+
+@query
+def sink_raw(spark, sf_dir):
+    """Raw documents written as compact JSON and read back."""
+    from ticksmith.sinks import files
+
+    root, (res,) = _ingest(spark, sf_dir)
+    raw = spark.read.text(files.run_path(root, "raw", res.extract_date, res.run_id))
+    parsed = fl.parse_documents(raw.withColumnRenamed("value", "body"))
+    return fl.document_counts(parsed, keep=())
+
+
+@query
+def sink_fact_csv(spark, sf_dir):
+    """The fact CSV of one run, read back."""
+    from ticksmith.sinks import files
+
+    root, (res,) = _ingest(spark, sf_dir)
+    return files.read_csv_run(spark, files.run_path(root, "fact", res.extract_date, res.run_id), "fact")
+
+
+@query
+def sink_dim_csv(spark, sf_dir):
+    """The dim CSV of one run, read back."""
+    from ticksmith.sinks import files
+
+    root, (res,) = _ingest(spark, sf_dir)
+    return files.read_csv_run(spark, files.run_path(root, "dim", res.extract_date, res.run_id), "dim")
+
+
+def _two_runs():
+    return (FIXED_STAMP, RunStamp(FIXED_STAMP.at.replace(day=30, hour=23)))
+
+
+@query
+def read_partitioned(spark, sf_dir):
+    """Two runs into one root; partition discovery finds both."""
+    from ticksmith.sinks import files
+
+    root, _ = _ingest(spark, sf_dir, _two_runs())
+    from ticksmith.constants import FACT_COLUMNS
+
+    df = files.read_table(spark, root, "fact")
+    return df.select(*FACT_COLUMNS, F.col("extract_date").cast("string").alias("extract_date"), "run_id")
+
+
+@query
+def run_manifest(spark, sf_dir):
+    """One manifest row per run with keys and row counts."""
+    from ticksmith.sinks import files
+
+    root, _ = _ingest(spark, sf_dir, _two_runs())
+    return files.read_manifest(spark, root).select(
+        "status", "message", "raw_key", "fact_key", "dim_key",
+        "fact_row_count", "dim_row_count", "rejected_count", "extract_date", "run_id")
+
+
+@query
+def error_manifest(spark, sf_dir):
+    """Requests that fail become status-500 manifest rows."""
+    from ticksmith.plans.ingest import error_manifest as errors
+
+    return errors(_requests(spark, sf_dir), FIXED_STAMP).select(
+        "request_id", "status", "message", "error", "run_id")
