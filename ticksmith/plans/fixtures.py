@@ -160,3 +160,32 @@ def request_events(events: DataFrame) -> DataFrame:
     for i, shape in enumerate(shapes):
         event = F.when(case == i, shape) if event is None else event.when(case == i, shape)
     return events.select(F.col("event_id").cast("string").alias("request_id"), event.alias("event"))
+
+
+# --- a stand-in API answering from files --------------------------------------------
+
+def write_mock_api(events: DataFrame, root: str, drop_error_meta: bool = True) -> str:
+    """Write what the stand-in API serves (``fetchers.folder_fetch``).
+
+    ``bars/symbol=S/day=D``: one line per chunk of ``DOC_CHUNK`` event ids,
+    ``<chunk>\\t<JSON array of bars in event order>``; ``meta/symbol=S``:
+    the symbol's meta object.  Groups are bounded by the chunk, so a hot
+    symbol or day is still split into many small groups.
+    """
+    items = events.select(
+        F.col("event_type").alias("symbol"),
+        F.date_format("ts", "yyyy-MM-dd").alias("day"),
+        F.lpad(F.floor(F.col("event_id") / DOC_CHUNK).cast("string"), 8, "0").alias("chunk"),
+        F.struct(F.col("event_id"),
+                 bar_struct((F.col("ts"), F.col("value"), F.col("user_id"))).alias("bar")).alias("item"),
+    )
+    frags = items.groupBy("symbol", "day", "chunk").agg(F.array_sort(F.collect_list("item")).alias("items"))
+    frags.select(
+        "symbol", "day",
+        F.concat("chunk", F.lit("\t"), F.to_json(F.transform("items", lambda x: x["bar"]))).alias("value"),
+    ).write.mode("overwrite").partitionBy("symbol", "day").text(f"{root}/bars")
+    symbols = events.select(F.col("event_type").alias("symbol")).distinct()
+    meta = _meta_for(F.col("symbol"), drop_error_meta)
+    symbols.select("symbol", F.coalesce(F.to_json(meta), F.lit("{}")).alias("value")) \
+        .write.mode("overwrite").partitionBy("symbol").text(f"{root}/meta")
+    return root

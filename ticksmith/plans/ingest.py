@@ -126,3 +126,57 @@ def error_manifest(requests: DataFrame, run: RunStamp) -> DataFrame:
         F.lit(run.run_id).alias("run_id"),
         F.lit(run.extracted_at_utc).alias("extracted_at_utc"),
     )
+
+
+# --- request-driven fetch (one call per request and symbol batch) ------------------
+
+FETCHED_DDL = ("request_id string, call_id string, symbols string, start_date string, "
+               "end_date string, http_status int, body string")
+
+
+def call_plan(requests: DataFrame, symbols_per_call: int = 8) -> DataFrame:
+    """Valid requests -> one row per API call: the request's symbols cut
+    into batches inside the row (no shuffle)."""
+    k = symbols_per_call
+    ok = requests.where(F.col("status") == 200)
+    n = F.ceil(F.size("symbols") / F.lit(k)).cast("int")
+    batches = F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1),
+                                        lambda i: F.struct(i.alias("i"),
+                                                           F.slice("symbols", i * k + 1, k).alias("syms"))))
+    return ok.select("request_id", "start_date", "end_date", F.explode(batches).alias("b")).select(
+        "request_id",
+        F.concat("request_id", F.lit("#"), F.col("b.i").cast("string")).alias("call_id"),
+        F.col("b.syms").alias("symbols"), "start_date", "end_date")
+
+
+def _fetch_batches(fetcher: str, interval: str, options: dict):
+    def run(batches):
+        import pandas as pd
+
+        from ticksmith.sources.fetchers import resolve
+
+        fetch = resolve(fetcher)
+        for pdf in batches:
+            out = []
+            for r in pdf.itertuples(index=False):
+                syms = list(r.symbols)
+                status, body = fetch(syms, r.start_date, r.end_date, interval, options)
+                out.append((r.request_id, r.call_id, ",".join(syms), r.start_date, r.end_date, int(status), body))
+            yield pd.DataFrame(out, columns=["request_id", "call_id", "symbols", "start_date", "end_date",
+                                             "http_status", "body"])
+    return run
+
+
+def fetch_calls(spark: SparkSession, calls: DataFrame, fetcher: str, options: dict | None = None,
+                interval: str = "1day", partitions: int | None = None) -> DataFrame:
+    """Run each call on an executor; answers come back as documents.
+
+    Calls are hash-spread by ``call_id`` first so one request with many
+    symbols does not sit in one task; a retried task re-fetches its calls.
+    """
+    from ticksmith.session import ship_package
+
+    ship_package(spark)
+    n = partitions or max(1, spark.sparkContext.defaultParallelism)
+    spread = calls.repartition(n, "call_id")
+    return spread.mapInPandas(_fetch_batches(fetcher, interval, dict(options or {})), FETCHED_DDL)

@@ -188,3 +188,43 @@ def _sinks():
 
 
 _sinks()
+
+
+# --- API source -------------------------------------------------------------------
+
+BAR_COLS = """event_type AS symbol, strftime(ts, '%Y-%m-%d') AS price_date,
+    CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) AS open,
+    CAST(CAST(value AS DECIMAL(18,2)) + 1 AS VARCHAR) AS high,
+    CAST(CAST(value AS DECIMAL(18,2)) - 1 AS VARCHAR) AS low,
+    CAST(CAST(value AS DECIMAL(18,2)) AS VARCHAR) AS close,
+    CASE WHEN user_id % 7 = 0 THEN NULL ELSE CAST(user_id AS VARCHAR) END AS volume"""
+
+ORACLE["api_source_scan"] = f"SELECT {BAR_COLS} FROM events"
+ORACLE["filter_symbols"] = f"SELECT {BAR_COLS} FROM events WHERE event_type IN ('click', 'view')"
+ORACLE["filter_dates"] = f"""SELECT {BAR_COLS} FROM events
+    WHERE strftime(ts, '%Y-%m-%d') BETWEEN '2024-01-10' AND '2024-01-20'"""
+
+ORACLE["http_status_reject"] = """WITH b AS (SELECT min(CAST(ts AS DATE)) AS d0, max(CAST(ts AS DATE)) AS d1 FROM events),
+    w AS (SELECT CAST(d0 + 7 * k AS DATE) AS ws, CAST(least(d0 + 7 * k + 6, d1) AS DATE) AS we
+          FROM b, (SELECT CAST(range AS INTEGER) AS k FROM range(0, 10000)) r WHERE d0 + 7 * k <= d1),
+    s AS (SELECT DISTINCT event_type AS sym FROM events UNION ALL SELECT 'UNKNOWN'),
+    c AS (SELECT sym, ws, we FROM s, w),
+    n AS (SELECT c.sym, c.ws, c.we, count(e.event_id) AS bars
+          FROM c LEFT JOIN events e ON e.event_type = c.sym AND CAST(e.ts AS DATE) BETWEEN c.ws AND c.we
+          GROUP BY ALL)
+    SELECT sym AS symbols, strftime(ws, '%Y-%m-%d') AS start_date, strftime(we, '%Y-%m-%d') AS end_date,
+           CASE WHEN sym = 'UNKNOWN' THEN 404 ELSE 200 END AS http_status,
+           CASE WHEN sym = 'UNKNOWN' THEN 'http_status' END AS reject_reason,
+           CASE WHEN sym = 'UNKNOWN' THEN NULL ELSE bars END AS bars
+    FROM n"""
+
+ORACLE["response_scan"] = ORACLE["run_counts"]
+
+ORACLE["fetch_plan"] = _requests_cte() + """,
+    daily AS (SELECT event_type AS sym, strftime(ts, '%Y-%m-%d') AS day, count(*) AS n FROM events GROUP BY ALL)
+    SELECT n.request_id, CAST(1 AS BIGINT) AS calls,
+           CAST(CASE WHEN n.c IN (1, 2, 7, 8, 9) THEN 1 ELSE 0 END AS BIGINT) AS rejected_calls,
+           CAST(coalesce(CASE WHEN n.c = 0 THEN d.n END, 0) AS HUGEINT) AS bars
+    FROM n JOIN r ON r.request_id = n.request_id
+    LEFT JOIN daily d ON d.sym = r.sym AND d.day = r.day
+    WHERE n.status = 200"""

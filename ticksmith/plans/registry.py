@@ -295,3 +295,102 @@ def error_manifest(spark, sf_dir):
 
     return errors(_requests(spark, sf_dir), FIXED_STAMP).select(
         "request_id", "status", "message", "error", "run_id")
+
+
+# --- API source, landing scan, request-driven fetch (A1, A2, A11-A13, A35) ----------
+
+FOLDER_FETCH = "ticksmith.sources.fetchers:folder_fetch"
+
+
+def _mock_api(spark, sf_dir):
+    """The stand-in API's files, written by Spark from ``events``; the
+    symbol list and date range come from the same table (a one-row
+    aggregate: a handful of symbols and two dates reach the driver)."""
+    from ticksmith.plans.fixtures import write_mock_api
+
+    ev = table(spark, sf_dir, "events")
+    root = write_mock_api(ev, shared_dir(spark, "mockapi"))
+    b = ev.agg(F.array_sort(F.collect_set("event_type")).alias("s"),
+               F.date_format(F.min("ts"), "yyyy-MM-dd").alias("d0"),
+               F.date_format(F.max("ts"), "yyyy-MM-dd").alias("d1")).first()
+    return root, list(b["s"]), b["d0"], b["d1"]
+
+
+def _api_read(spark, sf_dir, output="bars", extra_symbols=(), **opts):
+    from ticksmith.sources.api import register
+
+    register(spark)
+    root, symbols, d0, d1 = _mock_api(spark, sf_dir)
+    reader = (spark.read.format("timeseries_api").option("fetcher", FOLDER_FETCH).option("mock_root", root)
+              .option("symbols", ",".join([*symbols, *extra_symbols])).option("start_date", d0)
+              .option("end_date", d1).option("output", output))
+    for k, v in opts.items():
+        reader = reader.option(k, str(v))
+    return reader.load()
+
+
+BAR_OUT = ["symbol", "price_date", "open", "high", "low", "close", "volume"]
+
+
+@query
+def api_source_scan(spark, sf_dir):
+    """A1 + A13: the API read as a table, one call per symbol batch x week."""
+    return _api_read(spark, sf_dir, symbols_per_call=2, days_per_call=7).select(*BAR_OUT)
+
+
+@query
+def filter_symbols(spark, sf_dir):
+    """A symbol list pushed into the call plan (fewer calls)."""
+    df = _api_read(spark, sf_dir, symbols_per_call=2, days_per_call=7)
+    return df.where(F.col("symbol").isin("click", "view")).select(*BAR_OUT)
+
+
+@query
+def filter_dates(spark, sf_dir):
+    """A date range pushed into the call windows (inclusive ends)."""
+    df = _api_read(spark, sf_dir, symbols_per_call=2, days_per_call=7)
+    return df.where((F.col("price_date") >= "2024-01-10") & (F.col("price_date") <= "2024-01-20")).select(*BAR_OUT)
+
+
+@query
+def http_status_reject(spark, sf_dir):
+    """Calls answered 4xx/5xx are refused; the others go on."""
+    docs = _api_read(spark, sf_dir, output="documents", extra_symbols=("UNKNOWN",),
+                     symbols_per_call=1, days_per_call=7)
+    parsed = fl.parse_documents(docs, status="http_status")
+    bars = F.aggregate(F.map_values("typed"), F.lit(0).cast("bigint"),
+                       lambda acc, t: acc + F.coalesce(F.size(t["bars"]), F.lit(0)).cast("bigint"))
+    return parsed.select("symbols", "start_date", "end_date", "http_status", "reject_reason",
+                         F.when(F.col("reject_reason").isNull(), bars).alias("bars"))
+
+
+@query
+def response_scan(spark, sf_dir):
+    """A2: response files landed one document per file, read whole."""
+    from ticksmith.sources.landing import read_documents, write_documents
+
+    path = write_documents(_documents(spark, sf_dir), shared_dir(spark, "landing"))
+    docs = read_documents(spark, path)
+    counts = fl.document_counts(fl.parse_documents(docs))
+    return counts.select(F.regexp_extract("doc_id", r"doc_id=([^/]+)/", 1).alias("doc_id"),
+                         "fact_row_count", "dim_row_count")
+
+
+@query
+def fetch_plan(spark, sf_dir):
+    """A1 driven by a request table: requests -> symbol batches -> calls
+    fetched on executors -> documents flattened per request."""
+    from ticksmith.plans.ingest import call_plan, fetch_calls
+
+    root, _, _, _ = _mock_api(spark, sf_dir)
+    calls = call_plan(_requests(spark, sf_dir))
+    docs = fetch_calls(spark, calls, FOLDER_FETCH, {"mock_root": root})
+    parsed = fl.parse_documents(docs, status="http_status")
+    bars = F.aggregate(F.map_values("typed"), F.lit(0).cast("bigint"),
+                       lambda acc, t: acc + F.coalesce(F.size(t["bars"]), F.lit(0)).cast("bigint"))
+    per_call = parsed.select("request_id", F.col("reject_reason").isNotNull().alias("refused"),
+                             F.when(F.col("reject_reason").isNull(), bars).otherwise(F.lit(0)).alias("bars"))
+    return per_call.groupBy("request_id").agg(
+        F.count(F.lit(1)).alias("calls"),
+        F.count_if("refused").alias("rejected_calls"),
+        F.sum("bars").alias("bars"))

@@ -72,3 +72,26 @@ def local_session(app: str = "ticksmith", cores: str = "*",
     spark.sparkContext.setLogLevel("ERROR")
     checkpoint_root(spark)
     return spark
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``ticksmith`` importable in the executors' Python workers.
+
+    On a cluster the package is normally shipped with ``--py-files``
+    (then set ``spark.ticksmith.shipped=true``); otherwise zip it on the
+    driver and let ``addPyFile`` serve it to every executor, once per
+    SparkContext.  The zip is code, not data.
+    """
+    sc = spark.sparkContext
+    if getattr(sc, "_ticksmith_shipped", False):
+        return
+    if spark.conf.get("spark.ticksmith.shipped", "false") == "true":
+        sc._ticksmith_shipped = True
+        return
+    import shutil
+
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="ticksmith-py-"), "ticksmith"), "zip",
+                                  root_dir=os.path.dirname(pkg_dir), base_dir="ticksmith")
+    sc.addPyFile(archive)
+    sc._ticksmith_shipped = True
