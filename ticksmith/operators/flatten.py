@@ -48,10 +48,9 @@ def parse_documents(docs: DataFrame, body: str = "body", mode: str = HANDLER,
     ``status`` names an HTTP status column (A35): 4xx/5xx refuses the
     document before it is parsed.
     """
-    doc = F.try_parse_json(F.col(body))
-    entries = doc.try_cast(ENTRY_MAP_DDL)
-    parsed = docs.withColumn("_doc", doc).withColumn(
-        "typed", F.transform_values(entries, _typed_entry))
+    parsed = docs.withColumn("_doc", F.try_parse_json(F.col(body)))
+    entries = F.col("_doc").try_cast(ENTRY_MAP_DDL)
+    parsed = parsed.withColumn("typed", F.transform_values(entries, _typed_entry))
     typed_values = F.map_values(F.col("typed"))
 
     def any_entry(pred) -> Column:

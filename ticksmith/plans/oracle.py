@@ -228,3 +228,5 @@ ORACLE["fetch_plan"] = _requests_cte() + """,
     FROM n JOIN r ON r.request_id = n.request_id
     LEFT JOIN daily d ON d.sym = r.sym AND d.day = r.day
     WHERE n.status = 200"""
+
+ORACLE["stream_ingest"] = ORACLE["fact_rows"]

@@ -394,3 +394,20 @@ def fetch_plan(spark, sf_dir):
         F.count(F.lit(1)).alias("calls"),
         F.count_if("refused").alias("rejected_calls"),
         F.sum("bars").alias("bars"))
+
+
+# --- streaming (A37) -------------------------------------------------------------------
+
+@query
+def stream_ingest(spark, sf_dir):
+    """Response files streamed into the tables, one run per batch."""
+    from ticksmith.sinks import files
+    from ticksmith.sources.landing import write_documents
+    from ticksmith.streaming.ingest_stream import start_ingest_stream
+
+    base = shared_dir(spark, "stream")
+    landing = write_documents(_documents(spark, sf_dir), f"{base}/landing")
+    q = start_ingest_stream(spark, f"{landing}/*", f"{base}/out", checkpoint=f"{base}/checkpoint",
+                            stamp=lambda: FIXED_STAMP, max_files_per_trigger=20)
+    q.awaitTermination()
+    return files.read_table(spark, f"{base}/out", "fact").drop("extract_date", "run_id")
