@@ -43,7 +43,7 @@ ROUTE_DEFAULT = "default"
 
 def _kind(v: Column) -> Column:
     """First word of the variant's schema: OBJECT, ARRAY, STRING, BIGINT, ..."""
-    return F.regexp_extract(F.schema_of_variant(v), r"^([A-Z]+)", 1)
+    return F.split(F.schema_of_variant(v), "<", 2)[0]
 
 
 def _truthy(v: Column) -> Column:

@@ -230,3 +230,93 @@ ORACLE["fetch_plan"] = _requests_cte() + """,
     WHERE n.status = 200"""
 
 ORACLE["stream_ingest"] = ORACLE["fact_rows"]
+
+
+# --- URLs ---------------------------------------------------------------------------
+
+def _pct(x: str, cls: str) -> str:
+    cls_sql = cls.replace("'", "''")
+    valid = "regexp_matches(t, '^[0-9A-Fa-f]{2}')"
+    parts = f"string_split({x}, '%')"
+    up = (f"array_to_string(list_concat([{parts}[1]], list_transform({parts}[2:], lambda t: "
+          f"CASE WHEN {valid} THEN upper(t[1:2]) || t[3:] ELSE t END)), '%')")
+    allvalid = f"(len(list_filter({parts}[2:], lambda t: {valid})) = len({parts}) - 1)"
+    return (f"CASE WHEN {x} IS NULL THEN NULL ELSE array_to_string(list_transform(string_split({up}, ''), "
+            f"lambda c: CASE WHEN regexp_full_match(c, '{cls_sql}') OR (c = '%' AND {allvalid}) THEN c "
+            f"ELSE regexp_replace(hex(encode(c)), '(..)', '%\\1', 'g') END), '') END")
+
+
+def _dots_list(p: str) -> str:
+    return (f"list_reduce(string_split({p}, '/'), lambda acc, s: CASE WHEN s = '.' THEN acc "
+            f"WHEN s <> '..' THEN list_append(acc, s) WHEN len(acc) > 0 THEN acc[1:len(acc)-1] ELSE acc END, "
+            f"[]::VARCHAR[])")
+
+
+def _urls_sql() -> str:
+    from ticksmith.operators import urls as U
+
+    sq = lambda s: s.replace("'", "''")
+    uri, hp = sq(U.URI), sq(U.HOST_PORT)
+    return f"""WITH src AS (
+        SELECT page_id, CAST(-1 AS BIGINT) AS link_idx, url FROM pages
+        UNION ALL
+        SELECT page_id, CAST(generate_subscripts(l, 1) - 1 AS BIGINT) AS link_idx, unnest(l) AS url
+        FROM (SELECT page_id, regexp_extract_all(html, 'href="([^"]*)"', 1) AS l FROM pages)),
+    a AS (SELECT *, CASE WHEN regexp_matches(url, '{sq(U.SCHEME_START)}') THEN url ELSE '//' || url END AS pu FROM src),
+    b AS (SELECT page_id, link_idx, url,
+            CASE WHEN regexp_extract(pu, '{uri}', 1) <> '' THEN lower(regexp_extract(pu, '{uri}', 2)) END AS sch,
+            CASE WHEN regexp_extract(pu, '{uri}', 4) <> '' THEN regexp_extract(pu, '{uri}', 4) END AS authority,
+            regexp_extract(pu, '{uri}', 5) AS p,
+            CASE WHEN regexp_extract(pu, '{uri}', 6) <> '' THEN regexp_extract(pu, '{uri}', 7) END AS q,
+            CASE WHEN regexp_extract(pu, '{uri}', 8) <> '' THEN regexp_extract(pu, '{uri}', 9) END AS f
+          FROM a),
+    c AS (SELECT *, regexp_extract(authority, '([^@]*)$', 1) AS hp,
+            CASE WHEN contains(authority, '@') THEN regexp_extract(authority, '^(.*)@', 1) END AS auth_raw,
+            (sch IS NULL OR sch IN ('http', 'https')) AS norm FROM b),
+    d AS (SELECT *, coalesce(regexp_matches(hp, '{hp}'), false) AS hp_ok FROM c),
+    e AS (SELECT *,
+            (authority IS NOT NULL AND NOT hp_ok) AS bad_host,
+            CASE WHEN authority IS NOT NULL AND auth_raw <> '' THEN auth_raw END AS auth0,
+            CASE WHEN authority IS NOT NULL AND hp_ok THEN regexp_extract(hp, '{hp}', 1) END AS host0,
+            CASE WHEN authority IS NOT NULL AND hp_ok AND regexp_extract(hp, '{hp}', 2) <> ''
+                 THEN CAST(regexp_extract(hp, '{hp}', 2) AS INTEGER) END AS port0
+          FROM d),
+    e1 AS (SELECT *, {_dots_list('p')} AS o FROM e),
+    e2 AS (SELECT *, CASE WHEN starts_with(p, '/') AND (len(o) = 0 OR o[1] <> '') THEN list_prepend('', o)
+                          ELSE o END AS o2 FROM e1),
+    e3 AS (SELECT *, array_to_string(CASE WHEN suffix(p, '/.') OR suffix(p, '/..') THEN list_append(o2, '')
+                                          ELSE o2 END, '/') AS pdots FROM e2),
+    g AS (SELECT *,
+            CASE WHEN norm AND p <> '' THEN {_pct('pdots', U.PATH_CHARS)} ELSE p END AS pn,
+            CASE WHEN norm AND q <> '' THEN {_pct('q', U.QUERY_CHARS)} ELSE q END AS qn,
+            CASE WHEN norm AND f <> '' THEN {_pct('f', U.QUERY_CHARS)} ELSE f END AS fn,
+            (bad_host OR coalesce(port0 > 65535, false)) AS bad,
+            (url IS NULL OR url = '') AS empty
+          FROM e3),
+    h AS (SELECT page_id, link_idx,
+            CASE WHEN NOT bad AND NOT empty THEN sch END AS scheme,
+            CASE WHEN NOT bad AND NOT empty THEN
+                 CASE WHEN auth0 IS NOT NULL AND norm THEN {_pct('auth0', U.USERINFO_CHARS)} ELSE auth0 END END AS auth,
+            CASE WHEN NOT bad AND NOT empty THEN
+                 CASE WHEN norm AND host0 <> '' THEN
+                      CASE WHEN starts_with(host0, '[') AND contains(host0, '%')
+                           THEN lower(split_part(host0, '%', 1)) || host0[instr(host0, '%'):]
+                           ELSE lower(host0) END
+                      ELSE host0 END END AS host,
+            CASE WHEN NOT bad AND NOT empty THEN port0 END AS port,
+            CASE WHEN NOT bad AND NOT empty THEN
+                 CASE WHEN pn <> '' THEN CASE WHEN starts_with(pn, '/') THEN pn ELSE '/' || pn END
+                      WHEN q IS NOT NULL OR f IS NOT NULL THEN '' END END AS path,
+            CASE WHEN NOT bad AND NOT empty THEN qn END AS query,
+            CASE WHEN NOT bad AND NOT empty THEN fn END AS fragment,
+            (bad AND NOT empty) AS parse_error
+          FROM g)"""
+
+
+ORACLE["url_parts"] = _urls_sql() + " SELECT * FROM h"
+ORACLE["url_normalise"] = _urls_sql() + """ SELECT page_id, link_idx,
+    CASE WHEN NOT parse_error THEN
+        coalesce(scheme || '://', '') || coalesce(auth || '@', '') || coalesce(host, '')
+        || coalesce(':' || CAST(port AS VARCHAR), '') || coalesce(path, '') || coalesce('?' || query, '')
+        || coalesce('#' || fragment, '') END AS normalised_url
+    FROM h"""

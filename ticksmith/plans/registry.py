@@ -408,6 +408,27 @@ def stream_ingest(spark, sf_dir):
     base = shared_dir(spark, "stream")
     landing = write_documents(_documents(spark, sf_dir), f"{base}/landing")
     q = start_ingest_stream(spark, f"{landing}/*", f"{base}/out", checkpoint=f"{base}/checkpoint",
-                            stamp=lambda: FIXED_STAMP, max_files_per_trigger=20)
+                            stamp=lambda: FIXED_STAMP, max_files_per_trigger=100)
     q.awaitTermination()
     return files.read_table(spark, f"{base}/out", "fact").drop("extract_date", "run_id")
+
+
+# --- URLs (R1, R2) -----------------------------------------------------------------------
+
+@query
+def url_parts(spark, sf_dir):
+    """Every page URL and every link in the pages' HTML, split."""
+    from ticksmith.operators.urls import page_urls, parse_url
+
+    parsed = parse_url(page_urls(table(spark, sf_dir, "pages")))
+    return parsed.select("page_id", "link_idx", "scheme", "auth", "host", "port", "path", "query",
+                         "fragment", "parse_error")
+
+
+@query
+def url_normalise(spark, sf_dir):
+    """R2: the same URLs normalised and joined back into text."""
+    from ticksmith.operators.urls import normalise_urls, page_urls
+
+    return normalise_urls(page_urls(table(spark, sf_dir, "pages"))).select(
+        "page_id", "link_idx", "normalised_url")

@@ -50,6 +50,29 @@ def http_fetch(symbols: list[str], start_date: str, end_date: str, interval: str
         return e.code, e.read().decode("utf-8", errors="replace")
 
 
+_LISTINGS: dict[str, list[str]] = {}
+_LINES: dict[str, list[str]] = {}
+
+
+def _glob(pattern: str) -> list[str]:
+    """Folder listings are immutable once the stand-in is written, so each
+    Python worker lists a folder once."""
+    if pattern not in _LISTINGS:
+        if len(_LISTINGS) > 100_000:
+            _LISTINGS.clear()
+        _LISTINGS[pattern] = sorted(glob.glob(pattern))
+    return _LISTINGS[pattern]
+
+
+def _lines(path: str) -> list[str]:
+    if path not in _LINES:
+        if len(_LINES) > 20_000:
+            _LINES.clear()
+        with open(path, encoding="utf-8") as fh:
+            _LINES[path] = fh.read().splitlines()
+    return _LINES[path]
+
+
 def folder_fetch(symbols: list[str], start_date: str, end_date: str, interval: str,
                  options: dict) -> tuple[int, str]:
     """Answer like the API from ``options["mock_root"]``.
@@ -63,29 +86,28 @@ def folder_fetch(symbols: list[str], start_date: str, end_date: str, interval: s
     parts, known = [], 0
     for sym in symbols:
         sym_dir = os.path.join(root, "bars", f"symbol={sym}")
-        meta_files = sorted(glob.glob(os.path.join(root, "meta", f"symbol={sym}", "*.txt")))
-        if not os.path.isdir(sym_dir) and not meta_files:
+        meta_files = _glob(os.path.join(root, "meta", f"symbol={sym}", "*.txt"))
+        day_dirs = _glob(os.path.join(sym_dir, "day=*"))
+        if not day_dirs and not meta_files:
             parts.append(json.dumps(sym) + ':{"code":404,"message":"symbol not found","status":"error"}')
             continue
         known += 1
         meta = "{}"
         for f in meta_files:
-            with open(f, encoding="utf-8") as fh:
-                line = fh.readline().strip()
-                if line:
-                    meta = line
-                    break
+            lines = [x for x in _lines(f) if x.strip()]
+            if lines:
+                meta = lines[0].strip()
+                break
         frags = []
-        for day_dir in sorted(glob.glob(os.path.join(sym_dir, "day=*"))):
+        for day_dir in day_dirs:
             day = day_dir.rsplit("=", 1)[1]
             if day < start_date or day > end_date:
                 continue
-            for f in glob.glob(os.path.join(day_dir, "*.txt")):
-                with open(f, encoding="utf-8") as fh:
-                    for line in fh:
-                        chunk, _, arr = line.rstrip("\n").partition("\t")
-                        if len(arr) > 2:
-                            frags.append((day, chunk, arr[1:-1]))
+            for f in _glob(os.path.join(day_dir, "*.txt")):
+                for line in _lines(f):
+                    chunk, _, arr = line.partition("\t")
+                    if len(arr) > 2:
+                        frags.append((day, chunk, arr[1:-1]))
         frags.sort()
         values = ",".join(f[2] for f in frags)
         parts.append(json.dumps(sym) + ':{"meta":' + meta + ',"values":[' + values + "]}")
