@@ -55,7 +55,7 @@ def remove_dot_segments(path: Column) -> Column:
         .when(s != "..", F.array_append(acc, s))
         .when(F.size(acc) > 0, F.slice(acc, 1, F.size(acc) - 1))
         .otherwise(acc))
-    lead = path.startswith("/") & ((F.size(out) == 0) | (out[0] != F.lit("")))
+    lead = path.startswith("/") & ((F.size(out) == 0) | (F.get(out, 0) != F.lit("")))
     out = F.when(lead, F.concat(F.array(F.lit("")), out)).otherwise(out)
     trail = path.endswith("/.") | path.endswith("/..")
     out = F.when(trail, F.array_append(out, F.lit(""))).otherwise(out)

@@ -320,3 +320,182 @@ ORACLE["url_normalise"] = _urls_sql() + """ SELECT page_id, link_idx,
         || coalesce(':' || CAST(port AS VARCHAR), '') || coalesce(path, '') || coalesce('?' || query, '')
         || coalesce('#' || fragment, '') END AS normalised_url
     FROM h"""
+
+
+# --- text profiles ------------------------------------------------------------------------
+# The corpus is written in Latin scripts; the oracle's character facts cover
+# U+0000..U+024F, generated by the same unicodedata rules, with the JDK's
+# names of the five blocks in that range.
+
+def _facts_values() -> str:
+    from ticksmith.operators.textprofile import char_facts
+
+    def block(cp):
+        if cp < 32:
+            return "Control character"
+        if cp < 128:
+            return "Basic Latin"
+        if cp < 256:
+            return "Latin 1 Supplement"
+        if cp < 384:
+            return "Latin Extended A"
+        return "Latin Extended B"
+
+    rows = []
+    b = lambda v: "true" if v else "false"
+    for cp in range(0, 0x250):
+        f = char_facts(chr(cp), block(cp))
+        (_, _, blk, alpha, upper, _lower, space, digit, printable, lower_ch, acc, latin, base, punct, sym,
+         emo, unpr, safe) = f
+        rows.append(f"({cp}, '{blk}', {b(alpha)}, {b(upper)}, {b(space)}, {b(digit)}, {b(printable)}, "
+                    f"{ord(lower_ch[0]) if len(lower_ch) == 1 else cp}, {b(acc)}, {b(latin)}, {ord(base)}, "
+                    f"{b(punct)}, {b(sym)}, {b(emo)}, {b(unpr)}, {b(safe)})")
+    return ("facts AS (SELECT chr(cp) AS ch, cp, block, is_alpha, is_upper, is_space, is_digit, is_printable, "
+            "chr(lower_cp) AS lower_ch, accentuated, latin, chr(base_cp) AS base_ch, punct, sym, emoticon, "
+            "unprintable, safe_ascii FROM (VALUES " + ", ".join(rows) + ") t(cp, block, is_alpha, is_upper, "
+            "is_space, is_digit, is_printable, lower_cp, accentuated, latin, base_cp, punct, sym, emoticon, "
+            "unprintable, safe_ascii))")
+
+
+def _round4_sql(num: str, den: str) -> str:
+    """Half-to-even rounding of num/den to 4 decimals with integer arithmetic."""
+    scaled = f"(CAST({num} AS BIGINT) * 10000)"
+    d = f"CAST({den} AS BIGINT)"
+    rem = f"({scaled} % {d})"
+    k = f"(({scaled} - {rem}) // {d})"
+    return (f"(({k} + CASE WHEN {rem} * 2 > {d} THEN 1 WHEN {rem} * 2 < {d} THEN 0 ELSE {k} % 2 END) "
+            f"/ 10000.0)")
+
+
+def _text_cte() -> str:
+    from ticksmith.operators.textprofile import CHUNK_CHARS
+
+    return f"""WITH {_facts_values()},
+    chars AS (SELECT doc_id, lang, CAST(generate_subscripts(cs, 1) - 1 AS BIGINT) AS pos, unnest(cs) AS ch
+              FROM (SELECT doc_id, lang, string_split(text, '') AS cs FROM documents WHERE length(text) > 0)),
+    hist AS (SELECT doc_id, pos // {CHUNK_CHARS} AS chunk, ch, count(*) AS n, min(pos) AS first_pos
+             FROM chars GROUP BY ALL),
+    letters AS (SELECT h.doc_id, h.chunk, h.ch, h.n, h.first_pos, f.block, f.lower_ch
+                FROM hist h JOIN facts f ON f.ch = h.ch WHERE f.is_alpha),
+    layer_of AS (SELECT doc_id, chunk, arg_min(block, first_pos) AS layer FROM letters GROUP BY ALL),
+    per AS (SELECT l.doc_id, l.chunk, y.layer, l.lower_ch AS ch, sum(l.n) AS n, min(l.first_pos) AS first_pos
+            FROM letters l JOIN layer_of y USING (doc_id, chunk) GROUP BY ALL),
+    ranks AS (SELECT *, row_number() OVER (PARTITION BY doc_id, chunk, layer ORDER BY n DESC, first_pos) - 1 AS rank,
+                     sum(n) OVER (PARTITION BY doc_id, chunk, layer) AS layer_size,
+                     count(*) OVER (PARTITION BY doc_id, chunk, layer) AS layer_letters
+              FROM per)"""
+
+
+def _profiles_cte() -> str:
+    from ticksmith.operators.textprofile import ALT_PROFILE_SIZE, PROFILE_SIZE
+
+    return f""",
+    lc AS (SELECT c.lang, f.lower_ch AS ch, count(*) AS n FROM chars c JOIN facts f ON f.ch = c.ch
+           WHERE f.is_alpha AND c.lang IS NOT NULL GROUP BY ALL),
+    lr AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, ch) - 1 AS r FROM lc),
+    prof0 AS (SELECT lang AS language, ch, r AS lang_rank FROM lr WHERE r < {PROFILE_SIZE}
+              UNION ALL SELECT lang || '—', ch, r FROM lr WHERE r < {ALT_PROFILE_SIZE}),
+    prof AS (SELECT p.*, count(*) OVER (PARTITION BY language) AS profile_size,
+                    bool_or(coalesce(f.accentuated, false)) OVER (PARTITION BY language) AS has_accents
+             FROM prof0 p LEFT JOIN facts f ON f.ch = p.ch),
+    big AS (SELECT * FROM ranks WHERE layer_size > 32),
+    src_acc AS (SELECT b.doc_id, b.chunk, b.layer, bool_or(coalesce(f.accentuated, false)) AS source_accents
+                FROM big b LEFT JOIN facts f ON f.ch = b.ch GROUP BY ALL),
+    cand AS (SELECT b.doc_id, b.chunk, b.layer, p.language, count(*) / max(p.profile_size) AS share
+             FROM big b JOIN prof p ON p.ch = b.ch JOIN src_acc s USING (doc_id, chunk, layer)
+             WHERE p.has_accents OR NOT s.source_accents
+             GROUP BY ALL HAVING count(*) / max(p.profile_size) >= 0.2),
+    common AS (SELECT b.doc_id, b.chunk, b.layer, p.language, b.ch, b.rank, b.layer_letters, p.lang_rank,
+                      p.profile_size
+               FROM big b JOIN prof p ON p.ch = b.ch JOIN cand c USING (doc_id, chunk, layer, language)),
+    counts AS (SELECT a.doc_id, a.chunk, a.layer, a.language, a.ch, a.rank, a.lang_rank, a.profile_size,
+                      a.layer_letters,
+                      count(*) FILTER (WHERE o.lang_rank < a.lang_rank AND o.rank < a.rank) AS before,
+                      count(*) FILTER (WHERE o.lang_rank >= a.lang_rank AND o.rank >= a.rank) AS after
+               FROM common a JOIN common o USING (doc_id, chunk, layer, language) GROUP BY ALL),
+    judged AS (SELECT *, CAST(floor(rank * (profile_size / layer_letters)) AS INTEGER) AS proj FROM counts),
+    ok AS (SELECT doc_id, chunk, layer, language, layer_letters,
+                  CASE WHEN profile_size <= 26 AND abs(proj - lang_rank) > 4 THEN 0
+                       WHEN profile_size > 26 AND abs(proj - lang_rank) < profile_size / 3 THEN 1
+                       WHEN lang_rank = 0 AND before <= 4 THEN 1
+                       WHEN profile_size - lang_rank = 0 AND after <= 4 THEN 1
+                       WHEN lang_rank > 0 AND before / lang_rank >= 0.4 THEN 1
+                       WHEN profile_size - lang_rank > 0 AND after / (profile_size - lang_rank) >= 0.4 THEN 1
+                       ELSE 0 END AS approved
+           FROM judged),
+    coh0 AS (SELECT doc_id, chunk, layer, language, sum(approved) AS n_ok, max(layer_letters) AS letters
+             FROM ok GROUP BY ALL),
+    coh AS (SELECT doc_id, chunk, layer, language, {_round4_sql('n_ok', 'letters')} AS ratio FROM coh0
+            WHERE {_round4_sql('n_ok', 'letters')} >= 0.1),
+    merged AS (SELECT doc_id, language, {_round4_sql('sum(CAST(round(ratio * 10000) AS BIGINT))', 'count(*) * 10000')}
+               AS ratio FROM coh GROUP BY ALL)"""
+
+
+ORACLE["char_blocks"] = _text_cte() + """ SELECT h.doc_id, f.block, sum(h.n) AS chars
+    FROM hist h JOIN facts f ON f.ch = h.ch GROUP BY ALL"""
+ORACLE["char_rank"] = _text_cte() + """ SELECT doc_id, CAST(chunk AS BIGINT) AS chunk, layer, ch, n, first_pos,
+    CAST(rank AS BIGINT) AS rank FROM ranks"""
+ORACLE["lang_candidates"] = _text_cte() + _profiles_cte() + """ SELECT doc_id, CAST(chunk AS BIGINT) AS chunk,
+    layer, language, share FROM cand"""
+ORACLE["lang_coherence"] = _text_cte() + _profiles_cte() + """ SELECT doc_id, CAST(chunk AS BIGINT) AS chunk,
+    layer, language, ratio FROM coh"""
+ORACLE["lang_merge"] = _text_cte() + _profiles_cte() + " SELECT * FROM merged"
+ORACLE["lang_best"] = _text_cte() + _profiles_cte() + """,
+    t AS (SELECT *, replace(language, '—', '') AS base_language FROM merged),
+    d AS (SELECT doc_id, max(k) > 1 AS has_dup FROM (SELECT doc_id, base_language, count(*) AS k FROM t GROUP BY ALL)
+          GROUP BY doc_id)
+    SELECT t.doc_id, t.base_language AS language, max(t.ratio) AS ratio FROM t JOIN d USING (doc_id)
+    WHERE d.has_dup GROUP BY ALL
+    UNION ALL SELECT t.doc_id, t.language, t.ratio FROM t JOIN d USING (doc_id) WHERE NOT d.has_dup"""
+
+ORACLE["noise_counts"] = _text_cte() + """,
+    per9 AS (SELECT h.doc_id, sum(h.n) AS chars,
+                   sum(CASE WHEN f.is_alpha THEN h.n ELSE 0 END) AS letters,
+                   sum(CASE WHEN f.is_alpha AND f.accentuated THEN h.n ELSE 0 END) AS accented,
+                   sum(CASE WHEN f.unprintable THEN h.n ELSE 0 END) AS unprintable
+            FROM hist h LEFT JOIN facts f ON f.ch = h.ch GROUP BY ALL),
+    allp AS (SELECT d.doc_id, coalesce(chars, 0) AS chars, coalesce(letters, 0) AS letters,
+                    coalesce(accented, 0) AS accented, coalesce(unprintable, 0) AS unprintable
+             FROM documents d LEFT JOIN per9 USING (doc_id))
+    SELECT doc_id,
+           CASE WHEN letters >= 8 AND accented / letters >= 0.35 THEN accented / letters ELSE 0.0 END AS accent_ratio,
+           unprintable * 8 / (chars + 1) AS unprintable_ratio
+    FROM allp"""
+
+ORACLE["noise_neighbours"] = _text_cte() + """,
+    c AS (SELECT c.doc_id, c.pos, c.ch, f.*  EXCLUDE (ch),
+                 coalesce(f.is_printable, false) AS pr,
+                 coalesce(f.is_alpha AND f.latin, false) AS ll,
+                 (f.is_space OR f.punct OR f.safe_ascii) AS cut
+          FROM chars c LEFT JOIN facts f ON f.ch = c.ch),
+    w AS (SELECT *,
+            last_value(CASE WHEN pr THEN ch END IGNORE NULLS) OVER win AS prev_printable,
+            last_value(CASE WHEN pr THEN cut END IGNORE NULLS) OVER win AS prev_cut,
+            last_value(CASE WHEN pr THEN block END IGNORE NULLS) OVER win AS prev_block,
+            last_value(CASE WHEN ll THEN accentuated END IGNORE NULLS) OVER win AS prev_acc,
+            last_value(CASE WHEN ll THEN is_upper END IGNORE NULLS) OVER win AS prev_up,
+            last_value(CASE WHEN ll THEN base_ch END IGNORE NULLS) OVER win AS prev_base
+          FROM c WINDOW win AS (PARTITION BY doc_id ORDER BY pos ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+    pts AS (SELECT doc_id, pr, ll,
+              CASE WHEN pr AND ch IS DISTINCT FROM prev_printable AND NOT coalesce(safe_ascii, false) THEN
+                   CASE WHEN punct THEN 1 WHEN NOT is_digit AND sym AND NOT emoticon THEN 2 ELSE 0 END
+                   ELSE 0 END AS sp,
+              (pr AND NOT cut AND prev_cut IS NOT NULL AND NOT prev_cut
+                  AND NOT (prev_block = block OR (contains(prev_block, 'Latin') AND contains(block, 'Latin')))) AS jump,
+              CASE WHEN ll AND prev_acc IS NOT NULL AND accentuated AND prev_acc THEN
+                   (CASE WHEN is_upper AND prev_up THEN 1 ELSE 0 END) + (CASE WHEN base_ch = prev_base THEN 1 ELSE 0 END)
+                   ELSE 0 END AS pp
+            FROM w),
+    per10 AS (SELECT doc_id, count(*) FILTER (WHERE pr) AS printable, sum(sp) AS sym_points,
+                   count(*) FILTER (WHERE jump) AS jumps, count(*) FILTER (WHERE ll) AS latin_letters,
+                   sum(pp) AS pair_points FROM pts GROUP BY doc_id),
+    allp AS (SELECT d.doc_id, coalesce(printable, 0) AS printable, coalesce(sym_points, 0) AS sym_points,
+                    coalesce(jumps, 0) AS jumps, coalesce(latin_letters, 0) AS latin_letters,
+                    coalesce(pair_points, 0) AS pair_points
+             FROM documents d LEFT JOIN per10 USING (doc_id))
+    SELECT doc_id,
+           CASE WHEN printable > 0 AND sym_points / printable >= 0.3 THEN sym_points / printable ELSE 0.0 END
+             AS symbol_ratio,
+           CASE WHEN printable > 13 THEN jumps * 2 / printable ELSE 0.0 END AS range_ratio,
+           CASE WHEN latin_letters > 0 THEN pair_points * 2 / latin_letters ELSE 0.0 END AS accent_pair_ratio
+    FROM allp"""

@@ -432,3 +432,78 @@ def url_normalise(spark, sf_dir):
 
     return normalise_urls(page_urls(table(spark, sf_dir, "pages"))).select(
         "page_id", "link_idx", "normalised_url")
+
+
+# --- text profiles (R3-R10) ----------------------------------------------------------------
+
+def _text_inputs(spark, sf_dir):
+    from ticksmith.operators import textprofile as tp
+
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return tp, docs, tp.char_table(spark, docs)
+
+
+@query
+def char_blocks(spark, sf_dir):
+    """Characters per Unicode block per document."""
+    tp, docs, facts = _text_inputs(spark, sf_dir)
+    return tp.char_blocks(spark, docs, facts)
+
+
+@query
+def char_rank(spark, sf_dir):
+    """Letters per chunk and layer, ranked by count then first appearance."""
+    tp, docs, facts = _text_inputs(spark, sf_dir)
+    r = tp.letter_ranks(spark, docs, facts)
+    return r.select("doc_id", F.col("chunk").cast("bigint").alias("chunk"), "layer", "ch", "n", "first_pos",
+                    F.col("rank").cast("bigint").alias("rank"))
+
+
+def _coherence(spark, sf_dir):
+    tp, docs, facts = _text_inputs(spark, sf_dir)
+    ranks = tp.letter_ranks(spark, docs, facts)
+    profiles = tp.learn_profiles(spark, docs, facts)
+    cand = tp.lang_candidates(ranks, profiles, facts)
+    return tp, ranks, profiles, cand, tp.lang_coherence(ranks, profiles, cand)
+
+
+@query
+def lang_candidates(spark, sf_dir):
+    """Languages whose learned alphabet the chunk covers (share >= 0.2)."""
+    _, _, _, cand, _ = _coherence(spark, sf_dir)
+    return cand.select("doc_id", F.col("chunk").cast("bigint").alias("chunk"), "layer", "language", "share")
+
+
+@query
+def lang_coherence(spark, sf_dir):
+    """Ranking coherence of each candidate language per chunk."""
+    *_, coh = _coherence(spark, sf_dir)
+    return coh.select("doc_id", F.col("chunk").cast("bigint").alias("chunk"), "layer", "language", "ratio")
+
+
+@query
+def lang_merge(spark, sf_dir):
+    """Mean coherence per document and language over its chunks."""
+    tp, *_, coh = _coherence(spark, sf_dir)
+    return tp.lang_merge(coh)
+
+
+@query
+def lang_best(spark, sf_dir):
+    """Alternative profiles folded into their language (best ratio)."""
+    tp, *_, coh = _coherence(spark, sf_dir)
+    return tp.lang_best(tp.lang_merge(coh))
+
+
+@query
+def noise_counts(spark, sf_dir):
+    """Order-free noise ratios per document."""
+    tp, docs, facts = _text_inputs(spark, sf_dir)
+    return tp.noise_counts(spark, docs, facts)
+
+
+@query
+def noise_neighbours(spark, sf_dir):
+    """Neighbour-based noise ratios per document."""
+    tp, docs, facts = _text_inputs(spark, sf_dir)
+    return tp.noise_neighbours(spark, docs, facts)
