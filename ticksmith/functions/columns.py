@@ -17,3 +17,19 @@ def fence(df: DataFrame) -> DataFrame:
     generator is narrow: no shuffle, same partitioning.
     """
     return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
+
+
+def spread(df: DataFrame, *keys: str) -> DataFrame:
+    """Give CPU-heavy per-row work at least one task per core.
+
+    A small input (a few row groups) scans as fewer partitions than there
+    are cores; only then is it hash-repartitioned (by ``keys`` if given).
+    A large input already has far more partitions than cores and is left
+    as it is, so this never adds a shuffle at scale.
+    """
+    spark = df.sparkSession
+    want = spark.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= want:
+        return df
+    n = max(want * 2, 1)
+    return df.repartition(n, *keys) if keys else df.repartition(n)

@@ -227,21 +227,25 @@ def _small(df: DataFrame) -> DataFrame:
 # --- chunks and histograms ------------------------------------------------------------------
 
 def chunk_texts(docs: DataFrame, text: str = "text", size: int = CHUNK_CHARS) -> DataFrame:
-    """``(doc_id, chunk, offset, piece)``: each text cut into pieces of
-    ``size`` characters, so even a very long text is profiled in bounded
+    """``(doc_id, lang, chunk, offset, piece)``: each text cut into pieces
+    of ``size`` characters, so even a very long text is profiled in bounded
     pieces."""
     n = F.ceil(F.length(F.col(text)) / F.lit(size)).cast("int")
     pieces = F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1),
                                        lambda i: F.substring(F.col(text), i * size + 1, size)))
-    return docs.select("doc_id", F.posexplode(pieces).alias("chunk", "piece")).select(
-        "doc_id", "chunk", (F.col("chunk") * size).cast("bigint").alias("offset"), "piece")
+    lang = F.col("lang") if "lang" in docs.columns else F.lit(None).cast("string")
+    return docs.select("doc_id", lang.alias("lang"), F.posexplode(pieces).alias("chunk", "piece")).select(
+        "doc_id", "lang", "chunk", (F.col("chunk") * size).cast("bigint").alias("offset"), "piece")
 
 
 def chunk_histogram(chunks: DataFrame) -> DataFrame:
-    """``(doc_id, chunk, ch, n, first_pos)`` with ``first_pos`` the position
-    in the document; partial aggregation runs before the shuffle."""
-    chars = chunks.select("doc_id", "chunk", "offset", F.posexplode(F.split("piece", "", -1)).alias("pos", "ch"))
-    return chars.groupBy("doc_id", "chunk", "ch").agg(
+    """``(doc_id, lang, chunk, ch, n, first_pos)`` with ``first_pos`` the
+    position in the document; partial aggregation runs before the shuffle,
+    so only distinct characters per chunk are exchanged.  ``lang`` depends
+    on ``doc_id`` and adds no groups."""
+    chars = chunks.select("doc_id", "lang", "chunk", "offset",
+                          F.posexplode(F.split("piece", "", -1)).alias("pos", "ch"))
+    return chars.groupBy("doc_id", "lang", "chunk", "ch").agg(
         F.count(F.lit(1)).alias("n"), F.min(F.col("offset") + F.col("pos")).alias("first_pos"))
 
 
@@ -251,7 +255,7 @@ def char_blocks(spark: SparkSession, docs: DataFrame, facts: DataFrame | None =
     """``(doc_id, block, chars)`` characters per Unicode block."""
     facts = facts if facts is not None else char_table(spark, docs)
     hist = chunk_histogram(chunk_texts(docs))
-    joined = hist.join(_small(facts.select("ch", "block")), "ch")
+    joined = hist.join(_small(facts), "ch")
     return joined.groupBy("doc_id", "block").agg(F.sum("n").alias("chars"))
 
 
@@ -295,7 +299,8 @@ def suspicious_pair(a: Column, b: Column) -> Column:
 
 # --- R4: layers and ranks ---------------------------------------------------------------------
 
-def letter_ranks(spark: SparkSession, docs: DataFrame, facts: DataFrame | None = None) -> DataFrame:
+def letter_ranks(spark: SparkSession, docs: DataFrame, facts: DataFrame | None = None,
+                 hist: DataFrame | None = None) -> DataFrame:
     """``(doc_id, chunk, layer, ch, n, first_pos, rank, layer_size, layer_letters)``.
 
     Letters of a chunk are split into layers by Unicode block (a block joins
@@ -303,8 +308,9 @@ def letter_ranks(spark: SparkSession, docs: DataFrame, facts: DataFrame | None =
     ranked by count, ties by first appearance.
     """
     facts = facts if facts is not None else char_table(spark, docs)
-    hist = chunk_histogram(chunk_texts(docs))
-    letters = hist.join(_small(facts.where("is_alpha").select("ch", "block", "lower_ch")), "ch")
+    hist = hist if hist is not None else chunk_histogram(chunk_texts(docs))
+    letters = hist.drop("lang").join(_small(facts), "ch").where("is_alpha") \
+        .select("doc_id", "chunk", "ch", "n", "first_pos", "block", "lower_ch")
     # blocks in order of first appearance per chunk (a handful per chunk)
     blocks = letters.groupBy("doc_id", "chunk", "block").agg(F.min("first_pos").alias("bpos"))
     ordered = blocks.groupBy("doc_id", "chunk").agg(
@@ -331,15 +337,16 @@ def letter_ranks(spark: SparkSession, docs: DataFrame, facts: DataFrame | None =
 # --- language profiles -------------------------------------------------------------------------
 
 def learn_profiles(spark: SparkSession, docs: DataFrame, facts: DataFrame | None = None,
-                   size: int = PROFILE_SIZE, alt_size: int | None = ALT_PROFILE_SIZE) -> DataFrame:
+                   size: int = PROFILE_SIZE, alt_size: int | None = ALT_PROFILE_SIZE,
+                   hist: DataFrame | None = None) -> DataFrame:
     """``(language, ch, lang_rank, profile_size, has_accents)``: the ``size``
     most frequent lower-case letters of each ``lang`` in the corpus, plus an
     alternative profile ``<lang>—`` of ``alt_size`` letters."""
     facts = facts if facts is not None else char_table(spark, docs)
-    letters = facts.where("is_alpha").select("ch", "lower_ch")
-    labelled = docs.where(F.col("lang").isNotNull())
-    hist = chunk_histogram(chunk_texts(labelled)).join(labelled.select("doc_id", "lang"), "doc_id")
-    counts = hist.join(_small(letters), "ch").groupBy("lang", "lower_ch").agg(F.sum("n").alias("n"))
+    hist = hist if hist is not None else chunk_histogram(chunk_texts(docs))
+    labelled = hist.where(F.col("lang").isNotNull())
+    counts = labelled.join(_small(facts), "ch").where("is_alpha") \
+        .groupBy("lang", "lower_ch").agg(F.sum("n").alias("n"))
     w = Window.partitionBy("lang").orderBy(F.desc("n"), "lower_ch")
     ranked = counts.withColumn("r", F.row_number().over(w) - 1)
     variants = [(F.col("lang"), size)]
@@ -350,8 +357,7 @@ def learn_profiles(spark: SparkSession, docs: DataFrame, facts: DataFrame | None
         part = ranked.where(F.col("r") < k).select(name.alias("language"), F.col("lower_ch").alias("ch"),
                                                    F.col("r").alias("lang_rank"))
         out = part if out is None else out.unionByName(part)
-    accents = facts.select(F.col("ch").alias("_c"), "accentuated")
-    out = out.join(_small(accents), out["ch"] == accents["_c"], "left").drop("_c")
+    out = out.join(_small(facts), "ch", "left").select(out.columns + ["accentuated"])
     wl = Window.partitionBy("language")
     return out.withColumn("profile_size", F.count(F.lit(1)).over(wl)) \
         .withColumn("has_accents", F.max(F.coalesce("accentuated", F.lit(False))).over(wl)).drop("accentuated")
@@ -364,8 +370,7 @@ def lang_candidates(ranks: DataFrame, profiles: DataFrame, facts: DataFrame) ->
 
     A language without accented letters is skipped when the layer has any."""
     layers = ranks.where(F.col("layer_size") > TOO_SMALL_SEQUENCE)
-    acc = facts.select(F.col("ch").alias("_c"), "accentuated")
-    with_acc = layers.join(_small(acc), layers["ch"] == acc["_c"], "left")
+    with_acc = layers.join(_small(facts), "ch", "left").select("doc_id", "chunk", "layer", "accentuated")
     layer_acc = with_acc.groupBy("doc_id", "chunk", "layer").agg(
         F.max(F.coalesce("accentuated", F.lit(False))).alias("source_accents"))
     prof = _small(profiles.select("language", "ch", "profile_size", "has_accents"))
@@ -456,7 +461,7 @@ def noise_counts_histogram(spark: SparkSession, docs: DataFrame, facts: DataFram
     unprintable: 8 x unprintable / (characters + the closing newline)."""
     facts = facts if facts is not None else char_table(spark, docs)
     hist = chunk_histogram(chunk_texts(docs)).groupBy("doc_id", "ch").agg(F.sum("n").alias("n"))
-    j = hist.join(_small(facts.select("ch", "is_alpha", "accentuated", "unprintable")), "ch", "left")
+    j = hist.join(_small(facts), "ch", "left")
     per = j.groupBy("doc_id").agg(
         F.sum("n").alias("chars"),
         F.sum(F.when(F.col("is_alpha"), F.col("n")).otherwise(0)).alias("letters"),
@@ -680,3 +685,46 @@ def noise_neighbours(spark: SparkSession, docs: DataFrame, facts: DataFrame | No
         F.when(latin_letters > 0, F.try_divide((both_upper + same_base) * 2, latin_letters))
         .otherwise(F.lit(0.0)).alias("accent_pair_ratio"),
     )
+
+
+# --- one corpus profile, materialised ----------------------------------------------------
+
+def materialise_table(df: DataFrame) -> DataFrame:
+    """Reliable checkpoint into the shared checkpoint folder, computed once
+    (persisted while the checkpoint is written, then released)."""
+    from pyspark import StorageLevel
+
+    df.persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        return df.checkpoint(eager=True)
+    finally:
+        df.unpersist()
+
+
+class CorpusProfile:
+    """The small intermediate tables of R3-R8 computed once per corpus.
+
+    ``facts`` (one row per distinct character), ``ranks`` (letters per
+    chunk and layer) and ``profiles`` (languages x profile size) are each
+    reused by several later joins; they are written with ``checkpoint()``
+    to the shared checkpoint folder, which cuts their lineage (a lost
+    executor re-reads them instead of recomputing the corpus) and keeps the
+    downstream plans short.  The exploded text itself is never kept.
+    """
+
+    def __init__(self, spark: SparkSession, docs: DataFrame, materialise: bool = True):
+        from ticksmith.session import checkpoint_root
+
+        checkpoint_root(spark)
+        keep = materialise_table if materialise else (lambda df: df)
+        self.spark, self.docs = spark, docs
+        self.facts = keep(char_table(spark, docs))
+        self.hist = chunk_histogram(chunk_texts(docs))
+        self.ranks = keep(letter_ranks(spark, docs, self.facts, self.hist))
+        self.profiles = keep(learn_profiles(spark, docs, self.facts, hist=self.hist))
+
+    def candidates(self) -> DataFrame:
+        return lang_candidates(self.ranks, self.profiles, self.facts)
+
+    def coherence(self) -> DataFrame:
+        return lang_coherence(self.ranks, self.profiles, self.candidates())

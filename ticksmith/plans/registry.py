@@ -436,11 +436,22 @@ def url_normalise(spark, sf_dir):
 
 # --- text profiles (R3-R10) ----------------------------------------------------------------
 
-def _text_inputs(spark, sf_dir):
+def _text_docs(spark, sf_dir):
+    from ticksmith.functions.columns import spread
     from ticksmith.operators import textprofile as tp
 
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "lang")
-    return tp, docs, tp.char_table(spark, docs)
+    return tp, spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), "doc_id")
+
+
+def _text_inputs(spark, sf_dir):
+    tp, docs = _text_docs(spark, sf_dir)
+    facts = tp.materialise_table(tp.char_table(spark, docs))
+    return tp, docs, facts
+
+
+def _profile(spark, sf_dir):
+    tp, docs = _text_docs(spark, sf_dir)
+    return tp, tp.CorpusProfile(spark, docs)
 
 
 @query
@@ -459,40 +470,34 @@ def char_rank(spark, sf_dir):
                     F.col("rank").cast("bigint").alias("rank"))
 
 
-def _coherence(spark, sf_dir):
-    tp, docs, facts = _text_inputs(spark, sf_dir)
-    ranks = tp.letter_ranks(spark, docs, facts)
-    profiles = tp.learn_profiles(spark, docs, facts)
-    cand = tp.lang_candidates(ranks, profiles, facts)
-    return tp, ranks, profiles, cand, tp.lang_coherence(ranks, profiles, cand)
-
-
 @query
 def lang_candidates(spark, sf_dir):
     """Languages whose learned alphabet the chunk covers (share >= 0.2)."""
-    _, _, _, cand, _ = _coherence(spark, sf_dir)
-    return cand.select("doc_id", F.col("chunk").cast("bigint").alias("chunk"), "layer", "language", "share")
+    _, prof = _profile(spark, sf_dir)
+    return prof.candidates().select("doc_id", F.col("chunk").cast("bigint").alias("chunk"), "layer",
+                                    "language", "share")
 
 
 @query
 def lang_coherence(spark, sf_dir):
     """Ranking coherence of each candidate language per chunk."""
-    *_, coh = _coherence(spark, sf_dir)
-    return coh.select("doc_id", F.col("chunk").cast("bigint").alias("chunk"), "layer", "language", "ratio")
+    _, prof = _profile(spark, sf_dir)
+    return prof.coherence().select("doc_id", F.col("chunk").cast("bigint").alias("chunk"), "layer",
+                                   "language", "ratio")
 
 
 @query
 def lang_merge(spark, sf_dir):
     """Mean coherence per document and language over its chunks."""
-    tp, *_, coh = _coherence(spark, sf_dir)
-    return tp.lang_merge(coh)
+    tp, prof = _profile(spark, sf_dir)
+    return tp.lang_merge(prof.coherence())
 
 
 @query
 def lang_best(spark, sf_dir):
     """Alternative profiles folded into their language (best ratio)."""
-    tp, *_, coh = _coherence(spark, sf_dir)
-    return tp.lang_best(tp.lang_merge(coh))
+    tp, prof = _profile(spark, sf_dir)
+    return tp.lang_best(tp.lang_merge(prof.coherence()))
 
 
 @query

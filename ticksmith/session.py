@@ -22,6 +22,9 @@ RUNTIME_CONF = {
     # runtime re-planning: coalesce small shuffles, split skewed ones
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # keep small-but-CPU-heavy shuffles (per-chunk arrays, parsed documents)
+    # spread over the cores; large shuffles are never coalesced below this
+    "spark.sql.adaptive.coalescePartitions.minPartitionSize": "64k",
 }
 
 
