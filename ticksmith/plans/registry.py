@@ -30,8 +30,12 @@ def query(fn):
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A driver table; spread over the cores when it scans as fewer
+    partitions than the cluster has (small files only; a no-op at scale)."""
+    from ticksmith.functions.columns import spread
+
     configure(spark)
-    return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+    return spread(spark.read.parquet(f"{sf_dir}/{name}.parquet"))
 
 
 def _documents(spark, sf_dir, **kw) -> DataFrame:
@@ -440,7 +444,9 @@ def _text_docs(spark, sf_dir):
     from ticksmith.functions.columns import spread
     from ticksmith.operators import textprofile as tp
 
-    return tp, spread(table(spark, sf_dir, "documents").select("doc_id", "text", "lang"), "doc_id")
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text", "lang")
+    configure(spark)
+    return tp, spread(docs, "doc_id")
 
 
 def _text_inputs(spark, sf_dir):
