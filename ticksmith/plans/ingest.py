@@ -180,3 +180,75 @@ def fetch_calls(spark: SparkSession, calls: DataFrame, fetcher: str, options: di
     n = partitions or max(1, spark.sparkContext.defaultParallelism)
     spread = calls.repartition(n, "call_id")
     return spread.mapInPandas(_fetch_batches(fetcher, interval, dict(options or {})), FETCHED_DDL)
+
+
+def ingest_requests(spark: SparkSession, requests: DataFrame, root: str, run: RunStamp, fetcher: str,
+                    fetch_options: dict | None = None, symbols_per_call: int = 8) -> DataFrame:
+    """The gateway handler over a whole table of requests.
+
+    Each request is its own run ``<run_id>-<request_id>``: its answers are
+    fetched on the executors, flattened and refused as a whole when broken,
+    and written with ``partitionBy(extract_date, run_id)`` (dynamic
+    partition overwrite, so a re-run replaces only its own runs).  One
+    manifest row per request is appended last, also for requests that
+    failed before any call (status 500, A36).  Returns the manifest rows.
+    No driver loop over requests: every step is a DataFrame job.
+    """
+    configure(spark)
+    day, stamp = run.extract_date, run.extracted_at_utc
+    run_col = F.concat(F.lit(run.run_id + "-"), F.col("request_id"))
+    calls = call_plan(requests, symbols_per_call)
+    docs = fetch_calls(spark, calls, fetcher, fetch_options, interval="1day").withColumnRenamed("call_id", "doc_id")
+    parsed = fl.parse_documents(docs, status="http_status").withColumn("run_id", run_col) \
+        .withColumn("extract_date", F.lit(day)).persist(StorageLevel.MEMORY_AND_DISK)
+    try:
+        keep = ("request_id", "extract_date", "run_id")
+        writer_opts = {"partitionOverwriteMode": "dynamic"}
+        raw = fl.accepted(parsed, keep, files.raw_text(F.col("body")).alias("value")).drop("request_id")
+        raw.write.mode("overwrite").options(**writer_opts).partitionBy("extract_date", "run_id") \
+            .text(files.table_base(root, "raw"))
+        entries = fl.entry_rows(parsed, keep=keep)
+        facts = fl.fact_rows(entries, stamp, keep=keep).drop("request_id")
+        facts.write.mode("overwrite").options(**writer_opts, **files.CSV_WRITE_OPTIONS) \
+            .partitionBy("extract_date", "run_id").csv(files.table_base(root, "fact"))
+        dims = fl.dim_rows(entries, stamp, keep=keep).drop("request_id")
+        dims.write.mode("overwrite").options(**writer_opts, **files.CSV_WRITE_OPTIONS) \
+            .partitionBy("extract_date", "run_id").csv(files.table_base(root, "dim"))
+        typed_values = F.map_values(F.col("typed"))
+        ok = F.col("reject_reason").isNull()
+        per_doc = parsed.select(
+            "request_id",
+            F.when(ok, F.aggregate(typed_values, F.lit(0).cast("bigint"),
+                                   lambda acc, t: acc + F.coalesce(F.size(t["bars"]), F.lit(0)).cast("bigint")))
+            .otherwise(F.lit(0).cast("bigint")).alias("f"),
+            F.when(ok, F.size(typed_values).cast("bigint")).otherwise(F.lit(0).cast("bigint")).alias("d"),
+            F.when(ok, F.lit(0)).otherwise(F.lit(1)).alias("r"),
+            F.when(~ok, F.col("reject_reason")).alias("reason"))
+        per_req = per_doc.groupBy("request_id").agg(
+            F.sum("f").alias("fact_row_count"), F.sum("d").alias("dim_row_count"),
+            F.sum("r").cast("bigint").alias("rejected_count"), F.count(F.lit(1)).alias("calls"),
+            F.array_sort(F.collect_set("reason")).alias("reasons"))
+        valid = requests.where(F.col("status") == 200).select("request_id", "symbols", "start_date", "end_date")
+        done = valid.join(per_req, "request_id", "left")
+        all_refused = F.col("calls").isNotNull() & (F.col("rejected_count") == F.col("calls"))
+        rid = run_col
+        ok_rows = done.select(
+            "request_id",
+            F.when(all_refused, F.lit(500)).otherwise(F.lit(200)).alias("status"),
+            F.when(all_refused, F.lit(ERROR_MESSAGE)).otherwise(F.lit(SUCCESS_MESSAGE)).alias("message"),
+            F.when(all_refused, F.concat(F.lit("document rejected: "), F.array_join("reasons", ", "))).alias("error"),
+            *[F.when(~all_refused, F.concat(F.lit(f"{files.RAW_PREFIX}/{files.TABLES[t]}/extract_date={day}/run_id="),
+                                             rid, F.lit("/"))).alias(f"{t}_key") for t in ("raw", "fact", "dim")],
+            "symbols", "start_date", "end_date",
+            F.when(~all_refused, F.coalesce("fact_row_count", F.lit(0).cast("bigint"))).otherwise(0)
+            .cast("bigint").alias("fact_row_count"),
+            F.when(~all_refused, F.coalesce("dim_row_count", F.lit(0).cast("bigint"))).otherwise(0)
+            .cast("bigint").alias("dim_row_count"),
+            F.coalesce("rejected_count", F.lit(0).cast("bigint")).alias("rejected_count"),
+            F.lit(day).alias("extract_date"), rid.alias("run_id"), F.lit(stamp).alias("extracted_at_utc"))
+        failed = error_manifest(requests, run).withColumn("run_id", run_col)
+        manifest = ok_rows.unionByName(failed.select(*ok_rows.columns))
+        files.append_manifest(manifest, root)
+    finally:
+        parsed.unpersist()
+    return files.read_manifest(spark, root).where(F.col("run_id").startswith(run.run_id + "-"))

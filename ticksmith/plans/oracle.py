@@ -499,3 +499,16 @@ ORACLE["noise_neighbours"] = _text_cte() + """,
            CASE WHEN printable > 13 THEN jumps * 2 / printable ELSE 0.0 END AS range_ratio,
            CASE WHEN latin_letters > 0 THEN pair_points * 2 / latin_letters ELSE 0.0 END AS accent_pair_ratio
     FROM allp"""
+
+ORACLE["request_ingest"] = _requests_cte() + """,
+    daily AS (SELECT event_type AS sym, strftime(ts, '%Y-%m-%d') AS day, count(*) AS n FROM events GROUP BY ALL)
+    SELECT n.request_id,
+           CASE WHEN n.c IN (1, 2, 7, 8, 9) THEN 500 ELSE n.status END AS status,
+           CASE WHEN n.status <> 200 THEN NULL WHEN n.c IN (1, 2, 7, 8, 9) THEN CAST(0 AS BIGINT)
+                ELSE CAST(coalesce(CASE WHEN n.c = 0 THEN d.n END, 0) AS BIGINT) END AS fact_row_count,
+           CASE WHEN n.status <> 200 THEN NULL WHEN n.c IN (1, 2, 7, 8, 9) THEN CAST(0 AS BIGINT)
+                WHEN n.c = 0 THEN CAST(2 AS BIGINT) ELSE CAST(1 AS BIGINT) END AS dim_row_count,
+           CASE WHEN n.status <> 200 THEN NULL WHEN n.c IN (1, 2, 7, 8, 9) THEN CAST(1 AS BIGINT)
+                ELSE CAST(0 AS BIGINT) END AS rejected_count
+    FROM n JOIN r ON r.request_id = n.request_id
+    LEFT JOIN daily d ON d.sym = r.sym AND d.day = r.day"""

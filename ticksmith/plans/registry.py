@@ -518,3 +518,16 @@ def noise_neighbours(spark, sf_dir):
     """Neighbour-based noise ratios per document."""
     tp, docs, facts = _text_inputs(spark, sf_dir)
     return tp.noise_neighbours(spark, docs, facts)
+
+
+@query
+def request_ingest(spark, sf_dir):
+    """A1 + A14-A36 over a request table: every request becomes a run with
+    its own fact/dim/raw directories and one manifest row (SURVEY 3.2)."""
+    from ticksmith.plans.ingest import ingest_requests
+
+    root, _, _, _ = _mock_api(spark, sf_dir)
+    out = shared_dir(spark, "request-ingest")
+    manifest = ingest_requests(spark, _requests(spark, sf_dir), out, FIXED_STAMP, FOLDER_FETCH,
+                               {"mock_root": root})
+    return manifest.select("request_id", "status", "fact_row_count", "dim_row_count", "rejected_count")
