@@ -62,3 +62,9 @@ def test_url_form_encoding(spark):
                       "symbol": "A B,C~D*"})
     assert url == "https://api.twelvedata.com/time_series?" + want
     assert "apikey" not in url
+
+
+def test_packaged_defaults(spark):
+    df = spark.createDataFrame([("1", "{}"), ("2", '{"end_date":"2026-03-15"}')], "request_id string, event string")
+    got = {r["request_id"]: (r["start_date"], r["end_date"]) for r in rq.normalise_packaged_requests(df).collect()}
+    assert got == {"1": ("2026-03-01", "2026-03-31"), "2": ("2026-03-01", "2026-03-15")}

@@ -69,3 +69,13 @@ def test_partitioned_runs_and_manifest(spark, tmp_path):
         fh.write("symbol,price_date,open,high,low,close,volume,extracted_at_utc\r\nZ,,,,,,,\r\n")
     assert files.read_table(spark, root, "fact").where(F.col("symbol") == "Z").count() == 0
     assert files.read_table(spark, root, "fact", manifest_only=False).where(F.col("symbol") == "Z").count() == 1
+
+
+def test_raw_only_run(spark, tmp_path):
+    root = str(tmp_path)
+    docs = spark.createDataFrame([("d", GOOD)], "doc_id string, body string")
+    res = ingest_documents(spark, docs, root, FIXED_STAMP, raw_only=True)
+    assert res.status == 200 and res.fact_key is None and res.raw_key
+    m = files.read_manifest(spark, root).first()
+    assert m["message"] == "Stock API Data ingested successfully"
+    assert not os.path.exists(files.run_path(root, "fact", res.extract_date, res.run_id))

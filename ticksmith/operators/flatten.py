@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ticksmith.constants import BAR_FIELDS, DIM_COLUMNS, FACT_COLUMNS, META_FIELDS
+from ticksmith.constants import BAR_FIELDS, DIM_COLUMNS, META_FIELDS
 from ticksmith.schemas import BAR_DDL, ENTRY_MAP_DDL, META_DDL
 
 # reasons a document is refused (the handler would raise before writing)
@@ -175,5 +175,3 @@ def union_runs(*frames: DataFrame) -> DataFrame:
         out = out.unionByName(f)
     return out
 
-
-FACT_OUTPUT = FACT_COLUMNS

@@ -21,7 +21,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticksmith.constants import (API_BASE_URL, BAD_BODY_ERROR, DEFAULT_END_DATE, DEFAULT_INTERVAL,
-                                 DEFAULT_START_DATE, DEFAULT_SYMBOLS)
+                                 DEFAULT_START_DATE, DEFAULT_SYMBOLS, PACKAGED_DEFAULT_START_DATE)
 from ticksmith.functions.columns import fence
 from ticksmith.functions.encoding import base64_text, form_encode, symbols_param
 
@@ -161,6 +161,14 @@ def normalise_requests(raw: DataFrame, event: str = "event", request_id: str = "
     ))
 
 
+def normalise_packaged_requests(raw: DataFrame, event: str = "event",
+                                request_id: str = "request_id") -> DataFrame:
+    """The first packaged handler's defaults (a later default start date);
+    it reads the top level only, which the routing above also does for
+    events without a body."""
+    return normalise_requests(raw, event, request_id, default_start=PACKAGED_DEFAULT_START_DATE)
+
+
 def request_url(requests: DataFrame, interval: str = DEFAULT_INTERVAL,
                 base_url: str = API_BASE_URL) -> Column:
     """A10: the handler's GET URL, without the credential (sent as a

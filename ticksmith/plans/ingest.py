@@ -22,7 +22,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ticksmith.constants import ERROR_MESSAGE, SUCCESS_MESSAGE
+from ticksmith.constants import ERROR_MESSAGE, RAW_ONLY_MESSAGE, SUCCESS_MESSAGE
 from ticksmith.functions.stamps import RunStamp
 from ticksmith.operators import flatten as fl
 from ticksmith.session import configure
@@ -46,8 +46,11 @@ class RunResult:
 def ingest_documents(spark: SparkSession, docs: DataFrame, root: str, run: RunStamp,
                      run_id: str | None = None, request: dict | None = None,
                      status: str | None = None, single_file: bool = False,
-                     write_manifest: bool = True) -> RunResult:
-    """Ingest ``docs`` (``doc_id``, ``body`` [, HTTP ``status``]) as one run."""
+                     write_manifest: bool = True, raw_only: bool = False) -> RunResult:
+    """Ingest ``docs`` (``doc_id``, ``body`` [, HTTP ``status``]) as one run.
+
+    ``raw_only`` is the first packaged handler: the raw answer is stored
+    and summarised, nothing is flattened."""
     configure(spark)
     run_id = run_id or run.run_id
     day = run.extract_date
@@ -71,7 +74,9 @@ def ingest_documents(spark: SparkSession, docs: DataFrame, root: str, run: RunSt
         if rejected:
             files.write_rejects(fl.rejected(parsed), root, day, run_id)
 
-        if accepted == 0 and rejected > 0:
+        if raw_only and not (accepted == 0 and rejected > 0):
+            result = RunResult(200, run_id, day, 0, 0, rejected, raw_key, None, None)
+        elif accepted == 0 and rejected > 0:
             # nothing usable: the handler would have raised before writing
             reasons = [r["reject_reason"] for r in
                        fl.rejected(parsed).select("reject_reason").distinct().limit(5).collect()]
@@ -90,19 +95,20 @@ def ingest_documents(spark: SparkSession, docs: DataFrame, root: str, run: RunSt
         parsed.unpersist()
 
     if write_manifest:
-        files.append_manifest(manifest_rows(spark, [result], run, request), root)
+        files.append_manifest(manifest_rows(spark, [result], run, request, raw_only=raw_only), root)
     return result
 
 
 def manifest_rows(spark: SparkSession, results: list[RunResult], run: RunStamp,
-                  request: dict | None = None) -> DataFrame:
+                  request: dict | None = None, raw_only: bool = False) -> DataFrame:
     """One manifest row per run result (driver-side: a handful of rows)."""
     request = request or {}
+    ok_message = RAW_ONLY_MESSAGE if raw_only else SUCCESS_MESSAGE
     rows = []
     for r in results:
         rows.append((
             request.get("request_id"), r.status,
-            SUCCESS_MESSAGE if r.status == 200 else ERROR_MESSAGE, r.error,
+            ok_message if r.status == 200 else ERROR_MESSAGE, r.error,
             r.raw_key, r.fact_key, r.dim_key,
             request.get("symbols"), request.get("start_date"), request.get("end_date"),
             r.fact_row_count, r.dim_row_count, r.rejected_count,

@@ -173,10 +173,10 @@ def _requests(spark, sf_dir) -> DataFrame:
 @query
 def request_scan(spark, sf_dir):
     """A3: request events landed as JSON lines, read back as a table."""
-    landing = shared_dir(spark, "requests")
-    request_events(table(spark, sf_dir, "events")).write.mode("overwrite").json(landing)
-    raw = spark.read.schema("request_id string, event string").json(landing)
-    return rq.normalise_requests(raw).select("request_id", "route", "status")
+    from ticksmith.sources.landing import read_requests, write_requests
+
+    landing = write_requests(request_events(table(spark, sf_dir, "events")), shared_dir(spark, "requests"))
+    return rq.normalise_requests(read_requests(spark, landing)).select("request_id", "route", "status")
 
 
 @query

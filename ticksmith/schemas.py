@@ -11,43 +11,28 @@ DIM_SCHEMA = T.StructType([T.StructField(c, _S, True) for c in DIM_COLUMNS])
 
 # cast targets for the variant payload; numbers/booleans become text, a
 # nested object becomes its JSON text, a non-object becomes NULL
-BAR_STRUCT = T.StructType([T.StructField(c, _S, True) for c in BAR_FIELDS])
-BAR_ARRAY = T.ArrayType(BAR_STRUCT, True)
-META_STRUCT = T.StructType([T.StructField(c, _S, True) for c in META_FIELDS])
-# a response document: object keyed by symbol, each value an object
-ENTRY_MAP = T.MapType(_S, T.MapType(_S, T.VariantType(), True), True)
-
 BAR_DDL = "array<struct<" + ", ".join(f"`{c}`: string" for c in BAR_FIELDS) + ">>"
 META_DDL = "struct<" + ", ".join(f"`{c}`: string" for c in META_FIELDS) + ">"
+# a response document: object keyed by symbol, each value an object
 ENTRY_MAP_DDL = "map<string, map<string, variant>>"
 
+# one row per run (our request_id, rejected_count, extract_date, run_id and
+# extracted_at_utc come in addition to the handler's summary fields)
 MANIFEST_SCHEMA = T.StructType([
-    T.StructField("request_id", _S, True),
-    T.StructField("status", T.IntegerType(), False),
-    T.StructField("message", _S, True),
-    T.StructField("error", _S, True),
-    T.StructField("raw_key", _S, True),
-    T.StructField("fact_key", _S, True),
-    T.StructField("dim_key", _S, True),
-    T.StructField("symbols", T.ArrayType(_S), True),
-    T.StructField("start_date", _S, True),
-    T.StructField("end_date", _S, True),
-    T.StructField("fact_row_count", T.LongType(), True),
-    T.StructField("dim_row_count", T.LongType(), True),
-    T.StructField("extract_date", _S, True),
-    T.StructField("run_id", _S, True),
-])
-
-REQUEST_SCHEMA = T.StructType([
-    T.StructField("request_id", _S, True),
-    T.StructField("symbols", T.ArrayType(_S), True),
-    T.StructField("start_date", _S, True),
-    T.StructField("end_date", _S, True),
-    T.StructField("status", T.IntegerType(), False),
-    T.StructField("error", _S, True),
-])
-
-DOCUMENT_SCHEMA = T.StructType([
-    T.StructField("doc_id", _S, False),
-    T.StructField("body", _S, True),
+    T.StructField("request_id", _S),
+    T.StructField("status", T.IntegerType()),
+    T.StructField("message", _S),
+    T.StructField("error", _S),
+    T.StructField("raw_key", _S),
+    T.StructField("fact_key", _S),
+    T.StructField("dim_key", _S),
+    T.StructField("symbols", T.ArrayType(_S)),
+    T.StructField("start_date", _S),
+    T.StructField("end_date", _S),
+    T.StructField("fact_row_count", T.LongType()),
+    T.StructField("dim_row_count", T.LongType()),
+    T.StructField("rejected_count", T.LongType()),
+    T.StructField("extract_date", _S),
+    T.StructField("run_id", _S),
+    T.StructField("extracted_at_utc", _S),
 ])

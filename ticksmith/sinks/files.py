@@ -18,10 +18,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from ticksmith.constants import DIM_TABLE, FACT_TABLE, RAW_PREFIX, RAW_TABLE
-from ticksmith.schemas import DIM_SCHEMA, FACT_SCHEMA
+from ticksmith.schemas import DIM_SCHEMA, FACT_SCHEMA, MANIFEST_SCHEMA
 
 # Python's csv default dialect: comma, CRLF, minimal quoting, doubled
 # quotes, None written as an empty field.
@@ -111,21 +110,4 @@ def write_rejects(rejects: DataFrame, root: str, extract_date: str, run_id: str)
     return path
 
 
-MANIFEST_COLUMNS = T.StructType([
-    T.StructField("request_id", T.StringType()),
-    T.StructField("status", T.IntegerType()),
-    T.StructField("message", T.StringType()),
-    T.StructField("error", T.StringType()),
-    T.StructField("raw_key", T.StringType()),
-    T.StructField("fact_key", T.StringType()),
-    T.StructField("dim_key", T.StringType()),
-    T.StructField("symbols", T.ArrayType(T.StringType())),
-    T.StructField("start_date", T.StringType()),
-    T.StructField("end_date", T.StringType()),
-    T.StructField("fact_row_count", T.LongType()),
-    T.StructField("dim_row_count", T.LongType()),
-    T.StructField("rejected_count", T.LongType()),
-    T.StructField("extract_date", T.StringType()),
-    T.StructField("run_id", T.StringType()),
-    T.StructField("extracted_at_utc", T.StringType()),
-])
+MANIFEST_COLUMNS = MANIFEST_SCHEMA

@@ -24,8 +24,13 @@ def read_documents(spark: SparkSession, path: str) -> DataFrame:
     return raw.select(F.col("_metadata.file_path").alias("doc_id"), F.col("value").alias("body"))
 
 
+def write_requests(requests: DataFrame, path: str) -> str:
+    """Land ``(request_id, event)`` as JSON lines; the event stays text."""
+    requests.select("request_id", "event").write.mode("overwrite").json(path)
+    return path
+
+
 def read_requests(spark: SparkSession, path: str) -> DataFrame:
-    """A3: request events, one JSON object per line, kept as text so each
-    row is parsed (and judged) on its own."""
-    raw = spark.read.text(path)
-    return raw.select(F.col("_metadata.file_path").alias("source_file"), F.col("value").alias("event"))
+    """A3: request events, one JSON line each, with a fixed schema; the
+    event is kept as text so each row is parsed (and judged) on its own."""
+    return spark.read.schema("request_id string, event string").json(path)
