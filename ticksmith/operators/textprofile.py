@@ -206,11 +206,19 @@ def char_table(spark: SparkSession, texts: DataFrame, text: str = "text") -> Dat
     """Facts for every distinct character of ``texts`` (and its lower-case
     form): distinct per row in place, one small shuffle to dedupe, the block
     by a broadcast range join, then Python on the distinct set only."""
+    both = F.concat(F.col(text), F.lower(F.col(text)))
+    distinct = texts.select(F.explode(F.array_distinct(F.split(both, "", -1))).alias("ch"))
+    return char_table_of(spark, distinct)
+
+
+def char_table_of(spark: SparkSession, chars: DataFrame, ch: str = "ch") -> DataFrame:
+    """Facts for the distinct single characters of column ``ch`` (their
+    lower-case forms included)."""
     from ticksmith.session import ship_package
 
     ship_package(spark)
-    both = F.concat(F.col(text), F.lower(F.col(text)))
-    distinct = texts.select(F.explode(F.array_distinct(F.split(both, "", -1))).alias("ch")) \
+    c = F.col(ch)
+    distinct = chars.select(F.explode(F.array_distinct(F.array(c, F.lower(c)))).alias("ch")) \
         .where(F.length("ch") == 1).distinct()
     with_block = block_of_code_points(spark, distinct.select("ch", F.ascii("ch").alias("cp")))
     return with_block.select("ch", "block").mapInPandas(_facts_batches, CHAR_DDL)
@@ -704,9 +712,10 @@ def materialise_table(df: DataFrame) -> DataFrame:
 class CorpusProfile:
     """The small intermediate tables of R3-R8 computed once per corpus.
 
-    ``facts`` (one row per distinct character), ``ranks`` (letters per
-    chunk and layer) and ``profiles`` (languages x profile size) are each
-    reused by several later joins; they are written with ``checkpoint()``
+    ``hist`` (distinct characters per chunk), ``facts`` (one row per
+    distinct character), ``ranks`` (letters per chunk and layer) and
+    ``profiles`` (languages x profile size) are each reused by several
+    later joins; they are written with ``checkpoint()``
     to the shared checkpoint folder, which cuts their lineage (a lost
     executor re-reads them instead of recomputing the corpus) and keeps the
     downstream plans short.  The exploded text itself is never kept.
@@ -718,8 +727,9 @@ class CorpusProfile:
         checkpoint_root(spark)
         keep = materialise_table if materialise else (lambda df: df)
         self.spark, self.docs = spark, docs
-        self.facts = keep(char_table(spark, docs))
-        self.hist = chunk_histogram(chunk_texts(docs))
+        self.hist = keep(chunk_histogram(chunk_texts(docs)))
+        # the characters come from the histogram: no second pass over the text
+        self.facts = keep(char_table_of(spark, self.hist.select("ch")))
         self.ranks = keep(letter_ranks(spark, docs, self.facts, self.hist))
         self.profiles = keep(learn_profiles(spark, docs, self.facts, hist=self.hist))
 

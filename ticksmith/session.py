@@ -41,13 +41,15 @@ def checkpoint_root(spark: SparkSession) -> str:
     Read from the session; only when it is unset (local tests) do we make
     one, and register it so ``DataFrame.checkpoint`` uses the same place.
     """
+    sc = spark.sparkContext
+    current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
     root = spark.conf.get("spark.checkpoint.dir", None)
     if not root:
-        sc = spark.sparkContext
-        current = sc.getCheckpointDir() if hasattr(sc, "getCheckpointDir") else None
         if current:
             return current
         root = tempfile.mkdtemp(prefix="ticksmith-ckpt-")
+    if not current:
+        # named only as a session setting: register it so checkpoint() works
         sc.setCheckpointDir(root)
     return root
 
