@@ -83,9 +83,9 @@ def ship_package(spark: SparkSession) -> None:
     """Make ``ticksmith`` importable in the executors' Python workers.
 
     On a cluster the package is normally shipped with ``--py-files``
-    (then set ``spark.ticksmith.shipped=true``); otherwise zip it on the
-    driver and let ``addPyFile`` serve it to every executor, once per
-    SparkContext.  The zip is code, not data.
+    (then set ``spark.ticksmith.shipped=true``).  Otherwise the package is
+    zipped in memory, written into the shared checkpoint folder and added
+    with ``addPyFile``, once per SparkContext.
     """
     sc = spark.sparkContext
     if getattr(sc, "_ticksmith_shipped", False):
@@ -93,10 +93,29 @@ def ship_package(spark: SparkSession) -> None:
     if spark.conf.get("spark.ticksmith.shipped", "false") == "true":
         sc._ticksmith_shipped = True
         return
-    import shutil
+    import hashlib
+    import io
+    import zipfile
 
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
-    archive = shutil.make_archive(os.path.join(tempfile.mkdtemp(prefix="ticksmith-py-"), "ticksmith"), "zip",
-                                  root_dir=os.path.dirname(pkg_dir), base_dir="ticksmith")
-    sc.addPyFile(archive)
+    buf = io.BytesIO()
+    with zipfile.ZipFile(buf, "w", zipfile.ZIP_DEFLATED) as zf:
+        for folder, _dirs, names in sorted(os.walk(pkg_dir)):
+            for name in sorted(names):
+                if name.endswith(".py"):
+                    full = os.path.join(folder, name)
+                    zf.write(full, os.path.relpath(full, os.path.dirname(pkg_dir)))
+    data = buf.getvalue()
+    digest = hashlib.sha1(data).hexdigest()[:16]
+    target = f"{checkpoint_root(spark).rstrip('/')}/ticksmith/pyfiles/{digest}/ticksmith.zip"
+    jvm = sc._jvm
+    path = jvm.org.apache.hadoop.fs.Path(target)
+    fs = path.getFileSystem(sc._jsc.hadoopConfiguration())
+    if not fs.exists(path):
+        out = fs.create(path, True)
+        try:
+            out.write(bytearray(data))
+        finally:
+            out.close()
+    sc.addPyFile(target)
     sc._ticksmith_shipped = True
