@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ticksmith.constants import BAR_FIELDS, DIM_COLUMNS, META_FIELDS
+from ticksmith.functions.columns import fence
 from ticksmith.schemas import BAR_DDL, ENTRY_MAP_DDL, META_DDL
 
 # reasons a document is refused (the handler would raise before writing)
@@ -72,7 +73,9 @@ def parse_documents(docs: DataFrame, body: str = "body", mode: str = HANDLER,
         reason = reason.when(
             any_entry(lambda t: ~t["has_meta"] & (F.coalesce(F.size(t["bars"]), F.lit(0)) > 0)),
             F.lit(REJECT_MISSING_META))
-    return parsed.withColumn("reject_reason", reason).drop("_doc")
+    # fence: ``typed`` and ``reject_reason`` are each read several times
+    # downstream; computed once here instead of being inlined per use
+    return fence(parsed.withColumn("reject_reason", reason).drop("_doc"))
 
 
 def rows_where(parsed: DataFrame, cond: Column, keep: tuple[str, ...], *cols: Column) -> DataFrame:

@@ -306,18 +306,27 @@ def error_manifest(spark, sf_dir):
 FOLDER_FETCH = "ticksmith.sources.fetchers:folder_fetch"
 
 
+_MOCK_APIS: dict[tuple[int, str], tuple] = {}
+
+
 def _mock_api(spark, sf_dir):
-    """The stand-in API's files, written by Spark from ``events``; the
-    symbol list and date range come from the same table (a one-row
-    aggregate: a handful of symbols and two dates reach the driver)."""
+    """The stand-in API's files, written by Spark from ``events`` once per
+    session and source folder (it plays an external service that exists
+    independently of the queries); the symbol list and date range come from
+    the same table (a one-row aggregate: a handful of symbols and two dates
+    reach the driver)."""
     from ticksmith.plans.fixtures import write_mock_api
 
+    key = (id(spark.sparkContext), sf_dir)
+    if key in _MOCK_APIS:
+        return _MOCK_APIS[key]
     ev = table(spark, sf_dir, "events")
     root = write_mock_api(ev, shared_dir(spark, "mockapi"))
     b = ev.agg(F.array_sort(F.collect_set("event_type")).alias("s"),
                F.date_format(F.min("ts"), "yyyy-MM-dd").alias("d0"),
                F.date_format(F.max("ts"), "yyyy-MM-dd").alias("d1")).first()
-    return root, list(b["s"]), b["d0"], b["d1"]
+    _MOCK_APIS[key] = (root, list(b["s"]), b["d0"], b["d1"])
+    return _MOCK_APIS[key]
 
 
 def _api_read(spark, sf_dir, output="bars", extra_symbols=(), **opts):
