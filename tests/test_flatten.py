@@ -102,3 +102,17 @@ def test_fact_path_is_narrow(spark, tmp_path):
     assert "Exchange" not in plan
     assert "PythonUDF" not in plan and "ArrowEvalPython" not in plan and "BatchEvalPython" not in plan
     assert plan.count("parseJson") == 1
+
+
+def test_exploration_flow(spark, docs_df):
+    from ticksmith.functions.stamps import FIXED_STAMP
+    from ticksmith.plans.explore import explore_documents
+
+    docs = docs_df([("d", GOOD), ("m", '{"A":{"values":[{"open":"1"}]}}')])
+    ex = explore_documents(docs, FIXED_STAMP)
+    assert ex.fact.count() == 4 and ex.dim.count() == 2
+    assert [r["doc_id"] for r in ex.rejected.collect()] == ["m"]
+    head = ex.fact_head(3)
+    assert head.columns[1] == "datetime" and head.count() == 3
+    assert ex.dim_head().columns == ["symbol", "interval", "currency", "exchange", "mic_code", "type",
+                                     "extracted_at_utc"]
