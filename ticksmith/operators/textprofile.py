@@ -317,7 +317,8 @@ def letter_ranks(spark: SparkSession, docs: DataFrame, facts: DataFrame | None =
     """
     facts = facts if facts is not None else char_table(spark, docs)
     hist = hist if hist is not None else chunk_histogram(chunk_texts(docs))
-    letters = hist.drop("lang").join(_small(facts), "ch").where("is_alpha") \
+    # letters outside every known block are skipped, as by the detector
+    letters = hist.drop("lang").join(_small(facts), "ch").where("is_alpha AND block IS NOT NULL") \
         .select("doc_id", "chunk", "ch", "n", "first_pos", "block", "lower_ch")
     # blocks in order of first appearance per chunk (a handful per chunk)
     blocks = letters.groupBy("doc_id", "chunk", "block").agg(F.min("first_pos").alias("bpos"))
