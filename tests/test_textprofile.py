@@ -34,11 +34,16 @@ PAIRS = [("Basic Latin", "Latin 1 Supplement"), ("Basic Latin", "Cyrillic"), ("H
          ("CJK Symbols And Punctuation", "Arabic")]
 
 
-def test_suspicious_rule_both_forms(spark):
+EXPECTED = [False, True, False, False, False, False, True, True, False, False]
+
+
+def test_suspicious_rule(spark):
     df = spark.createDataFrame(PAIRS, "a string, b string")
     got = [r[0] for r in df.select(tp.suspicious_pair(F.col("a"), F.col("b"))).collect()]
-    assert got == [tp.suspicious_pair_py(a, b) for a, b in PAIRS]
-    assert got[:3] == [False, True, False]
+    assert got == EXPECTED
+    flagged = tp.suspicious_block_pairs(spark, ["Basic Latin", "Cyrillic", None])
+    assert ("Basic Latin", "Cyrillic") in flagged and ("Basic Latin", "Basic Latin") not in flagged
+    assert (None, "Basic Latin") in flagged
 
 
 @pytest.fixture(scope="module")

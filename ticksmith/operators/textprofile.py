@@ -563,37 +563,14 @@ def _cls(chars) -> str | None:
     return "[" + "".join(f"\\x{{{ord(c):X}}}" for c in chars) + "]"
 
 
-def suspicious_pair_py(a: str | None, b: str | None) -> bool:
-    """Python form of ``suspicious_pair`` for the (few) block names present,
-    evaluated once on the driver to build the block-jump pattern."""
-    if a is None or b is None:
-        return True
-    if a == b:
-        return False
-    if "Latin" in a and "Latin" in b:
-        return False
-    if "Emoticons" in a or "Emoticons" in b:
-        return False
-    if ("Latin" in a or "Latin" in b) and ("Combining" in a or "Combining" in b):
-        return False
-    wb = b.split(" ")
-    for w in a.split(" "):
-        if w not in SECONDARY_RANGE_KEYWORDS and w in wb:
-            return False
-    jp = ("Hiragana", "Katakana")
-    a_jp, b_jp = a in jp, b in jp
-    cjk = "CJK" in a or "CJK" in b
-    basic = a == "Basic Latin" or b == "Basic Latin"
-    if (a_jp or b_jp) and cjk:
-        return False
-    if a_jp and b_jp:
-        return False
-    if ("Hangul" in a or "Hangul" in b) and (cjk or basic):
-        return False
-    if cjk or (a_jp and b_jp):
-        if "Punctuation" in a or "Punctuation" in b or "Forms" in a or "Forms" in b or basic:
-            return False
-    return True
+def suspicious_block_pairs(spark: SparkSession, names: list[str | None]) -> set[tuple[str | None, str | None]]:
+    """The ordered pairs of the given block names (the few blocks present in
+    the corpus) that ``suspicious_pair`` flags, evaluated by Spark."""
+    pairs = [(a, b) for a in names for b in names]
+    if not pairs:
+        return set()
+    df = spark.createDataFrame(pairs, "a string, b string")
+    return {(r.a, r.b) for r in df.where(suspicious_pair(F.col("a"), F.col("b"))).collect()}
 
 
 def _fact_rows(facts: DataFrame) -> list | None:
@@ -667,8 +644,9 @@ def noise_neighbours(spark: SparkSession, docs: DataFrame, facts: DataFrame | No
     for r in rows:
         if r.is_printable and not (r.is_space or r.punct or r.safe_ascii):
             by_block.setdefault(r.block, []).append(r.ch)
+    flagged = suspicious_block_pairs(spark, list(by_block))
     alts = [f"{_cls(ca)}(?={_cls(cb)})" for a, ca in by_block.items() for b, cb in by_block.items()
-            if suspicious_pair_py(a, b)]
+            if (a, b) in flagged]
     jumps = _count(printable_text, "(?:" + "|".join(alts) + ")" if alts else None)
 
     # accent pairs along the Latin letters
