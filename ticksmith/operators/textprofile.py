@@ -38,6 +38,8 @@ from bisect import bisect_right
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ticksmith.functions.columns import fence
+
 # --- fixed values ---------------------------------------------------------------
 ACCENT_KEYWORDS = ("WITH GRAVE", "WITH ACUTE", "WITH CEDILLA", "WITH DIAERESIS", "WITH CIRCUMFLEX",
                    "WITH TILDE", "WITH MACRON", "WITH RING ABOVE")
@@ -411,13 +413,21 @@ def lang_coherence(ranks: DataFrame, profiles: DataFrame, candidates: DataFrame)
     grouped = common.groupBy("doc_id", "chunk", "layer", "language", "profile_size", "layer_letters").agg(
         F.collect_list(F.struct("rank", "lang_rank")).alias("cs"))
 
-    def approved(c, cs, size, letters):
+    grouped = grouped.withColumn("lrs", F.array_sort(F.transform("cs", lambda x: x["lang_rank"]))) \
+        .withColumn("rs", F.array_sort(F.transform("cs", lambda x: x["rank"])))
+
+    def approved(c, cs, size, letters, k, lrs, rs):
         r, lr = c["rank"], c["lang_rank"]
         proj = F.floor(r * F.try_divide(size, letters)).cast("int")
         gap = F.abs(proj - lr)
         large = size > 26
+        # before: common letters ranked earlier in both orderings (one scan);
+        # after follows from it and the two sorted positions:
+        #   #(lr >= lr_c) - (#(r < r_c) - before)
         before = F.size(F.filter(cs, lambda o: (o["lang_rank"] < lr) & (o["rank"] < r)))
-        after = F.size(F.filter(cs, lambda o: (o["lang_rank"] >= lr) & (o["rank"] >= r)))
+        at_or_after_lr = k - (F.array_position(lrs, lr) - 1)
+        earlier_r = F.array_position(rs, r) - 1
+        after = at_or_after_lr - (earlier_r - before)
         after_len = size - lr
         return (
             F.when(~large & (gap > 4), F.lit(False))
@@ -430,9 +440,11 @@ def lang_coherence(ranks: DataFrame, profiles: DataFrame, candidates: DataFrame)
         )
 
     cs, size, letters = F.col("cs"), F.col("profile_size"), F.col("layer_letters")
-    n_ok = F.size(F.filter(cs, lambda c: approved(c, cs, size, letters)))
+    k, lrs, rs = F.size("cs"), F.col("lrs"), F.col("rs")
+    n_ok = F.size(F.filter(cs, lambda c: approved(c, cs, size, letters, k, lrs, rs)))
     ratio = round4(n_ok, letters)
-    out = grouped.select("doc_id", "chunk", "layer", "language", ratio.alias("ratio"))
+    # fenced so the threshold filter does not re-evaluate the ratio
+    out = fence(grouped.select("doc_id", "chunk", "layer", "language", ratio.alias("ratio")))
     return out.where(F.col("ratio") >= COHERENCE_THRESHOLD)
 
 
