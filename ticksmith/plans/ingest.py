@@ -258,3 +258,25 @@ def ingest_requests(spark: SparkSession, requests: DataFrame, root: str, run: Ru
     finally:
         parsed.unpersist()
     return files.read_manifest(spark, root).where(F.col("run_id").startswith(run.run_id + "-"))
+
+
+def ingest_api(spark: SparkSession, root: str, run: RunStamp, symbols: list[str], start_date: str,
+               end_date: str, fetcher: str = "ticksmith.sources.fetchers:http_fetch",
+               symbols_per_call: int = 8, days_per_call: int = 0, single_file: bool = False,
+               **fetch_options: str) -> RunResult:
+    """The direct handler: API answers for one request, as one
+    run.  Calls run on the executors (one input partition each); refused
+    answers (HTTP errors, broken documents) go to ``rejects/``."""
+    from ticksmith.sources.api import register
+
+    register(spark)
+    reader = (spark.read.format("timeseries_api").option("output", "documents")
+              .option("symbols", ",".join(symbols)).option("start_date", start_date)
+              .option("end_date", end_date).option("fetcher", fetcher)
+              .option("symbols_per_call", str(symbols_per_call)).option("days_per_call", str(days_per_call)))
+    for k, v in fetch_options.items():
+        reader = reader.option(k, v)
+    docs = reader.load().select(F.col("call_id").alias("doc_id"), "body", "http_status")
+    request = {"symbols": symbols, "start_date": start_date, "end_date": end_date}
+    return ingest_documents(spark, docs, root, run, request=request, status="http_status",
+                            single_file=single_file)

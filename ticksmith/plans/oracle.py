@@ -512,3 +512,5 @@ ORACLE["request_ingest"] = _requests_cte() + """,
                 ELSE CAST(0 AS BIGINT) END AS rejected_count
     FROM n JOIN r ON r.request_id = n.request_id
     LEFT JOIN daily d ON d.sym = r.sym AND d.day = r.day"""
+
+ORACLE["handler_run"] = ORACLE["fact_rows"]

@@ -540,3 +540,17 @@ def request_ingest(spark, sf_dir):
     manifest = ingest_requests(spark, _requests(spark, sf_dir), out, FIXED_STAMP, FOLDER_FETCH,
                                {"mock_root": root})
     return manifest.select("request_id", "status", "fact_row_count", "dim_row_count", "rejected_count")
+
+
+@query
+def handler_run(spark, sf_dir):
+    """SURVEY 3.1 end to end: API calls -> one run (raw, fact, dim, manifest);
+    the fact table read back through the manifest."""
+    from ticksmith.plans.ingest import ingest_api
+    from ticksmith.sinks import files
+
+    api_root, symbols, d0, d1 = _mock_api(spark, sf_dir)
+    out = shared_dir(spark, "handler")
+    ingest_api(spark, out, FIXED_STAMP, [*symbols, "UNKNOWN"], d0, d1, fetcher=FOLDER_FETCH,
+               symbols_per_call=1, days_per_call=7, mock_root=api_root)
+    return files.read_table(spark, out, "fact").drop("extract_date", "run_id")
