@@ -190,13 +190,25 @@ class TimeSeriesApiReader(DataSourceReader):
             if self.on_error == "skip":
                 return
             raise ValueError(f"API call {partition.call_id} refused: {reason}")
+        # one Arrow batch per call: columns are built once, no per-row objects cross into Spark
+        import pyarrow as pa
+
+        cols: list[list] = [[] for _ in range(1 + len(BAR_KEYS))]  # symbol, price_date, 5 values
         for symbol, entry in doc.items():
             for bar in entry.get("values", []):
                 price_date = _text(bar.get("datetime"))
                 if self.row_filters and not self._keep(symbol, price_date):
                     continue
-                yield (partition.call_id, int(status), symbol, price_date,
-                       *[_text(bar.get(k)) for k in BAR_KEYS[1:]])
+                cols[0].append(symbol)
+                cols[1].append(price_date)
+                for i, k in enumerate(BAR_KEYS[1:]):
+                    cols[2 + i].append(_text(bar.get(k)))
+        n = len(cols[0])
+        if n:
+            names = ["call_id", "http_status", "symbol", "price_date", *BAR_KEYS[1:]]
+            arrays = [pa.array([partition.call_id] * n, pa.string()), pa.array([int(status)] * n, pa.int32())]
+            arrays += [pa.array(c, pa.string()) for c in cols]
+            yield pa.RecordBatch.from_arrays(arrays, names=names)
 
 
 class TimeSeriesApiSource(DataSource):
