@@ -1,7 +1,6 @@
 """Golden documents (FIXTURES.md section 2): handler and exploration semantics."""
 
 import pytest
-from pyspark.sql import functions as F
 
 from ticksmith.operators import flatten as fl
 

@@ -1,6 +1,5 @@
 """Every registered query against its DuckDB oracle on the smallest tables."""
 
-import os
 from collections import Counter
 
 import duckdb

@@ -33,7 +33,6 @@ Texts are processed whole; the detector's early stop is not reproduced.
 from __future__ import annotations
 
 import unicodedata
-from bisect import bisect_right
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F

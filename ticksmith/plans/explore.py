@@ -12,7 +12,6 @@ from __future__ import annotations
 from dataclasses import dataclass
 
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from ticksmith.functions.stamps import RunStamp
 from ticksmith.operators import flatten as fl
