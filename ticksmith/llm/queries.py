@@ -5,9 +5,13 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ticksmith.llm.common import table
 
+#: tokens above which a text counts as over the limit
+TOKEN_LIMIT = 512
+
 
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ticksmith.llm.minhash import near_duplicates
@@ -15,8 +19,31 @@ def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op7_katz_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ticksmith.llm.katz import katz
+
+    return katz(table(spark, sf_dir, "documents"))
+
+
+def op8_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ticksmith.llm.packing import pack
+    from ticksmith.llm.tokens import tokenizer_path
+
+    return pack(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+def op10_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ticksmith.llm.tokens import prefix_counts, tokenizer_path
+
+    counts = prefix_counts(table(spark, sf_dir, "documents"), tokenizer_path(), budget=TOKEN_LIMIT)
+    return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"), "fit_chars")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
+    "op7_katz_scoring": op7_katz_scoring,
+    "op8_mixture_packing": op8_mixture_packing,
+    "op10_prefix_token_counts": op10_prefix_token_counts,
 }
 
 ORACLE: dict[str, str] = {}
