@@ -11,9 +11,9 @@ that agree on a band share a bucket.
 * Each bucket proposes a star: its smallest class against the others.
   Candidates are confirmed on the full sets (100 * common >= 75 * union).
 * Where a bucket still spans several components, a second star around a
-  centre drawn per bucket is confirmed, and then every pair of the bucket
-  whose ends are still apart.  Nothing is capped: a link that shares a bucket
-  is either confirmed or already implied by its component.
+  centre drawn per bucket is confirmed, and then all members still apart are
+  compared block against block inside tasks.  Nothing is capped: a link that
+  shares a bucket is either confirmed or already implied by its component.
 
 With 32 bands of 4 rows a pair at similarity 0.75 misses all buckets with
 probability 0.684 ** 32, about 5e-6.
@@ -33,12 +33,15 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticksmith.llm.common import ODD, U64, components, hashed_words, map_batches, mix64, prepare, raw_texts, shingle_hashes, stored, word_hashes
+from ticksmith.llm.common import ODD, U64, arrow_schema, components, hashed_words, map_batches, mix64, prepare, raw_texts, shingle_hashes, stored, word_hashes
 
 SHINGLE = 5
 BINS = 128
 ROWS = 4
 BANDS = BINS // ROWS
+#: members of a bucket that are compared with each other in one task, and shingles per product
+BLOCK = 256
+COLUMNS = 8192
 SHIFT = U64(64 - 7)  # the top 7 bits name one of 128 bins
 
 
@@ -136,6 +139,68 @@ def confirm(edges: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return map_batches(pairs, make, "a binary, b binary")
 
 
+def common_counts(left: list[np.ndarray], right: list[np.ndarray]) -> np.ndarray:
+    """Sizes of all intersections of two lists of sets, as blocked products over the shingles that both sides hold."""
+    sides = [np.concatenate(x) for x in (left, right)]
+    held = np.intersect1d(*sides)
+    rows = [np.repeat(np.arange(len(x)), [len(s) for s in x]) for x in (left, right)]
+    places = [np.searchsorted(held, s) for s in sides]
+    inside = [(p < len(held)) & (held[np.minimum(p, len(held) - 1)] == s) if len(held) else np.zeros(len(s), bool) for p, s in zip(places, sides)]
+    counts = np.zeros((len(left), len(right)), np.float32)
+    for start in range(0, len(held), COLUMNS):
+        part = []
+        for k, x in enumerate((left, right)):
+            use = inside[k] & (places[k] >= start) & (places[k] < start + COLUMNS)
+            m = np.zeros((len(x), min(COLUMNS, len(held) - start)), np.float32)
+            m[rows[k][use], places[k][use] - start] = 1
+            part.append(m)
+        counts += part[0] @ part[1].T
+    return counts
+
+
+def links_within(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Links between members of one bucket whose components differ.
+
+    Every pair is compared on the full sets, block against block inside a
+    task; a bucket of any size is cut into blocks of ``BLOCK``, and only links
+    that join two components leave the task.  Buckets with the same members
+    are compared once.
+    """
+    same = members.groupBy("bucket").agg(F.sum(F.xxhash64("node").cast("decimal(38,0)")).alias("mark"), F.count("*").alias("size"))
+    once = same.groupBy("mark", "size").agg(F.min("bucket").alias("bucket"))
+    blocks = members.join(once.select("bucket", "size"), "bucket").withColumn("blocks", F.ceil(F.col("size") / BLOCK).cast("int"))
+    blocks = blocks.withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    blocks = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+    tasks = blocks.select("bucket", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "node", "comp").join(sets, "node")
+    target = arrow_schema(members.sparkSession, "a binary, b binary")
+
+    def compare(group: pa.Table) -> pa.Table:
+        i, j = group.column("i")[0].as_py(), group.column("j")[0].as_py()
+        rows = sorted(zip(*(group.column(c).to_pylist() for c in ("own", "node", "comp", "shingles"))))
+        side = [[(n, c, np.frombuffer(s, U64)) for o, n, c, s in rows if o == k] for k in (i, j)]
+        if not all(side) or len({c for x in side for _, c, _ in x}) < 2:
+            return target.empty_table()
+        sizes = [np.array([len(s) for *_, s in x]) for x in side]
+        common = common_counts(*[[s for *_, s in x] for x in side])
+        linked = 100 * common >= percent * (sizes[0][:, None] + sizes[1][None, :] - common)
+        found = []
+        group_of: dict[bytes, bytes] = {}
+
+        def root(c):
+            while group_of.get(c, c) != c:
+                c = group_of[c]
+            return c
+
+        for x, y in zip(*np.nonzero(linked)):
+            (a, ca, _), (b, cb, _) = side[0][x], side[1][y]
+            if (ra := root(ca)) != (rb := root(cb)):
+                group_of[max(ra, rb)] = min(ra, rb)
+                found.append((a, b))
+        return pa.table([[a for a, _ in found], [b for _, b in found]], schema=target)
+
+    return tasks.groupBy("bucket", "i", "j").applyInArrow(compare, "a binary, b binary")
+
+
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     """One row per document: doc_id, n_shingles, component_id, kept."""
     spark = prepare(docs.sparkSession)
@@ -167,12 +232,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
         again = again.select(F.least("node", "d.node").alias("a"), F.greatest("node", "d.node").alias("b")).distinct()
         links = links.unionByName(confirm(again, sets, percent)).checkpoint()
         labels = components(links, "a", "b")
-        # what is still apart is compared in full; by now these are few
-        rest = apart(more.drop("comp"), labels).checkpoint()
-        x, y = rest.alias("x"), rest.alias("y")
-        pairs = x.join(y, (F.col("x.bucket") == F.col("y.bucket")) & (F.col("x.node") < F.col("y.node")) & (F.col("x.comp") != F.col("y.comp")) & (F.col("x.node") != F.col("x.c.node")) & fits("x.n", "y.n"))
-        pairs = pairs.select(F.col("x.node").alias("a"), F.col("y.node").alias("b")).distinct()
-        last = confirm(pairs, sets, percent).checkpoint()
+        rest = apart(more.drop("comp"), labels).select("bucket", "node", "comp").checkpoint()
+        last = links_within(rest, sets, percent).checkpoint()
         if not last.isEmpty():
             labels = components(links.unionByName(last), "a", "b")
 
