@@ -25,12 +25,24 @@ def op3_crf_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")).select("doc_id", "held_out", "score", "predicted")
 
 
+def op4_string_tiling_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ticksmith.llm.decontaminate import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op5_kmeans_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ticksmith.llm.embeddings import near_vectors
 
     return near_vectors(table(spark, sf_dir, "embeddings"))
 
 
+def op6_chunked_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ticksmith.llm.substrings import repeated_passages
+
+    return repeated_passages(table(spark, sf_dir, "documents"))
+
+
 def op7_katz_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ticksmith.llm.katz import katz
 
@@ -54,7 +66,9 @@ def op10_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_crf_toxicity": op3_crf_toxicity,
+    "op4_string_tiling_decontamination": op4_string_tiling_decontamination,
     "op5_kmeans_embedding_dedup": op5_kmeans_embedding_dedup,
+    "op6_chunked_substring_dedup": op6_chunked_substring_dedup,
     "op7_katz_scoring": op7_katz_scoring,
     "op8_mixture_packing": op8_mixture_packing,
     "op10_prefix_token_counts": op10_prefix_token_counts,
