@@ -13,6 +13,12 @@ from ticksmith.llm.common import table
 TOKEN_LIMIT = 512
 
 
+def op1_site_style_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ticksmith.llm.pages import main_text
+
+    return main_text(table(spark, sf_dir, "pages"))
+
+
 def op2_minhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ticksmith.llm.minhash import near_duplicates
 
@@ -64,6 +70,7 @@ def op10_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_site_style_tree": op1_site_style_tree,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
     "op3_crf_toxicity": op3_crf_toxicity,
     "op4_string_tiling_decontamination": op4_string_tiling_decontamination,
