@@ -62,6 +62,12 @@ def op8_mixture_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents"), tokenizer_path())
 
 
+def op9_line_template_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ticksmith.llm.templates import document_lines
+
+    return document_lines(table(spark, sf_dir, "documents"))
+
+
 def op10_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ticksmith.llm.tokens import prefix_counts, tokenizer_path
 
@@ -78,6 +84,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op6_chunked_substring_dedup": op6_chunked_substring_dedup,
     "op7_katz_scoring": op7_katz_scoring,
     "op8_mixture_packing": op8_mixture_packing,
+    "op9_line_template_dedup": op9_line_template_dedup,
     "op10_prefix_token_counts": op10_prefix_token_counts,
 }
 
