@@ -16,14 +16,34 @@ from pyspark.sql import functions as F
 # --- fixed values: RFC 3986 patterns and character sets -------------------------
 SCHEME_START = r"^(?:[a-zA-Z][a-zA-Z0-9+-]*:|/)"
 URI = r"(?s)^(([a-zA-Z][a-zA-Z0-9+.-]*):)?(//([^\\/?#]*))?([^?#]*)(\?([^#]*))?(#(.*))?$"
-REG_NAME = r"(?:[^\[\]%:/?#]|%[a-fA-F0-9]{2})*"
-IPV6_LITERAL = r"\[[0-9A-Fa-f:.]+(?:(?:%25|%)(?:[A-Za-z0-9._~-]|%[a-fA-F0-9]{2})+)?\]"
+# possessive throughout: a long host must neither recurse nor backtrack
+REG_NAME = r"(?:[^\[\]%:/?#]++|%[a-fA-F0-9]{2})*+"
+HEX16 = r"[0-9A-Fa-f]{1,4}"
+IPV4 = r"(?:[0-9]{1,3}\.){3}[0-9]{1,3}"
+
+
+def ipv6_grammar() -> str:
+    """IPv6address of RFC 3986: at most one ``::``, eight groups in all, the last two may be an IPv4 address."""
+    last = f"(?:{HEX16}:{HEX16}|{IPV4})"
+    forms = [f"(?:{HEX16}:){{6}}{last}"]
+    for before in range(0, 6):
+        # ``before`` groups may stand before "::"; the rest follow it
+        left = f"(?:(?:{HEX16}:){{0,{before - 1}}}{HEX16})?" if before > 1 else f"(?:{HEX16})?" if before else ""
+        forms.append(f"{left}::(?:{HEX16}:){{{5 - before}}}{last}")
+    forms.append(f"(?:(?:{HEX16}:){{0,5}}{HEX16})?::{HEX16}")
+    forms.append(f"(?:(?:{HEX16}:){{0,6}}{HEX16})?::")
+    return "(?:" + "|".join(forms) + ")"
+
+
+ZONE_ID = r"(?:%25|%)(?:[A-Za-z0-9._~-]|%[a-fA-F0-9]{2})++"
+IPV6_LITERAL = r"\[" + ipv6_grammar() + "(?:" + ZONE_ID + r")?\]"
 HOST_PORT = r"(?s)^(" + REG_NAME + "|" + IPV6_LITERAL + r")(?::0*?(|0|[1-9][0-9]{0,4}))?$"
 UNRESERVED = "A-Za-z0-9._~"      # and "-", kept last in each class below
 SUB_DELIMS = "!$&'()*+,;="
 USERINFO_CHARS = "[" + UNRESERVED + SUB_DELIMS + ":-]"
 PATH_CHARS = "[" + UNRESERVED + SUB_DELIMS + ":@/-]"
 QUERY_CHARS = "[" + UNRESERVED + SUB_DELIMS + ":@/?-]"
+ZONE_CHARS = "[" + UNRESERVED + "-]"
 NORMALISABLE_SCHEMES = ("http", "https")
 
 
@@ -43,7 +63,8 @@ def percent_encode(component: Column, allowed: str) -> Column:
     encoded = F.transform(chars, lambda c: F.when(
         c.rlike("^" + allowed + "$") | ((c == "%") & all_escapes), c
     ).otherwise(F.regexp_replace(F.hex(F.encode(c, "UTF-8")), "(..)", "%$1")))
-    return F.when(component.isNotNull(), F.array_join(encoded, ""))
+    # most components hold nothing to escape and are never taken apart
+    return F.when(component.rlike("^" + allowed + "*+$"), component).when(component.isNotNull(), F.array_join(encoded, ""))
 
 
 def remove_dot_segments(path: Column) -> Column:
@@ -97,9 +118,12 @@ def parse_url(df: DataFrame, url: str = "url") -> DataFrame:
         normalise.alias("_norm"),
     )
     host = F.col("_host")
+    # the zone of a scoped address: its separator is unquoted, the rest escaped like any text
+    quoted = F.regexp_extract(host, r"%(.*)\]$", 1)
+    zone = F.when(quoted.startswith("25") & (quoted != "25"), F.substring(quoted, 3, 1 << 30)).otherwise(quoted)
     lowered = F.when(host.startswith("[") & (F.instr(host, "%") > 0),
-                     F.concat(F.lower(F.substring_index(host, "%", 1)),
-                              F.substring(host, F.instr(host, "%"), 1 << 30))).otherwise(F.lower(host))
+                     F.concat(F.lower(F.substring_index(host, "%", 1)), F.lit("%"), percent_encode(zone, ZONE_CHARS), F.lit("]"))) \
+        .otherwise(F.lower(host))
     path, query, frag, norm = F.col("_path"), F.col("_query"), F.col("_fragment"), F.col("_norm")
     path_n = F.when(norm & (path != ""), percent_encode(remove_dot_segments(path), PATH_CHARS)).otherwise(path)
     query_n = F.when(norm & (query != ""), percent_encode(query, QUERY_CHARS)).otherwise(query)
