@@ -3,6 +3,7 @@
 import glob
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from ticksmith.functions.stamps import FIXED_STAMP, RunStamp
@@ -28,11 +29,37 @@ def test_csv_dialect_and_readback(spark, tmp_path):
     back = files.read_csv_run(spark, files.run_path(root, "fact", res.extract_date, res.run_id), "fact").first()
     assert back["open"] == "a,b" and back["high"] == 'q"x' and back["low"] is None
     raw = spark.read.text(files.run_path(root, "raw", res.extract_date, res.run_id)).first()[0]
-    import json
-    assert json.loads(raw) == json.loads(GOOD)
+    assert raw == GOOD  # as received
     assert res.raw_key == "raw/twelvedata/stocks_api/extract_date=2026-03-31/run_id=20260331T221530Z/"
 
 
+def test_field_text_is_not_trimmed(spark, tmp_path):
+    root = str(tmp_path)
+    body = '{" A ":{"meta":{"interval":" 1day"},\n "values":[{"datetime":"2026-01-02","open":"  1.50"}]}}'
+    res = ingest_documents(spark, spark.createDataFrame([("d", body)], "doc_id string, body string"), root, FIXED_STAMP,
+                           single_file=True)
+    assert _read_csv_text(files.run_path(root, "fact", res.extract_date, res.run_id)).split("\r\n")[1].startswith(
+        " A ,2026-01-02,  1.50,")
+    assert files.read_csv_run(spark, files.run_path(root, "dim", res.extract_date, res.run_id), "dim").first()[
+        "interval"] == " 1day"
+    raw = spark.read.text(files.run_path(root, "raw", res.extract_date, res.run_id)).collect()
+    assert [r[0] for r in raw] == [body.replace("\n", " ")]
+
+
+def test_rerun_keeps_one_manifest_row_and_no_stale_one(spark, tmp_path):
+    root = str(tmp_path)
+    docs = spark.createDataFrame([("d", GOOD)], "doc_id string, body string")
+    res = ingest_documents(spark, docs, root, FIXED_STAMP)
+    ingest_documents(spark, docs, root, FIXED_STAMP)
+    assert files.read_manifest(spark, root).count() == 1
+    assert files.run_listed(spark, root, res.run_id) and not files.run_listed(spark, root, "other")
+    bad = spark.createDataFrame([("d", '{"A":1}')], "doc_id string, body string")
+    with pytest.raises(ValueError, match="entry_not_object"):
+        ingest_documents(spark, bad, root, FIXED_STAMP, on_error="raise")
+    # the broken re-run has withdrawn the run
+    assert not files.run_listed(spark, root, res.run_id)
+
+
 def test_empty_run_writes_header(spark, tmp_path):
     root = str(tmp_path)
     res = ingest_documents(spark, spark.createDataFrame([("d", "{}")], "doc_id string, body string"),

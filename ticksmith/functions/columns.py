@@ -6,30 +6,36 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
-def fence(df: DataFrame) -> DataFrame:
-    """Compute every column of ``df`` once, as a one-row generator output.
+#: inputs up to this size are spread over the cores; anything larger is left as it scans
+SMALL_INPUT = 64 << 20
+
+
+def fence(df: DataFrame, *passing: str) -> DataFrame:
+    """Compute the columns of ``df`` once, as a one-row generator output.
 
     Catalyst inlines a projected expression into each consumer and pushes
     filters below projections by substituting the expression; for deep
     expressions (nested CASE over parsed JSON) that repeats the work per
     reference.  Columns produced by a generator are neither inlined nor
-    filtered below, so a later ``where`` or multi-use stays cheap.  The
-    generator is narrow: no shuffle, same partitioning.
+    filtered below, so a later ``where`` or multi-use stays cheap.  Columns
+    named in ``passing`` are plain input columns: they stay outside, so
+    filters on them still reach the scan.  The generator is narrow: no
+    shuffle, same partitioning.
     """
-    return df.select(F.inline(F.array(F.struct(*[F.col(c) for c in df.columns]))))
+    computed = [F.col(c) for c in df.columns if c not in passing]
+    return df.select(*passing, F.inline(F.array(F.struct(*computed)))).select(*df.columns)
 
 
 def spread(df: DataFrame, *keys: str) -> DataFrame:
-    """Give CPU-heavy per-row work at least one task per core.
+    """Give CPU-heavy per-row work over a small input at least one task per core.
 
-    A small input (a few row groups) scans as fewer partitions than there
-    are cores; only then is it hash-repartitioned (by ``keys`` if given).
-    A large input already has far more partitions than cores and is left
-    as it is, so this never adds a shuffle at scale.
+    A file of a few row groups scans as a few tasks, however heavy the work
+    per row.  Inputs of at most ``SMALL_INPUT`` bytes are repartitioned (by
+    ``keys`` if given); larger ones never are, on a cluster of any width.
     """
-    spark = df.sparkSession
-    want = spark.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= want:
+    want = df.sparkSession.sparkContext.defaultParallelism
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    if size > SMALL_INPUT or df.rdd.getNumPartitions() >= want:
         return df
     n = max(want * 2, 1)
     return df.repartition(n, *keys) if keys else df.repartition(n)

@@ -75,7 +75,7 @@ def parse_documents(docs: DataFrame, body: str = "body", mode: str = HANDLER,
             F.lit(REJECT_MISSING_META))
     # fence: ``typed`` and ``reject_reason`` are each read several times
     # downstream; computed once here instead of being inlined per use
-    return fence(parsed.withColumn("reject_reason", reason).drop("_doc"))
+    return fence(parsed.withColumn("reject_reason", reason).drop("_doc"), *docs.columns)
 
 
 def rows_where(parsed: DataFrame, cond: Column, keep: tuple[str, ...], *cols: Column) -> DataFrame:

@@ -72,7 +72,7 @@ def normalise_requests(raw: DataFrame, event: str = "event", request_id: str = "
         F.col(event).isNull().alias("_event_missing"),
         ev.alias("_ev"),
     ).withColumn("_obj", F.col("_ev").try_cast("map<string,variant>"))
-    step1 = fence(step1)
+    step1 = fence(step1, "request_id")
 
     obj = F.col("_obj")
     empty_event = F.col("_event_missing") | (F.col("_ev").isNotNull() & ~_truthy(F.col("_ev")))
@@ -102,7 +102,7 @@ def normalise_requests(raw: DataFrame, event: str = "event", request_id: str = "
             F.try_parse_json(decoded).alias("json"),
         )).alias("_body"),
     )
-    step2 = fence(step2)
+    step2 = fence(step2, "request_id")
 
     body = F.col("_body")
     body_obj = body["json"].try_cast("map<string,variant>")
@@ -120,7 +120,7 @@ def normalise_requests(raw: DataFrame, event: str = "event", request_id: str = "
         F.col("_body.text").alias("body_text"),
         src.alias("_src"),
     )
-    step3 = fence(step3)
+    step3 = fence(step3, "request_id")
 
     src = F.col("_src")
     sym_v = src["symbols"]
@@ -142,13 +142,13 @@ def normalise_requests(raw: DataFrame, event: str = "event", request_id: str = "
         "request_id", "route", "body_text", "_error",
         symbols.alias("_symbols"), start.alias("_start"), end.alias("_end"),
         (bad_start | bad_end).alias("_bad_dates"),
-    ))
+    ), "request_id")
     error = F.coalesce(
         F.col("_error"),
         F.when(F.col("_symbols").isNull(), F.lit(ERR_SYMBOLS)),
         F.when(F.col("_bad_dates"), F.lit(ERR_DATES)),
     )
-    step5 = fence(step4.withColumn("error", error))
+    step5 = fence(step4.withColumn("error", error), "request_id")
     ok = F.col("error").isNull()
     return fence(step5.select(
         "request_id", "route",
@@ -158,15 +158,29 @@ def normalise_requests(raw: DataFrame, event: str = "event", request_id: str = "
         F.when(ok, F.lit(200)).otherwise(F.lit(500)).alias("status"),
         "error",
         "body_text",
-    ))
+    ), "request_id")
 
 
-def normalise_packaged_requests(raw: DataFrame, event: str = "event",
-                                request_id: str = "request_id") -> DataFrame:
-    """The first packaged handler's defaults (a later default start date);
-    it reads the top level only, which the routing above also does for
-    events without a body."""
-    return normalise_requests(raw, event, request_id, default_start=PACKAGED_DEFAULT_START_DATE)
+def normalise_direct_requests(raw: DataFrame, event: str = "event", request_id: str = "request_id",
+                              default_start: str = DEFAULT_START_DATE, null_event_ok: bool = True) -> DataFrame:
+    """The direct handler: only the event's top level is read, a ``body`` never is.
+
+    Everything but the request keys is taken out of the event before
+    routing, so an event with nothing but a body gets the defaults.  A null
+    event counts as empty, unless ``null_event_ok`` is false: then it is
+    refused like any event that isn't an object."""
+    parsed = F.try_parse_json(F.col(event))
+    top = parsed.try_cast("map<string,variant>")
+    own = F.when(top.isNotNull(), F.to_json(F.map_filter(top, lambda k, _: k.isin(*REQUEST_KEYS)))).otherwise(F.col(event))
+    if not null_event_ok:
+        own = F.when(F.col(event).isNull() | (_kind(parsed) == "VOID"), F.lit('"null"')).otherwise(own)
+    return normalise_requests(raw.withColumn(event, own), event, request_id, default_start=default_start)
+
+
+def normalise_packaged_requests(raw: DataFrame, event: str = "event", request_id: str = "request_id") -> DataFrame:
+    """The first packaged handler: like the direct one, with a later default
+    start date; it reads its keys from the event itself, so a null event fails."""
+    return normalise_direct_requests(raw, event, request_id, default_start=PACKAGED_DEFAULT_START_DATE, null_event_ok=False)
 
 
 def request_url(requests: DataFrame, interval: str = DEFAULT_INTERVAL,

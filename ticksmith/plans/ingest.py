@@ -10,7 +10,7 @@ micro-batch):
    each into the run's own directory (A32); row counts come from
    ``observe`` on the same write, not a second pass (A24/A25)
 3. refused documents to ``rejects/``; the batch goes on
-4. one manifest row, appended last (A33); a run whose documents were all
+4. one manifest row, written last (A33); a run whose documents were all
    refused gets status 500 and the error text (A36)
 """
 
@@ -22,7 +22,7 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ticksmith.constants import ERROR_MESSAGE, RAW_ONLY_MESSAGE, SUCCESS_MESSAGE
+from ticksmith.constants import DIM_COLUMNS, ERROR_MESSAGE, FACT_COLUMNS, RAW_ONLY_MESSAGE, SUCCESS_MESSAGE
 from ticksmith.functions.stamps import RunStamp
 from ticksmith.operators import flatten as fl
 from ticksmith.session import configure
@@ -46,9 +46,13 @@ class RunResult:
 def ingest_documents(spark: SparkSession, docs: DataFrame, root: str, run: RunStamp,
                      run_id: str | None = None, request: dict | None = None,
                      status: str | None = None, single_file: bool = False,
-                     write_manifest: bool = True, raw_only: bool = False) -> RunResult:
+                     write_manifest: bool = True, raw_only: bool = False, on_error: str = "row") -> RunResult:
     """Ingest ``docs`` (``doc_id``, ``body`` [, HTTP ``status``]) as one run.
 
+    ``on_error="raise"`` is the direct handler without a catch: the first
+    refused document ends the run before anything is written.  ``"row"``
+    keeps refused documents in ``rejects/`` and goes on.
+
     ``raw_only`` is the first packaged handler: the raw answer is stored
     and summarised, nothing is flattened."""
     configure(spark)
@@ -56,8 +60,11 @@ def ingest_documents(spark: SparkSession, docs: DataFrame, root: str, run: RunSt
     day = run.extract_date
     stamp = run.extracted_at_utc
 
+    files.withdraw_run(spark, root, day, run_id)
     parsed = fl.parse_documents(docs, status=status).persist(StorageLevel.MEMORY_AND_DISK)
     try:
+        if on_error == "raise" and (refused := _reasons(parsed)):
+            raise ValueError("document rejected: " + ", ".join(refused))
         docs_obs = Observation("documents")
         observed = parsed.observe(
             docs_obs,
@@ -78,10 +85,8 @@ def ingest_documents(spark: SparkSession, docs: DataFrame, root: str, run: RunSt
             result = RunResult(200, run_id, day, 0, 0, rejected, raw_key, None, None)
         elif accepted == 0 and rejected > 0:
             # nothing usable: the handler would have raised before writing
-            reasons = [r["reject_reason"] for r in
-                       fl.rejected(parsed).select("reject_reason").distinct().limit(5).collect()]
             result = RunResult(500, run_id, day, 0, 0, rejected, None, None, None,
-                               error="document rejected: " + ", ".join(sorted(reasons)))
+                               error="document rejected: " + ", ".join(_reasons(parsed)))
         else:
             entries = fl.entry_rows(parsed)
             fact_obs, dim_obs = Observation("fact"), Observation("dim")
@@ -95,10 +100,15 @@ def ingest_documents(spark: SparkSession, docs: DataFrame, root: str, run: RunSt
         parsed.unpersist()
 
     if write_manifest:
-        files.append_manifest(manifest_rows(spark, [result], run, request, raw_only=raw_only), root)
+        files.publish_manifest(manifest_rows(spark, [result], run, request, raw_only=raw_only), root)
     return result
 
 
+def _reasons(parsed: DataFrame) -> list[str]:
+    """All reasons for which documents were refused (there are seven at most)."""
+    return sorted(fl.rejected(parsed).agg(F.collect_set("reject_reason")).first()[0])
+
+
 def manifest_rows(spark: SparkSession, results: list[RunResult], run: RunStamp,
                   request: dict | None = None, raw_only: bool = False) -> DataFrame:
     """One manifest row per run result (driver-side: a handful of rows)."""
@@ -136,23 +146,23 @@ def error_manifest(requests: DataFrame, run: RunStamp) -> DataFrame:
 
 # --- request-driven fetch (one call per request and symbol batch) ------------------
 
-FETCHED_DDL = ("request_id string, call_id string, symbols string, start_date string, "
-               "end_date string, http_status int, body string")
+FETCHED_DDL = "call_id string, symbols string, start_date string, end_date string, http_status int, body string"
 
 
-def call_plan(requests: DataFrame, symbols_per_call: int = 8) -> DataFrame:
-    """Valid requests -> one row per API call: the request's symbols cut
-    into batches inside the row (no shuffle)."""
-    k = symbols_per_call
-    ok = requests.where(F.col("status") == 200)
-    n = F.ceil(F.size("symbols") / F.lit(k)).cast("int")
-    batches = F.when(n > 0, F.transform(F.sequence(F.lit(0), n - 1),
-                                        lambda i: F.struct(i.alias("i"),
-                                                           F.slice("symbols", i * k + 1, k).alias("syms"))))
-    return ok.select("request_id", "start_date", "end_date", F.explode(batches).alias("b")).select(
-        "request_id",
-        F.concat("request_id", F.lit("#"), F.col("b.i").cast("string")).alias("call_id"),
-        F.col("b.syms").alias("symbols"), "start_date", "end_date")
+def with_call(requests: DataFrame) -> DataFrame:
+    """Valid requests with the id of their API call.  A request is one call,
+    whatever its number of symbols, so its answer gets one verdict; requests
+    for the same symbols and dates share a call; without symbols there is none."""
+    text = F.concat_ws("\x1f", F.array_join("symbols", "\x1e"), "start_date", "end_date")
+    return requests.where(F.col("status") == 200).select(
+        "request_id", "symbols", "start_date", "end_date",
+        F.when(F.size("symbols") > 0, F.sha2(text, 256)).alias("call_id"))
+
+
+def call_plan(requests: DataFrame) -> DataFrame:
+    """One row per distinct API call of the valid requests."""
+    calls = with_call(requests).where(F.col("call_id").isNotNull())
+    return calls.select("call_id", "symbols", "start_date", "end_date").dropDuplicates(["call_id"])
 
 
 def _fetch_batches(fetcher: str, interval: str, options: dict):
@@ -167,9 +177,8 @@ def _fetch_batches(fetcher: str, interval: str, options: dict):
             for r in pdf.itertuples(index=False):
                 syms = list(r.symbols)
                 status, body = fetch(syms, r.start_date, r.end_date, interval, options)
-                out.append((r.request_id, r.call_id, ",".join(syms), r.start_date, r.end_date, int(status), body))
-            yield pd.DataFrame(out, columns=["request_id", "call_id", "symbols", "start_date", "end_date",
-                                             "http_status", "body"])
+                out.append((r.call_id, ",".join(syms), r.start_date, r.end_date, int(status), body))
+            yield pd.DataFrame(out, columns=["call_id", "symbols", "start_date", "end_date", "http_status", "body"])
     return run
 
 
@@ -177,8 +186,8 @@ def fetch_calls(spark: SparkSession, calls: DataFrame, fetcher: str, options: di
                 interval: str = "1day", partitions: int | None = None) -> DataFrame:
     """Run each call on an executor; answers come back as documents.
 
-    Calls are hash-spread by ``call_id`` first so one request with many
-    symbols does not sit in one task; a retried task re-fetches its calls.
+    Calls are hash-spread by ``call_id`` first; a retried task re-fetches
+    its calls, so callers land the answers before they use them.
     """
     from ticksmith.session import ship_package
 
@@ -189,75 +198,61 @@ def fetch_calls(spark: SparkSession, calls: DataFrame, fetcher: str, options: di
 
 
 def ingest_requests(spark: SparkSession, requests: DataFrame, root: str, run: RunStamp, fetcher: str,
-                    fetch_options: dict | None = None, symbols_per_call: int = 8) -> DataFrame:
+                    fetch_options: dict | None = None) -> DataFrame:
     """The gateway handler over a whole table of requests.
 
-    Each request is its own run ``<run_id>-<request_id>``: its answers are
-    fetched on the executors, flattened and refused as a whole when broken,
-    and written with ``partitionBy(extract_date, run_id)`` (dynamic
-    partition overwrite, so a re-run replaces only its own runs).  One
-    manifest row per request is appended last, also for requests that
-    failed before any call (status 500, A36).  Returns the manifest rows.
-    No driver loop over requests: every step is a DataFrame job.
+    Distinct calls are fetched once, on the executors, and their answers
+    land in ``landing/`` first; everything else reads the landed answers, so
+    raw, fact and dim always come from the same text.  An answer is accepted
+    or refused as a whole (``rejects/``), and so is each request that asked
+    for it.  The batch is one run: raw, fact and dim go to its directories,
+    fact and dim with ``call_id`` as their last column, and the manifest has
+    one row per request (also for requests that failed before any call, A36)
+    whose keys are null where nothing was stored for it.  A re-run replaces
+    its own files and manifest rows.  Returns the manifest rows of the run.
     """
     configure(spark)
-    day, stamp = run.extract_date, run.extracted_at_utc
-    run_col = F.concat(F.lit(run.run_id + "-"), F.col("request_id"))
-    calls = call_plan(requests, symbols_per_call)
-    docs = fetch_calls(spark, calls, fetcher, fetch_options, interval="1day").withColumnRenamed("call_id", "doc_id")
-    parsed = fl.parse_documents(docs, status="http_status").withColumn("run_id", run_col) \
-        .withColumn("extract_date", F.lit(day)).persist(StorageLevel.MEMORY_AND_DISK)
+    day, stamp, run_id = run.extract_date, run.extracted_at_utc, run.run_id
+    files.withdraw_run(spark, root, day, run_id)
+    landing = f"{root.rstrip('/')}/landing/extract_date={day}/run_id={run_id}"
+    fetch_calls(spark, call_plan(requests), fetcher, fetch_options, interval="1day") \
+        .withColumnRenamed("call_id", "doc_id").write.mode("overwrite").parquet(landing)
+    parsed = fl.parse_documents(spark.read.parquet(landing), status="http_status").persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        keep = ("request_id", "extract_date", "run_id")
-        writer_opts = {"partitionOverwriteMode": "dynamic"}
-        raw = fl.accepted(parsed, keep, files.raw_text(F.col("body")).alias("value")).drop("request_id")
-        raw.write.mode("overwrite").options(**writer_opts).partitionBy("extract_date", "run_id") \
-            .text(files.table_base(root, "raw"))
-        entries = fl.entry_rows(parsed, keep=keep)
-        facts = fl.fact_rows(entries, stamp, keep=keep).drop("request_id")
-        facts.write.mode("overwrite").options(**writer_opts, **files.CSV_WRITE_OPTIONS) \
-            .partitionBy("extract_date", "run_id").csv(files.table_base(root, "fact"))
-        dims = fl.dim_rows(entries, stamp, keep=keep).drop("request_id")
-        dims.write.mode("overwrite").options(**writer_opts, **files.CSV_WRITE_OPTIONS) \
-            .partitionBy("extract_date", "run_id").csv(files.table_base(root, "dim"))
-        typed_values = F.map_values(F.col("typed"))
+        files.write_raw(fl.accepted(parsed, ("doc_id",), F.col("body")), files.run_path(root, "raw", day, run_id))
+        files.write_rejects(fl.rejected(parsed), root, day, run_id)
+        entries = fl.entry_rows(parsed)
+        for table, rows, columns in (("fact", fl.fact_rows, FACT_COLUMNS), ("dim", fl.dim_rows, DIM_COLUMNS)):
+            out = rows(entries, stamp, keep=("doc_id",)).select(*columns, F.col("doc_id").alias("call_id"))
+            files.write_csv(out, files.run_path(root, table, day, run_id))
+        typed = F.map_values(F.col("typed"))
         ok = F.col("reject_reason").isNull()
-        per_doc = parsed.select(
-            "request_id",
-            F.when(ok, F.aggregate(typed_values, F.lit(0).cast("bigint"),
-                                   lambda acc, t: acc + F.coalesce(F.size(t["bars"]), F.lit(0)).cast("bigint")))
-            .otherwise(F.lit(0).cast("bigint")).alias("f"),
-            F.when(ok, F.size(typed_values).cast("bigint")).otherwise(F.lit(0).cast("bigint")).alias("d"),
-            F.when(ok, F.lit(0)).otherwise(F.lit(1)).alias("r"),
-            F.when(~ok, F.col("reject_reason")).alias("reason"))
-        per_req = per_doc.groupBy("request_id").agg(
-            F.sum("f").alias("fact_row_count"), F.sum("d").alias("dim_row_count"),
-            F.sum("r").cast("bigint").alias("rejected_count"), F.count(F.lit(1)).alias("calls"),
-            F.array_sort(F.collect_set("reason")).alias("reasons"))
-        valid = requests.where(F.col("status") == 200).select("request_id", "symbols", "start_date", "end_date")
-        done = valid.join(per_req, "request_id", "left")
-        all_refused = F.col("calls").isNotNull() & (F.col("rejected_count") == F.col("calls"))
-        rid = run_col
-        ok_rows = done.select(
+        bars = F.aggregate(typed, F.lit(0).cast("bigint"), lambda acc, t: acc + F.coalesce(F.size(t["bars"]), F.lit(0)).cast("bigint"))
+        verdicts = parsed.select(
+            F.col("doc_id").alias("call_id"), F.col("reject_reason").alias("reason"),
+            F.when(ok, bars).otherwise(0).cast("bigint").alias("facts"),
+            F.when(ok, F.size(typed)).otherwise(0).cast("bigint").alias("dims"))
+        done = with_call(requests).join(verdicts, "call_id", "left")
+        refused = F.col("reason").isNotNull()
+
+        def key(table: str, stored):
+            return F.when(stored & ~refused, F.lit(files.run_key(table, day, run_id))).alias(f"{table}_key")
+
+        rows = done.select(
             "request_id",
-            F.when(all_refused, F.lit(500)).otherwise(F.lit(200)).alias("status"),
-            F.when(all_refused, F.lit(ERROR_MESSAGE)).otherwise(F.lit(SUCCESS_MESSAGE)).alias("message"),
-            F.when(all_refused, F.concat(F.lit("document rejected: "), F.array_join("reasons", ", "))).alias("error"),
-            *[F.when(~all_refused, F.concat(F.lit(f"{files.RAW_PREFIX}/{files.TABLES[t]}/extract_date={day}/run_id="),
-                                             rid, F.lit("/"))).alias(f"{t}_key") for t in ("raw", "fact", "dim")],
+            F.when(refused, 500).otherwise(200).alias("status"),
+            F.when(refused, ERROR_MESSAGE).otherwise(SUCCESS_MESSAGE).alias("message"),
+            F.when(refused, F.concat(F.lit("document rejected: "), "reason")).alias("error"),
+            key("raw", F.col("call_id").isNotNull()), key("fact", F.col("facts") > 0), key("dim", F.col("dims") > 0),
             "symbols", "start_date", "end_date",
-            F.when(~all_refused, F.coalesce("fact_row_count", F.lit(0).cast("bigint"))).otherwise(0)
-            .cast("bigint").alias("fact_row_count"),
-            F.when(~all_refused, F.coalesce("dim_row_count", F.lit(0).cast("bigint"))).otherwise(0)
-            .cast("bigint").alias("dim_row_count"),
-            F.coalesce("rejected_count", F.lit(0).cast("bigint")).alias("rejected_count"),
-            F.lit(day).alias("extract_date"), rid.alias("run_id"), F.lit(stamp).alias("extracted_at_utc"))
-        failed = error_manifest(requests, run).withColumn("run_id", run_col)
-        manifest = ok_rows.unionByName(failed.select(*ok_rows.columns))
-        files.append_manifest(manifest, root)
+            F.coalesce("facts", F.lit(0)).cast("bigint").alias("fact_row_count"),
+            F.coalesce("dims", F.lit(0)).cast("bigint").alias("dim_row_count"),
+            refused.cast("bigint").alias("rejected_count"),
+            F.lit(day).alias("extract_date"), F.lit(run_id).alias("run_id"), F.lit(stamp).alias("extracted_at_utc"))
+        files.publish_manifest(rows.unionByName(error_manifest(requests, run).select(*rows.columns)), root)
     finally:
         parsed.unpersist()
-    return files.read_manifest(spark, root).where(F.col("run_id").startswith(run.run_id + "-"))
+    return files.read_manifest(spark, root).where((F.col("extract_date") == day) & (F.col("run_id") == run_id))
 
 
 def ingest_api(spark: SparkSession, root: str, run: RunStamp, symbols: list[str], start_date: str,

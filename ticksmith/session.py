@@ -47,6 +47,8 @@ def checkpoint_root(spark: SparkSession) -> str:
     if not root:
         if current:
             return current
+        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that the driver and all executors share")
         root = tempfile.mkdtemp(prefix="ticksmith-ckpt-")
     if not current:
         # named only as a session setting: register it so checkpoint() works

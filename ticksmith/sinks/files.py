@@ -2,11 +2,11 @@
 
 Layout, relative to a root folder (object store or shared file system)::
 
-    raw/<vendor>/stocks_api/extract_date=D/run_id=R/   compact JSON, one document per line
+    raw/<vendor>/stocks_api/extract_date=D/run_id=R/   JSON as received, one document per line
     raw/<vendor>/stocks_fact/extract_date=D/run_id=R/  CSV, header, CRLF
     raw/<vendor>/stocks_dim/extract_date=D/run_id=R/   CSV, header, CRLF
     rejects/extract_date=D/run_id=R/                   refused documents (JSON lines)
-    manifest/                                          one row per run, appended last
+    manifest/extract_date=D/run_id=R/                  the run's manifest rows, written last
 
 Each run writes into its own explicit directory (so an empty run still
 gets a header-only file, and re-running the same run id overwrites only
@@ -32,9 +32,12 @@ CSV_WRITE_OPTIONS = {
     "nullValue": "",
     "emptyValue": "",
     "lineSep": "\r\n",
+    # field text is kept as it is, blanks at its ends included
+    "ignoreLeadingWhiteSpace": "false",
+    "ignoreTrailingWhiteSpace": "false",
 }
 CSV_READ_OPTIONS = {"header": "true", "sep": ",", "quote": '"', "escape": '"', "nullValue": "",
-                    "multiLine": "true"}
+                    "multiLine": "true", "ignoreLeadingWhiteSpace": "false", "ignoreTrailingWhiteSpace": "false"}
 
 TABLES = {"raw": RAW_TABLE, "fact": FACT_TABLE, "dim": DIM_TABLE}
 SCHEMAS = {"fact": FACT_SCHEMA, "dim": DIM_SCHEMA}
@@ -54,9 +57,9 @@ def run_path(root: str, table: str, extract_date: str, run_id: str) -> str:
 
 
 def raw_text(body: Column) -> Column:
-    """The document re-serialised compactly (``json.dumps`` of the parsed
-    value): one line per document, JSON nulls kept."""
-    return F.to_json(F.try_parse_json(body))
+    """The text as received, on one line: JSON holds line feeds only between
+    tokens, where a space means the same.  Numbers and key order stay."""
+    return F.regexp_replace(body, "[\\r\\n]+", " ")
 
 
 def write_raw(docs: DataFrame, path: str, body: str = "body", single_file: bool = False) -> None:
@@ -95,13 +98,36 @@ def manifest_path(root: str) -> str:
     return f"{root.rstrip('/')}/manifest"
 
 
-def append_manifest(rows: DataFrame, root: str) -> None:
-    """Appended last, after every data file of the run is committed."""
-    rows.write.mode("append").parquet(manifest_path(root))
+def _run_folders(spark: SparkSession, root: str, extract_date: str, run_id: str):
+    """Existing manifest folders of a run, and their file system."""
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(f"{manifest_path(root)}/extract_date={extract_date}/run_id={run_id}")
+    fs = path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    return fs, [f.getPath() for f in fs.globStatus(path) or []]
+
+
+def run_listed(spark: SparkSession, root: str, run_id: str) -> bool:
+    """Whether the manifest lists a run, on any date; only folder names are looked at."""
+    return bool(_run_folders(spark, root, "*", run_id)[1])
+
+
+def withdraw_run(spark: SparkSession, root: str, extract_date: str, run_id: str) -> None:
+    """Take a run out of the manifest before its files are written again, so a
+    run that breaks off half-way is never vouched for."""
+    fs, folders = _run_folders(spark, root, extract_date, run_id)
+    for folder in folders:
+        fs.delete(folder, True)
+
+
+def publish_manifest(rows: DataFrame, root: str) -> None:
+    """Written last, after every data file of the run is committed; the
+    rows of one run replace those of an earlier attempt."""
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic") \
+        .partitionBy("extract_date", "run_id").parquet(manifest_path(root))
 
 
 def read_manifest(spark: SparkSession, root: str) -> DataFrame:
-    return spark.read.parquet(manifest_path(root))
+    return spark.read.schema(MANIFEST_SCHEMA).parquet(manifest_path(root)).select(*MANIFEST_SCHEMA.names)
 
 
 def write_rejects(rejects: DataFrame, root: str, extract_date: str, run_id: str) -> str:

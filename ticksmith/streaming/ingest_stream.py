@@ -4,8 +4,10 @@ The handler runs once per event; here new response files in a landing
 folder are picked up by a file stream and each micro-batch is one ingest
 run (``foreachBatch``).  The run id is derived from the batch id, so a
 replayed batch (after a failure between the data writes and the commit of
-the streaming checkpoint) writes to the same run and is skipped once the
-manifest lists it.  ``trigger(availableNow=True)`` processes what is there
+the streaming checkpoint) is skipped once the manifest lists its run, on
+whatever date; until then its files, of either attempt, count for nothing.
+Only the manifest's folder names are looked at, and a failure to read them
+fails the batch.  ``trigger(availableNow=True)`` processes what is there
 and stops, which suits scheduled runs; a processing-time trigger keeps it
 running.
 """
@@ -27,14 +29,6 @@ def batch_run_id(prefix: str, batch_id: int) -> str:
     return f"{prefix}{batch_id:010d}"
 
 
-def _already_done(spark: SparkSession, root: str, run_id: str) -> bool:
-    try:
-        m = files.read_manifest(spark, root)
-    except Exception:  # noqa: BLE001 - no manifest yet
-        return False
-    return m.where((F.col("run_id") == run_id) & (F.col("status") == 200)).limit(1).count() > 0
-
-
 def start_ingest_stream(spark: SparkSession, landing: str, root: str, checkpoint: str | None = None,
                         available_now: bool = True, processing_time: str | None = None,
                         stamp: Callable[[], RunStamp] = RunStamp.now, run_prefix: str = "stream-",
@@ -52,7 +46,7 @@ def start_ingest_stream(spark: SparkSession, landing: str, root: str, checkpoint
         from ticksmith.plans.ingest import ingest_documents
 
         run_id = batch_run_id(run_prefix, batch_id)
-        if _already_done(batch.sparkSession, root, run_id):
+        if files.run_listed(batch.sparkSession, root, run_id):
             return
         ingest_documents(batch.sparkSession, batch, root, stamp(), run_id=run_id)
 
