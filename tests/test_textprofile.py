@@ -10,7 +10,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_char_facts():
-    e = dict(zip([c.split(" ")[0] for c in tp.CHAR_DDL.split(", ")], tp.char_facts("é", "Latin 1 Supplement")))
+    e = dict(zip([c.split(" ")[0] for c in tp.CHAR_DDL.split(", ")], tp.char_facts("é", "Latin-1 Supplement")))
     assert e["is_alpha"] and e["accentuated"] and e["latin"] and e["base_ch"] == "e" and not e["punct"]
     d = dict(zip([c.split(" ")[0] for c in tp.CHAR_DDL.split(", ")], tp.char_facts("$", "Basic Latin")))
     assert d["sym"] and not d["punct"] and not d["latin"]
@@ -24,17 +24,19 @@ def test_blocks_from_jdk(spark):
     blocks = tp.unicode_blocks(spark)
     names = {b[2] for b in blocks}
     assert (0, 31, "Control character") in blocks and (32, 127, "Basic Latin") in blocks
-    assert {"Latin 1 Supplement", "Emoticons", "CJK Unified Ideographs", "Hiragana"} <= names
+    assert {"Latin-1 Supplement", "Emoticons", "CJK Unified Ideographs", "Hiragana"} <= names
     assert all(a[1] < b[0] for a, b in zip(blocks, blocks[1:]))
+    assert {"Latin Extended-A", "Arabic Presentation Forms-A", "CJK Unified Ideographs Extension A",
+            "Miscellaneous Mathematical Symbols-B", "Latin Extended Additional"} <= names
 
 
-PAIRS = [("Basic Latin", "Latin 1 Supplement"), ("Basic Latin", "Cyrillic"), ("Hiragana", "Katakana"),
+PAIRS = [("Basic Latin", "Latin-1 Supplement"), ("Basic Latin", "Cyrillic"), ("Hiragana", "Katakana"),
          ("CJK Unified Ideographs", "Hiragana"), ("Emoticons", "Cyrillic"), ("Cyrillic", "Cyrillic Supplement"),
          ("Greek And Coptic", "Cyrillic"), (None, "Basic Latin"), ("Hangul Syllables", "Basic Latin"),
-         ("CJK Symbols And Punctuation", "Arabic")]
+         ("CJK Symbols And Punctuation", "Arabic"), ("Latin Extended-A", "Arabic Presentation Forms-A")]
 
 
-EXPECTED = [False, True, False, False, False, False, True, True, False, False]
+EXPECTED = [False, True, False, False, False, False, True, True, False, False, True]
 
 
 def test_suspicious_rule(spark):
@@ -60,22 +62,39 @@ def _rows(df):
     return sorted(tuple(round(v, 9) if isinstance(v, float) else v for v in r) for r in df.collect())
 
 
-def test_noise_paths_agree(spark, corpus, monkeypatch):
+def test_noise_of_special_characters(spark, corpus):
     docs, facts = corpus
-    fast_n = _rows(tp.noise_neighbours(spark, docs, facts))
-    fast_c = _rows(tp.noise_counts(spark, docs, facts))
-    monkeypatch.setattr(tp, "MAX_CLASS_CHARS", 0)
-    assert _rows(tp.noise_neighbours(spark, docs, facts)) == fast_n
-    assert _rows(tp.noise_counts(spark, docs, facts)) == fast_c
-    special = [r for r in fast_n if r[0] == 10_001][0]
+    special = [r for r in _rows(tp.noise_neighbours(spark, docs, facts)) if r[0] == 10_001][0]
     assert special[2] > 0 and special[3] > 0  # Latin/Cyrillic jumps, accent pairs
 
 
+def test_noise_with_a_large_alphabet_and_a_long_text(spark):
+    """30,000 distinct characters and 100,000 characters in one text, against a plain loop."""
+    wide = "".join(chr(c) for c in range(0x4E00, 0x4E00 + 20_000)) + "".join(chr(c) for c in range(0xAC00, 0xAC00 + 10_000))
+    long = "Éé, à b! " * 12_000
+    docs = spark.createDataFrame([(1, wide), (2, long), (3, None)], "doc_id int, text string")
+    got = {r[0]: r for r in tp.noise_counts(spark, docs).collect()}
+    for i, text in ((1, wide), (2, long)):
+        letters = [c for c in text if c.isalpha()]
+        accented = [c for c in letters if any(k in tp.unicodedata.name(c, "") for k in tp.ACCENT_KEYWORDS)]
+        share = len(accented) / len(letters)
+        assert got[i]["accent_ratio"] == pytest.approx(share if share >= 0.35 else 0.0)
+    assert got[3]["accent_ratio"] == 0.0
+    ranks = tp.letter_ranks(spark, docs.where("doc_id = 2"), hist=tp.whole_histogram(docs.where("doc_id = 2")))
+    assert {r["ch"]: r["n"] for r in ranks.collect()} == {"é": 24_000, "à": 12_000, "b": 12_000}
+
+
 def test_lang_best_folds_only_with_duplicates(spark):
-    m = spark.createDataFrame([(1, "fr", 0.5), (1, "fr—", 0.9), (2, "en", 0.7), (2, "de", 0.2)],
-                              "doc_id int, language string, ratio double")
+    m = spark.createDataFrame([(1, 0, "fr", 0.5), (1, 0, "fr—", 0.9), (2, 0, "en", 0.7), (2, 0, "de", 0.2)],
+                              "doc_id int, chunk int, language string, ratio double")
     got = sorted(tuple(r) for r in tp.lang_best(m).collect())
-    assert got == [(1, "fr", 0.9), (2, "de", 0.2), (2, "en", 0.7)]
+    assert got == [(1, 0, "fr", 0.9), (2, 0, "de", 0.2), (2, 0, "en", 0.7)]
+
+
+def test_chunks_are_folded_before_they_are_averaged(spark):
+    m = spark.createDataFrame([(1, 0, "a", "fr", 0.9), (1, 0, "b", "fr—", 0.2), (1, 1, "a", "fr", 0.2), (1, 1, "a", "fr—", 0.9)],
+                              "doc_id int, chunk int, layer string, language string, ratio double")
+    assert [tuple(r) for r in tp.lang_merge(tp.lang_best(m)).collect()] == [(1, "fr", 0.9)]
 
 
 def test_round4_half_even(spark):
@@ -97,6 +116,20 @@ URLS = {
 }
 
 
+HOSTS = {
+    "http://[1:2]/": None, "http://[:::::]/": None, "http://[1::2::3]/": None,
+    "http://[FE80::1%25EN0]/": "[fe80::1%EN0]", "http://[::1]:80/": "[::1]",
+    "http://[1:2:3:4:5:6:1.2.3.4]/": "[1:2:3:4:5:6:1.2.3.4]", "http://[fe80::1%25]/": "[fe80::1%25]",
+    "http://" + "H" * 100_000 + "/": "h" * 100_000,
+}
+
+
+def test_url_hosts(spark):
+    df = spark.createDataFrame([(u,) for u in HOSTS], "url string")
+    got = {r["url"]: (r["host"], r["parse_error"]) for r in normalise_urls(df).collect()}
+    assert got == {u: (h, h is None) for u, h in HOSTS.items()}
+
+
 def test_url_cases(spark):
     df = spark.createDataFrame(list(enumerate(URLS)), "i int, url string")
     got = {r["url"]: r["normalised_url"] for r in normalise_urls(df).collect()}

@@ -25,8 +25,8 @@ Design (Spark-first):
   known ``lang``), not copied from frequency tables;
 * the before/after rank counts of R6 are computed in-row over arrays whose
   size is bounded by the profile length (no pair rows);
-* R10 uses one window per document and ``last(..., ignorenulls)`` to find
-  the previous character of each sub-sequence.
+* R9 and R10 are regexes over the whole text with classes made of ranges
+  of the corpus's characters.
 Texts are processed whole; the detector's early stop is not reproduced.
 """
 
@@ -50,11 +50,11 @@ CONTROL_BLOCK = "Control character"   # code points 0-31 get this name
 TOO_SMALL_SEQUENCE = 32               # layers of at most this many letters are skipped
 MIN_CANDIDATE_SHARE = 0.2             # alphabet share for a candidate language
 COHERENCE_THRESHOLD = 0.1             # coherence ratios below are dropped
-CHUNK_CHARS = 8192                    # text is profiled in chunks of this many characters
-PROFILE_SIZE = 26                     # letters in a learned language profile
-ALT_PROFILE_SIZE = 30                 # letters in the alternative ("—") profile
+CHUNK_CHARS = 8192                    # default chunk of the language checks (R5-R8), an argument of CorpusProfile
+PROFILE_SHARE = 1000                  # a language's alphabet: its letters with at least 1/1000 of its text
+ALT_PROFILE_SHARE = 10_000            # the alternative ("—") profile: at least 1/10000
 
-_BLOCK_CACHE: dict[int, list[tuple[int, int, str]]] = {}
+_BLOCK_CACHE: dict[str, list[tuple[int, int, str]]] = {}
 
 
 def round4(num: Column, den: Column) -> Column:
@@ -75,7 +75,14 @@ _ACRONYMS = {"CJK", "IPA", "NKO"}
 
 
 def _display_name(java_name: str) -> str:
-    return " ".join(w if w in _ACRONYMS else w.capitalize() for w in java_name.split("_"))
+    """The official spelling: the JDK writes every separator as one underscore."""
+    words = [w if w in _ACRONYMS else w.capitalize() for w in java_name.split("_")]
+    if words[:2] == ["Latin", "1"]:
+        return "Latin-1 " + " ".join(words[2:])
+    # a last letter numbers a part of a block family, except in "Extension A"
+    if len(words) > 1 and len(words[-1]) == 1 and words[-2] != "Extension":
+        words[-2:] = [f"{words[-2]}-{words[-1]}"]
+    return " ".join(words)
 
 
 def _scan_jdk_blocks(spark: SparkSession) -> list[tuple[int, int, str]]:
@@ -119,7 +126,7 @@ def unicode_blocks(spark: SparkSession) -> list[tuple[int, int, str]]:
     """``(start, end, name)`` of every Unicode block known to the JDK, with
     0-31 named ``Control character``.  Computed once and kept as JSON in
     the shared checkpoint folder (keyed by JDK version) for later runs."""
-    key = id(spark.sparkContext)
+    key = spark.sparkContext.applicationId
     if key in _BLOCK_CACHE:
         return _BLOCK_CACHE[key]
     import json
@@ -128,7 +135,7 @@ def unicode_blocks(spark: SparkSession) -> list[tuple[int, int, str]]:
 
     jvm = spark.sparkContext._jvm
     version = str(jvm.java.lang.System.getProperty("java.version"))
-    fs_path = f"{checkpoint_root(spark).rstrip('/')}/ticksmith/unicode-blocks-{version}.json"
+    fs_path = f"{checkpoint_root(spark).rstrip('/')}/ticksmith/unicode-block-names-{version}.json"
     hadoop_path = jvm.org.apache.hadoop.fs.Path(fs_path)
     fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     blocks = None
@@ -258,6 +265,15 @@ def chunk_histogram(chunks: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("n"), F.min(F.col("offset") + F.col("pos")).alias("first_pos"))
 
 
+def whole_histogram(docs: DataFrame, text: str = "text") -> DataFrame:
+    """The histogram of each text as one chunk, 0.  Long texts are still cut
+    into pieces for the explode; the pieces only make partial sums, which
+    meet before anything is ranked."""
+    parts = chunk_histogram(chunk_texts(docs, text))
+    return parts.groupBy("doc_id", "lang", "ch").agg(F.sum("n").alias("n"), F.min("first_pos").alias("first_pos")) \
+        .select("doc_id", "lang", F.lit(0).alias("chunk"), "ch", "n", "first_pos")
+
+
 # --- R3 -----------------------------------------------------------------------------------
 
 def char_blocks(spark: SparkSession, docs: DataFrame, facts: DataFrame | None = None) -> DataFrame:
@@ -314,7 +330,9 @@ def letter_ranks(spark: SparkSession, docs: DataFrame, facts: DataFrame | None =
 
     Letters of a chunk are split into layers by Unicode block (a block joins
     the first earlier layer it is not suspicious next to), lower-cased, and
-    ranked by count, ties by first appearance.
+    ranked by count, ties by first appearance.  A chunk is whatever the
+    histogram calls one: the whole document for R4 itself
+    (``whole_histogram``), pieces of the text for the language checks.
     """
     facts = facts if facts is not None else char_table(spark, docs)
     hist = hist if hist is not None else chunk_histogram(chunk_texts(docs))
@@ -347,24 +365,26 @@ def letter_ranks(spark: SparkSession, docs: DataFrame, facts: DataFrame | None =
 # --- language profiles -------------------------------------------------------------------------
 
 def learn_profiles(spark: SparkSession, docs: DataFrame, facts: DataFrame | None = None,
-                   size: int = PROFILE_SIZE, alt_size: int | None = ALT_PROFILE_SIZE,
+                   share: int = PROFILE_SHARE, alt_share: int | None = ALT_PROFILE_SHARE,
                    hist: DataFrame | None = None) -> DataFrame:
-    """``(language, ch, lang_rank, profile_size, has_accents)``: the ``size``
-    most frequent lower-case letters of each ``lang`` in the corpus, plus an
-    alternative profile ``<lang>—`` of ``alt_size`` letters."""
+    """``(language, ch, lang_rank, profile_size, has_accents)``: the alphabet
+    of each ``lang`` in the corpus, that is all lower-case letters with at
+    least one in ``share`` of its letters, ranked by count; and an alternative
+    profile ``<lang>—`` that also has its rare letters (one in ``alt_share``)."""
     facts = facts if facts is not None else char_table(spark, docs)
     hist = hist if hist is not None else chunk_histogram(chunk_texts(docs))
     labelled = hist.where(F.col("lang").isNotNull())
     counts = labelled.join(_small(facts), "ch").where("is_alpha") \
         .groupBy("lang", "lower_ch").agg(F.sum("n").alias("n"))
     w = Window.partitionBy("lang").orderBy(F.desc("n"), "lower_ch")
-    ranked = counts.withColumn("r", F.row_number().over(w) - 1)
-    variants = [(F.col("lang"), size)]
-    if alt_size:
-        variants.append((F.concat(F.col("lang"), F.lit("—")), alt_size))
+    ranked = counts.withColumn("r", F.row_number().over(w) - 1) \
+        .withColumn("total", F.sum("n").over(Window.partitionBy("lang")))
+    variants = [(F.col("lang"), share)]
+    if alt_share:
+        variants.append((F.concat(F.col("lang"), F.lit("—")), alt_share))
     out = None
     for name, k in variants:
-        part = ranked.where(F.col("r") < k).select(name.alias("language"), F.col("lower_ch").alias("ch"),
+        part = ranked.where(F.col("n") * k >= F.col("total")).select(name.alias("language"), F.col("lower_ch").alias("ch"),
                                                    F.col("r").alias("lang_rank"))
         out = part if out is None else out.unionByName(part)
     out = out.join(_small(facts), "ch", "left").select(out.columns + ["accentuated"])
@@ -450,18 +470,18 @@ def lang_coherence(ranks: DataFrame, profiles: DataFrame, candidates: DataFrame)
 # --- R7, R8 -----------------------------------------------------------------------------------
 
 def lang_merge(coherence: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Mean ratio per language over the chunks (and layers), rounded to 4."""
+    """Mean ratio per language over the chunks, rounded to 4; chunks are folded (R8) before."""
     ticks = F.round(F.col("ratio") * 10000).cast("long")  # ratios are exact multiples of 1e-4
     agg = coherence.groupBy(*keys, "language").agg(F.sum(ticks).alias("_s"), F.count(F.lit(1)).alias("_n"))
     return agg.select(*keys, "language", (round4(F.col("_s"), F.col("_n") * 10000)).alias("ratio"))
 
 
-def lang_best(merged: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFrame:
-    """Alternative profiles (``—`` in the name) fold into their language
-    with the best ratio, but only where some name occurs twice in the
-    group; otherwise the results stay as they are."""
+def lang_best(coherence: DataFrame, keys: tuple[str, ...] = ("doc_id", "chunk")) -> DataFrame:
+    """Within a chunk, over its layers, alternative profiles (``—`` in the
+    name) fold into their language with the best ratio, but only where some
+    name occurs twice in the chunk; otherwise its results stay as they are."""
     base = F.regexp_replace("language", "—", "")
-    tagged = merged.withColumn("base_language", base)
+    tagged = coherence.withColumn("base_language", base)
     dup = tagged.groupBy(*keys, "base_language").agg(F.count(F.lit(1)).alias("k")) \
         .groupBy(*keys).agg((F.max("k") > 1).alias("has_dup"))
     t = tagged.join(dup, list(keys))
@@ -471,107 +491,33 @@ def lang_best(merged: DataFrame, keys: tuple[str, ...] = ("doc_id",)) -> DataFra
     return folded.unionByName(kept)
 
 
-# --- R9 ---------------------------------------------------------------------------------------
-
-def noise_counts_histogram(spark: SparkSession, docs: DataFrame, facts: DataFrame | None = None) -> DataFrame:
-    """R9 from the character histogram (the way for very large alphabets):
-    ``(doc_id, accent_ratio, unprintable_ratio)`` over the whole text.
-
-    accent: accented / letters, 0 unless at least 8 letters and >= 0.35;
-    unprintable: 8 x unprintable / (characters + the closing newline)."""
-    facts = facts if facts is not None else char_table(spark, docs)
-    hist = chunk_histogram(chunk_texts(docs)).groupBy("doc_id", "ch").agg(F.sum("n").alias("n"))
-    j = hist.join(_small(facts), "ch", "left")
-    per = j.groupBy("doc_id").agg(
-        F.sum("n").alias("chars"),
-        F.sum(F.when(F.col("is_alpha"), F.col("n")).otherwise(0)).alias("letters"),
-        F.sum(F.when(F.col("is_alpha") & F.col("accentuated"), F.col("n")).otherwise(0)).alias("accented"),
-        F.sum(F.when(F.col("unprintable"), F.col("n")).otherwise(0)).alias("unprintable"))
-    acc = F.try_divide(F.col("accented"), F.col("letters"))
-    all_docs = docs.select("doc_id")
-    per = all_docs.join(per, "doc_id", "left").na.fill(0, ["chars", "letters", "accented", "unprintable"])
-    return per.select(
-        "doc_id",
-        F.when((F.col("letters") >= 8) & (acc >= 0.35), acc).otherwise(F.lit(0.0)).alias("accent_ratio"),
-        F.try_divide(F.col("unprintable") * 8, F.col("chars") + 1).alias("unprintable_ratio"))
-
+# --- R9 / R10 as character-class regexes over the whole text -----------------------------
 
-# --- R10 --------------------------------------------------------------------------------------
 
-def noise_neighbours_window(spark: SparkSession, docs: DataFrame, facts: DataFrame | None = None) -> DataFrame:
-    """R10 with one row per character and a window per document (the way
-    for corpora whose alphabet is too large for character-class regexes):
-    ``(doc_id, symbol_ratio, range_ratio, accent_pair_ratio)``.
+class Alphabet:
+    """Regex classes over the corpus's characters, in code point order.
 
-    * symbols: over printable characters, punctuation + 2 x other symbols
-      (digits and emoticons excluded), a repeat of the previous printable
-      character and the common ASCII separators not counted; 0 below 0.3
-    * block jumps: printable characters whose previous printable character
-      (a space, punctuation or separator cuts the chain) sits in a
-      suspiciously different block, x 2 / printable; 0 up to 13 characters
-    * accent pairs: over Latin letters, an accented letter after an
-      accented letter counts 1 if both are upper case and 1 if they share
-      the base letter, x 2 / Latin letters
+    A class is written as ranges that may cover code points the corpus
+    doesn't hold, so its length follows the alternations between classes
+    (scripts come in blocks), not the number of characters.
     """
-    facts = facts if facts is not None else char_table(spark, docs)
-    # shuffle the compact texts by document once; the per-character rows
-    # generated from them keep that partitioning, so the window below needs
-    # no exchange of the (much larger) exploded rows
-    by_doc = docs.select("doc_id", "text").repartition("doc_id")
-    chars = by_doc.select("doc_id", F.posexplode(F.split("text", "", -1)).alias("pos", "ch"))
-    f = facts.select("ch", "block", "is_printable", "is_space", "is_digit", "punct", "sym", "emoticon",
-                     "safe_ascii", "is_alpha", "latin", "accentuated", "is_upper", "base_ch")
-    c = chars.join(_small(f), "ch", "left")
-    prior = Window.partitionBy("doc_id").orderBy("pos").rowsBetween(Window.unboundedPreceding, -1)
-    printable = F.coalesce(F.col("is_printable"), F.lit(False))
-    latin_letter = F.coalesce(F.col("is_alpha") & F.col("latin"), F.lit(False))
-    cutter = F.col("is_space") | F.col("punct") | F.col("safe_ascii")
-    c = c.select(
-        "*",
-        F.last(F.when(printable, F.col("ch")), ignorenulls=True).over(prior).alias("prev_printable"),
-        F.last(F.when(printable, F.struct(cutter.alias("cut"), F.col("block").alias("block"))),
-               ignorenulls=True).over(prior).alias("prev_p"),
-        F.last(F.when(latin_letter, F.struct(F.col("accentuated").alias("acc"), F.col("is_upper").alias("up"),
-                                              F.col("base_ch").alias("base"))),
-               ignorenulls=True).over(prior).alias("prev_l"),
-    )
-    counted = ~(F.col("ch") == F.col("prev_printable")).eqNullSafe(True) & ~F.coalesce("safe_ascii", F.lit(False))
-    sym_points = F.when(printable & counted & F.col("punct"), 1) \
-        .when(printable & counted & ~F.col("is_digit") & F.col("sym") & ~F.col("emoticon"), 2).otherwise(0)
-    jump = printable & ~cutter & F.col("prev_p").isNotNull() & ~F.col("prev_p.cut") \
-        & suspicious_pair(F.col("prev_p.block"), F.col("block"))
-    pair = latin_letter & F.col("prev_l").isNotNull() & F.col("accentuated") & F.col("prev_l.acc")
-    pair_points = F.when(pair & F.col("is_upper") & F.col("prev_l.up"), 1).otherwise(0) \
-        + F.when(pair & (F.col("base_ch") == F.col("prev_l.base")), 1).otherwise(0)
-    per = c.groupBy("doc_id").agg(
-        F.count_if(printable).alias("printable"),
-        F.sum(sym_points).alias("sym_points"),
-        F.count_if(jump).alias("jumps"),
-        F.count_if(latin_letter).alias("latin_letters"),
-        F.sum(pair_points).alias("pair_points"))
-    per = docs.select("doc_id").join(per, "doc_id", "left").na.fill(
-        0, ["printable", "sym_points", "jumps", "latin_letters", "pair_points"])
-    sym_ratio = F.try_divide(F.col("sym_points"), F.col("printable"))
-    return per.select(
-        "doc_id",
-        F.when((F.col("printable") > 0) & (sym_ratio >= 0.3), sym_ratio).otherwise(F.lit(0.0)).alias("symbol_ratio"),
-        F.when(F.col("printable") > 13, F.try_divide(F.col("jumps") * 2, F.col("printable"))).otherwise(F.lit(0.0))
-        .alias("range_ratio"),
-        F.when(F.col("latin_letters") > 0, F.try_divide(F.col("pair_points") * 2, F.col("latin_letters")))
-        .otherwise(F.lit(0.0)).alias("accent_pair_ratio"),
-    )
-
-
-# --- R9 / R10 as character-class regexes over the whole text -----------------------------
 
-MAX_CLASS_CHARS = 20_000   # alphabets up to this size become regex classes
+    def __init__(self, rows: list):
+        self.rows = sorted(rows, key=lambda r: r.cp)
 
-
-def _cls(chars) -> str | None:
-    chars = sorted(set(chars))
-    if not chars:
-        return None
-    return "[" + "".join(f"\\x{{{ord(c):X}}}" for c in chars) + "]"
+    def cls(self, inside) -> str | None:
+        out, start, last = [], None, None
+        for r in self.rows:
+            if inside(r):
+                start, last = (r.cp if start is None else start), r.cp
+            elif start is not None:
+                out.append((start, last))
+                start = None
+        if start is not None:
+            out.append((start, last))
+        if not out:
+            return None
+        return "[" + "".join(f"\\x{{{a:X}}}" if a == b else f"\\x{{{a:X}}}-\\x{{{b:X}}}" for a, b in out) + "]"
 
 
 def suspicious_block_pairs(spark: SparkSession, names: list[str | None]) -> set[tuple[str | None, str | None]]:
@@ -584,11 +530,10 @@ def suspicious_block_pairs(spark: SparkSession, names: list[str | None]) -> set[
     return {(r.a, r.b) for r in df.where(suspicious_pair(F.col("a"), F.col("b"))).collect()}
 
 
-def _fact_rows(facts: DataFrame) -> list | None:
-    """The character facts as a driver-side list when the alphabet is small
-    enough to become regex classes (checked with a bounded ``limit``)."""
-    rows = facts.limit(MAX_CLASS_CHARS + 1).collect()
-    return None if len(rows) > MAX_CLASS_CHARS else rows
+def alphabet(facts: DataFrame) -> Alphabet:
+    """The facts of the distinct characters on the driver: never more rows
+    than Unicode has characters, whatever the corpus."""
+    return Alphabet(facts.drop("lower_ch").collect())
 
 
 def _count(text: Column, pattern: str | None) -> Column:
@@ -604,13 +549,11 @@ def noise_counts(spark: SparkSession, docs: DataFrame, facts: DataFrame | None =
     unprintable: 8 x unprintable / (characters + the closing newline).
     Counted with character-class regexes per document (narrow, no shuffle)."""
     facts = facts if facts is not None else char_table(spark, docs)
-    rows = _fact_rows(facts)
-    if rows is None:
-        return noise_counts_histogram(spark, docs, facts)
+    cls = alphabet(facts).cls
     text = F.coalesce(F.col("text"), F.lit(""))
-    letters = _count(text, _cls(r.ch for r in rows if r.is_alpha))
-    accented = _count(text, _cls(r.ch for r in rows if r.is_alpha and r.accentuated))
-    unprintable = _count(text, _cls(r.ch for r in rows if r.unprintable))
+    letters = _count(text, cls(lambda r: r.is_alpha))
+    accented = _count(text, cls(lambda r: r.is_alpha and r.accentuated))
+    unprintable = _count(text, cls(lambda r: r.unprintable))
     chars = F.length(text).cast("bigint")
     acc = F.try_divide(accented, letters)
     return docs.select(
@@ -635,42 +578,42 @@ def noise_neighbours(spark: SparkSession, docs: DataFrame, facts: DataFrame | No
     Each is a regex over the document's text (narrow: no explode, sort or
     shuffle): non-printable characters are removed (so neighbours are
     neighbours among printable ones), runs of one character collapsed for
-    the repeat rule, and pairs counted with a one-character lookahead.
-    Alphabets too large for classes use ``noise_neighbours_window``."""
+    the repeat rule, and pairs counted with a one-character lookahead."""
     facts = facts if facts is not None else char_table(spark, docs)
-    rows = _fact_rows(facts)
-    if rows is None:
-        return noise_neighbours_window(spark, docs, facts)
+    chars = alphabet(facts)
+    rows, cls = chars.rows, chars.cls
     text = F.coalesce(F.col("text"), F.lit(""))
-    nonprint = _cls(r.ch for r in rows if not r.is_printable)
+    nonprint = cls(lambda r: not r.is_printable)
     printable_text = F.regexp_replace(text, nonprint, "") if nonprint else text
     collapsed = F.regexp_replace(printable_text, r"(?s)(.)\1+", "$1")
-    punct = _cls(r.ch for r in rows if r.is_printable and r.punct and not r.safe_ascii)
-    sym = _cls(r.ch for r in rows if r.is_printable and not r.punct and not r.is_digit and r.sym
-               and not r.emoticon and not r.safe_ascii)
+    punct = cls(lambda r: r.is_printable and r.punct and not r.safe_ascii)
+    sym = cls(lambda r: r.is_printable and not r.punct and not r.is_digit and r.sym and not r.emoticon and not r.safe_ascii)
     sym_points = _count(collapsed, punct) + 2 * _count(collapsed, sym)
 
-    # block jumps between neighbouring printable non-separators
-    by_block: dict[str | None, list[str]] = {}
-    for r in rows:
-        if r.is_printable and not (r.is_space or r.punct or r.safe_ascii):
-            by_block.setdefault(r.block, []).append(r.ch)
-    flagged = suspicious_block_pairs(spark, list(by_block))
-    alts = [f"{_cls(ca)}(?={_cls(cb)})" for a, ca in by_block.items() for b, cb in by_block.items()
-            if (a, b) in flagged]
+    # block jumps between neighbouring printable non-separators: one alternative per block
+    def counts(r):
+        return r.is_printable and not (r.is_space or r.punct or r.safe_ascii)
+
+    blocks = list(dict.fromkeys(r.block for r in rows if counts(r)))
+    flagged = suspicious_block_pairs(spark, blocks)
+    alts = []
+    for a in blocks:
+        after = {b for b in blocks if (a, b) in flagged}
+        if after:
+            alts.append(f"{cls(lambda r, a=a: counts(r) and r.block == a)}(?={cls(lambda r, after=after: counts(r) and r.block in after)})")
     jumps = _count(printable_text, "(?:" + "|".join(alts) + ")" if alts else None)
 
     # accent pairs along the Latin letters
-    latin = [r for r in rows if r.is_alpha and r.latin]
-    latin_cls = _cls(r.ch for r in latin)
+    latin_cls = cls(lambda r: r.is_alpha and r.latin)
     latin_text = F.regexp_replace(text, "[^" + latin_cls[1:], "") if latin_cls else F.lit("")
-    acc = [r for r in latin if r.accentuated]
-    acc_up = _cls(r.ch for r in acc if r.is_upper)
+
+    def accent(r):
+        return r.is_alpha and r.latin and r.accentuated
+
+    acc_up = cls(lambda r: accent(r) and r.is_upper)
     both_upper = _count(latin_text, f"(?={acc_up}{acc_up})" if acc_up else None)
-    by_base: dict[str, list[str]] = {}
-    for r in acc:
-        by_base.setdefault(r.base_ch, []).append(r.ch)
-    same = "|".join(f"{_cls(v)}{_cls(v)}" for v in by_base.values())
+    bases = list(dict.fromkeys(r.base_ch for r in rows if accent(r)))
+    same = "|".join(f"{c}{c}" for c in (cls(lambda r, v=v: accent(r) and r.base_ch == v) for v in bases))
     same_base = _count(latin_text, f"(?=(?:{same}))" if same else None)
 
     printable = F.length(printable_text).cast("bigint")
@@ -711,13 +654,13 @@ class CorpusProfile:
     downstream plans short.  The exploded text itself is never kept.
     """
 
-    def __init__(self, spark: SparkSession, docs: DataFrame, materialise: bool = True):
+    def __init__(self, spark: SparkSession, docs: DataFrame, materialise: bool = True, chunk_chars: int = CHUNK_CHARS):
         from ticksmith.session import checkpoint_root
 
         checkpoint_root(spark)
         keep = materialise_table if materialise else (lambda df: df)
         self.spark, self.docs = spark, docs
-        self.hist = keep(chunk_histogram(chunk_texts(docs)))
+        self.hist = keep(chunk_histogram(chunk_texts(docs, size=chunk_chars)))
         # the characters come from the histogram: no second pass over the text
         self.facts = keep(char_table_of(spark, self.hist.select("ch")))
         self.ranks = keep(letter_ranks(spark, docs, self.facts, self.hist))

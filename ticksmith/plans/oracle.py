@@ -256,7 +256,8 @@ def _urls_sql() -> str:
     from ticksmith.operators import urls as U
 
     sq = lambda s: s.replace("'", "''")
-    uri, hp = sq(U.URI), sq(U.HOST_PORT)
+    # the SQL engine's patterns know no possessive repetition, and don't need it
+    uri, hp = sq(U.URI), sq(U.HOST_PORT).replace("++", "+").replace(")*+", ")*")
     return f"""WITH src AS (
         SELECT page_id, CAST(-1 AS BIGINT) AS link_idx, url FROM pages
         UNION ALL
@@ -336,10 +337,10 @@ def _facts_values() -> str:
         if cp < 128:
             return "Basic Latin"
         if cp < 256:
-            return "Latin 1 Supplement"
+            return "Latin-1 Supplement"
         if cp < 384:
-            return "Latin Extended A"
-        return "Latin Extended B"
+            return "Latin Extended-A"
+        return "Latin Extended-B"
 
     rows = []
     b = lambda v: "true" if v else "false"
@@ -367,13 +368,11 @@ def _round4_sql(num: str, den: str) -> str:
             f"/ 10000.0)")
 
 
-def _text_cte() -> str:
-    from ticksmith.operators.textprofile import CHUNK_CHARS
-
+def _text_cte(chunk_chars: int = 8192) -> str:
     return f"""WITH {_facts_values()},
     chars AS (SELECT doc_id, lang, CAST(generate_subscripts(cs, 1) - 1 AS BIGINT) AS pos, unnest(cs) AS ch
               FROM (SELECT doc_id, lang, string_split(text, '') AS cs FROM documents WHERE length(text) > 0)),
-    hist AS (SELECT doc_id, pos // {CHUNK_CHARS} AS chunk, ch, count(*) AS n, min(pos) AS first_pos
+    hist AS (SELECT doc_id, pos // {chunk_chars} AS chunk, ch, count(*) AS n, min(pos) AS first_pos
              FROM chars GROUP BY ALL),
     letters AS (SELECT h.doc_id, h.chunk, h.ch, h.n, h.first_pos, f.block, f.lower_ch
                 FROM hist h JOIN facts f ON f.ch = h.ch WHERE f.is_alpha),
@@ -387,14 +386,13 @@ def _text_cte() -> str:
 
 
 def _profiles_cte() -> str:
-    from ticksmith.operators.textprofile import ALT_PROFILE_SIZE, PROFILE_SIZE
-
-    return f""",
+    return """,
     lc AS (SELECT c.lang, f.lower_ch AS ch, count(*) AS n FROM chars c JOIN facts f ON f.ch = c.ch
            WHERE f.is_alpha AND c.lang IS NOT NULL GROUP BY ALL),
-    lr AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, ch) - 1 AS r FROM lc),
-    prof0 AS (SELECT lang AS language, ch, r AS lang_rank FROM lr WHERE r < {PROFILE_SIZE}
-              UNION ALL SELECT lang || '—', ch, r FROM lr WHERE r < {ALT_PROFILE_SIZE}),
+    lr AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY n DESC, ch) - 1 AS r,
+                  sum(n) OVER (PARTITION BY lang) AS total FROM lc),
+    prof0 AS (SELECT lang AS language, ch, r AS lang_rank FROM lr WHERE n * 1000 >= total
+              UNION ALL SELECT lang || '—', ch, r FROM lr WHERE n * 10000 >= total),
     prof AS (SELECT p.*, count(*) OVER (PARTITION BY language) AS profile_size,
                     bool_or(coalesce(f.accentuated, false)) OVER (PARTITION BY language) AS has_accents
              FROM prof0 p LEFT JOIN facts f ON f.ch = p.ch),
@@ -425,28 +423,30 @@ def _profiles_cte() -> str:
            FROM judged),
     coh0 AS (SELECT doc_id, chunk, layer, language, sum(approved) AS n_ok, max(layer_letters) AS letters
              FROM ok GROUP BY ALL),
-    coh AS (SELECT doc_id, chunk, layer, language, {_round4_sql('n_ok', 'letters')} AS ratio FROM coh0
-            WHERE {_round4_sql('n_ok', 'letters')} >= 0.1),
-    merged AS (SELECT doc_id, language, {_round4_sql('sum(CAST(round(ratio * 10000) AS BIGINT))', 'count(*) * 10000')}
-               AS ratio FROM coh GROUP BY ALL)"""
+    coh AS (SELECT doc_id, chunk, layer, language, """ + _round4_sql('n_ok', 'letters') + """ AS ratio FROM coh0
+            WHERE """ + _round4_sql('n_ok', 'letters') + """ >= 0.1),
+    named AS (SELECT *, replace(language, '—', '') AS base_language FROM coh),
+    twice AS (SELECT doc_id, chunk, max(k) > 1 AS has_dup
+              FROM (SELECT doc_id, chunk, base_language, count(*) AS k FROM named GROUP BY ALL) GROUP BY ALL),
+    best AS (SELECT n.doc_id, n.chunk, n.base_language AS language, max(n.ratio) AS ratio
+             FROM named n JOIN twice t USING (doc_id, chunk) WHERE t.has_dup GROUP BY ALL
+             UNION ALL SELECT n.doc_id, n.chunk, n.language, n.ratio
+             FROM named n JOIN twice t USING (doc_id, chunk) WHERE NOT t.has_dup),
+    merged AS (SELECT doc_id, language, """ + _round4_sql('sum(CAST(round(ratio * 10000) AS BIGINT))', 'count(*) * 10000') + """
+               AS ratio FROM best GROUP BY ALL)"""
 
 
 ORACLE["char_blocks"] = _text_cte() + """ SELECT h.doc_id, f.block, sum(h.n) AS chars
     FROM hist h JOIN facts f ON f.ch = h.ch GROUP BY ALL"""
-ORACLE["char_rank"] = _text_cte() + """ SELECT doc_id, CAST(chunk AS BIGINT) AS chunk, layer, ch, n, first_pos,
+ORACLE["char_rank"] = _text_cte(1 << 40) + """ SELECT doc_id, layer, ch, n, first_pos,
     CAST(rank AS BIGINT) AS rank FROM ranks"""
 ORACLE["lang_candidates"] = _text_cte() + _profiles_cte() + """ SELECT doc_id, CAST(chunk AS BIGINT) AS chunk,
     layer, language, share FROM cand"""
 ORACLE["lang_coherence"] = _text_cte() + _profiles_cte() + """ SELECT doc_id, CAST(chunk AS BIGINT) AS chunk,
     layer, language, ratio FROM coh"""
 ORACLE["lang_merge"] = _text_cte() + _profiles_cte() + " SELECT * FROM merged"
-ORACLE["lang_best"] = _text_cte() + _profiles_cte() + """,
-    t AS (SELECT *, replace(language, '—', '') AS base_language FROM merged),
-    d AS (SELECT doc_id, max(k) > 1 AS has_dup FROM (SELECT doc_id, base_language, count(*) AS k FROM t GROUP BY ALL)
-          GROUP BY doc_id)
-    SELECT t.doc_id, t.base_language AS language, max(t.ratio) AS ratio FROM t JOIN d USING (doc_id)
-    WHERE d.has_dup GROUP BY ALL
-    UNION ALL SELECT t.doc_id, t.language, t.ratio FROM t JOIN d USING (doc_id) WHERE NOT d.has_dup"""
+ORACLE["lang_best"] = _text_cte() + _profiles_cte() + """ SELECT doc_id, CAST(chunk AS BIGINT) AS chunk,
+    language, ratio FROM best"""
 
 ORACLE["noise_counts"] = _text_cte() + """,
     per9 AS (SELECT h.doc_id, sum(h.n) AS chars,

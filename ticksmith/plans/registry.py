@@ -306,7 +306,7 @@ def error_manifest(spark, sf_dir):
 FOLDER_FETCH = "ticksmith.sources.fetchers:folder_fetch"
 
 
-_MOCK_APIS: dict[tuple[int, str], tuple] = {}
+_MOCK_APIS: dict[tuple[str, str], tuple] = {}
 
 
 def _mock_api(spark, sf_dir):
@@ -317,7 +317,7 @@ def _mock_api(spark, sf_dir):
     reach the driver)."""
     from ticksmith.plans.fixtures import write_mock_api
 
-    key = (id(spark.sparkContext), sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir)
     if key in _MOCK_APIS:
         return _MOCK_APIS[key]
     ev = table(spark, sf_dir, "events")
@@ -391,22 +391,21 @@ def response_scan(spark, sf_dir):
 
 @query
 def fetch_plan(spark, sf_dir):
-    """A1 driven by a request table: requests -> symbol batches -> calls
-    fetched on executors -> documents flattened per request."""
-    from ticksmith.plans.ingest import call_plan, fetch_calls
+    """A1 driven by a request table: requests -> distinct calls fetched on
+    executors -> documents counted per call, looked up per request."""
+    from ticksmith.plans.ingest import call_plan, fetch_calls, with_call
 
     root, _, _, _ = _mock_api(spark, sf_dir)
-    calls = call_plan(_requests(spark, sf_dir))
-    docs = fetch_calls(spark, calls, FOLDER_FETCH, {"mock_root": root})
+    requests = _requests(spark, sf_dir)
+    docs = fetch_calls(spark, call_plan(requests), FOLDER_FETCH, {"mock_root": root})
     parsed = fl.parse_documents(docs, status="http_status")
     bars = F.aggregate(F.map_values("typed"), F.lit(0).cast("bigint"),
                        lambda acc, t: acc + F.coalesce(F.size(t["bars"]), F.lit(0)).cast("bigint"))
-    per_call = parsed.select("request_id", F.col("reject_reason").isNotNull().alias("refused"),
+    # answers stay one row per call; requests look up their call's counts
+    per_call = parsed.select("call_id", F.col("reject_reason").isNotNull().cast("bigint").alias("rejected_calls"),
                              F.when(F.col("reject_reason").isNull(), bars).otherwise(F.lit(0)).alias("bars"))
-    return per_call.groupBy("request_id").agg(
-        F.count(F.lit(1)).alias("calls"),
-        F.count_if("refused").alias("rejected_calls"),
-        F.sum("bars").alias("bars"))
+    return with_call(requests).join(per_call, "call_id").select(
+        "request_id", F.lit(1).cast("bigint").alias("calls"), "rejected_calls", "bars")
 
 
 # --- streaming (A37) -------------------------------------------------------------------
@@ -480,11 +479,10 @@ def char_blocks(spark, sf_dir):
 
 @query
 def char_rank(spark, sf_dir):
-    """Letters per chunk and layer, ranked by count then first appearance."""
+    """Letters per document and layer, ranked by count then first appearance."""
     tp, docs, facts = _text_inputs(spark, sf_dir)
-    r = tp.letter_ranks(spark, docs, facts)
-    return r.select("doc_id", F.col("chunk").cast("bigint").alias("chunk"), "layer", "ch", "n", "first_pos",
-                    F.col("rank").cast("bigint").alias("rank"))
+    r = tp.letter_ranks(spark, docs, facts, hist=tp.whole_histogram(docs))
+    return r.select("doc_id", "layer", "ch", "n", "first_pos", F.col("rank").cast("bigint").alias("rank"))
 
 
 @query
@@ -505,16 +503,17 @@ def lang_coherence(spark, sf_dir):
 
 @query
 def lang_merge(spark, sf_dir):
-    """Mean coherence per document and language over its chunks."""
+    """Mean coherence per document and language over its chunks, each folded first."""
     tp, prof = _profile(spark, sf_dir)
-    return tp.lang_merge(prof.coherence())
+    return tp.lang_merge(tp.lang_best(prof.coherence()))
 
 
 @query
 def lang_best(spark, sf_dir):
-    """Alternative profiles folded into their language (best ratio)."""
+    """Alternative profiles folded into their language (best ratio), per chunk over its layers."""
     tp, prof = _profile(spark, sf_dir)
-    return tp.lang_best(tp.lang_merge(prof.coherence()))
+    best = tp.lang_best(prof.coherence())
+    return best.select("doc_id", F.col("chunk").cast("bigint").alias("chunk"), "language", "ratio")
 
 
 @query
