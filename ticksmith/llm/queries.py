@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ticksmith.llm.common import table
+from ticksmith.llm.oracle import ORACLE
 
 #: tokens above which a text counts as over the limit
 TOKEN_LIMIT = 512
@@ -88,4 +89,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_prefix_token_counts": op10_prefix_token_counts,
 }
 
-ORACLE: dict[str, str] = {}
+
+__all__ = ["ORACLE", "QUERIES"]
