@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticksmith.llm.common import U64, hashed_words, map_batches, prepare, raw_texts, shingle_hashes, split_words, stored, word_hashes
+from ticksmith.llm.common import U64, hashed_words, keep_rows, map_batches, prepare, raw_texts, shingle_hashes, split_words, word_hashes
 
 SEED = 5
 COVERAGE = 0.75
@@ -128,17 +128,26 @@ class Items:
             yield k, tiles, sum(n for *_, n in tiles)
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, block_words: int = BLOCK_WORDS) -> DataFrame:
-    """One row per document and item that it covers: doc_id, item_id, covered_words, item_words, coverage, tiles."""
-    spark = prepare(docs.sparkSession)
+def item_blocks(benchmark: DataFrame, block_words: int) -> list:
+    """The items in broadcast blocks of at most about ``block_words`` words."""
+    spark = benchmark.sparkSession
     items = benchmark.select(F.col("item_id").cast("long").alias("item_id"), F.col("text").cast("binary").alias("text")).where("text is not null")
     size = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     blocks = max(1, -(-int(size) // (block_words * 5)))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    found = None
+    out = []
     for k in range(blocks):
         part = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(blocks)) == k).collect()
-        held = spark.sparkContext.broadcast(Items(sorted(((r["item_id"], bytes(r["text"])) for r in part), key=lambda r: (r[0] is None, r[0] or 0, r[1]))))
+        rows = sorted(((r["item_id"], bytes(r["text"])) for r in part), key=lambda r: (r[0] is None, r[0] or 0, r[1]))
+        out.append(spark.sparkContext.broadcast(Items(rows)))
+    return out
+
+
+def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, block_words: int = BLOCK_WORDS) -> DataFrame:
+    """One row per document and item that it covers: doc_id, item_id, covered_words, item_words, coverage, tiles."""
+    prepare(docs.sparkSession)
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    found = None
+    for held in item_blocks(benchmark, block_words):
 
         def make(held=held):
             memo, block = word_hashes(), held.value
@@ -160,7 +169,14 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERA
     return found
 
 
-def without_benchmark(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
+def without_benchmark(docs: DataFrame, benchmark: DataFrame, coverage: float = COVERAGE, block_words: int = BLOCK_WORDS) -> DataFrame:
     """The documents that cover no benchmark item; all columns stay."""
-    found = stored(contaminated(docs, benchmark).select(F.col("doc_id").alias("__found")).distinct(), "decontaminate-found")
-    return docs.join(found, docs["doc_id"].cast("long").eqNullSafe(found["__found"]), "left_anti")
+    prepare(docs.sparkSession)
+    for held in item_blocks(benchmark, block_words):
+
+        def make(held=held):
+            memo, block = word_hashes(), held.value
+            return lambda texts: [not any(covered >= coverage * block.words[item] for item, _, covered in block.matches(t, memo)) for t in texts]
+
+        docs = keep_rows(docs, make)
+    return docs

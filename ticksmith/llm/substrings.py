@@ -63,25 +63,30 @@ def cuts(text: bytes, gear: np.ndarray) -> list[int]:
 
 
 def chunked(docs: DataFrame) -> DataFrame:
-    """row, doc_id, digests, ends of every non-empty text."""
+    """row, doc_id and the chunks (digest, start, end) of every text."""
 
     def make():
         gear, task, count = gear_table(), TaskContext.get().partitionId(), 0
 
         def step(batch: pa.RecordBatch):
             nonlocal count
-            rows, digests, ends = [], [], []
+            digests, starts, ends, sizes = [], [], [], []
             for text in raw_texts(batch.column(1)):
-                rows.append(task << 40 | count)
-                count += 1
                 end = cuts(text, gear) if text else []
-                ends.append(end)
-                digests.append(np.fromiter((xxhash.xxh3_64_intdigest(text[a:b]) for a, b in zip([0, *end], end)), np.uint64, len(end)).view(np.int64))
-            yield {"row": rows, "doc_id": batch.column(0), "digests": digests, "ends": ends}
+                start = [0, *end[:-1]] if end else []
+                digests += [xxhash.xxh3_64_intdigest(text[a:b]) for a, b in zip(start, end)]
+                starts += start
+                ends += end
+                sizes.append(len(end))
+            rows = [task << 40 | count + k for k in range(len(sizes))]
+            count += len(sizes)
+            parts = [pa.array(np.array(digests, np.uint64).view(np.int64)), pa.array(starts, pa.int32()), pa.array(ends, pa.int32())]
+            chunks = pa.ListArray.from_arrays(np.cumsum([0, *sizes]).astype(np.int32), pa.StructArray.from_arrays(parts, ["digest", "start", "end"]))
+            yield {"row": rows, "doc_id": batch.column(0), "chunks": chunks}
 
         return step
 
-    return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), make, "row long, doc_id long, digests array<bigint>, ends array<int>")
+    return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), make, "row long, doc_id long, chunks array<struct<digest:bigint,start:int,end:int>>")
 
 
 def repeated_passages(docs: DataFrame, min_bytes: int = MIN_PASSAGE) -> DataFrame:
@@ -91,12 +96,11 @@ def repeated_passages(docs: DataFrame, min_bytes: int = MIN_PASSAGE) -> DataFram
     """
     prepare(docs.sparkSession)
     chunks = stored(chunked(docs), "substring-chunks")
-    each = chunks.select("row", F.posexplode("digests").alias("pos", "digest"))
+    each = chunks.select("row", F.explode("chunks.digest").alias("digest"))
     # the count needs only the smallest and largest row of each digest
     repeated = each.groupBy("digest").agg(F.min("row").alias("lo"), F.max("row").alias("hi")).where("lo < hi").select("digest")
     repeated = stored(repeated, "substring-repeated")
-    place = chunks.select("row", "doc_id", F.posexplode(F.arrays_zip("digests", "ends")).alias("pos", "c"), "ends")
-    place = place.select("row", "doc_id", "pos", F.col("c.digests").alias("digest"), F.when(F.col("pos") > 0, F.expr("ends[pos - 1]")).otherwise(0).alias("start"), F.col("c.ends").alias("end"))
+    place = chunks.select("row", "doc_id", F.posexplode("chunks").alias("pos", "c")).select("row", "doc_id", "pos", "c.*")
     found = stored(place.join(repeated, "digest"), "substring-found")
     order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "row", "pos")
     first = found.groupBy("digest").agg(F.min(order).alias("first"))
