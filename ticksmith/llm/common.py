@@ -9,11 +9,12 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from ticksmith.session import checkpoint_root, configure, shared_dir, ship_package
 
 #: entries a worker keeps in a memo of word facts; a full memo is emptied, which never changes a result
-MEMO_WORDS = 400_000
+MEMO_WORDS = 200_000
 
 U64 = np.uint64
 
@@ -23,8 +24,8 @@ def prepare(spark: SparkSession) -> SparkSession:
     configure(spark)
     checkpoint_root(spark)
     ship_package(spark)
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "1000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(32 << 20))
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "500")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(16 << 20))
     return spark
 
 
@@ -44,7 +45,7 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
-def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterator[dict]]], schema: str) -> DataFrame:
+def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Iterator[dict]]], schema: str | StructType) -> DataFrame:
     """``mapInArrow`` whose per-task state is built by ``make`` on the executor.
 
     ``make()`` returns a function from a record batch to column dictionaries
@@ -62,11 +63,28 @@ def map_batches(df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], Ite
     return df.mapInArrow(run, schema)
 
 
-def arrow_schema(spark: SparkSession, schema: str) -> pa.Schema:
+def arrow_schema(spark: SparkSession, schema: str | StructType) -> pa.Schema:
     from pyspark.sql.pandas.types import to_arrow_schema
-    from pyspark.sql.types import StructType
 
-    return to_arrow_schema(StructType.fromDDL(schema))
+    return to_arrow_schema(StructType.fromDDL(schema) if isinstance(schema, str) else schema)
+
+
+def keep_rows(docs: DataFrame, make: Callable[[], Callable[[list[bytes | None]], list[bool]]]) -> DataFrame:
+    """The rows whose text passes; a narrow filter over all columns as they are, without a join."""
+    width = len(docs.columns)
+
+    def rows():
+        judge = make()
+
+        def step(batch: pa.RecordBatch):
+            good = pa.array(judge(raw_texts(batch.column(width))), pa.bool_())
+            kept = batch.filter(good)
+            yield {f.name: kept.column(k) for k, f in enumerate(docs_schema)}
+
+        return step
+
+    docs_schema = docs.schema.fields
+    return map_batches(docs.select("*", docs["text"].alias("__text")), rows, docs.schema)
 
 
 def record_batch(columns: dict, target: pa.Schema) -> pa.RecordBatch:
