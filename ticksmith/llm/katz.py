@@ -15,9 +15,9 @@ in buckets of a hash range, with its training count.  A bucket adds up the
 counts of all blocks and answers each block with the totals of its n-grams,
 which of them it owns (each n-gram has one owner) and which other blocks hold.  Owners sum the
 discounted mass and the lower-order mass per history; histories that occur in
-one block only are finished there, the others are added up by a join.  The
-model tables (n-gram counts per bucket, sums per history) are written as
-Parquet in the shared folder.  Only counts of counts, the number of training
+one block only are finished there, the others are added up in buckets the same
+way, which answer with the backoff weight.  The model tables (n-gram counts and
+backoff weights per bucket) are written as Parquet in the shared folder.  Only counts of counts, the number of training
 tokens and of types reach the driver.
 
 ``ORDER`` is 2: with longer n-grams the tables alone pass four times the input.
@@ -38,11 +38,11 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticksmith.llm.common import ODD, U64, arrow_schema, hashed_words, mix64, prepare, raw_texts, record_batch, stored, word_hashes
+from ticksmith.llm.common import ODD, U64, arrow_schema, hashed_words, map_batches, mix64, prepare, raw_texts, record_batch, stored, word_hashes
 
 ORDER = 2
 GT_MAX = 5
-BLOCK_TOKENS = 3_000_000
+BLOCK_TOKENS = 1_500_000
 #: expected n-grams of one order in a bucket
 BUCKET_GRAMS = 1_000_000
 #: flags of an answer: this block owns the n-gram; other blocks hold it too
@@ -51,7 +51,7 @@ END = U64(xxhash.xxh64_intdigest(b"end of text", 1))
 BEGIN = U64(xxhash.xxh64_intdigest(b"begin of text", 2))
 
 BLOCK_SCHEMA = "block long, doc_ids array<bigint>, rows array<bigint>, held_out array<boolean>, lengths array<int>, words binary, codes binary"
-MADE_SCHEMA = f"{BLOCK_SCHEMA}, grams array<struct<level:int,bucket:int,n:int,keys:binary,counts:binary>>"
+GRAM_SCHEMA = "block long, level int, bucket int, keys binary, counts binary"
 
 
 def squeeze(a: np.ndarray) -> bytes:
@@ -89,6 +89,13 @@ class Block:
         h = self.words[np.maximum(codes, 0)]
         return np.where(codes == -1, BEGIN, h)
 
+    def asked(self, total: np.ndarray):
+        """The trained histories that other blocks hold too: sorted hashes, and their places among the histories."""
+        place = np.flatnonzero(self.shared & (total > 0))
+        keys = np.append(self.words, BEGIN)[place]
+        order = np.argsort(keys, kind="stable")
+        return keys[order], place[order]
+
     def bigrams(self):
         """Sorted distinct keys, each token's position in them, and a token that shows each."""
         keys = mix64(self.history_hashes(self.before) * ODD + self.words[self.codes])
@@ -100,9 +107,9 @@ def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
     return ((keys >> U64(32)) * U64(buckets) >> U64(32)).astype(np.int64)
 
 
-def make_blocks(docs: DataFrame, buckets: int, block_tokens: int) -> DataFrame:
-    """Blocks of consecutive texts with the n-grams they send; a retried task makes the same blocks."""
-    target = arrow_schema(docs.sparkSession, MADE_SCHEMA)
+def make_blocks(docs: DataFrame, block_tokens: int) -> DataFrame:
+    """Blocks of consecutive texts as codes into their distinct words; a retried task makes the same blocks."""
+    target = arrow_schema(docs.sparkSession, BLOCK_SCHEMA)
 
     def run(batches):
         memo, task = word_hashes(), TaskContext.get().partitionId()
@@ -111,21 +118,10 @@ def make_blocks(docs: DataFrame, buckets: int, block_tokens: int) -> DataFrame:
 
         def block():
             nonlocal held, tokens, made
-            lengths = np.array([len(h) for *_, h in held], np.int64)
-            held_out = np.array([o for _, _, o, _ in held], bool)
             words, codes = np.unique(np.concatenate([h for *_, h in held]), return_inverse=True)
-            b = Block(words, codes, lengths, held_out)
-            grams = []
-            pairs, _, at = b.bigrams()
-            for level, keys, inverse in ((1, words, codes), (2, pairs, at)):
-                counts = np.bincount(inverse, weights=b.train, minlength=len(keys)).astype(np.uint32)
-                cuts = np.searchsorted(bucket_of(keys, buckets), np.arange(buckets + 1))
-                for k in np.flatnonzero(np.diff(cuts)):
-                    s = slice(cuts[k], cuts[k + 1])
-                    grams.append({"level": level, "bucket": int(k), "n": int(cuts[k + 1] - cuts[k]), "keys": squeeze_sorted(keys[s]), "counts": squeeze(counts[s])})
             row = {
-                "block": [task << 24 | made], "doc_ids": [[d for _, d, _, _ in held]], "rows": [[r for r, *_ in held]], "held_out": [held_out],
-                "lengths": [lengths], "words": [squeeze_sorted(words)], "codes": [squeeze(codes.astype(np.uint32))], "grams": [grams],
+                "block": [task << 24 | made], "doc_ids": [[d for _, d, _, _ in held]], "rows": [[r for r, *_ in held]], "held_out": [[o for _, _, o, _ in held]],
+                "lengths": [[len(h) for *_, h in held]], "words": [squeeze_sorted(words)], "codes": [squeeze(codes.astype(np.uint32))],
             }
             held, tokens, made = [], 0, made + 1
             return record_batch(row, target)
@@ -141,7 +137,41 @@ def make_blocks(docs: DataFrame, buckets: int, block_tokens: int) -> DataFrame:
         if held:
             yield block()
 
-    return docs.mapInArrow(run, MADE_SCHEMA)
+    return docs.mapInArrow(run, BLOCK_SCHEMA)
+
+
+def open_block(row: dict) -> Block:
+    words, codes = expand_sorted(row["words"]), expand(row["codes"], np.uint32).astype(np.int64)
+    return Block(words, codes, np.array(row["lengths"], np.int64), np.array(row["held_out"], bool))
+
+
+def grams_of(blocks: DataFrame, buckets: int) -> DataFrame:
+    """What each block sends to the buckets: its distinct n-grams and their training counts."""
+
+    def make():
+        def step(batch: pa.RecordBatch):
+            for row in batch.to_pylist():
+                b, out = open_block(row), []
+                pairs, _, at = b.bigrams()
+                for level, keys, inverse in ((1, b.words, b.codes), (2, pairs, at)):
+                    counts = np.bincount(inverse, weights=b.train, minlength=len(keys)).astype(np.uint32)
+                    cuts = np.searchsorted(bucket_of(keys, buckets), np.arange(buckets + 1))
+                    for k in np.flatnonzero(np.diff(cuts)):
+                        s = slice(cuts[k], cuts[k + 1])
+                        out.append((row["block"], level, int(k), squeeze_sorted(keys[s]), squeeze(counts[s])))
+                yield {c: list(v) for c, v in zip(("block", "level", "bucket", "keys", "counts"), zip(*out))}
+
+        return step
+
+    return map_batches(blocks, make, GRAM_SCHEMA)
+
+
+def free_shuffles(spark) -> None:
+    """Let Spark drop the shuffle files of finished steps now rather than at the driver's next collection."""
+    import gc
+
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
 
 
 def answer_buckets(grams: DataFrame) -> DataFrame:
@@ -215,8 +245,7 @@ class Model:
 
 def read_block(block: dict, answers: list[dict]):
     """A block with the totals of its words and bigrams."""
-    words, codes = expand_sorted(block["words"]), expand(block["codes"], np.uint32).astype(np.int64)
-    b = Block(words, codes, np.array(block["lengths"], np.int64), np.array(block["held_out"], bool))
+    b = open_block(block)
     answers = sorted(answers, key=lambda r: (r["level"], r["bucket"]))
     found = []
     for level in (1, 2):
@@ -225,19 +254,53 @@ def read_block(block: dict, answers: list[dict]):
     (c1, flags1), (c2, flags2) = found
     _, shown, at = b.bigrams()
     # the begin symbol goes where the end goes
-    b.shared = np.append(flags1, flags1[np.searchsorted(words, END)]) & SHARED > 0
+    b.shared = np.append(flags1, flags1[np.searchsorted(b.words, END)]) & SHARED > 0
     return b, c1.astype(np.int64), c2.astype(np.int64), flags2 & OWNED > 0, shown, at
 
 
 def history_sums(b: Block, c1, c2, owned, shown, model: Model):
-    """Per history (words, then begin): its total, and what this block owns of its discounted and lower-order mass."""
+    """Per history (words, then begin): its total, and of the bigrams this block owns, how many occur 1 .. GT_MAX times,
+    the occurrences of the others, and the lower-order mass."""
     n = len(b.words)
     history = np.where(b.before[shown] == -1, n, b.before[shown])
     use = owned & (c2 > 0)
-    mass = np.bincount(history[use], weights=model.mass2(c2[use]), minlength=n + 1)
-    lower = np.bincount(history[use], weights=model.p1(c1[b.codes[shown[use]]]), minlength=n + 1)
+    h, c = history[use], c2[use]
+    times = np.stack([*(np.bincount(h[c == r], minlength=n + 1) for r in range(1, GT_MAX + 1)), np.bincount(h, weights=np.where(c > GT_MAX, c, 0), minlength=n + 1)])
+    lower = np.bincount(h, weights=model.p1(c1[b.codes[shown[use]]]), minlength=n + 1)
     total = np.append(c1, c1[np.searchsorted(b.words, END)])  # as many begins as ends
-    return history, mass, lower, total
+    return history, times.astype(np.int64), lower, total
+
+
+def backoff(times: np.ndarray, lower: np.ndarray, total: np.ndarray, model: Model) -> np.ndarray:
+    """alpha of each history, negative where g isn't one; 1 for histories without training."""
+    mass = model.d2[1 : GT_MAX + 1] * np.arange(1, GT_MAX + 1) @ times[:GT_MAX] + times[GT_MAX]
+    with np.errstate(divide="ignore", invalid="ignore"):
+        seen = mass / total
+        full = seen >= 1 - 1e-12
+        alpha = (1 - np.where(full, total / (total + 1.0), 1.0) * seen) / (1 - lower)
+    return np.where(total > 0, np.where(full, -alpha, alpha), 1.0)
+
+
+def answer_histories(parts: DataFrame, model: Model) -> DataFrame:
+    """alpha of every history for each block that asks, in the order it asked; histories are added up per bucket."""
+    schema = "block long, level int, bucket int, totals binary, owned binary"
+    target = arrow_schema(parts.sparkSession, schema)
+
+    def add_up(group: pa.Table) -> pa.Table:
+        rows = sorted(group.to_pylist(), key=lambda r: r["block"])
+        keys = [expand_sorted(r["keys"]) for r in rows]
+        _, first, at = np.unique(np.concatenate(keys), return_index=True, return_inverse=True)
+        times = np.concatenate([expand(r["times"], np.uint32).reshape(GT_MAX + 1, -1) for r in rows], axis=1)
+        times = np.stack([np.bincount(at, weights=t) for t in times])
+        lower = np.bincount(at, weights=np.concatenate([expand(r["lower"], np.float64) for r in rows]))
+        total = np.concatenate([expand(r["total"], np.uint32) for r in rows])[first].astype(np.int64)
+        alpha, out, p = backoff(times, lower, total, model)[at], [], 0
+        for r, k in zip(rows, keys):
+            out.append({"block": r["block"], "level": 3, "bucket": r["bucket"], "totals": squeeze(alpha[p : p + len(k)]), "owned": None})
+            p += len(k)
+        return pa.Table.from_pylist(out, schema=target)
+
+    return parts.groupBy("bucket").applyInArrow(add_up, schema)
 
 
 def katz(docs: DataFrame, buckets: int | None = None, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
@@ -248,55 +311,53 @@ def katz(docs: DataFrame, buckets: int | None = None, block_tokens: int = BLOCK_
     if buckets is None:
         size = rows.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
         buckets = max(8, int(size / 6 / BUCKET_GRAMS) + 1)
-    made = stored(make_blocks(rows, buckets, block_tokens), "katz-made")
-    blocks = made.drop("grams")
-    grams = made.select("block", F.inline("grams"))
-    answers = stored(answer_buckets(grams), "katz-counts")
+    blocks = stored(make_blocks(rows, block_tokens), "katz-blocks")
+    answers = stored(answer_buckets(grams_of(blocks, buckets)), "katz-counts")
+    free_shuffles(spark)
     stats = {r["level"]: r["s"] for r in answers.where("block < 0").groupBy("level").agg(F.array(*[F.sum(F.col("stats")[k]) for k in range(GT_MAX + 3)]).alias("s")).collect()}
     empty = [0] * (GT_MAX + 3)
     model = Model(stats.get(1, empty), stats.get(2, empty))
     replies = answers.where("block >= 0").drop("stats")
 
-    sums_schema = "block long, history long, mass double, lower double"
-    sums_target = arrow_schema(spark, sums_schema)
+    parts_schema = "block long, bucket int, keys binary, times binary, lower binary, total binary"
+    parts_target = arrow_schema(spark, parts_schema)
 
     def shared_histories(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
-            return sums_target.empty_table()
+            return parts_target.empty_table()
         row = left.to_pylist()[0]
         b, c1, c2, owned, shown, _ = read_block(row, right.to_pylist())
-        _, mass, lower, total = history_sums(b, c1, c2, owned, shown, model)
-        send = b.shared & (total > 0)
-        names = np.append(b.words, BEGIN)[send].view(np.int64)
-        return pa.table([np.full(len(names), row["block"]), names, mass[send], lower[send]], schema=sums_target)
-
-    parts = stored(blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(shared_histories, sums_schema), "katz-parts")
-    whole = parts.groupBy("history").agg(F.sum("mass").alias("mass"), F.sum("lower").alias("lower"))
-    model_table = stored(whole, "katz-histories")
-    back = parts.select("block", "history").join(model_table, "history")
+        _, times, lower, total = history_sums(b, c1, c2, owned, shown, model)
+        keys, order = b.asked(total)
+        cuts = np.searchsorted(bucket_of(keys, buckets), np.arange(buckets + 1))
+        out = []
+        for k in np.flatnonzero(np.diff(cuts)):
+            o = order[cuts[k] : cuts[k + 1]]
+            sums = squeeze(np.ascontiguousarray(times[:, o]).astype(np.uint32).reshape(-1))
+            out.append({"block": row["block"], "bucket": int(k), "keys": squeeze_sorted(keys[cuts[k] : cuts[k + 1]]), "times": sums, "lower": squeeze(lower[o]), "total": squeeze(total[o].astype(np.uint32))})
+        return pa.Table.from_pylist(out, schema=parts_target)
+
+    parts = blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(shared_histories, parts_schema)
+    model_table = stored(answer_histories(parts, model), "katz-histories")
+    free_shuffles(spark)
 
     score_schema = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
     score_target = arrow_schema(spark, score_schema)
-    back = back.select("block", F.lit(0).alias("level"), F.lit(0).alias("bucket"), F.lit(None).cast("binary").alias("totals"), F.lit(None).cast("binary").alias("owned"), "history", "mass", "lower")
-    inputs = replies.select("*", F.lit(None).cast("long").alias("history"), F.lit(None).cast("double").alias("mass"), F.lit(None).cast("double").alias("lower")).unionByName(back)
+    inputs = replies.unionByName(model_table)
 
     def score(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
             return score_target.empty_table()
         row = left.to_pylist()[0]
-        level = right.column("level").to_numpy()
-        counted = right.filter(pa.array(level > 0)).select(["level", "bucket", "totals", "owned"]).to_pylist()
-        others = right.filter(pa.array(level == 0))
-        b, c1, c2, owned, shown, at = read_block(row, counted)
-        history, mass, lower, total = history_sums(b, c1, c2, owned, shown, model)
-        names = others.column("history").to_numpy().view(U64)
-        n = len(b.words)
-        place = np.where(names == BEGIN, n, np.minimum(np.searchsorted(b.words, names), n - 1))
-        mass[place], lower[place] = others.column("mass").to_numpy(), others.column("lower").to_numpy()
-        with np.errstate(divide="ignore", invalid="ignore"):
-            seen = mass / total
-            free = np.where(seen < 1 - 1e-12, 1.0, total / (total + 1.0))
-            alpha = np.where(total > 0, (1 - free * seen) / (1 - lower), 1.0)
+        rows = right.to_pylist()
+        b, c1, c2, owned, shown, at = read_block(row, rows)
+        history, times, lower, total = history_sums(b, c1, c2, owned, shown, model)
+        alpha = backoff(times, lower, total, model)
+        given = sorted((r for r in rows if r["level"] == 3), key=lambda r: r["bucket"])
+        if given:
+            alpha[b.asked(total)[1]] = np.concatenate([expand(r["totals"], np.float64) for r in given])
+        free = np.where(alpha < 0, total / (total + 1.0), 1.0)
+        alpha = np.abs(alpha)
         low = model.p1(c1[b.codes[shown]])
         high = free[history] * model.mass2(c2) / np.maximum(total[history], 1)
         logp = np.log10(np.where(c2 > 0, high, alpha[history] * low))
