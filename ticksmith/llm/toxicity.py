@@ -11,10 +11,11 @@ in one step by a matrix power, so the marginals are exact for any length.  A
 document's score is a logistic function of the expected number of toxic tokens
 and the highest marginal, fitted on counts of all labelled training documents.
 
-Fitted on: word counts of all labelled training documents; at most
-``FIT_SENTENCES`` sentences (in hash order) for the chain; counts per feature
-cell of all labelled training documents for the logistic.  Training documents
-that open with the same ten words count once, so copies don't vote.
+The classifier is fitted on a bounded sample: ``FIT_ROWS`` labelled training
+documents in hash order give the words, at most ``FIT_SENTENCES`` of their
+sentences the chain, and their counts per feature cell the logistic.  Training
+documents that open with the same ten words count once, so copies don't vote.
+Scoring reads every text whole and is narrow: no join, no shuffle.
 
 Null and empty texts have no tokens and get the score of a text without toxic
 words.  Without any labelled training rows, or with one class only, the score
@@ -25,17 +26,19 @@ by row; a null doc_id is never held out nor labelled.  Extra columns are ignored
 from __future__ import annotations
 
 import math
+from collections import Counter
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ticksmith.llm.common import WordMemo, map_batches, prepare, raw_texts, split_words, stored
+from ticksmith.llm.common import WordMemo, keep_rows, map_batches, prepare, raw_texts, split_words, stored
 
-#: fixed sizes of what is learned: words of the lexicon, sentences for the chain, tokens of a fitted sentence
+#: fixed sizes of what is learned: labelled documents, words of the lexicon, sentences for the chain, tokens of a fitted sentence
+FIT_ROWS = 20_000
 LEXICON_WORDS = 2_000
-FIT_SENTENCES = 20_000
+FIT_SENTENCES = 8_000
 FIT_TOKENS = 64
 #: characters that don't count at the ends of a word
 EDGES = b".,;:!?\"'()[]{}<>*#$%&|-_~`+=/\\"
@@ -81,7 +84,9 @@ def lexicon(labelled: DataFrame) -> dict[bytes, int]:
         return {}
     expected = (F.col("a") + F.col("b")) * (n1 / (n1 + n0))
     g = 2 * (F.col("a") * F.log(F.col("a") / expected) + F.when(F.col("b") > 0, F.col("b") * F.log(F.col("b") / ((F.col("a") + F.col("b")) * (n0 / (n1 + n0))))).otherwise(0.0))
-    scored = stored(words.select("word", g.alias("g"), (F.col("a") > 3 * expected).alias("up")), "toxicity-words")
+    # such words are at least half-way from the usual share of toxic documents to all
+    up = F.col("a") / (F.col("a") + F.col("b")) >= (1 + n1 / (n1 + n0)) / 2
+    scored = stored(words.select("word", g.alias("g"), up.alias("up")), "toxicity-words")
     tried = max(2, scored.count())
     best = scored.where(F.col("up") & (F.col("g") >= 2 * math.log(tried) + 6)).orderBy(F.desc("g"), "word").limit(LEXICON_WORDS).collect()
     return {bytes(r["word"]): k for k, r in enumerate(sorted(best, key=lambda r: r["word"]), 1)}
@@ -121,11 +126,15 @@ class Chain:
     def __init__(self, size: int):
         self.emit, self.move = np.zeros((size, 2)), np.zeros((2, 2))
 
-    def fit(self, rows: list[tuple[list[int], int]], steps: int = 150, rate: float = 0.5, ridge: float = 1e-4):
+    def fit(self, rows: list[tuple[list[int], int]], steps: int = 100, rate: float = 0.5, ridge: float = 1e-4):
         """Gradient ascent (Adam) on the conditional log-likelihood of the token labels."""
         if not rows:
             return self
-        rows = sorted(rows, key=lambda r: -len(r[0]))
+        # equal sentences, above all those without lexicon words, are one row with a weight
+        total = len(rows)
+        distinct = Counter((tuple(codes), toxic) for codes, toxic in rows)
+        rows = sorted(distinct, key=lambda r: (-len(r[0]), r))
+        weight = np.array([distinct[r] for r in rows], float)
         length = np.array([len(r[0]) for r in rows])
         code = np.zeros((len(rows), length[0]), np.int64)
         gold = np.zeros_like(code)
@@ -134,20 +143,21 @@ class Chain:
             gold[k, : len(codes)] = (np.array(codes) > 0) & bool(toxic)
         alive = np.arange(length[0]) < length[:, None]
         seen_emit = np.zeros_like(self.emit)
-        np.add.at(seen_emit, (code[alive], gold[alive]), 1)
+        each = np.broadcast_to(weight[:, None], code.shape)
+        np.add.at(seen_emit, (code[alive], gold[alive]), each[alive])
         both = alive[:, 1:]
         seen_move = np.zeros((2, 2))
-        np.add.at(seen_move, (gold[:, :-1][both], gold[:, 1:][both]), 1)
+        np.add.at(seen_move, (gold[:, :-1][both], gold[:, 1:][both]), each[:, 1:][both])
         moments = [[np.zeros_like(x), np.zeros_like(x)] for x in (self.emit, self.move)]
         for t in range(1, steps + 1):
-            emit, move = self._expected(code, alive)
-            for x, g, m in ((self.emit, (seen_emit - emit) / len(rows) - ridge * self.emit, moments[0]), (self.move, (seen_move - move) / len(rows) - ridge * self.move, moments[1])):
+            emit, move = self._expected(code, alive, weight)
+            for x, g, m in ((self.emit, (seen_emit - emit) / total - ridge * self.emit, moments[0]), (self.move, (seen_move - move) / total - ridge * self.move, moments[1])):
                 m[0] = 0.9 * m[0] + 0.1 * g
                 m[1] = 0.99 * m[1] + 0.01 * g * g
                 x += rate * (m[0] / (1 - 0.9**t)) / (np.sqrt(m[1] / (1 - 0.99**t)) + 1e-8)
         return self
 
-    def _expected(self, code: np.ndarray, alive: np.ndarray):
+    def _expected(self, code: np.ndarray, alive: np.ndarray, weight: np.ndarray):
         """Expected feature counts by forward-backward over all rows side by side."""
         rows, width = code.shape
         e = np.exp(self.emit - self.emit.max(axis=1, keepdims=True))[code]
@@ -165,9 +175,9 @@ class Chain:
         emit, move = np.zeros_like(self.emit), np.zeros((2, 2))
         mask = alive.T
         for s in (0, 1):
-            emit[:, s] = np.bincount(code.T[mask], weights=p[..., s][mask], minlength=len(emit))
+            emit[:, s] = np.bincount(code.T[mask], weights=(p[..., s] * weight)[mask], minlength=len(emit))
         pair = f[:-1, :, :, None] * m * (b[1:] * e.transpose(1, 0, 2)[1:])[:, :, None, :]
-        pair /= pair.sum(axis=(2, 3), keepdims=True)
+        pair *= weight[None, :, None, None] / pair.sum(axis=(2, 3), keepdims=True)
         return emit, pair[alive.T[1:]].sum(axis=0)
 
     def marginals(self, codes: np.ndarray):
@@ -218,29 +228,6 @@ class Chain:
         return at, p[:, 1] / p.sum(axis=1)
 
 
-def tag(docs: DataFrame, words: dict[bytes, int], chain: Chain, keep: list[str]) -> DataFrame:
-    """Columns ``keep`` with expected (toxic tokens), highest (marginal) and spans (token and byte offsets) of every text."""
-
-    def make():
-        codes = coder(words)
-
-        def step(batch: pa.RecordBatch):
-            expected, highest, spans = [], [], []
-            for text in raw_texts(batch.column(len(keep))):
-                tokens = split_words(text)
-                at, p = chain.marginals(np.fromiter(map(codes.__getitem__, tokens), np.int64, len(tokens)))
-                expected.append(float(p.sum()))
-                highest.append(float(p.max()) if len(p) else 0.0)
-                spans.append(byte_spans(text, tokens, at[p >= 0.5]))
-            yield {k: batch.column(i) for i, k in enumerate(keep)} | {"expected": expected, "highest": highest, "spans": spans}
-
-        return step
-
-    kinds = dict(docs.dtypes)
-    schema = ", ".join(f"{k} {kinds[k]}" for k in keep) + ", expected double, highest double, spans array<struct<first:int,last:int,start:int,end:int>>"
-    return map_batches(docs.select(*keep, "text"), make, schema)
-
-
 def byte_spans(text: bytes | None, tokens: list[bytes], toxic: np.ndarray) -> list[dict]:
     """Runs of toxic tokens: first and last token, and their bytes in the text."""
     if not len(toxic):
@@ -274,38 +261,97 @@ def fit_logistic(x: np.ndarray, y1: np.ndarray, n: np.ndarray, ridge: float = 0.
     return w
 
 
-def training_rows(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, text, toxic of labelled documents that aren't held out; equal openings count once."""
-    l = labels.where("doc_id is not null and toxic is not null").groupBy(F.col("doc_id").cast("long").alias("__id")).agg(F.max(F.col("toxic").cast("int")).alias("toxic"))
-    l = l.where(~is_held_out("__id"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("__id"), "text").join(stored(l, "toxicity-labels"), "__id")
+def training_rows(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS) -> DataFrame:
+    """doc_id, text, toxic of a bounded sample of labelled documents that aren't held out; equal openings count once."""
+    l = labels.where("doc_id is not null and toxic is not null").select(F.col("doc_id").cast("long").alias("__id"), F.col("toxic").cast("int").alias("toxic"))
+    l = l.where(~is_held_out("__id")).orderBy(F.xxhash64("__id"), "__id", F.desc("toxic")).limit(fit_rows)
+    # stored, so that its size is known and the texts needn't move
+    l = stored(l.groupBy("__id").agg(F.max("toxic").alias("toxic")), "toxicity-labels")
+    rows = docs.select(F.col("doc_id").cast("long").alias("__id"), "text").join(l, "__id")
     rows = rows.withColumn("__opening", F.xxhash64(F.lower(F.substring_index("text", " ", 10))))
-    rows = stored(rows, "toxicity-training")
-    first = rows.groupBy("__opening").agg(F.min("__id").alias("__id"))
-    return rows.join(first, ["__opening", "__id"], "left_semi").dropDuplicates(["__id"]).select(F.col("__id").alias("doc_id"), "text", "toxic")
+    rows = stored(rows.dropDuplicates(["__opening"]), "toxicity-training")
+    return rows.select(F.col("__id").alias("doc_id"), "text", "toxic")
 
 
-def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """doc_id, held_out, score, predicted, expected, highest, spans of every row."""
-    prepare(docs.sparkSession)
-    train = stored(training_rows(docs, labels), "toxicity-rows")
+class Scorer:
+    """The fitted classifier, small enough to go to every task."""
+
+    def __init__(self, words: dict[bytes, int], chain: Chain, weights: np.ndarray | None, share: float):
+        self.words, self.chain, self.weights, self.share = words, chain, weights, share
+
+    def scores(self, expected, highest) -> np.ndarray:
+        if self.weights is None:
+            return np.full(len(expected), self.share)
+        return 1 / (1 + np.exp(-(features(expected, highest) @ self.weights)))
+
+
+def marks(text: bytes | None, codes: WordMemo, chain: Chain):
+    """Tokens of a text, positions of its marginals, and the marginals."""
+    tokens = split_words(text)
+    return tokens, *chain.marginals(np.fromiter(map(codes.__getitem__, tokens), np.int64, len(tokens)))
+
+
+def fit(docs: DataFrame, labels: DataFrame) -> Scorer:
+    train = training_rows(docs, labels)
     words = lexicon(train)
     chain = Chain(len(words) + 1).fit(sentences(train, words) if words else [])
-    cells = tag(train, words, chain, ["toxic"]).select("toxic", (F.floor(F.least("expected", F.lit(CELL_MAX)) * CELLS) / CELLS).alias("expected"), F.round("highest", 1).alias("highest"))
+
+    def make():
+        codes = coder(words)
+
+        def step(batch: pa.RecordBatch):
+            p = [marks(t, codes, chain)[2] for t in raw_texts(batch.column(1))]
+            yield {"toxic": batch.column(0), "expected": [float(x.sum()) for x in p], "highest": [float(x.max()) if len(x) else 0.0 for x in p]}
+
+        return step
+
+    cells = map_batches(train.select("toxic", "text"), make, "toxic int, expected double, highest double")
+    cells = cells.select("toxic", (F.floor(F.least("expected", F.lit(CELL_MAX)) * CELLS) / CELLS).alias("expected"), F.round("highest", 1).alias("highest"))
     counted = cells.groupBy("expected", "highest").agg(F.sum("toxic").alias("y"), F.count("*").alias("n")).collect()
     y, n = (np.array([r[c] for r in counted], float) for c in ("y", "n"))
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("held_out", is_held_out())
-    tagged = tag(rows, words, chain, ["doc_id", "held_out"])
-    if not counted or not 0 < y.sum() < n.sum():
-        score = F.lit(float(y.sum() / n.sum()) if counted else 0.0)
-    else:
-        w = fit_logistic(features([r["expected"] for r in counted], [r["highest"] for r in counted]), y, n)
-        score = 1 / (1 + F.exp(-(F.lit(w[0]) + w[1] * F.col("highest") + w[2] * F.sqrt(F.least("expected", F.lit(float(CELL_MAX)))))))
-    out = tagged.withColumn("score", score.cast("double"))
-    return out.select("doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), "expected", "highest", "spans")
+    share = float(y.sum() / n.sum()) if counted else 0.0
+    if not 0 < share < 1:
+        return Scorer(words, chain, None, share)
+    return Scorer(words, chain, fit_logistic(features([r["expected"] for r in counted], [r["highest"] for r in counted]), y, n), share)
+
+
+def toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """doc_id, held_out, score, predicted, expected, highest, spans of every row."""
+    prepare(docs.sparkSession)
+    scorer = fit(docs, labels)
+
+    def make():
+        codes = coder(scorer.words)
+
+        def step(batch: pa.RecordBatch):
+            expected, highest, spans = [], [], []
+            for text in raw_texts(batch.column(2)):
+                tokens, at, p = marks(text, codes, scorer.chain)
+                expected.append(float(p.sum()))
+                highest.append(float(p.max()) if len(p) else 0.0)
+                spans.append(byte_spans(text, tokens, at[p >= 0.5]))
+            score = scorer.scores(expected, highest)
+            yield {"doc_id": batch.column(0), "held_out": batch.column(1), "score": score, "predicted": score >= 0.5, "expected": expected, "highest": highest, "spans": spans}
+
+        return step
+
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), is_held_out().alias("held_out"), "text")
+    schema = "doc_id long, held_out boolean, score double, predicted boolean, expected double, highest double, spans array<struct<first:int,last:int,start:int,end:int>>"
+    return map_batches(rows, make, schema).withColumn("predicted", F.col("predicted").cast("int"))
 
 
 def without_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The documents not predicted toxic; all columns stay, rows with a null doc_id are judged by their text."""
-    found = toxicity(docs, labels).where("predicted = 1").select(F.col("doc_id").alias("__toxic")).distinct()
-    return docs.join(found, docs["doc_id"].cast("long").eqNullSafe(found["__toxic"]), "left_anti")
+    """The documents not predicted toxic, each judged by its own text; all columns stay."""
+    prepare(docs.sparkSession)
+    scorer = fit(docs, labels)
+
+    def make():
+        codes = coder(scorer.words)
+
+        def judge(texts: list[bytes | None]) -> list[bool]:
+            p = [marks(t, codes, scorer.chain)[2] for t in texts]
+            return (scorer.scores([float(x.sum()) for x in p], [float(x.max()) if len(x) else 0.0 for x in p]) < 0.5).tolist()
+
+        return judge
+
+    return keep_rows(docs, make)
