@@ -53,8 +53,9 @@ def lines_of(docs: DataFrame) -> DataFrame:
     """doc (hash of the text), family, line (masked) of every line that isn't blank."""
     d = docs.select("text").where("text is not null").select(F.xxhash64("text").alias("doc"), F.split("text", "\n").alias("lines"))
     longest = F.expr("array_max(transform(lines, l -> named_struct('n', length(l), 'line', l))).line")
-    rows = d.select("doc", F.xxhash64(leading(masked(longest))).alias("family"), F.explode("lines").alias("line"))
-    return rows.select("doc", "family", masked(F.col("line")).alias("line")).where("line <> ''")
+    # masked inside the generator, so that later steps read the masked line instead of masking again
+    each = F.filter(F.transform("lines", masked), lambda l: l != "")
+    return d.select("doc", F.explode(F.array(F.xxhash64(leading(masked(longest))))).alias("family"), "lines").select("doc", "family", F.explode(each).alias("line"))
 
 
 def keyed(lines: DataFrame) -> DataFrame:
@@ -108,11 +109,9 @@ def without_templates(docs: DataFrame, counts: bool = False) -> DataFrame:
     rows = docs.withColumn("__hash", F.xxhash64("text")).join(per_doc, F.col("__hash") == F.col("__doc"), "left")
     lines = F.split("text", "\n")
 
-    def stays(line: Column) -> Column:
-        m = masked(line)
-        return (m == "") | ~F.array_contains("__drop", F.xxhash64(m))
-
-    rows = rows.withColumn("__kept", F.when(F.col("__drop").isNull(), lines).otherwise(F.filter(lines, stays)))
+    # blank lines have no key, so none is ever dropped; the generator keeps the work from being repeated per use
+    kept = F.filter(lines, lambda line: ~F.array_contains("__drop", F.xxhash64(masked(line))))
+    rows = rows.select("*", F.explode(F.array(F.when(F.col("__drop").isNull(), lines).otherwise(kept))).alias("__kept"))
     if counts:
         rows = rows.withColumn("n_lines", F.size(lines).cast("long")).withColumn("n_dropped", (F.size(lines) - F.size("__kept")).cast("long"))
     rows = rows.withColumn("text", F.when(F.col("__drop").isNull(), F.col("text")).otherwise(F.array_join("__kept", "\n")))
