@@ -21,6 +21,7 @@ from __future__ import annotations
 
 import json
 import operator
+import re
 import struct
 
 import numpy as np
@@ -34,7 +35,7 @@ from ticksmith.llm.common import WordMemo, map_batches, prepare
 #: pieces of byte-level BPE texts (fixed value of the vocabulary)
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: a space that isn't alone between two words; such texts are cut by the pattern as a whole
-LOOSE_SPACE = regex.compile(r"\s | \s|^ | $")
+LOOSE_SPACE = re.compile(r" \s|\s |^ | \Z")
 
 
 def tokenizer_path(name: str = "byte_bpe_50k.json") -> str:
@@ -71,7 +72,8 @@ class PrefixCounter:
         def as_bytes(token: str) -> bytes:
             return bytes(alphabet[c] for c in token)
 
-        self.known = {as_bytes(t) for t in spec["model"]["vocab"]}
+        self.known = {as_bytes(t): k for k, t in enumerate(spec["model"]["vocab"])}
+        self.token = list(self.known)
         self.rank = {}
         self.halves = {}
         for k, pair in enumerate(spec["model"]["merges"]):
@@ -84,10 +86,11 @@ class PrefixCounter:
         self.pattern = regex.compile(PIECES)
         self.right_edge = WordMemo(lambda t: self._edge(t, 1), 60_000)
         self.left_edge = WordMemo(lambda t: self._edge(t, 0), 60_000)
-        self.alone = WordMemo(lambda t: self._encode(t) == [t], 60_000)
-        self.may_follow = WordMemo(self._stands, 300_000)
-        self.state: dict[bytes, tuple[int, bytes]] = {}
-        self.spaced = WordMemo(self._spaced, 200_000)
+        self.alone = WordMemo(lambda k: self._encode(self.token[k]) == [self.token[k]], len(self.token))
+        self.follows: dict[int, bool] = {}
+        self.state: dict[bytes, tuple[bytes, tuple]] = {}
+        self.spaced = WordMemo(self._spaced, 300_000)
+        self.bare = WordMemo(self._bare, 100_000)
 
     def _edge(self, token: bytes, side: int) -> list[tuple[bytes, float]]:
         """The parts of a token that touch its right (1) or left (0) end, each with the rank of the merge that uses it up."""
@@ -98,15 +101,15 @@ class PrefixCounter:
             out.append((token, used_at))
         return out
 
-    def _stands(self, pair: tuple[bytes, bytes]) -> bool:
+    def _stands(self, left: bytes, right: bytes) -> bool:
         """Whether no merge crosses the border of two neighbouring tokens.
 
         A crossing merge needs both its parts still in place at its turn; of
         equal ranks the leftmost merges first.
         """
         rank = self.rank
-        for x, x_used in self.right_edge[pair[0]]:
-            for y, y_used in self.left_edge[pair[1]]:
+        for x, x_used in self.right_edge[left]:
+            for y, y_used in self.left_edge[right]:
                 turn = rank.get((x, y))
                 if turn is not None and x_used > turn and y_used >= turn:
                     return False
@@ -124,36 +127,75 @@ class PrefixCounter:
         return parts
 
     def _piece(self, data: bytes) -> list[int]:
-        """Token count of data[:i] for i = 0 .. len(data)."""
-        if len(self.state) > 400_000:
-            self.state.clear()
-        # states of short prefixes are shared by all pieces that begin with them
-        shared, own = self.state, [(0, b"")]
-        for i in range(1, len(data) + 1):
-            found = shared.get(data[:i]) if i <= SHARED_PREFIX else None
-            if found is None:
-                found = self._last_token(data, i, own)
-                if i <= SHARED_PREFIX:
-                    shared[data[:i]] = found
-            own.append(found)
-        return [count for count, _ in own]
-
-    def _last_token(self, data: bytes, end: int, states: list[tuple[int, bytes]]) -> tuple[int, bytes]:
-        for start in range(max(0, end - self.longest), end):
-            token = data[start:end]
-            if token in self.known:
-                count, before = states[start]
-                if self.may_follow[before, token] if start else self.alone[token]:
-                    return count + 1, token
-        raise ValueError(f"no encoding of {data[:end]!r}")
+        """Token count of data[:i] for i = 0 .. len(data).
+
+        Exactly one token can be the last of a prefix; the likeliest, the last
+        token of the prefix before with one byte more, is tried first.  The
+        states of short prefixes (count, and last token of each) are kept and
+        shared by all pieces that begin with them.
+        """
+        shared = self.state
+        if len(shared) > 300_000:
+            shared.clear()
+        n = len(data)
+        at = min(n, SHARED_PREFIX)
+        while at and (found := shared.get(data[:at])) is None:
+            at -= 1
+        counts, last = (list(found[0]), list(found[1])) if at else ([0], [None])
+        known, follows, longest = self.known, self.follows, self.longest
+        size = len(self.token[last[-1]]) if at else 0
+        for end in range(at + 1, n + 1):
+            first = end - 1 - size
+            start = first
+            while True:
+                token = known.get(data[start:end])
+                if token is not None:
+                    if start:
+                        pair = last[start] << 20 | token
+                        ok = follows.get(pair)
+                        if ok is None:
+                            ok = self._follows(pair)
+                    else:
+                        ok = self.alone[token]
+                    if ok:
+                        break
+                # after the first try, from the longest to the shortest
+                start = (end - longest if end > longest else 0) if start == first and first >= 0 else start + 1
+                if first >= 0:
+                    first = -1
+                if start >= end:
+                    raise ValueError(f"no encoding of {data[:end]!r}")
+            counts.append(counts[start] + 1)
+            last.append(token)
+            size = end - start
+            if n - 3 < end <= SHARED_PREFIX or end == SHARED_PREFIX:
+                shared[data[:end]] = (bytes(counts), tuple(last))
+        return counts
+
+    def _follows(self, pair: int) -> bool:
+        if len(self.follows) > 400_000:
+            self.follows.clear()
+        ok = self.follows[pair] = self._stands(self.token[pair >> 20], self.token[pair & 0xFFFFF])
+        return ok
 
     def _spaced(self, word: str) -> bytes:
         """Changes of the count over a space and the word after it."""
+        return self._word(" ", word, self.spaced)
+
+    def _bare(self, word: str) -> bytes:
+        """Changes of the count over a word that begins a line."""
+        return self._word("", word, self.bare)
+
+    def _word(self, before: str, word: str, memo: WordMemo) -> bytes:
         if word.isalpha():
-            return packed(self._by_character(" " + word))
+            return packed(self._by_character(before + word))
         if word[:-1].isalpha() and word[-1] in ".,":
-            return packed(self._by_character(" " + word[:-1])) + ONE_MORE
-        return self._deltas(" " + word)
+            return memo[word[:-1]] + ONE_MORE
+        left, line, right = word.partition("\n")
+        if left and line and right and not (left[-1].isspace() or right[0].isspace()):
+            # a line feed alone between two words is a piece of its own
+            return memo[left] + ONE_MORE + self.bare[right]
+        return self._deltas(before + word)
 
     def _by_character(self, piece: str) -> list[int]:
         """Counts of the prefixes of one piece, one per character."""
@@ -161,8 +203,8 @@ class PrefixCounter:
         counts = self._piece(data)
         if len(data) == len(piece):
             return counts[1:]
-        ends = np.cumsum([len(c.encode()) for c in piece])
-        return [counts[e] for e in ends]
+        # a character ends before each byte that doesn't continue one
+        return [counts[k] for k in range(1, len(data)) if data[k] & 0xC0 != 0x80] + [counts[-1]]
 
     def _plain(self, text: str) -> list[int]:
         """Counts after each character of a text without special strings."""
