@@ -152,6 +152,26 @@ ORACLE["request_url"] = _requests_cte() + """ SELECT request_id,
          || end_date || '&symbol=' || replace(symbols, ',', '%2C') END AS url FROM n"""
 
 
+def _top_level_sql(start: str, null_event_fails: bool) -> str:
+    """The direct handlers, by the fixture's thirteen shapes: 0-2 and 10-11 have request keys, 8 is a null event."""
+    bad = "c IN (8, 10, 11)" if null_event_fails else "c IN (10, 11)"
+    null_route = "WHEN c = 8 THEN NULL" if null_event_fails else ""
+    return f"""WITH r AS (
+        SELECT CAST(event_id AS VARCHAR) AS request_id, event_id % 13 AS c, event_type AS sym,
+               CAST(user_id AS VARCHAR) AS uid, strftime(ts, '%Y-%m-%d') AS day FROM events)
+    SELECT request_id,
+           CASE {null_route} WHEN c IN (0, 1, 2, 10, 11) THEN 'direct' ELSE 'default' END AS route,
+           CASE WHEN {bad} THEN 500 ELSE 200 END AS status,
+           CASE WHEN {bad} THEN NULL WHEN c = 0 THEN sym || ',S' || uid ELSE 'AAPL,GOOG,NVDA' END AS symbols,
+           CASE WHEN {bad} THEN NULL WHEN c IN (0, 1) THEN day ELSE '{start}' END AS start_date,
+           CASE WHEN {bad} THEN NULL WHEN c IN (0, 2) THEN day ELSE '2026-03-31' END AS end_date
+    FROM r"""
+
+
+ORACLE["request_direct"] = _top_level_sql("2026-01-01", False)
+ORACLE["request_packaged"] = _top_level_sql("2026-03-01", True)
+
+
 # --- sinks and runs ---------------------------------------------------------------
 
 def _oracle_runs():

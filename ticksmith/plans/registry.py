@@ -225,6 +225,24 @@ def request_url(spark, sf_dir):
     return reqs.select("request_id", rq.request_url(reqs).alias("url"))
 
 
+def _handler_rows(reqs):
+    from ticksmith.functions.encoding import symbols_param
+    return reqs.select("request_id", "route", "status", symbols_param(F.col("symbols")).alias("symbols"),
+                       "start_date", "end_date")
+
+
+@query
+def request_direct(spark, sf_dir):
+    """A4 + A5 + A8, direct handler: top-level keys only, a body is never read."""
+    return _handler_rows(rq.normalise_direct_requests(request_events(table(spark, sf_dir, "events"))))
+
+
+@query
+def request_packaged(spark, sf_dir):
+    """A4 + A5, packaged handler: a later default start date, a null event fails."""
+    return _handler_rows(rq.normalise_packaged_requests(request_events(table(spark, sf_dir, "events"))))
+
+
 # --- sinks and runs (A29-A33, A36) ------------------------------------------------
 
 def _ingest(spark, sf_dir, stamps=(FIXED_STAMP,)):
