@@ -12,11 +12,18 @@ leaf's template.  It is dropped, everywhere, if it recurs
 
 * in at least ``MIN_FAMILIES`` families of documents, where a family shares the
   first tokens of its longest line (a document's own content, which copies
-  share), and
-* in at least half as many families as different documents.
-
-So boilerplate goes, while the lines of copied documents, which always come
-with the same main line, are left to near-duplicate removal.
+  share), and in at least half as many families as different documents, or
+* in at least ``MIN_FAMILIES`` families, however many documents they have, where
+  the documents of a family are alike without the lines of that line's leaf: of
+  the runs of up to ``SHINGLE`` words that either has, both have ``RELATED`` or
+  more, as their ``SKETCH`` smallest hashes show.
+
+So boilerplate goes, also where a large group of copies holds it or where it is
+the longest line itself, while the lines of copied documents, which always come
+with the same main line, are left to near-duplicate removal.  Families of the
+second kind are found one after the other, for groups that the first rule
+doesn't drop: a first document, one unlike it, one unlike both.  Documents with
+nothing but lines of one leaf are one family.
 
 Lines are split at line feeds, tokens at white space.  Blank lines stay.  Null
 texts stay null.  Repeated rows count as one document and are cleaned alike;
@@ -34,6 +41,12 @@ from ticksmith.llm.common import prepare, stored
 LEADING = 3
 CONSTANT = 0.7
 MIN_FAMILIES = 3
+#: words of a run, hashes of a sketch, and the share of runs in common that makes documents one family
+SHINGLE = 3
+SKETCH = 32
+RELATED = 0.4
+#: smallest hashes of a document, each with its line's leaf, from which the sketches without a leaf are taken
+DOCUMENT_SKETCH = 128
 FIELD = "<*>"
 #: a whole token that holds a digit; possessive, so that long tokens are read once
 VARIABLE = r"(?<![^\x09-\x0D\x20])[^\x09-\x0D\x200-9]*+[0-9][^\x09-\x0D\x20]*+"
@@ -64,8 +77,11 @@ def lines_of(docs: DataFrame) -> DataFrame:
 
 
 def keyed(lines: DataFrame) -> DataFrame:
-    n = F.length("line") - F.length(F.translate("line", " ", "")) + 1
-    return lines.select("doc", "family", "line", F.xxhash64("line").alias("key"), F.xxhash64(n, leading(F.col("line"))).alias("leaf"))
+    return lines.select("doc", "family", "line", F.xxhash64("line").alias("key"), leaf_of(F.col("line")).alias("leaf"))
+
+
+def leaf_of(line: Column) -> Column:
+    return F.xxhash64(F.length(line) - F.length(F.translate(line, " ", "")) + 1, leading(line))
 
 
 def spread_of(seen: DataFrame, *by: str) -> DataFrame:
@@ -79,6 +95,45 @@ def recurs(families: str = "families", docs: str = "docs") -> Column:
     return (F.col(families) >= MIN_FAMILIES) & (2 * F.col(families) >= F.col(docs))
 
 
+def fenced(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``value`` through a one-row generator, so that later steps read it instead of evaluating it again."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
+
+
+def smallest(hashes: Column, n: int) -> Column:
+    return F.slice(F.sort_array(F.array_distinct(hashes)), 1, n)
+
+
+def sketches(docs: DataFrame) -> DataFrame:
+    """doc, leaf, and the sketch of the document without the lines of that leaf; ``docs`` has doc and text."""
+    lines = F.array_distinct(F.filter(F.transform(F.split("text", "\n"), masked), lambda line: line != ""))
+    split = fenced(fenced(docs, "lines", lines), "words", F.transform("lines", lambda s: F.struct(leaf_of(s).alias("leaf"), F.split(s, " ").alias("w"))))
+
+    def runs(w: Column) -> Column:
+        return F.transform(w, lambda x, i: F.hash(x, *(F.get(w, i + k) for k in range(1, SHINGLE))))
+
+    each = fenced(split, "each", F.transform("words", lambda p: F.struct(p["leaf"].alias("leaf"), smallest(runs(p["w"]), SKETCH).alias("h"))))
+    tagged = F.flatten(F.transform("each", lambda p: F.transform(p["h"], lambda h: F.struct(h.alias("h"), p["leaf"].alias("leaf")))))
+    leaves = fenced(each, "whole", smallest(tagged, DOCUMENT_SKETCH)).select("doc", "whole", F.explode(F.array_distinct("each.leaf")).alias("leaf"))
+    rest = F.transform(F.filter("whole", lambda e: e["leaf"] != F.col("leaf")), lambda e: e["h"])
+    return leaves.select("doc", "leaf", F.slice(F.array_distinct(rest), 1, SKETCH).alias("sketch"))
+
+
+def related(a: str, b: str) -> Column:
+    """Whether at least ``RELATED`` of the smallest hashes of both sketches together are in both; two empty ones are."""
+    both = smallest(F.concat(a, b), SKETCH)
+    return F.size(F.array_intersect(F.array_intersect(both, F.col(a)), F.col(b))) >= RELATED * F.size(both)
+
+
+def in_families(members: DataFrame, *by: str) -> DataFrame:
+    """The groups that ``MIN_FAMILIES`` families of alike documents reach; ``members`` has a row per group and document."""
+    left = members.select(*by, "doc", "sketch")
+    for _ in range(MIN_FAMILIES - 1):
+        lead = left.groupBy(*by).agg(F.min(F.struct("doc", "sketch")).alias("lead")).select(*by, F.col("lead.sketch").alias("lead"))
+        left = stored(left.join(lead, [*by]).where(~related("sketch", "lead")).select(*by, "doc", "sketch"), "templates-families")
+    return left.select(*by).distinct()
+
+
 def recurring_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(seen, keys): the distinct (key, leaf, family, doc), and the keys of lines to drop with their template."""
     lines = keyed(lines_of(docs))
@@ -97,9 +152,20 @@ def recurring_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     shape = shape.where(F.col("fixed") >= CONSTANT * F.col("n")).select("leaf", F.transform("parts", lambda p: p["token"]).alias("template"))
     agree = F.forall(F.zip_with("template", F.split("line", " "), lambda t, w: t.isNull() | (t == w)), lambda ok: ok)
     members = stored(texts.join(shape, "leaf").where(agree).select("leaf", "key", F.array_join(F.transform("template", lambda t: F.coalesce(t, F.lit(FIELD))), " ").alias("template")), "templates-members")
-    groups = spread_of(seen.join(members.select("key"), "key", "left_semi"), "leaf").where(recurs()).select("leaf")
+    of_leaf = stored(seen.join(members.select("key"), "key", "left_semi").select("leaf", "family", "doc").distinct(), "templates-leaf-documents")
+    leaf_spread = stored(spread_of(of_leaf, "leaf"), "templates-leaf-spread")
+    # what the first rule leaves goes by the rest of the documents
+    open_ = ~recurs() & (F.col("docs") >= MIN_FAMILIES)
+    by_line = seen.join(each.where(open_).select("key"), "key", "left_semi").select(F.lit(False).alias("whole"), F.col("key").alias("group"), "leaf", "doc")
+    by_shape = of_leaf.join(leaf_spread.where(open_).select("leaf"), "leaf", "left_semi").select(F.lit(True).alias("whole"), F.col("leaf").alias("group"), "leaf", "doc")
+    asked = stored(by_line.unionByName(by_shape), "templates-open")
+    held = docs.select(F.xxhash64("text").alias("doc"), "text").where("text is not null").join(asked.select("doc").distinct(), "doc", "left_semi")
+    known = sketches(held).join(asked.select("doc", "leaf").distinct(), ["doc", "leaf"], "left_semi").distinct()
+    found = stored(in_families(stored(asked.join(known, ["doc", "leaf"]), "templates-sketches"), "whole", "group"), "templates-found")
+    groups = leaf_spread.where(recurs()).select("leaf").unionByName(found.where("whole").select(F.col("group").alias("leaf")))
     by_leaf = members.join(groups, "leaf", "left_semi").select("key", "template")
-    alone = each.where(recurs()).select("key", F.lit(None).cast("string").alias("template"))
+    lone = each.where(recurs()).select("key").unionByName(found.where("not whole").select(F.col("group").alias("key")))
+    alone = lone.select("key", F.lit(None).cast("string").alias("template"))
     return seen, stored(by_leaf.unionByName(alone).groupBy("key").agg(F.max("template").alias("template")), "templates-keys")
 
 
