@@ -1,7 +1,8 @@
 """Near-duplicate vectors by spherical k-means cells.
 
-Centroids are fitted on a bounded sample (``FIT_ROWS`` vectors in hash order);
-every vector is then assigned.  A vector is held in its home cell and also in
+Centroids are fitted per vector length on a bounded sample (``FIT_ROWS`` vectors
+in hash order); every vector is then assigned.  Lengths with too few vectors for
+two cells have one cell without a fit.  A vector is held in its home cell and also in
 each cell whose border it is within ``MARGIN`` of, so two vectors on either
 side of a border still meet.  Cells are cut into blocks, and a task compares
 one block with another by a product in double precision.
@@ -16,8 +17,8 @@ Equal vectors are compared once, by their class.  A pair that meets in two
 cells is counted in one.  Tasks return per vector the number of links, and the
 links that join components; never all pairs.
 
-Vectors that are null, zero, of another length than the first sampled vector,
-or hold null or non-finite components link with nothing.  Null ids: the vector
+Vectors that are null, zero, or hold null or non-finite components link with
+nothing; others link with vectors of their own length.  Null ids: the vector
 is counted as a copy of its class but its row has a null component and is kept.
 Repeated rows count as copies.  Extra columns are ignored.
 """
@@ -71,32 +72,36 @@ def classes_of(vectors: DataFrame) -> DataFrame:
     return v.withColumn("node", F.when(ok, F.md5(F.array_join(F.transform("embedding", lambda x: x.cast("string")), ",")))).select("vec_id", "node", "embedding")
 
 
-def assign(distinct: DataFrame, centroids: np.ndarray, margin: float) -> DataFrame:
-    """One row per vector and cell it is held in: cell, home, cells (all of them), node, copies, vector."""
-    width = centroids.shape[1]
-    gram = centroids @ centroids.T
-    apart = np.sqrt(np.maximum(2 - 2 * gram, 0))
+def assign(distinct: DataFrame, centroids: dict[int, np.ndarray], margin: float) -> DataFrame:
+    """One row per vector and cell it is held in: width, cell, home, cells (all of them), node, copies, vector.
+
+    ``centroids`` by vector length; a length without any has one cell.
+    """
+    apart = {width: np.sqrt(np.maximum(2 - 2 * (c @ c.T), 0)) for width, c in centroids.items()}
 
     def make():
         def step(batch: pa.RecordBatch):
-            rows = [r for r in batch.to_pylist() if len(r["embedding"]) == width]
-            if not rows:
-                return
-            x = unit(np.array([r["embedding"] for r in rows], float))
-            s = x @ centroids.T
-            home = s.argmax(axis=1)
-            held = s >= s[np.arange(len(x)), home][:, None] - margin * apart[home]
-            held[np.arange(len(x)), home] = True
-            cells = [np.flatnonzero(h).astype(np.int32) for h in held]
-            at = np.repeat(np.arange(len(rows)), [len(c) for c in cells])
-            yield {
-                "cell": np.concatenate(cells), "home": home[at].astype(np.int32), "cells": [cells[k] for k in at],
-                "node": [rows[k]["node"] for k in at], "copies": [rows[k]["copies"] for k in at], "vector": [x[k] for k in at],
-            }
+            by_width: dict[int, list[dict]] = {}
+            for r in batch.to_pylist():
+                by_width.setdefault(len(r["embedding"]), []).append(r)
+            for width, rows in by_width.items():
+                x = unit(np.array([r["embedding"] for r in rows], float))
+                home, held = np.zeros(len(x), np.int64), np.ones((len(x), 1), bool)
+                if width in centroids:
+                    s = x @ centroids[width].T
+                    home = s.argmax(axis=1)
+                    held = s >= s[np.arange(len(x)), home][:, None] - margin * apart[width][home]
+                    held[np.arange(len(x)), home] = True
+                cells = [np.flatnonzero(h).astype(np.int32) for h in held]
+                at = np.repeat(np.arange(len(rows)), [len(c) for c in cells])
+                yield {
+                    "width": np.full(len(at), width, np.int32), "cell": np.concatenate(cells), "home": home[at].astype(np.int32), "cells": [cells[k] for k in at],
+                    "node": [rows[k]["node"] for k in at], "copies": [rows[k]["copies"] for k in at], "vector": [x[k] for k in at],
+                }
 
         return step
 
-    return map_batches(distinct.select("node", "copies", "embedding"), make, "cell int, home int, cells array<int>, node string, copies long, vector array<double>")
+    return map_batches(distinct.select("node", "copies", "embedding"), make, "width int, cell int, home int, cells array<int>, node string, copies long, vector array<double>")
 
 
 def near_vectors(vectors: DataFrame, cosine: float = COSINE, margin: float = MARGIN, fit_rows: int = FIT_ROWS, cell: int = CELL) -> DataFrame:
@@ -104,24 +109,21 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, margin: float = MAR
     spark = prepare(vectors.sparkSession)
     rows = stored(classes_of(vectors), "embeddings-rows")
     distinct = stored(rows.where("node is not null").groupBy("node").agg(F.min("vec_id").alias("rep"), F.count("*").alias("copies"), F.first("embedding").alias("embedding")), "embeddings-distinct")
-    sample = distinct.orderBy(F.xxhash64("node"), "node").limit(fit_rows).select("embedding").collect()
-    if not sample:
-        ids = rows.select("vec_id", F.lit(0).cast("long").alias("n_links"), F.col("vec_id").alias("component_id"))
-        return ids.withColumn("kept", F.lit(True))
-    width = len(sample[0]["embedding"])
-    x = unit(np.array([r["embedding"] for r in sample if len(r["embedding"]) == width], float))
-    cells = int(np.clip(distinct.count() // cell, 1, min(MAX_CELLS, len(x))))
-    centroids = spherical_kmeans(x, cells)
+    centroids = {}
+    for width, count in sorted(distinct.groupBy(F.size("embedding")).count().where(F.col("count") >= 2 * cell).collect()):
+        sample = distinct.where(F.size("embedding") == width).orderBy(F.xxhash64("node"), "node").limit(fit_rows).select("embedding").collect()
+        x = unit(np.array([r["embedding"] for r in sample], float))
+        centroids[width] = spherical_kmeans(x, int(min(count // cell, MAX_CELLS, len(x))))
     held = stored(assign(distinct, centroids, margin), "embeddings-cells")
-    sizes = held.groupBy("cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
-    blocks = held.join(sizes, "cell").withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
+    sizes = held.groupBy("width", "cell").agg(F.ceil(F.count("*") / BLOCK).cast("int").alias("blocks"))
+    blocks = held.join(sizes, ["width", "cell"]).withColumn("own", F.pmod(F.xxhash64("node"), F.col("blocks")).cast("int"))
     blocks = blocks.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    tasks = blocks.select("cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "home", "cells", "node", "copies", "vector")
+    tasks = blocks.select("width", "cell", F.least("own", "other").alias("i"), F.greatest("own", "other").alias("j"), "own", "home", "cells", "node", "copies", "vector")
     schema = "node string, linked long, other string"
     target = arrow_schema(spark, schema)
 
     def compare(group: pa.Table) -> pa.Table:
-        here, i, j = (group.column(c)[0].as_py() for c in ("cell", "i", "j"))
+        width, here, i, j = (group.column(c)[0].as_py() for c in ("width", "cell", "i", "j"))
         order = group.sort_by("node")
         own = order.column("own").to_numpy()
         vector = np.array(order.column("vector").combine_chunks().flatten()).reshape(len(own), width)
@@ -156,7 +158,7 @@ def near_vectors(vectors: DataFrame, cosine: float = COSINE, margin: float = MAR
         out = [(names[k], int(links[k]), None) for k in some] + [(names[x], 0, names[y]) for x, y in edges]
         return pa.table([list(c) for c in zip(*out)] if out else [[], [], []], schema=target)
 
-    found = stored(tasks.groupBy("cell", "i", "j").applyInArrow(compare, schema), "embeddings-links")
+    found = stored(tasks.groupBy("width", "cell", "i", "j").applyInArrow(compare, schema), "embeddings-links")
     labels = components(found.where("other is not null"), "node", "other")
     counts = found.groupBy("node").agg(F.sum("linked").alias("linked"))
     least = distinct.join(labels, "node").groupBy("component").agg(F.min("rep").alias("least_id"))
