@@ -3,14 +3,16 @@
 Documents are token queues by source.  Windows of ``WINDOW_SEQUENCES``
 sequences are filled by deficit round-robin: in every window each source is
 owed its share of the corpus's tokens plus what earlier windows still owe it,
-and what it can't deliver is carried on.  A lot (about ``LOT_TOKENS`` tokens of
-consecutive documents) is packed by one task; the debt that a lot starts with
-follows from the token totals of the lots before it, so lots run side by side
-and the mixture still holds across them.
-
-1. Lots are tokenised once; ids are stored compressed in the shared folder.
-2. Shares and starting debts come from the stored totals per lot and source.
-3. Each lot is packed; only the last tokens of a lot form sequences shorter
+and what it can't deliver is carried on.  Windows are filled from groups of about
+``LOT_TOKENS`` tokens, each of which holds an equal range of every source's
+tokens, whatever the order in which the table holds its documents; so the
+groups are packed side by side, and the mixture holds in each full window.
+
+1. Lots of consecutive documents are tokenised once; ids are stored compressed
+   in the shared folder.
+2. Prefix sums of the stored totals per lot and source tell which tokens of a
+   source belong to which group; lots are cut there and dealt to the groups.
+3. Each group is packed; only the last tokens of a group form sequences shorter
    than ``SEQUENCE``, cut at powers of two, so nothing is padded.
 
 A null text counts as empty and packs as its end id alone.  A null source is a
@@ -33,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ticksmith.llm.common import map_batches, prepare, stored
+from ticksmith.llm.common import arrow_schema, map_batches, prepare, record_batch, stored
 from ticksmith.llm.tokens import LOOSE_SPACE, PIECES, byte_alphabet
 
 SEQUENCE = 2048
@@ -44,6 +46,7 @@ END_ID = 1
 MEMO_IDS = 300_000
 
 LOT_SCHEMA = "lot long, totals array<struct<source:string,tokens:bigint>>, names array<string>, queue array<int>, doc_ids array<bigint>, lengths array<int>, ids binary"
+PART_SCHEMA = "group long, lot long, source string, share double, doc_ids array<bigint>, starts array<bigint>, lengths array<bigint>, doc_tokens array<bigint>, ids binary"
 PIECE_SCHEMA = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long, source string"
 
 
@@ -141,8 +144,6 @@ def tokenised_lots(docs: DataFrame, path: str, end_id: int = END_ID, lot_tokens:
     """Lots of consecutive documents with their ids; a retried task makes the same lots."""
 
     def run(batches):
-        from ticksmith.llm.common import record_batch
-
         words, squeeze, task = WordIds(path), zstandard.ZstdCompressor(level=1), TaskContext.get().partitionId()
         held: list[tuple] = []
         tokens = made = 0
@@ -172,8 +173,6 @@ def tokenised_lots(docs: DataFrame, path: str, end_id: int = END_ID, lot_tokens:
         if held:
             yield lot()
 
-    from ticksmith.llm.common import arrow_schema
-
     target = arrow_schema(docs.sparkSession, LOT_SCHEMA)
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("source").cast("string").alias("source"), "text").mapInArrow(run, LOT_SCHEMA)
 
@@ -212,18 +211,54 @@ def sequence_lengths(tokens: int, sequence: int) -> list[int]:
     return lengths + [1 << k for k in reversed(range(rest.bit_length())) if rest >> k & 1]
 
 
-def pack_lot(lot: int, names, queue, doc_ids, lengths, ids: np.ndarray, share: dict, owed: dict, sequence: int, window: int) -> dict:
-    """Pieces of one lot, column by column."""
-    lengths, queue = np.asarray(lengths, np.int64), np.asarray(queue, np.int64)
+def cut_lot(row: dict) -> list[dict]:
+    """A lot's documents by source and group, cut where a group ends: group g has the tokens from T g // G to T (g + 1) // G of a source of T."""
+    ids = np.frombuffer(zstandard.ZstdDecompressor().decompress(row["ids"]), "<u4")
+    squeeze = zstandard.ZstdCompressor(level=1)
+    lengths, queue, doc_ids = np.array(row["lengths"], np.int64), np.array(row["queue"], np.int64), row["doc_ids"]
+    begin = np.cumsum(lengths) - lengths
+    plan, out = {p["source"]: p for p in row["plan"]}, []
+    for k, source in enumerate(row["names"]):
+        line, p = np.flatnonzero(queue == k), plan[source]
+        every, groups = p["of_source"], p["groups"]
+        n = lengths[line]
+        own = np.concatenate([ids[begin[d] : begin[d] + lengths[d]] for d in line])
+        ends = np.cumsum(n)
+        at, total = 0, int(ends[-1])
+        while at < total:
+            # the group that holds this token, and where it ends
+            group = ((p["before"] + at + 1) * groups - 1) // every
+            stop = min(total, every * (group + 1) // groups - p["before"])
+            a, b = int(np.searchsorted(ends, at, "right")), int(np.searchsorted(ends, stop, "left"))
+            starts, parts = np.zeros(b - a + 1, np.int64), n[a : b + 1].copy()
+            parts[-1] = stop - (ends[b] - n[b])
+            starts[0] = at - (ends[a] - n[a])
+            parts[0] -= starts[0]
+            part = {"group": group, "lot": row["lot"], "source": source, "share": every / p["of_all"], "ids": squeeze.compress(own[at:stop].tobytes())}
+            out.append(part | {"doc_ids": [doc_ids[d] for d in line[a : b + 1]], "starts": starts, "lengths": parts, "doc_tokens": n[a : b + 1]})
+            at = stop
+    return out
+
+
+def pack_group(parts: list[dict], sequence: int, window: int) -> dict:
+    """Pieces of one group, column by column."""
+    expand = zstandard.ZstdDecompressor()
+    parts = sorted(parts, key=lambda p: (p["source"] is not None, p["source"] or "", p["lot"]))
+    names = list(dict.fromkeys(p["source"] for p in parts))
+    share = {p["source"]: p["share"] for p in parts}
+    queue = np.repeat([names.index(p["source"]) for p in parts], [len(p["lengths"]) for p in parts])
+    doc_ids = [d for p in parts for d in p["doc_ids"]]
+    starts, lengths, doc_tokens = (np.array([x for p in parts for x in p[c]], np.int64) for c in ("starts", "lengths", "doc_tokens"))
+    ids = np.concatenate([np.frombuffer(expand.decompress(p["ids"]), "<u4") for p in parts])
     begin = np.cumsum(lengths) - lengths
     line = [np.flatnonzero(queue == k) for k in range(len(names))]
     head, used = [0] * len(names), [0] * len(names)
     avail = np.array([lengths[q].sum() for q in line], np.int64)
     sizes = iter(sequence_lengths(int(avail.sum()), sequence))
     out = {c: [] for c in ("doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source")}
-    number, size, offset = lot << 20, next(sizes, 0), 0
+    number, size, offset = parts[0]["group"] << 20, next(sizes, 0), 0
     turns = 0
-    for give in fill_windows(avail, np.array([share.get(s, 0.0) for s in names]), np.array([owed.get(s, 0.0) for s in names]), window):
+    for give in fill_windows(avail, np.array([share[s] for s in names]), np.zeros(len(names)), window):
         for k in np.roll(np.arange(len(names)), -turns):
             due = int(give[k])
             while due:
@@ -231,10 +266,10 @@ def pack_lot(lot: int, names, queue, doc_ids, lengths, ids: np.ndarray, share: d
                 n = min(due, int(lengths[d]) - start, size - offset)
                 at = int(begin[d]) + start
                 out["doc_id"].append(doc_ids[d])
-                out["start"].append(start)
+                out["start"].append(int(starts[d]) + start)
                 out["length"].append(n)
                 out["ids_crc32"].append(zlib.crc32(ids[at : at + n].tobytes()))
-                out["doc_tokens"].append(int(lengths[d]))
+                out["doc_tokens"].append(int(doc_tokens[d]))
                 out["sequence_id"].append(number)
                 out["offset"].append(offset)
                 out["source"].append(names[k])
@@ -249,27 +284,28 @@ def pack_lot(lot: int, names, queue, doc_ids, lengths, ids: np.ndarray, share: d
 
 def pack(docs: DataFrame, path: str, sequence: int = SEQUENCE, window_sequences: int = WINDOW_SEQUENCES, lot_tokens: int = LOT_TOKENS) -> DataFrame:
     """One row per piece: doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, source."""
-    prepare(docs.sparkSession)
+    spark = prepare(docs.sparkSession)
     lots = stored(tokenised_lots(docs, path, lot_tokens=lot_tokens), "packing-lots")
     per = lots.select("lot", F.inline("totals"))
-    shares = per.groupBy("source").agg(F.sum("tokens").alias("of_source")).crossJoin(per.agg(F.sum("tokens").alias("of_all")))
-    shares = shares.select("source", (F.col("of_source") / F.col("of_all")).alias("share"))
-    # what earlier lots owe a source: its share of all their tokens, less its own
-    before = W.orderBy("lot").rowsBetween(W.unboundedPreceding, -1)
-    lot_all = per.groupBy("lot").agg(F.sum("tokens").alias("n")).select("lot", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("all_before"))
-    own = per.select("lot", "source", "tokens", F.coalesce(F.sum("tokens").over(before.partitionBy("source")), F.lit(0)).alias("own_before"))
-    owed = own.join(lot_all, "lot").join(shares, own["source"].eqNullSafe(shares["source"])).select("lot", own["source"], "share", (F.col("share") * F.col("all_before") - F.col("own_before")).alias("owed"))
-    plan = stored(owed.groupBy("lot").agg(F.collect_list(F.struct("source", "share", "owed")).alias("plan")), "packing-plan")
+    every = per.agg(F.sum("tokens").alias("of_all")).withColumn("groups", F.ceil(F.col("of_all") / lot_tokens).cast("long"))
+    sources = per.groupBy("source").agg(F.sum("tokens").alias("of_source")).crossJoin(every)
+    before = W.partitionBy("source").orderBy("lot").rowsBetween(W.unboundedPreceding, -1)
+    own = per.select("lot", "source", F.coalesce(F.sum("tokens").over(before), F.lit(0)).alias("before"))
+    plan = own.join(sources.withColumnRenamed("source", "of"), F.col("source").eqNullSafe(F.col("of")))
+    plan = stored(plan.groupBy("lot").agg(F.collect_list(F.struct("source", "of_source", "of_all", "groups", "before")).alias("plan")), "packing-plan")
 
     def make():
-        expand = zstandard.ZstdDecompressor()
-
         def step(batch: pa.RecordBatch):
-            for r in batch.to_pylist():
-                ids = np.frombuffer(expand.decompress(r["ids"]), "<u4")
-                share, debt = ({p["source"]: p[c] for p in r["plan"]} for c in ("share", "owed"))
-                yield pack_lot(r["lot"], r["names"], r["queue"], r["doc_ids"], r["lengths"], ids, share, debt, sequence, sequence * window_sequences)
+            for k in range(batch.num_rows):
+                for part in cut_lot(batch.slice(k, 1).to_pylist()[0]):
+                    yield {c: [v] for c, v in part.items()}
 
         return step
 
-    return map_batches(lots.drop("totals").join(plan, "lot"), make, PIECE_SCHEMA)
+    target = arrow_schema(spark, PIECE_SCHEMA)
+
+    def packed(group: pa.Table) -> pa.Table:
+        return pa.Table.from_batches([record_batch(pack_group(group.to_pylist(), sequence, sequence * window_sequences), target)])
+
+    parts = map_batches(lots.drop("totals").join(plan, "lot"), make, PART_SCHEMA)
+    return parts.groupBy("group").applyInArrow(packed, PIECE_SCHEMA)
