@@ -47,7 +47,7 @@ def op5_kmeans_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op6_chunked_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ticksmith.llm.substrings import repeated_passages
 
-    return repeated_passages(table(spark, sf_dir, "documents"))
+    return repeated_passages(table(spark, sf_dir, "documents"), within=True)
 
 
 def op7_katz_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:

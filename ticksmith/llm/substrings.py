@@ -4,13 +4,13 @@ A gear hash of the last 32 bytes runs over the text; where its top ``BITS``
 bits are zero a chunk ends, at least ``MIN_CHUNK`` and at most ``MAX_CHUNK``
 bytes after the one before.  Cuts follow the content, so an insertion only
 changes the chunks around it.  Chunks are known by a 64-bit digest; a digest in
-two rows is repeated.  Neighbouring repeated chunks of at least ``MIN_PASSAGE``
+two rows, or with ``within`` at two places of any rows, is repeated.  Neighbouring repeated chunks of at least ``MIN_PASSAGE``
 bytes together form a passage (a chance agreement of digests would have to
 happen for all chunks of a run).  The first occurrence, by smallest doc_id and
 place, is kept; all others are duplicates.
 
 Null and empty texts have no chunks.  A passage repeated only inside one text
-isn't reported.  Repeated rows of one doc_id are rows of their own, so they
+is reported with ``within`` (as the registered query asks), else not.  Repeated rows of one doc_id are rows of their own, so they
 repeat each other.  Rows with a null doc_id come last in the order.  Empty
 tables give an empty result.  Extra columns are ignored.
 """
@@ -89,7 +89,7 @@ def chunked(docs: DataFrame) -> DataFrame:
     return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), make, "row long, doc_id long, chunks array<struct<digest:bigint,start:int,end:int>>")
 
 
-def repeated_passages(docs: DataFrame, min_bytes: int = MIN_PASSAGE) -> DataFrame:
+def repeated_passages(docs: DataFrame, min_bytes: int = MIN_PASSAGE, within: bool = False) -> DataFrame:
     """One row per occurrence of a repeated passage: doc_id, start, end (bytes), kept, first_doc_id.
 
     ``kept`` marks the first occurrence; ``first_doc_id`` is where it stands.
@@ -97,8 +97,8 @@ def repeated_passages(docs: DataFrame, min_bytes: int = MIN_PASSAGE) -> DataFram
     prepare(docs.sparkSession)
     chunks = stored(chunked(docs), "substring-chunks")
     each = chunks.select("row", F.explode("chunks.digest").alias("digest"))
-    # the count needs only the smallest and largest row of each digest
-    repeated = each.groupBy("digest").agg(F.min("row").alias("lo"), F.max("row").alias("hi")).where("lo < hi").select("digest")
+    # the count needs only the smallest and largest row of each digest, and the number of its places
+    repeated = each.groupBy("digest").agg(F.min("row").alias("lo"), F.max("row").alias("hi"), F.count("*").alias("places")).where("places > 1" if within else "lo < hi").select("digest")
     repeated = stored(repeated, "substring-repeated")
     place = chunks.select("row", "doc_id", F.posexplode("chunks").alias("pos", "c")).select("row", "doc_id", "pos", "c.*")
     found = stored(place.join(repeated, "digest"), "substring-found")
