@@ -76,6 +76,13 @@ def op10_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"), "fit_chars")
 
 
+def op13_direct_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ticksmith.llm.codes import read_documents, write_codes
+    from ticksmith.llm.tokens import tokenizer_path
+
+    return read_documents(spark, write_codes(table(spark, sf_dir, "documents"), tokenizer_path("word_bpe_49k.json")))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_site_style_tree": op1_site_style_tree,
     "op2_minhash_near_dedup": op2_minhash_near_dedup,
@@ -87,6 +94,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixture_packing": op8_mixture_packing,
     "op9_line_template_dedup": op9_line_template_dedup,
     "op10_prefix_token_counts": op10_prefix_token_counts,
+    "op13_direct_codes": op13_direct_codes,
 }
 
 
