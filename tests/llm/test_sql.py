@@ -18,7 +18,7 @@ def bag(columns, rows):
 @pytest.mark.parametrize("name", sorted(ORACLE))
 def test_query_matches_sql(spark, name):
     con = duckdb.connect()
-    for t in ("documents", "embeddings"):
+    for t in ("documents", "embeddings", "conversations"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF}/{t}.parquet')")
     df = QUERIES[name](spark, SF)
     res = con.execute(ORACLE[name])

@@ -69,8 +69,49 @@ LINE_TEMPLATES = f"""WITH
     SELECT d.doc_id, r.text, coalesce(r.n_lines, 0) AS n_lines, coalesce(r.n_dropped, 0) AS n_dropped
     FROM d LEFT JOIN rebuilt r USING (rid)"""
 
+#: unsigned crc32 of the ASCII text of an integer, bit by bit
+CRC32 = """xor(4294967295, list_reduce(list_prepend(4294967295, list_transform(string_split(CAST({0} AS VARCHAR), ''), lambda x: CAST(ascii(x) AS BIGINT))),
+    lambda crc, byte: list_reduce(list_prepend(xor(crc, byte), CAST(range(8) AS BIGINT[])),
+        lambda a, i: CASE WHEN a % 2 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END)))"""
+
+PREFIX_TRIE = f"""WITH
+    t AS (SELECT conv_id, coalesce(role, '') AS role, coalesce(text, '') AS text,
+                 row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, md5(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))) AS p
+          FROM conversations WHERE conv_id IS NOT NULL),
+    c AS (SELECT conv_id AS c, conv_id - conv_id % 5 AS donor, {CRC32.format("conv_id")} % 9 AS h FROM t GROUP BY conv_id),
+    r AS (SELECT c, 0 AS own, p, role, text FROM c JOIN t ON t.conv_id = donor AND p <= h
+          UNION ALL SELECT c, 1, p, role, text FROM c JOIN t ON t.conv_id = c AND p > h),
+    q AS (SELECT c, row_number() OVER (PARTITION BY c ORDER BY own, p) AS d, role, text FROM r),
+    paths AS (SELECT c, d, sha256(string_agg(length(role) || ':' || role || length(text) || ':' || text, '') OVER (PARTITION BY c ORDER BY d)) AS path,
+                     octet_length(encode(text)) AS bytes FROM q
+              UNION ALL SELECT c, 0, '', 0 FROM c),
+    lined AS (SELECT *, lag(path) OVER (PARTITION BY c ORDER BY d) AS parent, max(d) OVER (PARTITION BY c) AS len FROM paths),
+    nodes AS (SELECT path, any_value(d) AS depth, any_value(parent) AS parent, min(c) AS conv_id, count(*) AS n_convs, any_value(bytes) AS bytes, max(len) = any_value(d) AS leaf,
+                     sha256(coalesce(string_agg(CAST(c AS VARCHAR), ',' ORDER BY c) FILTER (WHERE d = len), '')) AS ends_sha256 FROM lined GROUP BY path),
+    below AS (SELECT DISTINCT a.path AS top, b.path AS path FROM paths a JOIN paths b ON a.c = b.c AND b.d >= a.d),
+    sums AS (SELECT top, count(*) FILTER (WHERE leaf) AS n_leaves, sum((n_convs - 1) * bytes) AS saved_tokens FROM below JOIN nodes USING (path) GROUP BY top),
+    children AS (SELECT parent, count(*) AS n_children FROM nodes GROUP BY parent)
+    SELECT n.conv_id, CAST(n.depth AS BIGINT) AS depth, u.conv_id AS parent_conv_id, n.n_convs, coalesce(n_children, 0) AS n_children, n_leaves,
+           CAST(saved_tokens AS BIGINT) AS saved_tokens, n.ends_sha256
+    FROM nodes n JOIN sums ON sums.top = n.path LEFT JOIN nodes u ON u.path = n.parent LEFT JOIN children ON children.parent = n.path"""
+
+HARD_NEGATIVES = """WITH
+    v AS (SELECT DISTINCT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+                 list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS e
+          FROM embeddings WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+            AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    s AS (SELECT a.vec_id AS anchor_id, b.vec_id AS id, a.label = b.label AS same, CAST(list_inner_product(a.e, b.e) AS BIGINT) AS score
+          FROM v a JOIN v b ON a.vec_id <> b.vec_id WHERE a.vec_id % 100 = 0),
+    p AS (SELECT anchor_id, id AS positive_id, score AS positive_score FROM s WHERE same
+          QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+    SELECT anchor_id, positive_id, CAST(row_number() OVER best AS INTEGER) AS rank, id AS negative_id, positive_score, score AS negative_score
+    FROM p JOIN s USING (anchor_id) WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+    WINDOW best AS (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id) QUALIFY row_number() OVER best <= 10"""
+
 ORACLE: dict[str, str] = {
     "op2_minhash_near_dedup": NEAR_DOCUMENTS,
     "op5_kmeans_embedding_dedup": NEAR_VECTORS,
     "op9_line_template_dedup": LINE_TEMPLATES,
+    "op11_one_bit_hard_negatives": HARD_NEGATIVES,
+    "op12_conversation_prefix_trie": PREFIX_TRIE,
 }

@@ -76,6 +76,18 @@ def op10_prefix_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return counts.select("doc_id", "n_bytes", "n_tokens", (F.col("n_tokens") > TOKEN_LIMIT).alias("over_limit"), "fit_chars")
 
 
+def op11_one_bit_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ticksmith.llm.negatives import mine
+
+    return mine(table(spark, sf_dir, "embeddings"))
+
+
+def op12_conversation_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from ticksmith.llm.prefixes import prefix_trie
+
+    return prefix_trie(table(spark, sf_dir, "conversations"))
+
+
 def op13_direct_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     from ticksmith.llm.codes import read_documents, write_codes
     from ticksmith.llm.tokens import tokenizer_path
@@ -94,6 +106,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_mixture_packing": op8_mixture_packing,
     "op9_line_template_dedup": op9_line_template_dedup,
     "op10_prefix_token_counts": op10_prefix_token_counts,
+    "op11_one_bit_hard_negatives": op11_one_bit_hard_negatives,
+    "op12_conversation_prefix_trie": op12_conversation_prefix_trie,
     "op13_direct_codes": op13_direct_codes,
 }
 
