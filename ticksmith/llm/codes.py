@@ -23,6 +23,7 @@ are ignored.
 
 from __future__ import annotations
 
+import json
 import os
 import struct
 import zlib
@@ -35,7 +36,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ticksmith.llm.common import arrow_schema, map_batches, prepare, record_batch
+from ticksmith.llm.common import WordMemo, arrow_schema, map_batches, prepare, record_batch
+from ticksmith.llm.tokens import byte_alphabet
 from ticksmith.session import shared_dir
 
 END_ID = 1
@@ -45,8 +47,8 @@ WIDTHS = (8, 8, 16)
 RANK_BITS = 512
 #: ids after which a segment ends with the document at hand
 SEGMENT_IDS = 1 << 20
-#: distinct words whose ids a worker keeps
-MEMO_WORDS = 300_000
+#: words outside of Western letters whose ids a worker keeps
+MEMO_WORDS = 100_000
 
 MAGIC = b"DACS"
 HEAD = struct.Struct("<4sIQ")
@@ -136,31 +138,87 @@ class Codes:
         return out
 
 
+def ranked_words(path: str):
+    """The vocabulary for the faster of the two libraries, whose merges go by rank alone.
+
+    A word's end is a line feed here, which no word holds.  Ids must follow the
+    order of merges, after the bytes and the bytes that end a word; where they
+    don't, there is none.  Beside it, for each id, whether it ends a word.
+    """
+    import tiktoken
+
+    with open(path, encoding="utf-8") as f:
+        model = json.load(f)["model"]
+    alphabet, suffix = byte_alphabet(), model["end_of_word_suffix"]
+    merged = [model["vocab"]["".join(m.split(" ") if isinstance(m, str) else m)] for m in model["merges"]]
+    if any(a >= b for a, b in zip(merged, merged[1:])) or merged[0] != 512:
+        return None
+    ranks: dict[bytes, int] = {}
+    for token, k in model["vocab"].items():
+        if k <= merged[-1]:
+            stem = token.removesuffix(suffix)
+            data = bytes(alphabet[c] for c in stem)
+            if b"\n" not in data:
+                ranks[data + b"\n" * (stem != token)] = k
+    if len(ranks) != 512 + len(merged) - 2:
+        return None
+    ends = np.zeros(max(model["vocab"].values()) + 2, bool)
+    ends[[k for data, k in ranks.items() if data.endswith(b"\n")]] = True
+    ranks[b"\n"] = len(ends) - 1
+    return tiktoken.Encoding("words", pat_str=r"[^\n]+\n", mergeable_ranks=ranks, special_tokens={}), ends
+
+
 class WordTokens:
     """Ids of texts under a vocabulary whose words end at white space.
 
     White space is dropped and no id spans it, so the ids of a text are those
-    of its words; each distinct word is encoded once by the library.  A text
-    that may hold a special string is encoded as a whole.
+    of its words, and each distinct word of a batch is encoded once.  Words of
+    Western letters are cut into pieces and encoded side by side; others, and
+    texts that hold a special string, go to the library as they are.
     """
 
+    #: words that normalisation changes in nothing but their case, and whose pieces are runs of letters, single digits, and runs of the rest
+    PLAIN = r"^[\x21-\x26\x28-\x7e\x{c0}-\x{d6}\x{d8}-\x{f6}\x{f8}-\x{ff}]+$"
+    LETTER, DIGIT, REST, END = range(4)
+
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self._reset()
-
-    def _reset(self) -> None:
-        self.index: dict[str, int] = {}
-        self.flat, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
-
-    def _learn(self, words: list[str]) -> None:
-        coded = [e.ids for e in self.tokenizer.encode_batch_fast(words, add_special_tokens=False)]
-        self.index.update(zip(words, range(len(self.index), len(self.index) + len(words))))
-        self.flat = np.concatenate([self.flat, *(np.array(c, np.uint32) for c in coded)])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum([len(c) for c in coded])])
+        self.ranked = ranked_words(path)
+        self.kind = np.full(256, self.REST, np.uint8)
+        self.kind[ord("a") : ord("z") + 1] = self.kind[0x80:] = self.LETTER
+        self.kind[ord("0") : ord("9") + 1] = self.DIGIT
+        self.kind[ord("\n")] = self.END
+        self.others = WordMemo(lambda w: np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, np.uint32), MEMO_WORDS)
+
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """All ids of some distinct words, and where each word's ids begin (and the last one's end)."""
+        fast = pc.match_substring_regex(words, self.PLAIN) if self.ranked else pa.array(np.zeros(len(words), bool))
+        is_fast = fast.to_numpy(zero_copy_only=False)
+        slow = np.flatnonzero(~is_fast)
+        counts, flat = np.zeros(len(words), np.int64), np.zeros(0, np.uint32)
+        if is_fast.any():
+            encoding, ends = self.ranked
+            some = pc.utf8_lower(words.filter(fast))
+            joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(some)], pa.int32()), some), "\n")
+            data = np.frombuffer(joined[0].as_buffer().to_pybytes() + b"\n", np.uint8)
+            kind = self.kind[data]
+            cut = (kind[1:] != kind[:-1]) | (kind[1:] == self.DIGIT)
+            cut &= (kind[1:] != self.END) & (kind[:-1] != self.END)
+            marked = np.insert(data, np.flatnonzero(cut) + 1, 10).tobytes().decode()
+            flat = np.array(encoding.encode_ordinary(marked), np.uint32)
+            # the last id of each word, from the number of pieces up to its end
+            pieces = np.cumsum(np.append(cut, False) | (kind == self.END))[kind == self.END]
+            counts[is_fast] = np.diff(np.flatnonzero(ends[flat])[pieces - 1], prepend=-1)
+        if len(slow):
+            found = [self.others[w] for w in words.take(pa.array(slow)).to_pylist()]
+            at = np.repeat(np.cumsum(counts)[slow], [len(x) for x in found])
+            counts[slow] = [len(x) for x in found]
+            flat = np.insert(flat, at, np.concatenate(found))
+        return flat, np.concatenate([[0], np.cumsum(counts)])
 
     def ids(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
         """All ids of a batch in one array, and the count of each text."""
@@ -171,19 +229,11 @@ class WordTokens:
         plain = pc.if_else(pa.array(odd), "", texts) if odd.any() else texts
         lists = pc.ascii_split_whitespace(plain)
         words = pc.list_flatten(lists).dictionary_encode()
-        if isinstance(words, pa.ChunkedArray):
-            words = words.combine_chunks()
-        known = words.dictionary.to_pylist()
-        if len(self.index) + len(known) > MEMO_WORDS:
-            self._reset()
-        self._learn([w for w in known if w not in self.index])
-        code = np.fromiter(map(self.index.__getitem__, known), np.int64, len(known))
-        lengths = np.diff(self.starts)[code] if len(code) else np.zeros(0, np.int64)
+        flat, starts = self._words(words.dictionary)
         place = words.indices.to_numpy(zero_copy_only=False)
-        n = lengths[place] if len(place) else np.zeros(0, np.int64)
+        n = np.diff(starts)[place]
         ends = np.cumsum(n)
-        total = int(ends[-1]) if len(ends) else 0
-        flat = self.flat[np.arange(total) + np.repeat(self.starts[code][place] - (ends - n), n)] if total else np.zeros(0, np.uint32)
+        flat = flat[np.arange(len(place) and ends[-1]) + np.repeat(starts[place] - (ends - n), n)]
         per_text = pc.list_value_length(lists).to_numpy(zero_copy_only=False)
         bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(per_text)]).astype(np.int64)]
         counts = np.diff(bounds)
