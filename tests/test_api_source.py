@@ -1,21 +1,22 @@
-"""API data source: call plan, pushdown leaves the plan, rows exact; fetch plan."""
+"""API data source: call plan, options, one flatten for its answers."""
 
+import pytest
 from pyspark.sql import functions as F
 
-from ticksmith.plans.fixtures import write_mock_api
-from ticksmith.sources.api import plan_calls, register
+from standin import write_mock_api
+from ticksmith.sources.api import api_bars, plan_calls, register
 
 SF = "/root/testdata/sf0.001"
+SYMBOLS = ["click", "error", "purchase", "signup", "view"]
 
 
-def _read(spark, root, **opts):
-    register(spark)
-    r = (spark.read.format("timeseries_api").option("fetcher", "ticksmith.sources.fetchers:folder_fetch")
-         .option("mock_root", root).option("symbols", "click,error,purchase,signup,view")
-         .option("start_date", "2024-01-01").option("end_date", "2024-01-31"))
-    for k, v in opts.items():
-        r = r.option(k, str(v))
-    return r.load()
+@pytest.fixture(scope="module")
+def api(spark):
+    import os
+    import tempfile
+
+    spark.sparkContext.addPyFile(os.path.join(os.path.dirname(__file__), "standin.py"))
+    return {"fetcher": "standin:folder_fetch", "mock_root": write_mock_api(spark.read.parquet(f"{SF}/events.parquet"), tempfile.mkdtemp() + "/api")}
 
 
 def test_plan_calls():
@@ -26,30 +27,41 @@ def test_plan_calls():
     assert plan_calls(["A"], "2026-02-01", "2026-01-01", 8, 0) == []
 
 
-def test_pushdown_and_rows(spark, tmp_path):
+def test_bars_equal_the_events(spark, api):
     ev = spark.read.parquet(f"{SF}/events.parquet")
-    root = write_mock_api(ev, str(tmp_path / "api"))
-    df = _read(spark, root, symbols_per_call=2, days_per_call=7)
-    assert df.count() == ev.count()
-    f = df.where(F.col("symbol").isin("click", "view") & (F.col("price_date") >= "2024-01-10")
-                 & (F.col("price_date") < "2024-01-20"))
-    plan = f._jdf.queryExecution().executedPlan().toString()
-    # pushed filters leave the plan: no remaining Filter mentions their literals
-    assert "click" not in plan and "2024-01-10" not in plan and "2024-01-20" not in plan
-    want = ev.where(F.col("event_type").isin("click", "view")
-                    & (F.date_format("ts", "yyyy-MM-dd") >= "2024-01-10")
-                    & (F.date_format("ts", "yyyy-MM-dd") < "2024-01-20")).count()
-    assert f.count() == want
-    # the narrowed call plan: one batch of the two symbols x the two overlapping weeks
+    assert api_bars(spark, SYMBOLS, "2024-01-01", "2024-01-31", symbols_per_call=2, days_per_call=7, **api).count() == ev.count()
+    f = api_bars(spark, ["click", "view"], "2024-01-10", "2024-01-20", days_per_call=7, **api)
+    day = F.date_format("ts", "yyyy-MM-dd")
+    assert f.count() == ev.where(F.col("event_type").isin("click", "view") & day.between("2024-01-10", "2024-01-20")).count()
+    # the calls are those the list and the range need: one batch x two weeks
     assert f.rdd.getNumPartitions() == 2
 
 
-def test_documents_mode_404(spark, tmp_path):
-    ev = spark.read.parquet(f"{SF}/events.parquet")
-    root = write_mock_api(ev, str(tmp_path / "api"))
-    df = _read(spark, root, output="documents", symbols_per_call=1).where(F.col("symbols") == "click")
-    assert df.count() == 1
+def test_a_bound_that_is_no_date_filters_rows(spark, tmp_path):
+    (tmp_path / "dated.py").write_text(
+        "import json\ndef fetch(symbols, start, end, interval, options):\n"
+        "    return 200, json.dumps({'A': {'values': [{'datetime': d, 'open': start} for d in ('2026-01-31', '2026-02-01', '2026-03-01')]}})\n")
+    spark.sparkContext.addPyFile(str(tmp_path / "dated.py"))
+    for bound, rows, start in (("2026-02", 2, "2026-01-01"), ("2026-02-01", 2, "2026-02-01"), ("2026-2-1", 0, "2026-01-01"), ("", 3, "2026-01-01"), ("x", 0, "2026-01-01")):
+        got = api_bars(spark, ["A"], start_date=bound, fetcher="dated:fetch").collect()
+        assert len(got) == rows and {r["open"] for r in got} <= {start}
+
+
+def test_refused_answers(spark, api):
+    with pytest.raises(Exception, match="refused"):
+        api_bars(spark, ["click", "NOPE"], "2024-01-01", "2024-01-31", symbols_per_call=1, **api).collect()
+    kept = api_bars(spark, ["click", "NOPE"], "2024-01-01", "2024-01-31", on_error="skip", symbols_per_call=1, **api)
+    assert {r["symbol"] for r in kept.select("symbol").distinct().collect()} == {"click"}
+
+
+def test_numbers_keep_their_text(spark, tmp_path):
+    (tmp_path / "plain_numbers.py").write_text("def fetch(*a):\n    return 200, '{\"A\":{\"values\":[{\"open\":5,\"high\":1.50}]}}'\n")
+    spark.sparkContext.addPyFile(str(tmp_path / "plain_numbers.py"))
+    row = api_bars(spark, ["A"], fetcher="plain_numbers:fetch").first()
+    assert (row["open"], row["high"]) == ("5", "1.5")
+
+
+def test_documents_404(spark, api):
     register(spark)
-    bad = (spark.read.format("timeseries_api").option("fetcher", "ticksmith.sources.fetchers:folder_fetch")
-           .option("mock_root", root).option("symbols", "NOPE").option("output", "documents").load())
+    bad = spark.read.format("timeseries_api").option("fetcher", api["fetcher"]).option("mock_root", api["mock_root"]).option("symbols", "NOPE").load()
     assert bad.select("http_status").first()[0] == 404

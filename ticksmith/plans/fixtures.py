@@ -17,6 +17,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ticksmith.constants import DEFAULT_INTERVAL
+
 DOC_CHUNK = 500
 
 # invented instrument attributes per event type (the fixture's "meta");
@@ -57,7 +59,7 @@ def bar_struct(events_cols) -> Column:
 def _meta_for(symbol: Column, drop_error_meta: bool) -> Column:
     fields = ["currency", "exchange", "mic_code", "type"]
     meta = F.struct(
-        F.lit("1day").alias("interval"),
+        F.lit(DEFAULT_INTERVAL).alias("interval"),
         *[_case(symbol, i).alias(f) for i, f in enumerate(fields)],
     )
     if drop_error_meta:
@@ -162,30 +164,22 @@ def request_events(events: DataFrame) -> DataFrame:
     return events.select(F.col("event_id").cast("string").alias("request_id"), event.alias("event"))
 
 
-# --- a stand-in API answering from files --------------------------------------------
+# --- landed answers by symbol and day ------------------------------------------------
 
-def write_mock_api(events: DataFrame, root: str, drop_error_meta: bool = True) -> str:
-    """Write what the stand-in API serves (``fetchers.folder_fetch``).
+def symbol_day_documents(events: DataFrame, drop_error_meta: bool = True) -> DataFrame:
+    """events -> answers ``(symbol, day, interval, doc_id, body)``, one symbol's bars of one day.
 
-    ``bars/symbol=S/day=D``: one line per chunk of ``DOC_CHUNK`` event ids,
-    ``<chunk>\\t<JSON array of bars in event order>``; ``meta/symbol=S``:
-    the symbol's meta object.  Groups are bounded by the chunk, so a hot
-    symbol or day is still split into many small groups.
+    A day's bars are cut by ``DOC_CHUNK`` event ids, so a hot symbol or day
+    still lands as many bounded documents.
     """
+    chunk = F.lpad(F.floor(F.col("event_id") / DOC_CHUNK).cast("string"), 8, "0")
     items = events.select(
-        F.col("event_type").alias("symbol"),
-        F.date_format("ts", "yyyy-MM-dd").alias("day"),
-        F.lpad(F.floor(F.col("event_id") / DOC_CHUNK).cast("string"), 8, "0").alias("chunk"),
-        F.struct(F.col("event_id"),
-                 bar_struct((F.col("ts"), F.col("value"), F.col("user_id"))).alias("bar")).alias("item"),
+        F.col("event_type").alias("symbol"), F.date_format("ts", "yyyy-MM-dd").alias("day"), chunk.alias("chunk"),
+        F.struct("event_id", bar_struct((F.col("ts"), F.col("value"), F.col("user_id"))).alias("bar")).alias("item"),
+    )
+    days = items.groupBy("symbol", "day", "chunk").agg(F.array_sort(F.collect_list("item")).alias("items"))
+    entry = F.struct(_meta_for(F.col("symbol"), drop_error_meta).alias("meta"), F.transform("items", lambda x: x["bar"]).alias("values"))
+    return days.select(
+        "symbol", "day", F.lit(DEFAULT_INTERVAL).alias("interval"), F.concat_ws("|", "symbol", "day", "chunk").alias("doc_id"),
+        F.to_json(F.create_map(F.col("symbol"), entry)).alias("body"),
     )
-    frags = items.groupBy("symbol", "day", "chunk").agg(F.array_sort(F.collect_list("item")).alias("items"))
-    frags.select(
-        "symbol", "day",
-        F.concat("chunk", F.lit("\t"), F.to_json(F.transform("items", lambda x: x["bar"]))).alias("value"),
-    ).write.mode("overwrite").partitionBy("symbol", "day").text(f"{root}/bars")
-    symbols = events.select(F.col("event_type").alias("symbol")).distinct()
-    meta = _meta_for(F.col("symbol"), drop_error_meta)
-    symbols.select("symbol", F.coalesce(F.to_json(meta), F.lit("{}")).alias("value")) \
-        .write.mode("overwrite").partitionBy("symbol").text(f"{root}/meta")
-    return root

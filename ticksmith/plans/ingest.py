@@ -1,4 +1,4 @@
-"""End-to-end ingest run: documents -> raw + fact + dim + manifest.
+"""End-to-end ingest runs: documents -> raw + fact + dim + manifest.
 
 ``ingest_documents`` is the handler's work for one run, over any number of
 response documents at once (one API answer, a landing folder, a streaming
@@ -7,27 +7,40 @@ micro-batch):
 1. parse each document once (variant) and flag refused ones (A34/A35);
    the parsed rows are persisted so the writes below reuse one parse
 2. raw JSON of accepted documents (A29), fact CSV (A30), dim CSV (A31),
-   each into the run's own directory (A32); row counts come from
+   each into the attempt's own directory (A32); row counts come from
    ``observe`` on the same write, not a second pass (A24/A25)
-3. refused documents to ``rejects/``; the batch goes on
-4. one manifest row, written last (A33); a run whose documents were all
-   refused gets status 500 and the error text (A36)
+3. refused documents to ``rejects/``
+4. manifest rows, then the pointer that publishes the attempt (A33); a run
+   with nothing accepted gets status 500 and the error text (A36)
+
+``verdict`` says what a refused document takes with it: itself
+(``"document"``, a landing folder) or the run (``"run"``, the direct handler,
+whose documents are the answers to one request).  ``ingest_requests`` gives
+that verdict for each request of a table.  With ``on_error="raise"`` a verdict
+against a run or a request ends the job before its first write.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from ticksmith.constants import DIM_COLUMNS, ERROR_MESSAGE, FACT_COLUMNS, RAW_ONLY_MESSAGE, SUCCESS_MESSAGE
+from ticksmith.constants import DEFAULT_INTERVAL, DIM_COLUMNS, ERROR_MESSAGE, FACT_COLUMNS, RAW_ONLY_MESSAGE, SUCCESS_MESSAGE
 from ticksmith.functions.stamps import RunStamp
 from ticksmith.operators import flatten as fl
 from ticksmith.session import configure
 from ticksmith.sinks import files
 
+HTTP_FETCH = "ticksmith.sources.fetchers:http_fetch"
+
+#: (spark, requests, landing folder) -> verdicts per request (request_id, symbols, start_date, end_date, reason, documents,
+#: refused, facts, dims) and a function from these to the parsed documents to store
+Answers = Callable[[SparkSession, DataFrame, str], tuple[DataFrame, Callable[[DataFrame], DataFrame]]]
+
 
 @dataclass
 class RunResult:
@@ -41,71 +54,74 @@ class RunResult:
     fact_key: str | None
     dim_key: str | None
     error: str | None = None
+    attempt: str | None = None
 
 
 def ingest_documents(spark: SparkSession, docs: DataFrame, root: str, run: RunStamp,
                      run_id: str | None = None, request: dict | None = None,
                      status: str | None = None, single_file: bool = False,
-                     write_manifest: bool = True, raw_only: bool = False, on_error: str = "row") -> RunResult:
+                     write_manifest: bool = True, raw_only: bool = False, on_error: str = "row",
+                     verdict: str = "document") -> RunResult:
     """Ingest ``docs`` (``doc_id``, ``body`` [, HTTP ``status``]) as one run.
 
-    ``on_error="raise"`` is the direct handler without a catch: the first
-    refused document ends the run before anything is written.  ``"row"``
-    keeps refused documents in ``rejects/`` and goes on.
-
     ``raw_only`` is the first packaged handler: the raw answer is stored
     and summarised, nothing is flattened."""
     configure(spark)
     run_id = run_id or run.run_id
     day = run.extract_date
     stamp = run.extracted_at_utc
+    attempt = files.new_attempt()
+
+    def path(table: str) -> str:
+        return files.run_path(root, table, day, run_id, attempt)
 
-    files.withdraw_run(spark, root, day, run_id)
     parsed = fl.parse_documents(docs, status=status).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        if on_error == "raise" and (refused := _reasons(parsed)):
-            raise ValueError("document rejected: " + ", ".join(refused))
-        docs_obs = Observation("documents")
-        observed = parsed.observe(
-            docs_obs,
-            F.count_if(F.col("reject_reason").isNull()).alias("accepted"),
-            F.count_if(F.col("reject_reason").isNotNull()).alias("rejected"),
-        )
-        raw_key = files.run_key("raw", day, run_id)
-        fl_keep = ("doc_id",)
-        files.write_raw(fl.accepted(observed, fl_keep, F.col("body")), files.run_path(root, "raw", day, run_id),
-                        single_file=single_file)
-        counts = docs_obs.get
-        accepted, rejected = int(counts["accepted"]), int(counts["rejected"])
-
-        if rejected:
-            files.write_rejects(fl.rejected(parsed), root, day, run_id)
-
-        if raw_only and not (accepted == 0 and rejected > 0):
-            result = RunResult(200, run_id, day, 0, 0, rejected, raw_key, None, None)
-        elif accepted == 0 and rejected > 0:
-            # nothing usable: the handler would have raised before writing
-            result = RunResult(500, run_id, day, 0, 0, rejected, None, None, None,
-                               error="document rejected: " + ", ".join(_reasons(parsed)))
+        refused = _reasons(parsed) if on_error == "raise" or verdict == "run" else []
+        error = "document rejected: " + ", ".join(refused)
+        if refused and on_error == "raise":
+            raise ValueError(error)
+        if refused:
+            files.write_rejects(fl.rejected(parsed), root, day, run_id, attempt)
+            n = parsed.where(F.col("reject_reason").isNotNull()).count()
+            result = RunResult(500, run_id, day, 0, 0, n, None, None, None, error=error, attempt=attempt)
         else:
-            entries = fl.entry_rows(parsed)
-            fact_obs, dim_obs = Observation("fact"), Observation("dim")
-            facts = fl.fact_rows(entries, stamp).observe(fact_obs, F.count(F.lit(1)).alias("n"))
-            files.write_csv(facts, files.run_path(root, "fact", day, run_id), single_file)
-            dims = fl.dim_rows(entries, stamp).observe(dim_obs, F.count(F.lit(1)).alias("n"))
-            files.write_csv(dims, files.run_path(root, "dim", day, run_id), single_file)
-            result = RunResult(200, run_id, day, int(fact_obs.get["n"]), int(dim_obs.get["n"]), rejected,
-                               raw_key, files.run_key("fact", day, run_id), files.run_key("dim", day, run_id))
+            docs_obs = Observation("documents")
+            observed = parsed.observe(
+                docs_obs,
+                F.count_if(F.col("reject_reason").isNull()).alias("accepted"),
+                F.count_if(F.col("reject_reason").isNotNull()).alias("rejected"),
+            )
+            files.write_raw(fl.accepted(observed, ("doc_id",), F.col("body")), path("raw"), single_file=single_file)
+            accepted, rejected = (int(docs_obs.get[k]) for k in ("accepted", "rejected"))
+            if rejected:
+                files.write_rejects(fl.rejected(parsed), root, day, run_id, attempt)
+            raw_key = files.run_key("raw", day, run_id)
+            if accepted == 0 and rejected > 0:
+                # nothing usable: the handler would have raised before writing
+                result = RunResult(500, run_id, day, 0, 0, rejected, None, None, None,
+                                   error="document rejected: " + ", ".join(_reasons(parsed)), attempt=attempt)
+            elif raw_only:
+                result = RunResult(200, run_id, day, 0, 0, rejected, raw_key, None, None, attempt=attempt)
+            else:
+                entries = fl.entry_rows(parsed)
+                fact_obs, dim_obs = Observation("fact"), Observation("dim")
+                facts = fl.fact_rows(entries, stamp).observe(fact_obs, F.count(F.lit(1)).alias("n"))
+                files.write_csv(facts, path("fact"), single_file)
+                dims = fl.dim_rows(entries, stamp).observe(dim_obs, F.count(F.lit(1)).alias("n"))
+                files.write_csv(dims, path("dim"), single_file)
+                result = RunResult(200, run_id, day, int(fact_obs.get["n"]), int(dim_obs.get["n"]), rejected, raw_key,
+                                   files.run_key("fact", day, run_id), files.run_key("dim", day, run_id), attempt=attempt)
     finally:
         parsed.unpersist()
 
     if write_manifest:
-        files.publish_manifest(manifest_rows(spark, [result], run, request, raw_only=raw_only), root)
+        files.publish_manifest(manifest_rows(spark, [result], run, request, raw_only=raw_only), root, day, run_id, attempt)
     return result
 
 
 def _reasons(parsed: DataFrame) -> list[str]:
-    """All reasons for which documents were refused (there are seven at most)."""
+    """All reasons for which documents were refused (there are seven at most); none if all were accepted."""
     return sorted(fl.rejected(parsed).agg(F.collect_set("reject_reason")).first()[0])
 
 
@@ -124,10 +140,10 @@ def manifest_rows(spark: SparkSession, results: list[RunResult], run: RunStamp,
             r.fact_row_count, r.dim_row_count, r.rejected_count,
             r.extract_date, r.run_id, run.extracted_at_utc,
         ))
-    return spark.createDataFrame(rows, files.MANIFEST_COLUMNS)
+    return spark.createDataFrame(rows, files.MANIFEST_SCHEMA)
 
 
-def error_manifest(requests: DataFrame, run: RunStamp) -> DataFrame:
+def error_manifest(requests: DataFrame, run: RunStamp, run_id: str | None = None) -> DataFrame:
     """Manifest rows for requests that failed before any fetch
     (status 500, the handler's message and the error text)."""
     return requests.where(F.col("status") != 200).select(
@@ -139,7 +155,7 @@ def error_manifest(requests: DataFrame, run: RunStamp) -> DataFrame:
         "symbols", "start_date", "end_date",
         *[F.lit(None).cast("bigint").alias(c) for c in ("fact_row_count", "dim_row_count", "rejected_count")],
         F.lit(run.extract_date).alias("extract_date"),
-        F.lit(run.run_id).alias("run_id"),
+        F.lit(run_id or run.run_id).alias("run_id"),
         F.lit(run.extracted_at_utc).alias("extracted_at_utc"),
     )
 
@@ -183,7 +199,7 @@ def _fetch_batches(fetcher: str, interval: str, options: dict):
 
 
 def fetch_calls(spark: SparkSession, calls: DataFrame, fetcher: str, options: dict | None = None,
-                interval: str = "1day", partitions: int | None = None) -> DataFrame:
+                interval: str = DEFAULT_INTERVAL, partitions: int | None = None) -> DataFrame:
     """Run each call on an executor; answers come back as documents.
 
     Calls are hash-spread by ``call_id`` first; a retried task re-fetches
@@ -197,81 +213,124 @@ def fetch_calls(spark: SparkSession, calls: DataFrame, fetcher: str, options: di
     return spread.mapInPandas(_fetch_batches(fetcher, interval, dict(options or {})), FETCHED_DDL)
 
 
-def ingest_requests(spark: SparkSession, requests: DataFrame, root: str, run: RunStamp, fetcher: str,
-                    fetch_options: dict | None = None) -> DataFrame:
+def ingest_requests(spark: SparkSession, requests: DataFrame, root: str, run: RunStamp, fetcher: str = HTTP_FETCH,
+                    fetch_options: dict | None = None, answers: Answers | None = None, on_error: str = "row",
+                    run_id: str | None = None) -> DataFrame:
     """The gateway handler over a whole table of requests.
 
-    Distinct calls are fetched once, on the executors, and their answers
-    land in ``landing/`` first; everything else reads the landed answers, so
-    raw, fact and dim always come from the same text.  An answer is accepted
-    or refused as a whole (``rejects/``), and so is each request that asked
-    for it.  The batch is one run: raw, fact and dim go to its directories,
-    fact and dim with ``call_id`` as their last column, and the manifest has
-    one row per request (also for requests that failed before any call, A36)
-    whose keys are null where nothing was stored for it.  A re-run replaces
-    its own files and manifest rows.  Returns the manifest rows of the run.
+    ``answers`` turns the requests into documents and their links to requests
+    (by default one API call per request, equal requests sharing theirs, run
+    on the executors by ``fetcher``).  The documents land first; everything
+    else reads the landed ones, so verdicts, raw, fact and dim always come from
+    the same text.  A request is accepted or refused as a whole, whatever the
+    number of documents that answer it, and a document is stored if an accepted
+    request needs it.  The batch is one run: raw, fact and dim go to its
+    directories, fact and dim with ``call_id`` (the document's) as their last
+    column, and the manifest has one row per request (also for requests that
+    failed before any call, A36) whose keys are null where nothing was stored
+    for it.  Returns the manifest rows of the run.
     """
     configure(spark)
-    day, stamp, run_id = run.extract_date, run.extracted_at_utc, run.run_id
-    files.withdraw_run(spark, root, day, run_id)
-    landing = f"{root.rstrip('/')}/landing/extract_date={day}/run_id={run_id}"
-    fetch_calls(spark, call_plan(requests), fetcher, fetch_options, interval="1day") \
-        .withColumnRenamed("call_id", "doc_id").write.mode("overwrite").parquet(landing)
-    parsed = fl.parse_documents(spark.read.parquet(landing), status="http_status").persist(StorageLevel.MEMORY_AND_DISK)
+    day, stamp, run_id = run.extract_date, run.extracted_at_utc, run_id or run.run_id
+    attempt = files.new_attempt()
+    landing = f"{root.rstrip('/')}/landing/extract_date={day}/run_id={run_id}/attempt={attempt}"
+    answers = answers or called_answers(fetcher, fetch_options)
+    verdicts, documents = answers(spark, requests, landing)
+    if on_error == "raise":
+        # seven reasons and the requests' own errors at most, before anything but the landed answers is written
+        bad = verdicts.where("reason is not null").agg(F.collect_set("reason")).first()[0]
+        bad += [r[0] for r in requests.where("status <> 200").select("error").distinct().collect()]
+        if bad:
+            raise ValueError("request refused: " + ", ".join(sorted(bad)))
+    verdicts = verdicts.persist(StorageLevel.MEMORY_AND_DISK)
+    parsed = documents(verdicts).persist(StorageLevel.MEMORY_AND_DISK)
     try:
-        files.write_raw(fl.accepted(parsed, ("doc_id",), F.col("body")), files.run_path(root, "raw", day, run_id))
-        files.write_rejects(fl.rejected(parsed), root, day, run_id)
+        files.write_raw(fl.accepted(parsed, ("doc_id",), F.col("body")), files.run_path(root, "raw", day, run_id, attempt))
+        files.write_rejects(fl.rejected(parsed), root, day, run_id, attempt)
         entries = fl.entry_rows(parsed)
         for table, rows, columns in (("fact", fl.fact_rows, FACT_COLUMNS), ("dim", fl.dim_rows, DIM_COLUMNS)):
             out = rows(entries, stamp, keep=("doc_id",)).select(*columns, F.col("doc_id").alias("call_id"))
-            files.write_csv(out, files.run_path(root, table, day, run_id))
-        typed = F.map_values(F.col("typed"))
-        ok = F.col("reject_reason").isNull()
-        bars = F.aggregate(typed, F.lit(0).cast("bigint"), lambda acc, t: acc + F.coalesce(F.size(t["bars"]), F.lit(0)).cast("bigint"))
-        verdicts = parsed.select(
-            F.col("doc_id").alias("call_id"), F.col("reject_reason").alias("reason"),
-            F.when(ok, bars).otherwise(0).cast("bigint").alias("facts"),
-            F.when(ok, F.size(typed)).otherwise(0).cast("bigint").alias("dims"))
-        done = with_call(requests).join(verdicts, "call_id", "left")
+            files.write_csv(out, files.run_path(root, table, day, run_id, attempt))
         refused = F.col("reason").isNotNull()
 
         def key(table: str, stored):
             return F.when(stored & ~refused, F.lit(files.run_key(table, day, run_id))).alias(f"{table}_key")
 
-        rows = done.select(
+        rows = verdicts.select(
             "request_id",
             F.when(refused, 500).otherwise(200).alias("status"),
             F.when(refused, ERROR_MESSAGE).otherwise(SUCCESS_MESSAGE).alias("message"),
             F.when(refused, F.concat(F.lit("document rejected: "), "reason")).alias("error"),
-            key("raw", F.col("call_id").isNotNull()), key("fact", F.col("facts") > 0), key("dim", F.col("dims") > 0),
+            key("raw", F.col("documents") > 0), key("fact", F.col("facts") > 0), key("dim", F.col("dims") > 0),
             "symbols", "start_date", "end_date",
-            F.coalesce("facts", F.lit(0)).cast("bigint").alias("fact_row_count"),
-            F.coalesce("dims", F.lit(0)).cast("bigint").alias("dim_row_count"),
-            refused.cast("bigint").alias("rejected_count"),
+            F.when(refused, 0).otherwise(F.col("facts")).cast("bigint").alias("fact_row_count"),
+            F.when(refused, 0).otherwise(F.col("dims")).cast("bigint").alias("dim_row_count"),
+            F.col("refused").cast("bigint").alias("rejected_count"),
             F.lit(day).alias("extract_date"), F.lit(run_id).alias("run_id"), F.lit(stamp).alias("extracted_at_utc"))
-        files.publish_manifest(rows.unionByName(error_manifest(requests, run).select(*rows.columns)), root)
+        rows = rows.unionByName(error_manifest(requests, run, run_id).select(*rows.columns))
+        files.publish_manifest(rows, root, day, run_id, attempt)
     finally:
         parsed.unpersist()
+        verdicts.unpersist()
     return files.read_manifest(spark, root).where((F.col("extract_date") == day) & (F.col("run_id") == run_id))
 
 
+def document_totals(parsed: DataFrame, *keep: str) -> DataFrame:
+    """``keep``, the reason a document is refused for, and its bars and entries (0 where refused)."""
+    typed, ok = F.map_values(F.col("typed")), F.col("reject_reason").isNull()
+    bars = F.aggregate(typed, F.lit(0).cast("bigint"), lambda acc, t: acc + F.coalesce(F.size(t["bars"]), F.lit(0)).cast("bigint"))
+    return parsed.select(*keep, F.col("reject_reason").alias("reason"), F.when(ok, bars).otherwise(0).cast("bigint").alias("facts"),
+                         F.when(ok, F.size(typed)).otherwise(0).cast("bigint").alias("dims"))
+
+
+def called_answers(fetcher: str, options: dict | None = None) -> Answers:
+    """Answers by API calls: one per distinct request, landed, then read back."""
+
+    def answers(spark: SparkSession, requests: DataFrame, landing: str):
+        fetch_calls(spark, call_plan(requests), fetcher, options, interval=DEFAULT_INTERVAL) \
+            .withColumnRenamed("call_id", "doc_id").write.parquet(landing)
+        parsed = fl.parse_documents(spark.read.parquet(landing), status="http_status")
+        totals = document_totals(parsed, "doc_id").withColumnRenamed("doc_id", "call_id")
+        verdicts = with_call(requests).join(totals, "call_id", "left").select(
+            "request_id", "symbols", "start_date", "end_date", "reason",
+            *(F.coalesce(c, F.lit(0)).alias(c) for c in ("facts", "dims")),
+            F.col("call_id").isNotNull().cast("bigint").alias("documents"),
+            F.col("reason").isNotNull().cast("bigint").alias("refused"))
+        return verdicts, lambda _: parsed
+
+    return answers
+
+
+def ingest_answers(spark: SparkSession, answers: DataFrame, root: str, run: RunStamp, request: dict | None = None,
+                   on_error: str = "raise", single_file: bool = False) -> RunResult:
+    """The direct handler over the answers to one request.
+
+    ``answers`` (``doc_id``, ``body``, ``http_status``) may be many documents;
+    they get one verdict before the first write.  The handler doesn't catch its
+    errors, so the default raises; ``on_error="row"`` publishes the failed run
+    with status 500 and keeps the refused documents in ``rejects/``."""
+    return ingest_documents(spark, answers, root, run, request=request, status="http_status",
+                            single_file=single_file, on_error=on_error, verdict="run")
+
+
 def ingest_api(spark: SparkSession, root: str, run: RunStamp, symbols: list[str], start_date: str,
-               end_date: str, fetcher: str = "ticksmith.sources.fetchers:http_fetch",
-               symbols_per_call: int = 8, days_per_call: int = 0, single_file: bool = False,
-               **fetch_options: str) -> RunResult:
-    """The direct handler: API answers for one request, as one
-    run.  Calls run on the executors (one input partition each); refused
-    answers (HTTP errors, broken documents) go to ``rejects/``."""
+               end_date: str, fetcher: str = HTTP_FETCH, symbols_per_call: int = 0, days_per_call: int = 0,
+               single_file: bool = False, on_error: str = "raise", **fetch_options: str) -> RunResult:
+    """The direct handler from symbols and dates: its API calls run on the
+    executors (one input partition each; one call for all symbols unless
+    ``symbols_per_call`` splits them), their answers land, and
+    ``ingest_answers`` judges them together."""
     from ticksmith.sources.api import register
 
     register(spark)
     reader = (spark.read.format("timeseries_api").option("output", "documents")
               .option("symbols", ",".join(symbols)).option("start_date", start_date)
               .option("end_date", end_date).option("fetcher", fetcher)
-              .option("symbols_per_call", str(symbols_per_call)).option("days_per_call", str(days_per_call)))
+              .option("symbols_per_call", str(symbols_per_call or max(1, len(symbols))))
+              .option("days_per_call", str(days_per_call)))
     for k, v in fetch_options.items():
         reader = reader.option(k, v)
-    docs = reader.load().select(F.col("call_id").alias("doc_id"), "body", "http_status")
+    landing = f"{root.rstrip('/')}/landing/extract_date={run.extract_date}/run_id={run.run_id}/attempt={files.new_attempt()}"
+    reader.load().select(F.col("call_id").alias("doc_id"), "body", "http_status").write.parquet(landing)
     request = {"symbols": symbols, "start_date": start_date, "end_date": end_date}
-    return ingest_documents(spark, docs, root, run, request=request, status="http_status",
-                            single_file=single_file)
+    return ingest_answers(spark, spark.read.parquet(landing), root, run, request, on_error, single_file)

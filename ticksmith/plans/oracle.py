@@ -184,8 +184,19 @@ def _sinks():
     from ticksmith.functions.stamps import FIXED_STAMP
     from ticksmith.sinks.files import run_key
 
-    ORACLE["sink_raw"] = f"""SELECT count(*) AS fact_row_count, count(DISTINCT event_type) + 1 AS dim_row_count
-        FROM events GROUP BY {DOC}"""
+    entry = """CASE WHEN event_type = 'error' THEN '' ELSE '"meta":{"interval":"1day","currency":"' ||
+        CASE event_type WHEN 'purchase' THEN 'EUR' ELSE 'USD' END || '","exchange":"' ||
+        CASE event_type WHEN 'view' THEN 'NYSE' WHEN 'purchase' THEN 'XETRA' ELSE 'NASDAQ' END || '","mic_code":"' ||
+        CASE event_type WHEN 'click' THEN 'XNGS' WHEN 'view' THEN 'XNYS' WHEN 'purchase' THEN 'XETR' ELSE 'XNAS' END || '","type":"' ||
+        CASE WHEN event_type IN ('click', 'view') THEN 'Common Stock' ELSE 'ETF' END || '"},' END"""
+    bar = """'{"datetime":"' || strftime(ts, '%Y-%m-%d') || '","open":"' || CAST(value AS DECIMAL(18,2)) || '","high":"' ||
+        CAST(CAST(value AS DECIMAL(18,2)) + 1 AS VARCHAR) || '","low":"' || CAST(CAST(value AS DECIMAL(18,2)) - 1 AS VARCHAR) || '","close":"' ||
+        CAST(value AS DECIMAL(18,2)) || '"' || CASE WHEN user_id % 7 = 0 THEN '' ELSE ',"volume":"' || user_id || '"' END || '}'"""
+    # the documents' text, built once more from the table
+    ORACLE["sink_raw"] = f"""WITH s AS (SELECT {DOC} AS doc, event_type, '"' || event_type || '":{{' || {entry} || '"values":[' ||
+            string_agg({bar}, ',' ORDER BY event_id) || ']}}' AS entry FROM events GROUP BY doc, event_type)
+        SELECT '{{' || string_agg(entry, ',' ORDER BY event_type) || ',"empty":{{"meta":{{"interval":"1day"}},"values":[]}}}}' AS body
+        FROM s GROUP BY doc"""
     ORACLE["sink_fact_csv"] = ORACLE["fact_rows"]
     ORACLE["sink_dim_csv"] = ORACLE["dim_rows"]
     parts = []
@@ -534,3 +545,4 @@ ORACLE["request_ingest"] = _requests_cte() + """,
     LEFT JOIN daily d ON d.sym = r.sym AND d.day = r.day"""
 
 ORACLE["handler_run"] = ORACLE["fact_rows"]
+ORACLE["stream_requests"] = ORACLE["request_ingest"]

@@ -260,9 +260,8 @@ def sink_raw(spark, sf_dir):
     from ticksmith.sinks import files
 
     root, (res,) = _ingest(spark, sf_dir)
-    raw = spark.read.text(files.run_path(root, "raw", res.extract_date, res.run_id))
-    parsed = fl.parse_documents(raw.withColumnRenamed("value", "body"))
-    return fl.document_counts(parsed, keep=())
+    raw = spark.read.text(files.run_path(root, "raw", res.extract_date, res.run_id, res.attempt))
+    return raw.select(F.col("value").alias("body"))
 
 
 @query
@@ -271,7 +270,7 @@ def sink_fact_csv(spark, sf_dir):
     from ticksmith.sinks import files
 
     root, (res,) = _ingest(spark, sf_dir)
-    return files.read_csv_run(spark, files.run_path(root, "fact", res.extract_date, res.run_id), "fact")
+    return files.read_csv_run(spark, files.run_path(root, "fact", res.extract_date, res.run_id, res.attempt), "fact")
 
 
 @query
@@ -280,7 +279,7 @@ def sink_dim_csv(spark, sf_dir):
     from ticksmith.sinks import files
 
     root, (res,) = _ingest(spark, sf_dir)
-    return files.read_csv_run(spark, files.run_path(root, "dim", res.extract_date, res.run_id), "dim")
+    return files.read_csv_run(spark, files.run_path(root, "dim", res.extract_date, res.run_id, res.attempt), "dim")
 
 
 def _two_runs():
@@ -319,118 +318,87 @@ def error_manifest(spark, sf_dir):
         "request_id", "status", "message", "error", "run_id")
 
 
-# --- API source, landing scan, request-driven fetch (A1, A2, A11-A13, A35) ----------
+# --- landed answers (A1, A2, A11-A13, A35) and requests over them --------------------
 
-FOLDER_FETCH = "ticksmith.sources.fetchers:folder_fetch"
+def _store(spark, sf_dir) -> str:
+    """The API's answers by symbol and day, landed by Spark from ``events``."""
+    from ticksmith.plans.fixtures import symbol_day_documents
+    from ticksmith.sources.answers import write_answers
 
-
-_MOCK_APIS: dict[tuple[str, str], tuple] = {}
-
-
-def _mock_api(spark, sf_dir):
-    """The stand-in API's files, written by Spark from ``events`` once per
-    session and source folder (it plays an external service that exists
-    independently of the queries); the symbol list and date range come from
-    the same table (a one-row aggregate: a handful of symbols and two dates
-    reach the driver)."""
-    from ticksmith.plans.fixtures import write_mock_api
-
-    key = (spark.sparkContext.applicationId, sf_dir)
-    if key in _MOCK_APIS:
-        return _MOCK_APIS[key]
-    ev = table(spark, sf_dir, "events")
-    root = write_mock_api(ev, shared_dir(spark, "mockapi"))
-    b = ev.agg(F.array_sort(F.collect_set("event_type")).alias("s"),
-               F.date_format(F.min("ts"), "yyyy-MM-dd").alias("d0"),
-               F.date_format(F.max("ts"), "yyyy-MM-dd").alias("d1")).first()
-    _MOCK_APIS[key] = (root, list(b["s"]), b["d0"], b["d1"])
-    return _MOCK_APIS[key]
-
-
-def _api_read(spark, sf_dir, output="bars", extra_symbols=(), **opts):
-    from ticksmith.sources.api import register
-
-    register(spark)
-    root, symbols, d0, d1 = _mock_api(spark, sf_dir)
-    reader = (spark.read.format("timeseries_api").option("fetcher", FOLDER_FETCH).option("mock_root", root)
-              .option("symbols", ",".join([*symbols, *extra_symbols])).option("start_date", d0)
-              .option("end_date", d1).option("output", output))
-    for k, v in opts.items():
-        reader = reader.option(k, str(v))
-    return reader.load()
-
-
-BAR_OUT = ["symbol", "price_date", "open", "high", "low", "close", "volume"]
+    return write_answers(symbol_day_documents(table(spark, sf_dir, "events")), shared_dir(spark, "answers"))
 
 
 @query
 def api_source_scan(spark, sf_dir):
-    """A1 + A13: the API read as a table, one call per symbol batch x week."""
-    return _api_read(spark, sf_dir, symbols_per_call=2, days_per_call=7).select(*BAR_OUT)
+    """A1 + A13: all landed answers of the default interval as a table of bars."""
+    from ticksmith.sources.answers import bars, read_answers
+
+    return bars(read_answers(spark, _store(spark, sf_dir)))
 
 
 @query
 def filter_symbols(spark, sf_dir):
-    """A symbol list pushed into the call plan (fewer calls)."""
-    df = _api_read(spark, sf_dir, symbols_per_call=2, days_per_call=7)
-    return df.where(F.col("symbol").isin("click", "view")).select(*BAR_OUT)
+    """A symbol list pushed into the scan of the answers."""
+    from ticksmith.sources.answers import bars, read_answers
+
+    return bars(read_answers(spark, _store(spark, sf_dir), symbols=["click", "view"]))
 
 
 @query
 def filter_dates(spark, sf_dir):
-    """A date range pushed into the call windows (inclusive ends)."""
-    df = _api_read(spark, sf_dir, symbols_per_call=2, days_per_call=7)
-    return df.where((F.col("price_date") >= "2024-01-10") & (F.col("price_date") <= "2024-01-20")).select(*BAR_OUT)
+    """A date range pushed into the scan of the answers (inclusive ends)."""
+    from ticksmith.sources.answers import bars, read_answers
+
+    return bars(read_answers(spark, _store(spark, sf_dir), start_date="2024-01-10", end_date="2024-01-20"))
 
 
 @query
 def http_status_reject(spark, sf_dir):
-    """Calls answered 4xx/5xx are refused; the others go on."""
-    docs = _api_read(spark, sf_dir, output="documents", extra_symbols=("UNKNOWN",),
-                     symbols_per_call=1, days_per_call=7)
-    parsed = fl.parse_documents(docs, status="http_status")
-    bars = F.aggregate(F.map_values("typed"), F.lit(0).cast("bigint"),
-                       lambda acc, t: acc + F.coalesce(F.size(t["bars"]), F.lit(0)).cast("bigint"))
-    return parsed.select("symbols", "start_date", "end_date", "http_status", "reject_reason",
-                         F.when(F.col("reject_reason").isNull(), bars).alias("bars"))
+    """One call per symbol and week, answered from the store; a symbol
+    the API doesn't know answers 404 and is refused, the others go on."""
+    from ticksmith.sources.answers import answer_legs, http_status, read_answers
+
+    events = table(spark, sf_dir, "events")
+    symbols = events.select(F.col("event_type").alias("symbol")).distinct().unionByName(
+        spark.createDataFrame([("UNKNOWN",)], "symbol string"))
+    span = events.agg(F.min(F.to_date("ts")).alias("d0"), F.max(F.to_date("ts")).alias("d1"))
+    weeks = span.select(F.explode(F.expr("sequence(d0, d1, interval 7 days)")).alias("w0"), "d1").select(
+        F.lit(1).alias("one"), F.date_format("w0", "yyyy-MM-dd").alias("start_date"),
+        F.date_format(F.least(F.date_add("w0", 6), "d1"), "yyyy-MM-dd").alias("end_date"))
+    calls = symbols.withColumn("one", F.lit(1)).join(weeks, "one").drop("one")
+    answered = answer_legs(calls, read_answers(spark, _store(spark, sf_dir)))
+    status = http_status(F.col("known"))
+    return answered.select(F.col("symbol").alias("symbols"), "start_date", "end_date", status.alias("http_status"),
+                           F.when(status >= 400, fl.REJECT_HTTP).otherwise(F.col("reason")).alias("reject_reason"),
+                           F.when(status < 400, F.col("facts")).alias("bars"))
 
 
 @query
 def response_scan(spark, sf_dir):
-    """A2: response files landed one document per file, read whole."""
+    """A2: response documents landed packed and read back by a splittable scan."""
     from ticksmith.sources.landing import read_documents, write_documents
 
     path = write_documents(_documents(spark, sf_dir), shared_dir(spark, "landing"))
-    docs = read_documents(spark, path)
-    counts = fl.document_counts(fl.parse_documents(docs))
-    return counts.select(F.regexp_extract("doc_id", r"doc_id=([^/]+)/", 1).alias("doc_id"),
-                         "fact_row_count", "dim_row_count")
+    return fl.document_counts(fl.parse_documents(read_documents(spark, path)))
 
 
 @query
 def fetch_plan(spark, sf_dir):
-    """A1 driven by a request table: requests -> distinct calls fetched on
-    executors -> documents counted per call, looked up per request."""
-    from ticksmith.plans.ingest import call_plan, fetch_calls, with_call
-
-    root, _, _, _ = _mock_api(spark, sf_dir)
-    requests = _requests(spark, sf_dir)
-    docs = fetch_calls(spark, call_plan(requests), FOLDER_FETCH, {"mock_root": root})
-    parsed = fl.parse_documents(docs, status="http_status")
-    bars = F.aggregate(F.map_values("typed"), F.lit(0).cast("bigint"),
-                       lambda acc, t: acc + F.coalesce(F.size(t["bars"]), F.lit(0)).cast("bigint"))
-    # answers stay one row per call; requests look up their call's counts
-    per_call = parsed.select("call_id", F.col("reject_reason").isNotNull().cast("bigint").alias("rejected_calls"),
-                             F.when(F.col("reject_reason").isNull(), bars).otherwise(F.lit(0)).alias("bars"))
-    return with_call(requests).join(per_call, "call_id").select(
-        "request_id", F.lit(1).cast("bigint").alias("calls"), "rejected_calls", "bars")
+    """A1 driven by a request table: requests -> distinct legs (symbol and
+    window) joined with the landed answers -> one verdict per request."""
+    from ticksmith.sources.answers import read_answers, request_verdicts
+
+    verdicts = request_verdicts(_requests(spark, sf_dir), read_answers(spark, _store(spark, sf_dir)))
+    return verdicts.select("request_id", F.lit(1).cast("bigint").alias("calls"),
+                           F.col("reason").isNotNull().cast("bigint").alias("rejected_calls"),
+                           F.when(F.col("reason").isNull(), F.col("facts")).otherwise(0).cast("bigint").alias("bars"))
 
 
 # --- streaming (A37) -------------------------------------------------------------------
 
 @query
 def stream_ingest(spark, sf_dir):
-    """Response files streamed into the tables, one run per batch;
+    """Landed answers streamed into the tables, one run per batch;
     restarted once on its checkpoint, which must add nothing."""
     from ticksmith.sinks import files
     from ticksmith.sources.landing import write_documents
@@ -439,12 +407,34 @@ def stream_ingest(spark, sf_dir):
     base = shared_dir(spark, "stream")
     landing = write_documents(_documents(spark, sf_dir), f"{base}/landing")
     for _ in range(2):   # the second start is a restart on the same checkpoint: no new runs
-        q = start_ingest_stream(spark, f"{landing}/*", f"{base}/out", checkpoint=f"{base}/checkpoint",
+        q = start_ingest_stream(spark, landing, f"{base}/out", checkpoint=f"{base}/checkpoint",
                                 stamp=lambda: FIXED_STAMP, max_files_per_trigger=100)
         q.awaitTermination()
     return files.read_table(spark, f"{base}/out", "fact").drop("extract_date", "run_id")
 
 
+@query
+def stream_requests(spark, sf_dir):
+    """Request events streamed through the gateway handler.  Every event
+    lands twice, half of them again after a restart; each request is answered
+    and listed once."""
+    from ticksmith.sinks import files
+    from ticksmith.sources.answers import landed_answers
+    from ticksmith.sources.landing import write_requests
+    from ticksmith.streaming.ingest_stream import start_request_stream
+
+    base, answers = shared_dir(spark, "stream-requests"), landed_answers(_store(spark, sf_dir))
+    events = request_events(table(spark, sf_dir, "events"))
+    again = events.where(F.crc32("request_id") % 2 == 0)
+    for arrived in (events.unionByName(again), again):
+        write_requests(arrived, f"{base}/landing", mode="append")
+        q = start_request_stream(spark, f"{base}/landing", f"{base}/out", answers, checkpoint=f"{base}/checkpoint",
+                                 stamp=lambda: FIXED_STAMP)
+        q.awaitTermination()
+    return files.read_manifest(spark, f"{base}/out").select(
+        "request_id", "status", "fact_row_count", "dim_row_count", "rejected_count")
+
+
 # --- URLs (R1, R2) -----------------------------------------------------------------------
 
 @query
@@ -550,26 +540,29 @@ def noise_neighbours(spark, sf_dir):
 
 @query
 def request_ingest(spark, sf_dir):
-    """A1 + A14-A36 over a request table: every request becomes a run with
-    its own fact/dim/raw directories and one manifest row (SURVEY 3.2)."""
+    """A1 + A14-A36 over a request table: one verdict and one manifest row per
+    request, each needed answer stored once (SURVEY 3.2)."""
     from ticksmith.plans.ingest import ingest_requests
+    from ticksmith.sources.answers import landed_answers
 
-    root, _, _, _ = _mock_api(spark, sf_dir)
     out = shared_dir(spark, "request-ingest")
-    manifest = ingest_requests(spark, _requests(spark, sf_dir), out, FIXED_STAMP, FOLDER_FETCH,
-                               {"mock_root": root})
+    manifest = ingest_requests(spark, _requests(spark, sf_dir), out, FIXED_STAMP,
+                               answers=landed_answers(_store(spark, sf_dir)))
     return manifest.select("request_id", "status", "fact_row_count", "dim_row_count", "rejected_count")
 
 
 @query
 def handler_run(spark, sf_dir):
-    """SURVEY 3.1 end to end: API calls -> one run (raw, fact, dim, manifest);
-    the fact table read back through the manifest."""
-    from ticksmith.plans.ingest import ingest_api
+    """SURVEY 3.1 end to end: the direct handler over all answers to one
+    request, and a later one whose answers hold a malformed document: it stores
+    nothing (A34).  The fact table is read back through the manifest."""
+    from ticksmith.plans.ingest import ingest_answers
     from ticksmith.sinks import files
+    from ticksmith.sources.answers import read_answers
 
-    api_root, symbols, d0, d1 = _mock_api(spark, sf_dir)
-    out = shared_dir(spark, "handler")
-    ingest_api(spark, out, FIXED_STAMP, [*symbols, "UNKNOWN"], d0, d1, fetcher=FOLDER_FETCH,
-               symbols_per_call=1, days_per_call=7, mock_root=api_root)
+    out, (first, later) = shared_dir(spark, "handler"), _two_runs()
+    docs = read_answers(spark, _store(spark, sf_dir)).select("doc_id", "body", F.lit(200).alias("http_status"))
+    ingest_answers(spark, docs, out, first)
+    broken = spark.createDataFrame([("broken", '{"click":{"values":[7]}}', 200)], docs.schema)
+    ingest_answers(spark, docs.unionByName(broken), out, later, on_error="row")
     return files.read_table(spark, out, "fact").drop("extract_date", "run_id")

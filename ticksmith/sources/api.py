@@ -1,45 +1,36 @@
-"""A1 time-series API as a Spark Python Data Source, with pushdown.
+"""A1 time-series API as a Spark Python Data Source (A11-A13 as its options).
 
     spark.read.format("timeseries_api")
          .option("symbols", "AAPL,GOOG,NVDA")
          .option("start_date", "2026-01-01").option("end_date", "2026-03-31")
          .load()
-         .where(col("symbol").isin("AAPL", "NVDA"))          # pushed: fewer calls
-         .where(col("price_date") >= "2026-02-01")           # pushed: later start
 
 Each input partition is one API call (a batch of ``symbols_per_call``
 symbols x a window of ``days_per_call`` days), so calls run in parallel
-on the executors and a failed task simply re-fetches its call.
-
-``output``:
-* ``bars`` (default): one row per price bar ``(call_id, http_status,
-  symbol, price_date, open, high, low, close, volume)``; symbol and date
-  filters are pushed into the call plan and applied exactly to the rows.
-* ``documents``: one row per call ``(call_id, symbols, start_date,
-  end_date, http_status, body)``, the raw answer for the ingest plan, which
-  flattens and validates JVM-side (``ticksmith.operators.flatten``).
+on the executors and a failed task simply re-fetches its call.  A row is
+one answer as received ``(call_id, symbols, start_date, end_date,
+http_status, body)``; ``ticksmith.operators.flatten`` parses and judges
+it, here as everywhere (``api_bars`` does both).
 
 Other options: ``interval`` (default ``1day``), ``fetcher``
-(``module:function``, default the HTTP fetcher), ``on_error`` for bars
-(``raise`` like the handler, or ``skip``), and fetcher options
-(``mock_root``, ``base_url``, ``api_key_env``, ``timeout``).
+(``module:function``, default the HTTP fetcher), and fetcher options
+(``base_url``, ``api_key_env``, ``timeout``).
 """
 
 from __future__ import annotations
 
-import json
+from collections.abc import Iterator
 from datetime import date, timedelta
 
-from pyspark.sql.datasource import (DataSource, DataSourceReader, EqualTo, GreaterThan, GreaterThanOrEqual,
-                                    In, InputPartition, LessThan, LessThanOrEqual)
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
 
 from ticksmith.constants import DEFAULT_END_DATE, DEFAULT_INTERVAL, DEFAULT_START_DATE, DEFAULT_SYMBOLS
+from ticksmith.operators import flatten as fl
 
-BARS_DDL = ("call_id string, http_status int, symbol string, price_date string, open string, "
-            "high string, low string, close string, volume string")
 DOCUMENTS_DDL = ("call_id string, symbols string, start_date string, end_date string, "
                  "http_status int, body string")
-BAR_KEYS = ("datetime", "open", "high", "low", "close", "volume")
 
 
 class ApiCall(InputPartition):
@@ -51,56 +42,31 @@ class ApiCall(InputPartition):
         self.end_date = end_date
 
 
+def windows(start_date: str, end_date: str, days: int) -> Iterator[tuple[str, str]]:
+    """The range cut into windows of ``days`` days; whole if 0, none if it is empty."""
+    if start_date > end_date:
+        return
+    if days <= 0:
+        yield start_date, end_date
+        return
+    at, end = date.fromisoformat(start_date), date.fromisoformat(end_date)
+    while at <= end:
+        stop = min(at + timedelta(days=days - 1), end)
+        yield at.isoformat(), stop.isoformat()
+        at = stop + timedelta(days=1)
+
+
 def plan_calls(symbols: list[str], start_date: str, end_date: str, symbols_per_call: int,
                days_per_call: int) -> list[ApiCall]:
     """Symbol batches x date windows; an empty range gives no call."""
-    if not symbols or start_date > end_date:
-        return []
-    start, end = date.fromisoformat(start_date), date.fromisoformat(end_date)
-    windows = []
-    if days_per_call <= 0:
-        windows.append((start, end))
-    else:
-        cur = start
-        while cur <= end:
-            stop = min(cur + timedelta(days=days_per_call - 1), end)
-            windows.append((cur, stop))
-            cur = stop + timedelta(days=1)
-    calls = []
     step = max(1, symbols_per_call)
-    for i in range(0, len(symbols), step):
-        batch = symbols[i:i + step]
-        for w0, w1 in windows:
-            cid = f"{','.join(batch)}|{w0.isoformat()}|{w1.isoformat()}"
-            calls.append(ApiCall(cid, batch, w0.isoformat(), w1.isoformat()))
-    return calls
-
-
-def _text(v):
-    if v is None or isinstance(v, str):
-        return v
-    return json.dumps(v)
-
-
-def _bad_document(doc) -> str | None:
-    """The handler's failures, checked before any row leaves the call."""
-    if not isinstance(doc, dict):
-        return "not_an_object"
-    for entry in doc.values():
-        if not isinstance(entry, dict):
-            return "entry_not_object"
-        if "meta" in entry and not isinstance(entry["meta"], dict):
-            return "bad_meta"
-        if "values" in entry:
-            vals = entry["values"]
-            if not isinstance(vals, list) or any(not isinstance(b, dict) for b in vals):
-                return "bad_values"
-    return None
+    return [ApiCall(f"{','.join(batch)}|{a}|{b}", batch, a, b)
+            for batch in (symbols[i:i + step] for i in range(0, len(symbols), step))
+            for a, b in windows(start_date, end_date, days_per_call)]
 
 
 class TimeSeriesApiReader(DataSourceReader):
-    def __init__(self, options, schema):
-        self.output = options.get("output", "bars")
+    def __init__(self, options):
         syms = options.get("symbols")
         self.symbols = [s for s in syms.split(",") if s] if syms is not None else list(DEFAULT_SYMBOLS)
         self.start_date = options.get("start_date", DEFAULT_START_DATE)
@@ -109,106 +75,22 @@ class TimeSeriesApiReader(DataSourceReader):
         self.symbols_per_call = int(options.get("symbols_per_call", "8"))
         self.days_per_call = int(options.get("days_per_call", "0"))
         self.fetcher = options.get("fetcher", "ticksmith.sources.fetchers:http_fetch")
-        self.on_error = options.get("on_error", "raise")
         self.fetch_options = dict(options)
-        self.row_filters: list[tuple[str, str, object]] = []
-
-    # -- A11 / A12: narrow the call plan by pushed filters ---------------------
-    def pushFilters(self, filters):
-        if self.output != "bars":
-            yield from filters
-            return
-        for f in filters:
-            col = f.attribute[0] if len(f.attribute) == 1 else None
-            if col == "symbol" and isinstance(f, (In, EqualTo)):
-                values = set(f.value) if isinstance(f, In) else {f.value}
-                self.symbols = [s for s in self.symbols if s in values]
-                self.row_filters.append(("symbol", "in", values))
-            elif col == "price_date" and isinstance(f, (GreaterThan, GreaterThanOrEqual)) \
-                    and isinstance(f.value, str):
-                self.start_date = max(self.start_date, f.value[:10])
-                self.row_filters.append(("price_date", ">" if isinstance(f, GreaterThan) else ">=", f.value))
-            elif col == "price_date" and isinstance(f, (LessThan, LessThanOrEqual)) \
-                    and isinstance(f.value, str):
-                self.end_date = min(self.end_date, f.value[:10])
-                self.row_filters.append(("price_date", "<" if isinstance(f, LessThan) else "<=", f.value))
-            elif col == "price_date" and isinstance(f, EqualTo) and isinstance(f.value, str):
-                self.start_date = max(self.start_date, f.value[:10])
-                self.end_date = min(self.end_date, f.value[:10])
-                self.row_filters.append(("price_date", "==", f.value))
-            else:
-                yield f
 
     def partitions(self):
         calls = plan_calls(self.symbols, self.start_date, self.end_date,
                            self.symbols_per_call, self.days_per_call)
         return calls or [ApiCall("", [], self.start_date, self.end_date)]
 
-    def _keep(self, symbol, price_date) -> bool:
-        for col, op, v in self.row_filters:
-            x = symbol if col == "symbol" else price_date
-            if op == "in":
-                ok = x in v
-            elif x is None:
-                ok = False
-            elif op == ">":
-                ok = x > v
-            elif op == ">=":
-                ok = x >= v
-            elif op == "<":
-                ok = x < v
-            elif op == "<=":
-                ok = x <= v
-            else:
-                ok = x == v
-            if not ok:
-                return False
-        return True
-
     def read(self, partition: ApiCall):
         if not partition.symbols:
             return
         from ticksmith.sources.fetchers import resolve
 
-        fetch = resolve(self.fetcher)
-        status, body = fetch(partition.symbols, partition.start_date, partition.end_date,
-                             self.interval, self.fetch_options)
-        if self.output == "documents":
-            yield (partition.call_id, ",".join(partition.symbols), partition.start_date,
-                   partition.end_date, int(status), body)
-            return
-        # An HTTP error status fails the call, as raise_for_status does
-        reason = f"http_status {status}" if status >= 400 else None
-        doc = None
-        if reason is None:
-            try:
-                doc = json.loads(body)
-            except ValueError:
-                reason = "malformed_json"
-        reason = reason or _bad_document(doc)
-        if reason is not None:
-            if self.on_error == "skip":
-                return
-            raise ValueError(f"API call {partition.call_id} refused: {reason}")
-        # one Arrow batch per call: columns are built once, no per-row objects cross into Spark
-        import pyarrow as pa
-
-        cols: list[list] = [[] for _ in range(1 + len(BAR_KEYS))]  # symbol, price_date, 5 values
-        for symbol, entry in doc.items():
-            for bar in entry.get("values", []):
-                price_date = _text(bar.get("datetime"))
-                if self.row_filters and not self._keep(symbol, price_date):
-                    continue
-                cols[0].append(symbol)
-                cols[1].append(price_date)
-                for i, k in enumerate(BAR_KEYS[1:]):
-                    cols[2 + i].append(_text(bar.get(k)))
-        n = len(cols[0])
-        if n:
-            names = ["call_id", "http_status", "symbol", "price_date", *BAR_KEYS[1:]]
-            arrays = [pa.array([partition.call_id] * n, pa.string()), pa.array([int(status)] * n, pa.int32())]
-            arrays += [pa.array(c, pa.string()) for c in cols]
-            yield pa.RecordBatch.from_arrays(arrays, names=names)
+        status, body = resolve(self.fetcher)(partition.symbols, partition.start_date, partition.end_date,
+                                             self.interval, self.fetch_options)
+        yield (partition.call_id, ",".join(partition.symbols), partition.start_date,
+               partition.end_date, int(status), body)
 
 
 class TimeSeriesApiSource(DataSource):
@@ -217,10 +99,10 @@ class TimeSeriesApiSource(DataSource):
         return "timeseries_api"
 
     def schema(self):
-        return DOCUMENTS_DDL if self.options.get("output", "bars") == "documents" else BARS_DDL
+        return DOCUMENTS_DDL
 
     def reader(self, schema):
-        return TimeSeriesApiReader(self.options, schema)
+        return TimeSeriesApiReader(self.options)
 
 
 def register(spark) -> None:
@@ -229,3 +111,40 @@ def register(spark) -> None:
     configure(spark)
     ship_package(spark)
     spark.dataSource.register(TimeSeriesApiSource)
+
+
+def _iso_day(bound: str | None) -> bool:
+    try:
+        return bound is not None and date.fromisoformat(bound).isoformat() == bound
+    except ValueError:
+        return False
+
+
+def api_bars(spark: SparkSession, symbols: list[str] | None = None, start_date: str | None = None,
+             end_date: str | None = None, on_error: str = "raise", **options: str) -> DataFrame:
+    """The API as a table of bars: only the calls that the list and the range need are made.
+
+    A bound that is no full date (``2026-02``) narrows no call and filters the
+    rows.  A refused answer ends the read (``raise``, as the handler does) or
+    gives no rows (``skip``).
+    """
+    register(spark)
+    reader = spark.read.format("timeseries_api")
+    if symbols is not None:
+        reader = reader.option("symbols", ",".join(symbols))
+    for name, bound in (("start_date", start_date), ("end_date", end_date)):
+        if _iso_day(bound):
+            reader = reader.option(name, bound)
+    for k, v in options.items():
+        reader = reader.option(k, str(v))
+    parsed = fl.parse_documents(reader.load(), status="http_status")
+    if on_error == "raise":
+        refused = F.concat(F.lit("API call refused: "), "call_id", F.lit(" "), "reject_reason")
+        parsed = parsed.withColumn("typed", F.when(F.col("reject_reason").isNull(), F.col("typed")).otherwise(F.raise_error(refused)))
+        parsed = parsed.withColumn("reject_reason", F.lit(None).cast("string"))
+    rows = fl.fact_rows(fl.entry_rows(parsed, keep=("call_id",)), None).drop("extracted_at_utc")
+    if start_date is not None:
+        rows = rows.where(F.col("price_date") >= start_date)
+    if end_date is not None:
+        rows = rows.where(F.col("price_date") <= end_date)
+    return rows

@@ -4,18 +4,14 @@ A fetcher is named by ``"module:function"`` so it can be imported on the
 executors; it is called as ``fetch(symbols, start_date, end_date,
 interval, options)``.
 
-* ``http_fetch``: the real GET (form-encoded query, 30 s timeout, no retry:
-  Spark's task retry re-runs the idempotent read).  The credential is sent
-  as a header, read from an environment variable on the executor, and is
-  never part of the URL or any table.
-* ``folder_fetch``: a stand-in API answering from a folder that Spark wrote
-  from a table (see ``write_mock_api``); used by tests and benchmarks.
+``http_fetch`` is the real GET (form-encoded query, 30 s timeout, no retry:
+Spark's task retry re-runs the idempotent read).  The credential is sent
+as a header, read from an environment variable on the executor, and is
+never part of the URL or any table.
 """
 
 from __future__ import annotations
 
-import glob
-import json
 import os
 import urllib.error
 import urllib.parse
@@ -48,69 +44,3 @@ def http_fetch(symbols: list[str], start_date: str, end_date: str, interval: str
             return resp.status, resp.read().decode("utf-8")
     except urllib.error.HTTPError as e:  # 4xx / 5xx: keep the status, refuse later
         return e.code, e.read().decode("utf-8", errors="replace")
-
-
-_LISTINGS: dict[str, list[str]] = {}
-_LINES: dict[str, list[str]] = {}
-
-
-def _glob(pattern: str) -> list[str]:
-    """Folder listings are immutable once the stand-in is written, so each
-    Python worker lists a folder once."""
-    if pattern not in _LISTINGS:
-        if len(_LISTINGS) > 100_000:
-            _LISTINGS.clear()
-        _LISTINGS[pattern] = sorted(glob.glob(pattern))
-    return _LISTINGS[pattern]
-
-
-def _lines(path: str) -> list[str]:
-    if path not in _LINES:
-        if len(_LINES) > 20_000:
-            _LINES.clear()
-        with open(path, encoding="utf-8") as fh:
-            _LINES[path] = fh.read().splitlines()
-    return _LINES[path]
-
-
-def folder_fetch(symbols: list[str], start_date: str, end_date: str, interval: str,
-                 options: dict) -> tuple[int, str]:
-    """Answer like the API from ``options["mock_root"]``.
-
-    Layout (written by Spark): ``bars/symbol=S/day=D/*.txt`` with lines
-    ``<chunk>\\t<JSON array of bars>`` and ``meta/symbol=S/*.txt`` with the
-    meta object.  Unknown symbols get the API's per-symbol error object;
-    a call where every symbol is unknown answers 404.
-    """
-    root = options["mock_root"]
-    parts, known = [], 0
-    for sym in symbols:
-        sym_dir = os.path.join(root, "bars", f"symbol={sym}")
-        meta_files = _glob(os.path.join(root, "meta", f"symbol={sym}", "*.txt"))
-        day_dirs = _glob(os.path.join(sym_dir, "day=*"))
-        if not day_dirs and not meta_files:
-            parts.append(json.dumps(sym) + ':{"code":404,"message":"symbol not found","status":"error"}')
-            continue
-        known += 1
-        meta = "{}"
-        for f in meta_files:
-            lines = [x for x in _lines(f) if x.strip()]
-            if lines:
-                meta = lines[0].strip()
-                break
-        frags = []
-        for day_dir in day_dirs:
-            day = day_dir.rsplit("=", 1)[1]
-            if day < start_date or day > end_date:
-                continue
-            for f in _glob(os.path.join(day_dir, "*.txt")):
-                for line in _lines(f):
-                    chunk, _, arr = line.partition("\t")
-                    if len(arr) > 2:
-                        frags.append((day, chunk, arr[1:-1]))
-        frags.sort()
-        values = ",".join(f[2] for f in frags)
-        parts.append(json.dumps(sym) + ':{"meta":' + meta + ',"values":[' + values + "]}")
-    if symbols and known == 0:
-        return 404, '{"code":404,"message":"no such symbols","status":"error"}'
-    return 200, "{" + ",".join(parts) + "}"
