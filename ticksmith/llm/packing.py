@@ -25,25 +25,25 @@ from __future__ import annotations
 import os
 import zlib
 from collections import defaultdict
-from itertools import repeat
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import zstandard
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from ticksmith.llm.common import arrow_schema, map_batches, prepare, record_batch, stored
-from ticksmith.llm.tokens import LOOSE_SPACE, PIECES, byte_alphabet
+from ticksmith.llm.common import WordMemo, arrow_schema, map_batches, prepare, record_batch, stored
+from ticksmith.llm.tokens import PIECES, byte_alphabet
 
 SEQUENCE = 2048
 WINDOW_SEQUENCES = 32
 LOT_TOKENS = 3_000_000
 END_ID = 1
-#: distinct words whose ids a worker keeps
-MEMO_IDS = 300_000
+#: words encoded one by one whose ids a worker keeps
+MEMO_IDS = 100_000
 
 LOT_SCHEMA = "lot long, totals array<struct<source:string,tokens:bigint>>, names array<string>, queue array<int>, doc_ids array<bigint>, lengths array<int>, ids binary"
 PART_SCHEMA = "group long, lot long, source string, share double, doc_ids array<bigint>, starts array<bigint>, lengths array<bigint>, doc_tokens array<bigint>, ids binary"
@@ -67,15 +67,20 @@ def ranked_encoding(path: str):
 
 
 class WordIds:
-    """Token ids of texts by the library; each distinct word is encoded once.
+    """Token ids of texts by the library; each distinct word of a batch is encoded once.
 
     A single space between two words always begins a new piece, so a word and
-    the space before it encode alone.  New words are encoded side by side,
-    parted by a control character that is always a piece of its own; words it
-    could touch, and other texts, are encoded one by one.
+    the space before it encode alone.  Words are encoded side by side, parted
+    by a control character that is always a piece of its own; words it could
+    touch, and other texts, are encoded one by one.
     """
 
     PART = "\x0b"
+    #: words that the control character and the space before leave as they are
+    PLAIN = r"^[^\s\x0b]$|^[^\s\x0b][^\x0b]*[^\s\x0b]$"
+    #: white space, and a space that isn't alone between two words
+    SPACE = r"[\x09-\x0d\x1c-\x20\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}]"
+    LOOSE = f" {SPACE}|{SPACE} |^ | $"
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
@@ -85,59 +90,57 @@ class WordIds:
         self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         self.ranked = ranked_encoding(path)
         (self.part_id,) = self._encode(self.PART)
-        self._reset()
+        self.others = WordMemo(lambda t: np.array(self._encode(t), np.uint32), MEMO_IDS)
 
     def _encode(self, text: str) -> list[int]:
         if self.ranked is None or any(s in text for s in self.special):
             return self.tokenizer.encode(text, add_special_tokens=False).ids
         return self.ranked.encode_ordinary(text)
 
-    def _reset(self):
-        self.index: dict[str, int] = {}
-        self.flat, self.starts = np.zeros(0, np.uint32), np.zeros(1, np.int64)
-
-    def _add(self, keys: list[str], ids: np.ndarray, lengths: np.ndarray):
-        self.index.update(zip(keys, range(len(self.index), len(self.index) + len(keys))))
-        self.flat = np.concatenate([self.flat, ids])
-        self.starts = np.concatenate([self.starts, self.starts[-1] + np.cumsum(lengths)])
-
-    def _learn(self, keys: list[str]):
-        """Keys are words after a space; a key that holds a space is a whole text and a closing space."""
-        plain = [k for k in keys if k and " " not in k and self.PART not in k and not k[0].isspace() and not k[-1].isspace()]
-        rest = set(keys).difference(plain)
-        for at in range(0, len(plain), 4096):
-            some = plain[at : at + 4096]
-            ids = np.array(self._encode(" " + (self.PART + " ").join(some)), np.uint32)
+    def _words(self, words: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of some distinct words, each after a space, and where each begins (and the last ends)."""
+        # Python's and the pattern's white space beyond ASCII differ in nothing but a few characters, which go one by one
+        plain = pc.and_(pc.match_substring_regex(words, self.PLAIN), pc.string_is_ascii(words))
+        latin = pc.match_substring_regex(words, r"^[\x21-\x7e\x{a1}-\x{17f}]+$")
+        good = pc.or_(plain, latin).to_numpy(zero_copy_only=False)
+        counts, flat = np.zeros(len(words), np.int64), np.zeros(0, np.uint32)
+        if good.any():
+            some = words.filter(pa.array(good))
+            joined = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(some)], pa.int32()), some), self.PART + " ")
+            ids = np.array(self._encode(" " + joined[0].as_py()), np.uint32)
             ends = np.append(np.flatnonzero(ids == self.part_id), len(ids))
-            self._add(some, ids[ids != self.part_id], np.diff(ends, prepend=-1) - 1)
-        for key in rest:
-            ids = self._encode(key[:-1] if " " in key else " " + key)
-            self._add([key], np.array(ids, np.uint32), np.array([len(ids)]))
-
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        if len(self.index) > MEMO_IDS:
-            self._reset()
-        units, counts = [], []
-        for t in texts:
-            n = len(units)
-            if t and (LOOSE_SPACE.search(t) or any(s in t for s in self.special)):
-                units.append(t + " ")
-            elif t:
-                words = t.split(" ")
-                words[0] += " "
-                units += words
-            counts.append(len(units) - n)
-        codes = np.fromiter(map(self.index.get, units, repeat(-1)), np.int64, len(units))
-        unknown = np.flatnonzero(codes < 0)
-        if len(unknown):
-            self._learn(list({units[k] for k in unknown}))
-            codes[unknown] = [self.index[units[k]] for k in unknown]
-        lengths = self.starts[codes + 1] - self.starts[codes]
-        ends = np.cumsum(lengths)
-        total = int(ends[-1]) if len(ends) else 0
-        flat = self.flat[np.arange(total) + np.repeat(self.starts[codes] - (ends - lengths), lengths)]
-        bounds = np.concatenate([[0], ends])[np.concatenate([[0], np.cumsum(counts)]).astype(np.int64)]
-        return [flat[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+            flat, counts[good] = ids[ids != self.part_id], np.diff(ends, prepend=-1) - 1
+        rest = np.flatnonzero(~good)
+        if len(rest):
+            found = [self.others[" " + w] for w in words.take(pa.array(rest)).to_pylist()]
+            flat = np.insert(flat, np.repeat(np.cumsum(counts)[rest], [len(x) for x in found]), np.concatenate(found))
+            counts[rest] = [len(x) for x in found]
+        return flat, np.concatenate([[0], np.cumsum(counts)])
+
+    def ids(self, texts: pa.Array) -> list[np.ndarray]:
+        texts = pc.fill_null(texts, "")
+        whole = pc.match_substring_regex(texts, self.LOOSE).to_numpy(zero_copy_only=False).copy()
+        for s in self.special:
+            whole |= pc.match_substring(texts, s).to_numpy(zero_copy_only=False)
+        lists = pc.split_pattern(pc.if_else(pa.array(whole), "", texts), " ")
+        offsets = lists.offsets.to_numpy()
+        words = pc.list_flatten(lists).dictionary_encode()
+        flat, starts = self._words(words.dictionary)
+        # the first word of a text has no space before it
+        place = words.indices.to_numpy(zero_copy_only=False).astype(np.int64)
+        firsts, code = np.unique(place[offsets[:-1]], return_inverse=True)
+        bare = [self.others[w] for w in words.dictionary.take(pa.array(firsts)).to_pylist()]
+        place[offsets[:-1]] = len(words.dictionary) + code
+        starts = np.concatenate([starts, starts[-1] + np.cumsum([len(x) for x in bare])])
+        flat = np.concatenate([flat, *bare])
+        n = np.diff(starts)[place]
+        ends = np.cumsum(n)
+        flat = flat[np.arange(ends[-1]) + np.repeat(starts[place] - (ends - n), n)]
+        bounds = np.concatenate([[0], ends])[offsets]
+        out = [flat[a:b] for a, b in zip(bounds[:-1], bounds[1:])]
+        for k in np.flatnonzero(whole):
+            out[k] = np.array(self._encode(texts[int(k)].as_py()), np.uint32)
+        return out
 
 
 def tokenised_lots(docs: DataFrame, path: str, end_id: int = END_ID, lot_tokens: int = LOT_TOKENS) -> DataFrame:
@@ -164,7 +167,7 @@ def tokenised_lots(docs: DataFrame, path: str, end_id: int = END_ID, lot_tokens:
             return record_batch(row, target)
 
         for batch in batches:
-            rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), words.ids([t or "" for t in batch.column(2).to_pylist()]))
+            rows = zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), words.ids(batch.column(2)))
             for doc_id, source, ids in rows:
                 held.append((doc_id, source, np.append(ids, np.uint32(end_id))))
                 tokens += len(ids) + 1
