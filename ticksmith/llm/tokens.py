@@ -89,7 +89,7 @@ class PrefixCounter:
         self.alone = WordMemo(lambda k: self._encode(self.token[k]) == [self.token[k]], len(self.token))
         self.follows: dict[int, bool] = {}
         self.state: dict[bytes, tuple[bytes, tuple]] = {}
-        self.spaced = WordMemo(self._spaced, 300_000)
+        self.spaced = WordMemo(self._spaced, 500_000)
         self.bare = WordMemo(self._bare, 100_000)
 
     def _edge(self, token: bytes, side: int) -> list[tuple[bytes, float]]:
@@ -142,11 +142,19 @@ class PrefixCounter:
         while at and (found := shared.get(data[:at])) is None:
             at -= 1
         counts, last = (list(found[0]), list(found[1])) if at else ([0], [None])
+        self._grow(data, counts, last)
+        for end in range(max(at + 1, min(n - 2, SHARED_PREFIX)), min(n, SHARED_PREFIX) + 1):
+            shared[data[:end]] = (bytes(counts[: end + 1]), tuple(last[: end + 1]))
+        return counts
+
+    def _grow(self, data: bytes, counts: list[int], last: list) -> None:
+        """Carry counts and last tokens on from the prefix they end with to the whole of ``data``."""
         known, follows, longest = self.known, self.follows, self.longest
-        size = len(self.token[last[-1]]) if at else 0
-        for end in range(at + 1, n + 1):
-            first = end - 1 - size
-            start = first
+        size = len(self.token[last[-1]]) if len(counts) > 1 else 0
+        for end in range(len(counts), len(data) + 1):
+            # exactly one token fits; the likeliest is the last one with a byte more, then short ones
+            start = first = end - 1 - size
+            shorter = end
             while True:
                 token = known.get(data[start:end])
                 if token is not None:
@@ -159,18 +167,41 @@ class PrefixCounter:
                         ok = self.alone[token]
                     if ok:
                         break
-                # after the first try, from the longest to the shortest
-                start = (end - longest if end > longest else 0) if start == first and first >= 0 else start + 1
-                if first >= 0:
-                    first = -1
-                if start >= end:
+                shorter -= 1 if shorter - 1 != first else 2
+                start = shorter
+                if start < 0 or end - start > longest:
                     raise ValueError(f"no encoding of {data[:end]!r}")
             counts.append(counts[start] + 1)
             last.append(token)
             size = end - start
-            if n - 3 < end <= SHARED_PREFIX or end == SHARED_PREFIX:
-                shared[data[:end]] = (bytes(counts), tuple(last))
-        return counts
+
+    def learn(self, texts: list[str]) -> None:
+        """Look up a batch's plain words beforehand, in sorted order: neighbours share the states of their common prefix."""
+        words, spaced, fresh = set(), self.spaced, set()
+        for t in texts:
+            words.update(t.split(" "))
+        for w in words:
+            if w not in spaced:
+                stem = w if w[-1:] not in (".", ",") else w[:-1]
+                if stem.isalpha() and stem not in spaced:
+                    fresh.add(stem)
+        if len(spaced) + len(words) > spaced.limit:
+            spaced.clear()
+        before, counts, last = b"", [0], [None]
+        for data, word in sorted([((" " + w).encode(), w) for w in fresh]):
+            n = min(len(before), len(data))
+            same = 0
+            while same < n and before[same] == data[same]:
+                same += 1
+            del counts[same + 1 :], last[same + 1 :]
+            self._grow(data, counts, last)
+            before = data
+            spaced[word] = packed(counts[1:] if len(data) == len(word) + 1 else self._characters(data, counts))
+
+    @staticmethod
+    def _characters(data: bytes, counts: list[int]) -> list[int]:
+        """Counts where a character ends: before each byte that doesn't continue one, and at the end."""
+        return [counts[k] for k in range(1, len(data)) if data[k] & 0xC0 != 0x80] + [counts[-1]]
 
     def _follows(self, pair: int) -> bool:
         if len(self.follows) > 400_000:
@@ -203,8 +234,7 @@ class PrefixCounter:
         counts = self._piece(data)
         if len(data) == len(piece):
             return counts[1:]
-        # a character ends before each byte that doesn't continue one
-        return [counts[k] for k in range(1, len(data)) if data[k] & 0xC0 != 0x80] + [counts[-1]]
+        return self._characters(data, counts)
 
     def _plain(self, text: str) -> list[int]:
         """Counts after each character of a text without special strings."""
@@ -284,7 +314,9 @@ def prefix_counts(docs: DataFrame, path: str, budget: int | None = None) -> Data
         counter = PrefixCounter(path)
 
         def step(batch: pa.RecordBatch):
-            stored = [counter.deltas(t or "") for t in batch.column(1).to_pylist()]
+            texts = [t or "" for t in batch.column(1).to_pylist()]
+            counter.learn(texts)
+            stored = [counter.deltas(t) for t in texts]
             totals = [int(np.frombuffer(d, "<i2").sum()) for d in stored]
             fits = [len(d) // 2 if budget is None or n <= budget else longest_prefix(d, budget) for d, n in zip(stored, totals)]
             yield {"doc_id": batch.column(0), "n_bytes": batch.column(2), "n_tokens": totals, "fit_chars": fits, "prefix_deltas": stored}
