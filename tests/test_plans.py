@@ -40,5 +40,7 @@ def test_coherence_has_no_pair_rows(spark):
     prof = tp.CorpusProfile(spark, docs)
     plan = _plan(prof.coherence())
     assert "CartesianProduct" not in plan and "BroadcastNestedLoopJoin" not in plan
-    # every broadcast side is one of the bounded tables (profiles, facts)
-    assert plan.count("BroadcastExchange") <= 3
+    # narrow from the text to the ratio but for the profiles, the only join, on their block
+    assert plan.count("Join ") == 1 and plan.count("Exchange") == plan.count("BroadcastExchange") <= 1
+    ranks = _plan(tp.letter_ranks(spark, docs))
+    assert ranks.count("Exchange") == 1 and "Join" not in ranks and "Window" not in ranks

@@ -20,7 +20,7 @@ def test_char_facts():
     assert not n["is_printable"] and not n["unprintable"] and n["is_space"]
 
 
-def test_blocks_from_jdk(spark):
+def test_blocks(spark):
     blocks = tp.unicode_blocks(spark)
     names = {b[2] for b in blocks}
     assert (0, 31, "Control character") in blocks and (32, 127, "Basic Latin") in blocks
@@ -28,15 +28,28 @@ def test_blocks_from_jdk(spark):
     assert all(a[1] < b[0] for a, b in zip(blocks, blocks[1:]))
     assert {"Latin Extended-A", "Arabic Presentation Forms-A", "CJK Unified Ideographs Extension A",
             "Miscellaneous Mathematical Symbols-B", "Latin Extended Additional"} <= names
+    assert len(blocks) == len(names) == 347  # 346 blocks, and the control characters apart
+    assert {"Greek and Coptic", "Superscripts and Subscripts", "CJK Symbols and Punctuation", "Linear A", "Phags-pa", "NKo",
+            "Symbols for Legacy Computing", "CJK Unified Ideographs Extension J", "Beria Erfe"} <= names
+    assert not names & {"Greek", "Linear-A", "Cyrillic Supplementary", "Combining Marks for Symbols", "Sutton Signwriting"}
+
+
+def test_block_lookup(spark):
+    table = tp.BlockTable(tp.unicode_blocks(spark))
+    at = {0: "Control character", 31: "Control character", 32: "Basic Latin", 0x370: "Greek and Coptic", 0x3FF: "Greek and Coptic",
+          0x400: "Cyrillic", 0x2070: "Superscripts and Subscripts", 0x2FE0: None, 71503: "Ahom", 78943: "Egyptian Hieroglyph Format Controls",
+          101759: "Tangut Supplement", 101760: "Tangut Components Supplement", 0x10FFFF: "Supplementary Private Use Area-B", 0x2FFFF: None}
+    assert {cp: table[cp] for cp in at} == at
 
 
 PAIRS = [("Basic Latin", "Latin-1 Supplement"), ("Basic Latin", "Cyrillic"), ("Hiragana", "Katakana"),
          ("CJK Unified Ideographs", "Hiragana"), ("Emoticons", "Cyrillic"), ("Cyrillic", "Cyrillic Supplement"),
-         ("Greek And Coptic", "Cyrillic"), (None, "Basic Latin"), ("Hangul Syllables", "Basic Latin"),
-         ("CJK Symbols And Punctuation", "Arabic"), ("Latin Extended-A", "Arabic Presentation Forms-A")]
+         ("Greek and Coptic", "Cyrillic"), (None, "Basic Latin"), ("Hangul Syllables", "Basic Latin"),
+         ("CJK Symbols and Punctuation", "Arabic"), ("Latin Extended-A", "Arabic Presentation Forms-A"),
+         ("Greek and Coptic", "Superscripts and Subscripts")]
 
 
-EXPECTED = [False, True, False, False, False, False, True, True, False, False, True]
+EXPECTED = [False, True, False, False, False, False, True, True, False, False, True, False]
 
 
 def test_suspicious_rule(spark):
@@ -46,6 +59,36 @@ def test_suspicious_rule(spark):
     flagged = tp.suspicious_block_pairs(spark, ["Basic Latin", "Cyrillic", None])
     assert ("Basic Latin", "Cyrillic") in flagged and ("Basic Latin", "Basic Latin") not in flagged
     assert (None, "Basic Latin") in flagged
+    kindred = tp.kindred_blocks(spark)
+    assert "Superscripts and Subscripts" in kindred["Greek and Coptic"] and "Cyrillic" not in kindred["Basic Latin"]
+
+
+def test_neighbours_in_blocks_that_share_a_word(spark):
+    """Greek letters beside superscripts are no jump; beside Cyrillic ones they are."""
+    docs = spark.createDataFrame([(1, "αⁱ" * 10), (2, "αж" * 10)], "doc_id int, text string")
+    got = {r["doc_id"]: r["range_ratio"] for r in tp.noise_neighbours(spark, docs).collect()}
+    assert got == {1: 0.0, 2: pytest.approx(19 * 2 / 20)}
+
+
+def test_layers_of_a_long_text(spark):
+    """Counts of pieces meet before ranking; layers go by first appearance; letters in no block are left out."""
+    text = "bБa" * 6000 + "\U0002fffdЁéé"
+    rows = tp.letter_ranks(spark, spark.createDataFrame([(1, text), (2, ""), (3, None)], "doc_id int, text string")).collect()
+    got = sorted((r["layer"], r["rank"], r["ch"], r["n"], r["first_pos"]) for r in rows)
+    assert got == [("Basic Latin", 0, "b", 6000, 0), ("Basic Latin", 1, "a", 6000, 2), ("Basic Latin", 2, "é", 2, 18_002),
+                   ("Cyrillic", 0, "б", 6000, 1), ("Cyrillic", 1, "ё", 1, 18_001)]
+
+
+def test_many_languages_meet_in_blocks(spark, monkeypatch):
+    monkeypatch.setattr(tp, "LANGUAGES_PER_BLOCK", 2)
+    text = "the quick brown fox jumps over the lazy dog again and again and once more "
+    docs = spark.createDataFrame([(k, text * 3, f"l{k}") for k in range(7)] + [(9, "тот же текст " * 9, None)], "doc_id int, text string, lang string")
+    prof = tp.CorpusProfile(spark, docs)
+    assert prof.profiles.count() > 2
+    got = prof.candidates().groupBy("doc_id").count().collect()
+    assert {r["doc_id"]: r["count"] for r in got} == {k: 14 for k in range(7)}
+    ratios = {r["ratio"] for r in prof.coherence().collect()}
+    assert len(ratios) == 1 and min(ratios) > 0.8
 
 
 @pytest.fixture(scope="module")
@@ -80,7 +123,7 @@ def test_noise_with_a_large_alphabet_and_a_long_text(spark):
         share = len(accented) / len(letters)
         assert got[i]["accent_ratio"] == pytest.approx(share if share >= 0.35 else 0.0)
     assert got[3]["accent_ratio"] == 0.0
-    ranks = tp.letter_ranks(spark, docs.where("doc_id = 2"), hist=tp.whole_histogram(docs.where("doc_id = 2")))
+    ranks = tp.letter_ranks(spark, docs.where("doc_id = 2"))
     assert {r["ch"]: r["n"] for r in ranks.collect()} == {"é": 24_000, "à": 12_000, "b": 12_000}
 
 

@@ -13,26 +13,30 @@ as table jobs over ``documents``:
 * R10 ``noise_neighbours`` neighbour-based noise ratios (symbols, block jumps, accents)
 
 Design (Spark-first):
-* per-character facts (Python ``unicodedata`` semantics: letter, case,
-  accent, base letter, category) are computed once per *distinct*
-  character of the corpus with ``mapInPandas``; the distinct set is bounded
-  by Unicode (and is ~100 characters here) and joined back by broadcast;
-* the Unicode block of a code point comes from the JDK's block data (a
-  ~330-row range table) through a broadcast range join;
-* histograms come from exploding characters with map-side partial
-  aggregation, so only (document, character) counts are shuffled;
+* a text becomes letter counts, layers and ranks inside the row it came in
+  (``mapInArrow`` over pieces of bounded length; facts of a character are
+  remembered per worker), so the language checks on chunks need no exchange
+  and keep nothing of the corpus's size; whole documents (R4) take one, by
+  document, for the partial counts of their pieces;
+* the Unicode block of a code point is found by bisection in one sorted table
+  of intervals; which blocks may stand side by side is decided once per pair
+  of names by the column rule ``suspicious_pair``;
 * language profiles are learned from the corpus itself (documents with a
   known ``lang``), not copied from frequency tables;
-* the before/after rank counts of R6 are computed in-row over arrays whose
-  size is bounded by the profile length (no pair rows);
+* a language's alphabet is one array in rank order, intersected with a
+  layer's letters in the row: no row per letter and language, no pair rows.
+  Profiles are stored, so Spark broadcasts them only below its threshold;
 * R9 and R10 are regexes over the whole text with classes made of ranges
-  of the corpus's characters.
+  of the corpus's characters, whose facts are computed once per distinct
+  character.
 Texts are processed whole; the detector's early stop is not reproduced.
 """
 
 from __future__ import annotations
 
 import unicodedata
+from bisect import bisect_right
+from collections import Counter, defaultdict
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
@@ -45,7 +49,7 @@ ACCENT_KEYWORDS = ("WITH GRAVE", "WITH ACUTE", "WITH CEDILLA", "WITH DIAERESIS",
 SECONDARY_RANGE_KEYWORDS = ["Supplement", "Extended", "Extensions", "Modifier", "Marks", "Punctuation",
                             "Symbols", "Forms", "Operators", "Miscellaneous", "Drawing", "Block", "Shapes",
                             "Supplemental", "Tags"]
-COMMON_SAFE_ASCII = set('<>=:/&;{}[],|"-()')
+COMMON_SAFE_ASCII = {"<", ">", "=", ":", "/", "&", ";", "{", "}", "[", "]", ",", "|", '"', "-", "(", ")"}
 CONTROL_BLOCK = "Control character"   # code points 0-31 get this name
 TOO_SMALL_SEQUENCE = 32               # layers of at most this many letters are skipped
 MIN_CANDIDATE_SHARE = 0.2             # alphabet share for a candidate language
@@ -54,6 +58,9 @@ CHUNK_CHARS = 8192                    # default chunk of the language checks (R5
 PROFILE_SHARE = 1000                  # a language's alphabet: its letters with at least 1/1000 of its text
 ALT_PROFILE_SHARE = 10_000            # the alternative ("—") profile: at least 1/10000
 
+ARROW_ROWS = 500                      # pieces of text that go to a Python worker at once
+LANGUAGES_PER_BLOCK = 64              # language profiles that are compared with a layer in one row
+
 _BLOCK_CACHE: dict[str, list[tuple[int, int, str]]] = {}
 
 
@@ -71,12 +78,66 @@ def round4(num: Column, den: Column) -> Column:
 
 # --- Unicode blocks (from the JDK) ----------------------------------------------------
 
-_ACRONYMS = {"CJK", "IPA", "NKO"}
+# Blocks that the rule below spells otherwise, and those younger than Unicode 13 (Java 17);
+# first code point, last code point, official name.
+OFFICIAL_BLOCKS = [
+    (880, 1023, "Greek and Coptic"),
+    (1280, 1327, "Cyrillic Supplement"),
+    (1984, 2047, "NKo"),
+    (2160, 2207, "Arabic Extended-B"),
+    (8400, 8447, "Combining Diacritical Marks for Symbols"),
+    (43072, 43135, "Phags-pa"),
+    (66928, 67007, "Vithkuqi"),
+    (67008, 67071, "Todhri"),
+    (67072, 67455, "Linear A"),
+    (67456, 67519, "Latin Extended-F"),
+    (67904, 67935, "Sidetic"),
+    (68928, 69007, "Garay"),
+    (69312, 69375, "Arabic Extended-C"),
+    (69488, 69551, "Old Uyghur"),
+    (70528, 70655, "Tulu-Tigalari"),
+    (71376, 71423, "Myanmar Extended-C"),
+    (71424, 71503, "Ahom"),
+    (72368, 72383, "Unified Canadian Aboriginal Syllabics Extended-A"),
+    (72448, 72543, "Devanagari Extended-A"),
+    (72544, 72575, "Sharada Supplement"),
+    (72640, 72703, "Sunuwar"),
+    (73136, 73199, "Tolong Siki"),
+    (73472, 73567, "Kawi"),
+    (77712, 77823, "Cypro-Minoan"),
+    (78896, 78943, "Egyptian Hieroglyph Format Controls"),
+    (78944, 82943, "Egyptian Hieroglyphs Extended-A"),
+    (90368, 90431, "Gurung Khema"),
+    (92784, 92879, "Tangsa"),
+    (93504, 93567, "Kirat Rai"),
+    (93856, 93919, "Beria Erfe"),
+    (101632, 101759, "Tangut Supplement"),
+    (101760, 101887, "Tangut Components Supplement"),
+    (110576, 110591, "Kana Extended-B"),
+    (117760, 118463, "Symbols for Legacy Computing Supplement"),
+    (118464, 118527, "Miscellaneous Symbols Supplement"),
+    (118528, 118735, "Znamenny Musical Notation"),
+    (119488, 119519, "Kaktovik Numerals"),
+    (120832, 121519, "Sutton SignWriting"),
+    (122624, 122879, "Latin Extended-G"),
+    (122928, 123023, "Cyrillic Extended-D"),
+    (123536, 123583, "Toto"),
+    (124112, 124159, "Nag Mundari"),
+    (124368, 124415, "Ol Onal"),
+    (124608, 124671, "Tai Yo"),
+    (124896, 124927, "Ethiopic Extended-B"),
+    (191472, 192095, "CJK Unified Ideographs Extension I"),
+    (201552, 205743, "CJK Unified Ideographs Extension H"),
+    (205744, 210047, "CJK Unified Ideographs Extension J"),
+]
+
+_ACRONYMS = {"CJK", "IPA"}
+_SMALL_WORDS = {"AND": "and", "FOR": "for"}
 
 
 def _display_name(java_name: str) -> str:
-    """The official spelling: the JDK writes every separator as one underscore."""
-    words = [w if w in _ACRONYMS else w.capitalize() for w in java_name.split("_")]
+    """The official spelling: the JDK writes every separator as one underscore, and all in capitals."""
+    words = [w if w in _ACRONYMS else _SMALL_WORDS.get(w, w.capitalize()) for w in java_name.split("_")]
     if words[:2] == ["Latin", "1"]:
         return "Latin-1 " + " ".join(words[2:])
     # a last letter numbers a part of a block family, except in "Extension A"
@@ -123,9 +184,11 @@ def _scan_jdk_blocks(spark: SparkSession) -> list[tuple[int, int, str]]:
 
 
 def unicode_blocks(spark: SparkSession) -> list[tuple[int, int, str]]:
-    """``(start, end, name)`` of every Unicode block known to the JDK, with
-    0-31 named ``Control character``.  Computed once and kept as JSON in
-    the shared checkpoint folder (keyed by JDK version) for later runs."""
+    """``(start, end, name)`` of every block of Unicode 17, sorted, with 0-31
+    named ``Control character``: the JDK's intervals under their official
+    spelling, and the fixed values above in their place, so that any JDK from
+    17 on gives the same table.  Computed once and kept as JSON in the shared
+    checkpoint folder (keyed by JDK version) for later runs."""
     key = spark.sparkContext.applicationId
     if key in _BLOCK_CACHE:
         return _BLOCK_CACHE[key]
@@ -135,7 +198,7 @@ def unicode_blocks(spark: SparkSession) -> list[tuple[int, int, str]]:
 
     jvm = spark.sparkContext._jvm
     version = str(jvm.java.lang.System.getProperty("java.version"))
-    fs_path = f"{checkpoint_root(spark).rstrip('/')}/ticksmith/unicode-block-names-{version}.json"
+    fs_path = f"{checkpoint_root(spark).rstrip('/')}/ticksmith/unicode-17-blocks-{version}.json"
     hadoop_path = jvm.org.apache.hadoop.fs.Path(fs_path)
     fs = hadoop_path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
     blocks = None
@@ -155,6 +218,10 @@ def unicode_blocks(spark: SparkSession) -> list[tuple[int, int, str]]:
                 blocks.append((32, e, label))
             else:
                 blocks.append((s, e, label))
+        official = [first for first, _, _ in OFFICIAL_BLOCKS]
+        covered = [(s, e) for s, e, _ in OFFICIAL_BLOCKS]
+        blocks = [b for b in blocks if b[0] not in official and not any(s <= b[0] <= e for s, e in covered)]
+        blocks = sorted(blocks + OFFICIAL_BLOCKS)
         out = fs.create(hadoop_path, True)
         try:
             out.write(bytearray(json.dumps(blocks).encode("utf-8")))
@@ -164,8 +231,16 @@ def unicode_blocks(spark: SparkSession) -> list[tuple[int, int, str]]:
     return blocks
 
 
-def block_table(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame(unicode_blocks(spark), "block_start int, block_end int, block string")
+class BlockTable:
+    """The block of a code point by bisection in the sorted intervals."""
+
+    def __init__(self, blocks: list[tuple[int, int, str]]):
+        self.blocks = blocks
+        self.starts = [b[0] for b in blocks]
+
+    def __getitem__(self, cp: int) -> str | None:
+        k = bisect_right(self.starts, cp) - 1
+        return self.blocks[k][2] if k >= 0 and cp <= self.blocks[k][1] else None
 
 
 # --- per-character facts ------------------------------------------------------------------
@@ -200,20 +275,20 @@ def char_facts(ch: str, block: str | None) -> tuple:
     )
 
 
-def _facts_batches(batches):
-    import pandas as pd
+def _facts_batches(blocks: BlockTable):
+    def run(batches):
+        import pandas as pd
 
-    cols = [c.split(" ")[0] for c in CHAR_DDL.split(", ")]
-    for pdf in batches:
-        rows = [char_facts(c, b if isinstance(b, str) else None)
-                for c, b in zip(pdf["ch"], pdf["block"]) if isinstance(c, str) and len(c) == 1]
-        yield pd.DataFrame(rows, columns=cols)
+        cols = [c.split(" ")[0] for c in CHAR_DDL.split(", ")]
+        for pdf in batches:
+            yield pd.DataFrame([char_facts(c, blocks[ord(c)]) for c in pdf["ch"]], columns=cols)
+    return run
 
 
 def char_table(spark: SparkSession, texts: DataFrame, text: str = "text") -> DataFrame:
     """Facts for every distinct character of ``texts`` (and its lower-case
-    form): distinct per row in place, one small shuffle to dedupe, the block
-    by a broadcast range join, then Python on the distinct set only."""
+    form): distinct per row in place, one small shuffle to dedupe, then
+    Python on the distinct set only."""
     both = F.concat(F.col(text), F.lower(F.col(text)))
     distinct = texts.select(F.explode(F.array_distinct(F.split(both, "", -1))).alias("ch"))
     return char_table_of(spark, distinct)
@@ -228,19 +303,10 @@ def char_table_of(spark: SparkSession, chars: DataFrame, ch: str = "ch") -> Data
     c = F.col(ch)
     distinct = chars.select(F.explode(F.array_distinct(F.array(c, F.lower(c)))).alias("ch")) \
         .where(F.length("ch") == 1).distinct()
-    with_block = block_of_code_points(spark, distinct.select("ch", F.ascii("ch").alias("cp")))
-    return with_block.select("ch", "block").mapInPandas(_facts_batches, CHAR_DDL)
-
-
-def _small(df: DataFrame) -> DataFrame:
-    """Broadcast a side whose size is bounded by construction: the character
-    table (at most one row per distinct code point of the corpus, ~100
-    here, never more than Unicode's 1.1M) or a learned profile (languages x
-    profile size)."""
-    return F.broadcast(df)
+    return distinct.mapInPandas(_facts_batches(BlockTable(unicode_blocks(spark))), CHAR_DDL)
 
 
-# --- chunks and histograms ------------------------------------------------------------------
+# --- chunks ------------------------------------------------------------------
 
 def chunk_texts(docs: DataFrame, text: str = "text", size: int = CHUNK_CHARS) -> DataFrame:
     """``(doc_id, lang, chunk, offset, piece)``: each text cut into pieces
@@ -254,41 +320,120 @@ def chunk_texts(docs: DataFrame, text: str = "text", size: int = CHUNK_CHARS) ->
         "doc_id", "lang", "chunk", (F.col("chunk") * size).cast("bigint").alias("offset"), "piece")
 
 
-def chunk_histogram(chunks: DataFrame) -> DataFrame:
-    """``(doc_id, lang, chunk, ch, n, first_pos)`` with ``first_pos`` the
-    position in the document; partial aggregation runs before the shuffle,
-    so only distinct characters per chunk are exchanged.  ``lang`` depends
-    on ``doc_id`` and adds no groups."""
-    chars = chunks.select("doc_id", "lang", "chunk", "offset",
-                          F.posexplode(F.split("piece", "", -1)).alias("pos", "ch"))
-    return chars.groupBy("doc_id", "lang", "chunk", "ch").agg(
-        F.count(F.lit(1)).alias("n"), F.min(F.col("offset") + F.col("pos")).alias("first_pos"))
+# --- letters of a piece of text, in the row ----------------------------------------------
+
+class Letters:
+    """What a worker knows about characters: block, lower case, and which blocks go together."""
+
+    def __init__(self, blocks: BlockTable, kindred: dict[str, set[str]]):
+        self.blocks, self.kindred = blocks, kindred
+        self.known: dict[str, tuple[str, str] | None] = {}
+        self.accents: dict[str, bool] = {}
+
+    def letter(self, ch: str) -> tuple[str, str] | None:
+        """(block, lower case) of a letter; letters outside every block are skipped, as by the detector."""
+        if ch not in self.known:
+            block = self.blocks[ord(ch)] if ch.isalpha() else None
+            self.known[ch] = None if block is None else (block, ch.lower())
+        return self.known[ch]
+
+    def accented(self, ch: str) -> bool:
+        if ch not in self.accents:
+            self.accents[ch] = len(ch) == 1 and ch.isalpha() and any(k in unicodedata.name(ch, "") for k in ACCENT_KEYWORDS)
+        return self.accents[ch]
+
+    def count(self, piece: str, offset: int) -> list[tuple[str, str, int, int]]:
+        """(block, lower-case letter, count, first position) of a piece."""
+        found: dict[tuple[str, str], list[int]] = {}
+        for ch, n in Counter(piece).items():
+            if (key := self.letter(ch)) is not None:
+                at = offset + piece.index(ch)
+                if key in found:
+                    found[key] = [found[key][0] + n, min(found[key][1], at)]
+                else:
+                    found[key] = [n, at]
+        return [(*key, n, at) for key, (n, at) in found.items()]
+
+    def layers(self, letters: list[tuple[str, str, int, int]]) -> dict[str, list[tuple[str, int, int]]]:
+        """Letters by layer, ranked by count, ties by first appearance.
+
+        Blocks come in order of first appearance; each joins the first earlier
+        layer it may stand next to.
+        """
+        first: dict[str, int] = {}
+        for block, _, _, at in letters:
+            first[block] = min(at, first.get(block, at))
+        layer_of: dict[str, str] = {}
+        for block in sorted(first, key=lambda b: (first[b], b)):
+            layer_of[block] = next((layer for layer in dict.fromkeys(layer_of.values()) if block in self.kindred[layer]), block)
+        merged: dict[str, dict[str, list[int]]] = defaultdict(dict)
+        for block, ch, n, at in letters:
+            layer = merged[layer_of[block]]
+            layer[ch] = [n + layer[ch][0], min(at, layer[ch][1])] if ch in layer else [n, at]
+        return {name: sorted(((ch, n, at) for ch, (n, at) in layer.items()), key=lambda x: (-x[1], x[2])) for name, layer in merged.items()}
+
+
+_KINDRED: dict[str, dict[str, set[str]]] = {}
 
 
-def whole_histogram(docs: DataFrame, text: str = "text") -> DataFrame:
-    """The histogram of each text as one chunk, 0.  Long texts are still cut
-    into pieces for the explode; the pieces only make partial sums, which
-    meet before anything is ranked."""
-    parts = chunk_histogram(chunk_texts(docs, text))
-    return parts.groupBy("doc_id", "lang", "ch").agg(F.sum("n").alias("n"), F.min("first_pos").alias("first_pos")) \
-        .select("doc_id", "lang", F.lit(0).alias("chunk"), "ch", "n", "first_pos")
+def kindred_blocks(spark: SparkSession) -> dict[str, set[str]]:
+    """For each block, those the successive-range rule lets stand next to it; decided once per session."""
+    key = spark.sparkContext.applicationId
+    if key not in _KINDRED:
+        names = [b[2] for b in unicode_blocks(spark)]
+        every = spark.createDataFrame([(n,) for n in names], "a string").select("a", F.explode(F.array(*map(F.lit, names))).alias("b"))
+        pairs = every.where(~suspicious_pair(F.col("a"), F.col("b"))).groupBy("a").agg(F.collect_list("b").alias("b"))
+        _KINDRED[key] = {r.a: set(r.b) for r in pairs.collect()}
+    return _KINDRED[key]
+
+
+def _arrow_rows(make, names: list[str], target):
+    """A ``mapInArrow`` function from rows (tuples of the named columns) to rows."""
+    def run(batches):
+        import pyarrow as pa
+
+        step = make()
+        for batch in batches:
+            rows = [out for row in zip(*(batch.column(n).to_pylist() for n in names)) for out in step(*row)]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, f.type) for c, f in zip(zip(*rows), target)], schema=target)
+    return run
+
+
+def _map_rows(df: DataFrame, make, names: list[str], ddl: str) -> DataFrame:
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    from ticksmith.session import ship_package
+
+    ship_package(df.sparkSession)
+    df.sparkSession.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", ARROW_ROWS)
+    return df.select(*names).mapInArrow(_arrow_rows(make, names, to_arrow_schema(StructType.fromDDL(ddl))), ddl)
 
 
 # --- R3 -----------------------------------------------------------------------------------
 
-def char_blocks(spark: SparkSession, docs: DataFrame, facts: DataFrame | None = None) -> DataFrame:
-    """``(doc_id, block, chars)`` characters per Unicode block."""
-    facts = facts if facts is not None else char_table(spark, docs)
-    hist = chunk_histogram(chunk_texts(docs))
-    joined = hist.join(_small(facts), "ch")
-    return joined.groupBy("doc_id", "block").agg(F.sum("n").alias("chars"))
+def char_blocks(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """``(doc_id, block, chars)`` characters per Unicode block; counted per
+    piece in the row, summed per document."""
+    blocks = BlockTable(unicode_blocks(spark))
 
+    def make():
+        known: dict[str, str | None] = {}
 
-def block_of_code_points(spark: SparkSession, cps: DataFrame, cp: str = "cp") -> DataFrame:
-    """Range join of code points with the block table (broadcast: ~330 rows)."""
-    blocks = F.broadcast(block_table(spark))
-    return cps.join(blocks, (F.col(cp) >= F.col("block_start")) & (F.col(cp) <= F.col("block_end")), "left") \
-        .drop("block_start", "block_end")
+        def step(doc_id, piece):
+            found: Counter = Counter()
+            for ch, n in Counter(piece).items():
+                if ch not in known:
+                    known[ch] = blocks[ord(ch)]
+                found[known[ch]] += n
+            return [(doc_id, block, n) for block, n in found.items()]
+        return step
+
+    pieces = chunk_texts(docs)
+    key = pieces.schema["doc_id"].dataType.simpleString()
+    counted = _map_rows(pieces, make, ["doc_id", "piece"], f"doc_id {key}, block string, chars bigint")
+    return counted.groupBy("doc_id", "block").agg(F.sum("chars").alias("chars"))
 
 
 # --- successive-range rule -----------------------------------------------------------------
@@ -324,118 +469,131 @@ def suspicious_pair(a: Column, b: Column) -> Column:
 
 # --- R4: layers and ranks ---------------------------------------------------------------------
 
-def letter_ranks(spark: SparkSession, docs: DataFrame, facts: DataFrame | None = None,
-                 hist: DataFrame | None = None) -> DataFrame:
-    """``(doc_id, chunk, layer, ch, n, first_pos, rank, layer_size, layer_letters)``.
+def letter_ranks(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """``(doc_id, layer, ch, n, first_pos, rank)`` of whole documents.
 
-    Letters of a chunk are split into layers by Unicode block (a block joins
-    the first earlier layer it is not suspicious next to), lower-cased, and
-    ranked by count, ties by first appearance.  A chunk is whatever the
-    histogram calls one: the whole document for R4 itself
-    (``whole_histogram``), pieces of the text for the language checks.
+    Letters are split into layers by Unicode block (a block joins the first
+    earlier layer it is not suspicious next to), lower-cased, and ranked by
+    count, ties by first appearance.  Pieces are counted in the row; their
+    counts meet by one exchange on the document, which the sums, the layers
+    and the ranks share.
     """
-    facts = facts if facts is not None else char_table(spark, docs)
-    hist = hist if hist is not None else chunk_histogram(chunk_texts(docs))
-    # letters outside every known block are skipped, as by the detector
-    letters = hist.drop("lang").join(_small(facts), "ch").where("is_alpha AND block IS NOT NULL") \
-        .select("doc_id", "chunk", "ch", "n", "first_pos", "block", "lower_ch")
-    # blocks in order of first appearance per chunk (a handful per chunk)
-    blocks = letters.groupBy("doc_id", "chunk", "block").agg(F.min("first_pos").alias("bpos"))
-    ordered = blocks.groupBy("doc_id", "chunk").agg(
-        F.array_sort(F.collect_list(F.struct("bpos", "block"))).alias("bl"))
-    init = F.array().cast("array<struct<block:string,layer:string>>")
-
-    def assign(acc, x):
-        layers = F.array_distinct(F.transform(acc, lambda y: y["layer"]))
-        ok = F.filter(layers, lambda lay: ~suspicious_pair(lay, x["block"]))
-        target = F.coalesce(F.get(ok, 0), x["block"])
-        return F.array_append(acc, F.struct(x["block"].alias("block"), target.alias("layer")))
-
-    layer_of = ordered.select("doc_id", "chunk", F.inline(F.aggregate("bl", init, assign)))
-    lay = letters.join(layer_of, ["doc_id", "chunk", "block"])
-    per = lay.groupBy("doc_id", "chunk", "layer", F.col("lower_ch").alias("ch")).agg(
-        F.sum("n").alias("n"), F.min("first_pos").alias("first_pos"))
-    w = Window.partitionBy("doc_id", "chunk", "layer")
-    ranked = per.withColumn("rank", F.row_number().over(w.orderBy(F.desc("n"), "first_pos")) - 1) \
-        .withColumn("layer_size", F.sum("n").over(w)) \
-        .withColumn("layer_letters", F.count(F.lit(1)).over(w))
-    return ranked
+    blocks, kindred = BlockTable(unicode_blocks(spark)), kindred_blocks(spark)
+
+    def count():
+        known = Letters(blocks, kindred)
+
+        def step(doc_id, offset, piece):
+            return [(doc_id, *letter) for letter in known.count(piece, offset)]
+        return step
+
+    def rank():
+        known = Letters(blocks, kindred)
+
+        def step(doc_id, letters):
+            rows = [(x["block"], x["ch"], x["n"], x["first_pos"]) for x in letters]
+            return [(doc_id, layer, ch, n, at, k) for layer, ls in known.layers(rows).items() for k, (ch, n, at) in enumerate(ls)]
+        return step
+
+    pieces = chunk_texts(docs)
+    key = pieces.schema["doc_id"].dataType.simpleString()
+    counted = _map_rows(pieces, count, ["doc_id", "offset", "piece"], f"doc_id {key}, block string, ch string, n bigint, first_pos bigint")
+    summed = counted.repartition("doc_id").groupBy("doc_id", "block", "ch").agg(F.sum("n").alias("n"), F.min("first_pos").alias("first_pos"))
+    letters = summed.groupBy("doc_id").agg(F.collect_list(F.struct("block", "ch", "n", "first_pos")).alias("letters"))
+    return _map_rows(letters, rank, ["doc_id", "letters"], f"doc_id {key}, layer string, ch string, n bigint, first_pos bigint, rank bigint")
+
+
+def chunk_layers(spark: SparkSession, docs: DataFrame, size: int = CHUNK_CHARS) -> DataFrame:
+    """``(doc_id, lang, chunk, layer, letters, counts, accents)``: the ranked
+    letters of each layer of each chunk, narrow from the text on."""
+    blocks, kindred = BlockTable(unicode_blocks(spark)), kindred_blocks(spark)
+
+    def make():
+        known = Letters(blocks, kindred)
+
+        def step(doc_id, lang, chunk, piece):
+            out = []
+            for layer, ls in known.layers(known.count(piece, 0)).items():
+                letters = [x[0] for x in ls]
+                out.append((doc_id, lang, chunk, layer, letters, [x[1] for x in ls], [known.accented(c) for c in letters]))
+            return out
+        return step
+
+    pieces = chunk_texts(docs, size=size)
+    key = pieces.schema["doc_id"].dataType.simpleString()
+    return _map_rows(pieces, make, ["doc_id", "lang", "chunk", "piece"],
+                     f"doc_id {key}, lang string, chunk int, layer string, letters array<string>, counts array<bigint>, accents array<boolean>")
 
 
 # --- language profiles -------------------------------------------------------------------------
 
-def learn_profiles(spark: SparkSession, docs: DataFrame, facts: DataFrame | None = None,
-                   share: int = PROFILE_SHARE, alt_share: int | None = ALT_PROFILE_SHARE,
-                   hist: DataFrame | None = None) -> DataFrame:
-    """``(language, ch, lang_rank, profile_size, has_accents)``: the alphabet
-    of each ``lang`` in the corpus, that is all lower-case letters with at
-    least one in ``share`` of its letters, ranked by count; and an alternative
-    profile ``<lang>—`` that also has its rare letters (one in ``alt_share``)."""
-    facts = facts if facts is not None else char_table(spark, docs)
-    hist = hist if hist is not None else chunk_histogram(chunk_texts(docs))
-    labelled = hist.where(F.col("lang").isNotNull())
-    counts = labelled.join(_small(facts), "ch").where("is_alpha") \
-        .groupBy("lang", "lower_ch").agg(F.sum("n").alias("n"))
-    w = Window.partitionBy("lang").orderBy(F.desc("n"), "lower_ch")
-    ranked = counts.withColumn("r", F.row_number().over(w) - 1) \
-        .withColumn("total", F.sum("n").over(Window.partitionBy("lang")))
-    variants = [(F.col("lang"), share)]
-    if alt_share:
-        variants.append((F.concat(F.col("lang"), F.lit("—")), alt_share))
+def learn_profiles(layers: DataFrame, share: int = PROFILE_SHARE, alt_share: int | None = ALT_PROFILE_SHARE) -> DataFrame:
+    """``(language, alphabet, has_accents)``: all lower-case letters with at
+    least one in ``share`` of a ``lang``'s letters, as one array ranked by
+    count; and an alternative profile ``<lang>—`` that also has its rare
+    letters (one in ``alt_share``).  ``layers`` is what ``chunk_layers`` gives."""
+    letters = layers.where(F.col("lang").isNotNull()).select("lang", F.inline(F.arrays_zip("letters", "counts", "accents")))
+    counts = letters.groupBy("lang", F.col("letters").alias("ch")).agg(F.sum("counts").alias("n"), F.max("accents").alias("accent"))
+    total = F.sum("n").over(Window.partitionBy("lang"))
+    order = F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("k"), "ch", "accent")))
     out = None
-    for name, k in variants:
-        part = ranked.where(F.col("n") * k >= F.col("total")).select(name.alias("language"), F.col("lower_ch").alias("ch"),
-                                                   F.col("r").alias("lang_rank"))
+    for name, k in [(F.col("lang"), share), *([(F.concat("lang", F.lit("—")), alt_share)] if alt_share else [])]:
+        part = counts.withColumn("total", total).where(F.col("n") * k >= F.col("total")).groupBy(name.alias("language")).agg(order.alias("a"))
         out = part if out is None else out.unionByName(part)
-    out = out.join(_small(facts), "ch", "left").select(out.columns + ["accentuated"])
-    wl = Window.partitionBy("language")
-    return out.withColumn("profile_size", F.count(F.lit(1)).over(wl)) \
-        .withColumn("has_accents", F.max(F.coalesce("accentuated", F.lit(False))).over(wl)).drop("accentuated")
+    return out.select("language", F.col("a.ch").alias("alphabet"), F.exists("a.accent", lambda x: x).alias("has_accents"))
+
+
+def profile_blocks(profiles: DataFrame) -> DataFrame:
+    """Profiles in blocks of about ``LANGUAGES_PER_BLOCK`` languages ``(block, blocks, profiles)``, stored in the shared folder."""
+    from ticksmith.session import shared_dir
 
+    spark = profiles.sparkSession
+    path = shared_dir(spark, "profiles")
+    profiles.write.parquet(f"{path}/languages")
+    kept = spark.read.parquet(f"{path}/languages")
+    n = max(1, -(-kept.count() // LANGUAGES_PER_BLOCK))
+    blocks = kept.groupBy(F.pmod(F.hash("language"), F.lit(n)).alias("block")).agg(F.collect_list(F.struct("language", "alphabet", "has_accents")).alias("profiles"))
+    blocks.withColumn("blocks", F.lit(n)).coalesce(n).write.parquet(f"{path}/blocks")
+    return spark.read.parquet(f"{path}/blocks")
 
-# --- R5 -------------------------------------------------------------------------------------
 
-def lang_candidates(ranks: DataFrame, profiles: DataFrame, facts: DataFrame) -> DataFrame:
+# --- R5, R6 -----------------------------------------------------------------------------------
+
+def lang_candidates(layers: DataFrame, profiles: DataFrame, *keep: str) -> DataFrame:
     """``(doc_id, chunk, layer, language, share)`` for share >= 0.2.
 
-    A language without accented letters is skipped when the layer has any."""
-    layers = ranks.where(F.col("layer_size") > TOO_SMALL_SEQUENCE)
-    with_acc = layers.join(_small(facts), "ch", "left").select("doc_id", "chunk", "layer", "accentuated")
-    layer_acc = with_acc.groupBy("doc_id", "chunk", "layer").agg(
-        F.max(F.coalesce("accentuated", F.lit(False))).alias("source_accents"))
-    prof = _small(profiles.select("language", "ch", "profile_size", "has_accents"))
-    matched = layers.select("doc_id", "chunk", "layer", "ch").join(prof, "ch") \
-        .groupBy("doc_id", "chunk", "layer", "language", "profile_size", "has_accents") \
-        .agg(F.count(F.lit(1)).alias("matched"))
-    cand = matched.join(layer_acc, ["doc_id", "chunk", "layer"]) \
-        .where(F.col("has_accents") | ~F.col("source_accents")) \
-        .withColumn("share", F.col("matched") / F.col("profile_size")) \
-        .where(F.col("share") >= MIN_CANDIDATE_SHARE)
-    return cand.select("doc_id", "chunk", "layer", "language", "share")
-
-
-# --- R6 -------------------------------------------------------------------------------------
-
-def lang_coherence(ranks: DataFrame, profiles: DataFrame, candidates: DataFrame) -> DataFrame:
+    Layers of more than 32 letters meet all languages, a block of them at a
+    time; a language without accented letters is skipped when the layer has
+    any.  ``profiles`` is what ``profile_blocks`` gives."""
+    n = profiles.agg(F.coalesce(F.max("blocks"), F.lit(0))).first()[0]
+    large = layers.where(F.aggregate("counts", F.lit(0).cast("bigint"), lambda a, x: a + x) > TOO_SMALL_SEQUENCE)
+    large = large.select("doc_id", "chunk", "layer", "letters", F.exists("accents", lambda x: x).alias("source_accents"),
+                         F.explode(F.array(*map(F.lit, range(n))).cast("array<int>")).alias("block"))
+    met = large.join(profiles.select("block", "profiles"), "block").select("doc_id", "chunk", "layer", "letters", "source_accents", F.inline("profiles"))
+    met = met.where(F.col("has_accents") | ~F.col("source_accents")).withColumn("common", F.array_intersect("letters", "alphabet"))
+    share = F.size("common") / F.size("alphabet")
+    return fence(met.select("doc_id", "chunk", "layer", "language", share.alias("share"), *keep)).where(F.col("share") >= MIN_CANDIDATE_SHARE)
+
+
+def lang_coherence(layers: DataFrame, profiles: DataFrame) -> DataFrame:
     """``(doc_id, chunk, layer, language, ratio)`` rounded to 4, ratios
     below 0.1 dropped.
 
     For each of the layer's letters that the language knows: its rank in
     the layer projected onto the profile length; close enough (or, for
     letters not close, enough agreement in the letters ranked before/after
-    it in both orderings) counts as approved.  The before/after counts are
-    computed in-row over the common letters (at most the profile size)."""
-    layers = ranks.where(F.col("layer_size") > TOO_SMALL_SEQUENCE)
-    prof = _small(profiles.select("language", "ch", "lang_rank", "profile_size"))
-    common = layers.select("doc_id", "chunk", "layer", "ch", "rank", "layer_letters").join(prof, "ch") \
-        .join(candidates.select("doc_id", "chunk", "layer", "language"), ["doc_id", "chunk", "layer", "language"])
-    grouped = common.groupBy("doc_id", "chunk", "layer", "language", "profile_size", "layer_letters").agg(
-        F.collect_list(F.struct("rank", "lang_rank")).alias("cs"))
-
-    grouped = grouped.withColumn("lrs", F.array_sort(F.transform("cs", lambda x: x["lang_rank"]))) \
-        .withColumn("rs", F.array_sort(F.transform("cs", lambda x: x["rank"])))
-
-    def approved(c, cs, size, letters, k, lrs, rs):
+    it in both orderings) counts as approved.  All in the row of a layer and
+    a language, over arrays no longer than the profile."""
+    cand = lang_candidates(layers, profiles, "letters", "alphabet", "common")
+    # common letters come in the layer's order, so positions among them follow the layer's ranks
+    grouped = cand.select(
+        "doc_id", "chunk", "layer", "language", F.size("alphabet").alias("profile_size"), F.size("letters").alias("layer_letters"),
+        F.transform("common", lambda c, i: F.struct(
+            i.alias("nth"), (F.array_position("letters", c) - 1).cast("int").alias("rank"),
+            (F.array_position("alphabet", c) - 1).cast("int").alias("lang_rank"))).alias("cs"))
+    grouped = fence(grouped.withColumn("lrs", F.array_sort(F.transform("cs", lambda x: x["lang_rank"]))))
+
+    def approved(c, cs, size, letters, k, lrs):
         r, lr = c["rank"], c["lang_rank"]
         proj = F.floor(r * F.try_divide(size, letters)).cast("int")
         gap = F.abs(proj - lr)
@@ -444,9 +602,7 @@ def lang_coherence(ranks: DataFrame, profiles: DataFrame, candidates: DataFrame)
         # after follows from it and the two sorted positions:
         #   #(lr >= lr_c) - (#(r < r_c) - before)
         before = F.size(F.filter(cs, lambda o: (o["lang_rank"] < lr) & (o["rank"] < r)))
-        at_or_after_lr = k - (F.array_position(lrs, lr) - 1)
-        earlier_r = F.array_position(rs, r) - 1
-        after = at_or_after_lr - (earlier_r - before)
+        after = k - (F.array_position(lrs, lr) - 1) - (c["nth"] - before)
         after_len = size - lr
         return (
             F.when(~large & (gap > 4), F.lit(False))
@@ -459,11 +615,9 @@ def lang_coherence(ranks: DataFrame, profiles: DataFrame, candidates: DataFrame)
         )
 
     cs, size, letters = F.col("cs"), F.col("profile_size"), F.col("layer_letters")
-    k, lrs, rs = F.size("cs"), F.col("lrs"), F.col("rs")
-    n_ok = F.size(F.filter(cs, lambda c: approved(c, cs, size, letters, k, lrs, rs)))
-    ratio = round4(n_ok, letters)
+    n_ok = F.size(F.filter(cs, lambda c: approved(c, cs, size, letters, F.size("cs"), F.col("lrs"))))
     # fenced so the threshold filter does not re-evaluate the ratio
-    out = fence(grouped.select("doc_id", "chunk", "layer", "language", ratio.alias("ratio")))
+    out = fence(grouped.select("doc_id", "chunk", "layer", "language", round4(n_ok, letters).alias("ratio")))
     return out.where(F.col("ratio") >= COHERENCE_THRESHOLD)
 
 
@@ -643,31 +797,19 @@ def materialise_table(df: DataFrame) -> DataFrame:
 
 
 class CorpusProfile:
-    """The small intermediate tables of R3-R8 computed once per corpus.
-
-    ``hist`` (distinct characters per chunk), ``facts`` (one row per
-    distinct character), ``ranks`` (letters per chunk and layer) and
-    ``profiles`` (languages x profile size) are each reused by several
-    later joins; they are written with ``checkpoint()``
-    to the shared checkpoint folder, which cuts their lineage (a lost
-    executor re-reads them instead of recomputing the corpus) and keeps the
-    downstream plans short.  The exploded text itself is never kept.
-    """
+    """The language checks of a corpus (R5, R6) under the profiles learned from it.
 
-    def __init__(self, spark: SparkSession, docs: DataFrame, materialise: bool = True, chunk_chars: int = CHUNK_CHARS):
-        from ticksmith.session import checkpoint_root
+    Only the profiles are stored (languages x alphabets).  The layers of a
+    chunk are made from its text where they are needed, once for the profiles
+    and once for the checks: narrow, and cheaper than keeping them.
+    """
 
-        checkpoint_root(spark)
-        keep = materialise_table if materialise else (lambda df: df)
-        self.spark, self.docs = spark, docs
-        self.hist = keep(chunk_histogram(chunk_texts(docs, size=chunk_chars)))
-        # the characters come from the histogram: no second pass over the text
-        self.facts = keep(char_table_of(spark, self.hist.select("ch")))
-        self.ranks = keep(letter_ranks(spark, docs, self.facts, self.hist))
-        self.profiles = keep(learn_profiles(spark, docs, self.facts, hist=self.hist))
+    def __init__(self, spark: SparkSession, docs: DataFrame, chunk_chars: int = CHUNK_CHARS):
+        self.layers = chunk_layers(spark, docs, chunk_chars)
+        self.profiles = profile_blocks(learn_profiles(self.layers))
 
     def candidates(self) -> DataFrame:
-        return lang_candidates(self.ranks, self.profiles, self.facts)
+        return lang_candidates(self.layers, self.profiles)
 
     def coherence(self) -> DataFrame:
-        return lang_coherence(self.ranks, self.profiles, self.candidates())
+        return lang_coherence(self.layers, self.profiles)

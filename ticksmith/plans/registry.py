@@ -481,16 +481,15 @@ def _profile(spark, sf_dir):
 @query
 def char_blocks(spark, sf_dir):
     """Characters per Unicode block per document."""
-    tp, docs, facts = _text_inputs(spark, sf_dir)
-    return tp.char_blocks(spark, docs, facts)
+    tp, docs = _text_docs(spark, sf_dir)
+    return tp.char_blocks(spark, docs)
 
 
 @query
 def char_rank(spark, sf_dir):
     """Letters per document and layer, ranked by count then first appearance."""
-    tp, docs, facts = _text_inputs(spark, sf_dir)
-    r = tp.letter_ranks(spark, docs, facts, hist=tp.whole_histogram(docs))
-    return r.select("doc_id", "layer", "ch", "n", "first_pos", F.col("rank").cast("bigint").alias("rank"))
+    tp, docs = _text_docs(spark, sf_dir)
+    return tp.letter_ranks(spark, docs)
 
 
 @query
