@@ -32,3 +32,26 @@ def test_a_recurring_line_may_be_the_longest(spark, make_docs):
     rows = [(k, prose(600 + k, 80, line=8) + "\n" + disclaimer, "s") for k in range(5)]
     got = {r["doc_id"]: r["text"] for r in tp.document_lines(make_docs(rows)).collect()}
     assert all(got[i] == t.rsplit("\n", 1)[0] for i, t, _ in rows)
+
+
+def test_two_templates_share_a_leaf(spark, make_docs):
+    """Token count and first tokens agree; both templates go, with their variable fields."""
+    names = ["anna", "bert", "carla", "dora", "emil", "frida", "gustav", "hanna", "igor", "jana"]
+    lines = [f"This page was written by {n} for our readers" for n in names] + [f"This page was last saved near {n} city hall" for n in names]
+    rows = [(k, prose(700 + k, 80) + "\n" + line, "s") for k, line in enumerate(lines)]
+    got = {r["doc_id"]: r["text"] for r in tp.document_lines(make_docs(rows)).collect()}
+    assert all(got[i] == t.rsplit("\n", 1)[0] for i, t, _ in rows)
+
+
+def test_edited_openings_of_copies_are_no_families(spark, make_docs):
+    """A third of the copies have another opening of their longest line; their lines stay."""
+    base = prose(12, 150).split("\n")
+    rows = []
+    for k in range(60):
+        copy = list(base)
+        if k % 3 == 0:
+            longest = max(range(len(copy)), key=lambda j: len(copy[j]))
+            copy[longest] = f"{'abcdefghijklmnopqrst'[k // 3]}edit " + copy[longest]
+        rows.append((k, "\n".join(copy), "s"))
+    got = {r["doc_id"]: r["text"] for r in tp.document_lines(make_docs(rows)).collect()}
+    assert all(got[i] == t for i, t, _ in rows)

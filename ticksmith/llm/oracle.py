@@ -42,28 +42,34 @@ def _masked(line: str) -> str:
 
 LINE_TEMPLATES = f"""WITH
     d AS (SELECT row_number() OVER () AS rid, doc_id, text FROM documents),
-    l AS (SELECT rid, doc_id, text, generate_subscripts(ls, 1) AS k, unnest(ls) AS raw,
-                 (list_sort(list_transform(ls, lambda x: {{'n': length(x), 'line': x}}), 'DESC'))[1].line AS longest
-          FROM (SELECT *, string_split(text, chr(10)) AS ls FROM d WHERE text IS NOT NULL)),
-    m AS (SELECT rid, doc_id, text, k, raw, {_masked('raw')} AS line,
-                 array_to_string(string_split({_masked('longest')}, ' ')[1:3], ' ') AS family FROM l),
-    seen AS (SELECT DISTINCT line, len(string_split(line, ' ')) AS n, array_to_string(string_split(line, ' ')[1:3], ' ') AS lead,
-                    family, text FROM m WHERE line <> ''),
-    each AS (SELECT n, lead, line, count(DISTINCT family) AS f, count(DISTINCT text) AS docs FROM seen GROUP BY ALL),
+    u AS (SELECT row_number() OVER () AS doc, text FROM (SELECT DISTINCT text FROM documents WHERE text IS NOT NULL)),
+    m AS (SELECT DISTINCT doc, {_masked('raw')} AS line FROM (SELECT doc, unnest(string_split(text, chr(10))) AS raw FROM u)),
+    l AS (SELECT doc, line, len(string_split(line, ' ')) AS n, array_to_string(string_split(line, ' ')[1:3], ' ') AS lead FROM m WHERE line <> ''),
+    longest AS (SELECT doc, n, lead, min({{'k': -length(line), 'line': line}}) AS top FROM l GROUP BY ALL),
+    tops AS (SELECT doc, n, lead, row_number() OVER (PARTITION BY doc ORDER BY top, n, lead) AS r FROM longest QUALIFY r <= 6),
+    mains AS (SELECT o.doc, o.n, o.lead, list_slice(list(t.lead ORDER BY t.r) FILTER (WHERE t.lead IS NOT NULL), 1, 5) AS mains
+              FROM longest o LEFT JOIN tops t ON t.doc = o.doc AND (t.n <> o.n OR t.lead <> o.lead) GROUP BY ALL),
+    seen AS (SELECT l.*, coalesce(mains, []) AS mains, coalesce(mains[1], '') AS family FROM l JOIN mains USING (doc, n, lead)),
+    each AS (SELECT n, lead, line, count(DISTINCT family) AS f, count(DISTINCT doc) AS docs FROM seen GROUP BY ALL),
     leaves AS (SELECT n, lead FROM each GROUP BY ALL HAVING count(*) > 1 AND sum(f) >= 3),
     tokens AS (SELECT n, lead, line, f, generate_subscripts(string_split(line, ' '), 1) AS pos, unnest(string_split(line, ' ')) AS token
                FROM each JOIN leaves USING (n, lead)),
-    weight AS (SELECT n, lead, pos, token, sum(f) AS w FROM tokens GROUP BY ALL),
-    top AS (SELECT n, lead, pos, max({{'w': w, 'token': token}}) AS t, sum(w) AS every FROM weight GROUP BY ALL),
-    const AS (SELECT n, lead, pos, CASE WHEN t.w >= 0.7::DOUBLE * every AND t.token <> '<*>' THEN t.token END AS token FROM top),
-    shape AS (SELECT n, lead FROM const GROUP BY ALL HAVING count(token) >= 0.7::DOUBLE * count(*)),
-    members AS (SELECT n, lead, line FROM tokens JOIN shape USING (n, lead) JOIN const c USING (n, lead, pos)
-                GROUP BY ALL HAVING bool_and(c.token IS NULL OR c.token = tokens.token)),
-    grouped AS (SELECT n, lead FROM seen JOIN members USING (n, lead, line) GROUP BY ALL
-                HAVING count(DISTINCT family) >= 3 AND 2 * count(DISTINCT family) >= count(DISTINCT text)),
-    dropped AS (SELECT line FROM each WHERE f >= 3 AND 2 * f >= docs
-                UNION SELECT line FROM members JOIN grouped USING (n, lead)),
-    judged AS (SELECT rid, k, raw, line <> '' AND line IN (SELECT line FROM dropped) AS gone FROM m),
+    fixed AS (SELECT n, lead, pos, token FROM tokens WHERE token <> '<*>' GROUP BY ALL HAVING sum(f) >= 3),
+    form AS (SELECT n, lead, line, string_agg(coalesce(fixed.token, '<*>'), ' ' ORDER BY pos) AS form
+             FROM tokens LEFT JOIN fixed USING (n, lead, pos, token) GROUP BY ALL HAVING count(fixed.token) >= 0.7::DOUBLE * count(*)),
+    groups AS (SELECT 'line' AS kind, n, lead, line AS form, doc, family, mains FROM seen
+               UNION ALL SELECT 'form', n, lead, form.form, doc, family, mains FROM seen JOIN form USING (n, lead, line)),
+    spread AS (SELECT kind, n, lead, form, count(DISTINCT family) AS f, count(DISTINCT doc) AS docs FROM groups GROUP BY ALL),
+    openings AS (SELECT DISTINCT kind, n, lead, form, doc, len(mains) AS m, unnest(mains) AS opening FROM groups),
+    single AS (SELECT kind, n, lead, form, opening, min(doc) AS doc, min(m) AS m FROM openings GROUP BY ALL HAVING count(*) = 1),
+    alone AS (SELECT kind, n, lead, form, doc FROM single GROUP BY ALL HAVING count(*) = min(m) AND min(m) >= 3),
+    own AS (SELECT kind, n, lead, form, count(*) AS own FROM alone GROUP BY ALL),
+    recurring AS (SELECT kind, n, lead, form FROM spread LEFT JOIN own USING (kind, n, lead, form)
+                  WHERE (f >= 3 AND 2 * f >= docs) OR own >= 3 OR (own = 2 AND docs > 2)),
+    dropped AS (SELECT form AS line FROM recurring WHERE kind = 'line'
+                UNION SELECT line FROM form JOIN recurring USING (n, lead, form) WHERE kind = 'form'),
+    split AS (SELECT rid, generate_subscripts(ls, 1) AS k, unnest(ls) AS raw FROM (SELECT rid, string_split(text, chr(10)) AS ls FROM d WHERE text IS NOT NULL)),
+    judged AS (SELECT rid, k, raw, {_masked('raw')} <> '' AND {_masked('raw')} IN (SELECT line FROM dropped) AS gone FROM split),
     rebuilt AS (SELECT rid, coalesce(string_agg(raw, chr(10) ORDER BY k) FILTER (WHERE NOT gone), '') AS text,
                        count(*) AS n_lines, count(*) FILTER (WHERE gone) AS n_dropped FROM judged GROUP BY rid)
     SELECT d.doc_id, r.text, coalesce(r.n_lines, 0) AS n_lines, coalesce(r.n_dropped, 0) AS n_dropped

@@ -2,28 +2,29 @@
 
 A line is parsed at fixed depth: its number of tokens, then its first
 ``LEADING`` tokens, name a leaf.  Tokens with a digit are variable fields from
-the start.  Within a leaf that several documents reach, a position where one
-token holds at least ``CONSTANT`` of the lines is constant and any other is
-variable; with at least ``CONSTANT`` of its positions constant, the leaf is a
-template, and the lines that agree with it are its lines.
+the start.  Within a leaf that several families of documents reach, a token is
+constant at a position where lines of at least ``MIN_FAMILIES`` families have
+it, and any other is variable.  Lines that agree in their constant tokens have
+one form; a form with at least ``CONSTANT`` of its positions constant is a
+template, so a leaf holds as many templates as it has such forms.
 
 A line recurs by itself (with its variable fields masked) or as a line of its
-leaf's template.  It is dropped, everywhere, if it recurs
+template.  Its documents are judged without the lines of its own leaf, by their
+main lines: the longest line of each other leaf, longest first, up to
+``MAIN_LINES`` of them, each known by its first tokens.  The line is dropped,
+everywhere, if it recurs
 
-* in at least ``MIN_FAMILIES`` families of documents, where a family shares the
-  first tokens of its longest line (a document's own content, which copies
-  share), and in at least half as many families as different documents, or
-* in at least ``MIN_FAMILIES`` families, however many documents they have, where
-  the documents of a family are alike without the lines of that line's leaf: of
-  the runs of up to ``SHINGLE`` words that either has, both have ``RELATED`` or
-  more, as their ``SKETCH`` smallest hashes show.
+* in at least ``MIN_FAMILIES`` families, where a family shares the first main
+  line, and in at least half as many families as different documents, or
+* in at least ``MIN_FAMILIES`` families, where a document with ``OWN_LINES``
+  main lines or more is a family if it shares none of them with another of the
+  documents, and all the others are one.
 
 So boilerplate goes, also where a large group of copies holds it or where it is
-the longest line itself, while the lines of copied documents, which always come
-with the same main line, are left to near-duplicate removal.  Families of the
-second kind are found one after the other, for groups that the first rule
-doesn't drop: a first document, one unlike it, one unlike both.  Documents with
-nothing but lines of one leaf are one family.
+the longest line itself, while the lines of copied documents, which come with
+the same main lines, are left to near-duplicate removal: an edited copy would
+have to differ in the first tokens of all its main lines to count as another
+family.  Documents with nothing but lines of one leaf are one family.
 
 Lines are split at line feeds, tokens at white space.  Blank lines stay.  Null
 texts stay null.  Repeated rows count as one document and are cleaned alike;
@@ -41,132 +42,113 @@ from ticksmith.llm.common import prepare, stored
 LEADING = 3
 CONSTANT = 0.7
 MIN_FAMILIES = 3
-#: words of a run, hashes of a sketch, and the share of runs in common that makes documents one family
-SHINGLE = 3
-SKETCH = 32
-RELATED = 0.4
-#: smallest hashes of a document, each with its line's leaf, from which the sketches without a leaf are taken
-DOCUMENT_SKETCH = 128
+#: main lines by which a document is known, and how many it needs to count by itself
+MAIN_LINES = 5
+OWN_LINES = 3
 FIELD = "<*>"
 #: a whole token that holds a digit; possessive, so that long tokens are read once
 VARIABLE = r"(?<![^\x09-\x0D\x20])[^\x09-\x0D\x200-9]*+[0-9][^\x09-\x0D\x20]*+"
 SPACE = r"[\x09-\x0D\x20]+"
-ODD_SPACE = r"[\x09-\x0D]|  |^ | $"
 
 
 def masked(line: Column) -> Column:
     """The tokens of a line between single spaces, variable fields replaced.
 
-    Most lines hold neither digits nor odd white space; a quick look spares
-    them the replacements."""
+    Most lines hold neither digits nor odd white space; quick looks spare them
+    the replacements."""
     fields = F.when(line.rlike("[0-9]"), F.regexp_replace(line, VARIABLE, FIELD)).otherwise(line)
-    return F.when(line.rlike(ODD_SPACE), F.trim(F.regexp_replace(fields, SPACE, " "))).otherwise(fields)
+    odd = F.contains(line, F.lit("  ")) | F.startswith(line, F.lit(" ")) | F.endswith(line, F.lit(" ")) | line.rlike(r"[\x09-\x0D]")
+    return F.when(odd, F.trim(F.regexp_replace(fields, SPACE, " "))).otherwise(fields)
 
 
 def leading(line: Column) -> Column:
     return F.substring_index(line, " ", LEADING)
 
 
-def lines_of(docs: DataFrame) -> DataFrame:
-    """doc (hash of the text), family, line (masked) of every line that isn't blank."""
-    d = docs.select("text").where("text is not null").select(F.xxhash64("text").alias("doc"), F.split("text", "\n").alias("lines"))
-    longest = F.expr("array_max(transform(lines, l -> named_struct('n', length(l), 'line', l))).line")
-    # masked inside the generator, so that later steps read the masked line instead of masking again
-    each = F.filter(F.transform("lines", masked), lambda l: l != "")
-    return d.select("doc", F.explode(F.array(F.xxhash64(leading(masked(longest))))).alias("family"), "lines").select("doc", "family", F.explode(each).alias("line"))
+def leaf_of(line: Column) -> Column:
+    spaces = F.octet_length(line) - F.octet_length(F.replace(line, F.lit(" "), F.lit("")))
+    return F.xxhash64(spaces, leading(line))
 
 
-def keyed(lines: DataFrame) -> DataFrame:
-    return lines.select("doc", "family", "line", F.xxhash64("line").alias("key"), leaf_of(F.col("line")).alias("leaf"))
+def fenced(df: DataFrame, name: str, value: Column) -> DataFrame:
+    """``value`` through a one-row generator, so that later steps read it instead of evaluating it again."""
+    return df.select("*", F.explode(F.array(value)).alias(name))
 
 
-def leaf_of(line: Column) -> Column:
-    return F.xxhash64(F.length(line) - F.length(F.translate(line, " ", "")) + 1, leading(line))
+def lines_of(docs: DataFrame) -> DataFrame:
+    """doc (hash of the text), key, leaf, line (masked), mains of every distinct line that isn't blank."""
+    d = docs.select("text").where("text is not null").select(F.xxhash64("text").alias("doc"), F.split("text", "\n").alias("lines"))
+    d = fenced(d, "plain", F.array_distinct(F.filter(F.transform("lines", masked), lambda line: line != ""))).select("doc", "plain")
+    # by leaf, its longest line first
+    d = fenced(d, "each", F.sort_array(F.transform("plain", lambda s: F.struct(leaf_of(s).alias("leaf"), (-F.length(s)).alias("k"), s.alias("line"))))).select("doc", "each")
+    tops = F.filter("each", lambda x, i: (i == 0) | (x["leaf"] != F.get("each", i - 1)["leaf"]))
+    tops = F.slice(F.sort_array(F.transform(tops, lambda x: F.struct(x["k"], x["line"], x["leaf"]))), 1, MAIN_LINES + 1)
+    d = fenced(d, "tops", F.transform(tops, lambda x: F.struct(x["leaf"].alias("leaf"), F.xxhash64(leading(x["line"])).alias("opening"))))
+    rows = d.select("doc", "tops", F.explode("each").alias("x"))
+    mains = F.slice(F.transform(F.filter("tops", lambda t: t["leaf"] != F.col("x.leaf")), lambda t: t["opening"]), 1, MAIN_LINES)
+    return rows.select("doc", F.xxhash64("x.line").alias("key"), "x.leaf", "x.line", mains.alias("mains"))
 
 
 def spread_of(seen: DataFrame, *by: str) -> DataFrame:
-    """families and documents of each group; ``seen`` has one row per line, family and document."""
+    """families and documents of each group; ``seen`` has a row or more per group, family and document."""
     per = seen.groupBy(*by, "family", "doc").agg(F.lit(1).alias("one"))
     per = per.groupBy(*by, "family").agg(F.count("*").alias("docs"))
     return per.groupBy(*by).agg(F.count("*").alias("families"), F.sum("docs").alias("docs"))
 
 
-def recurs(families: str = "families", docs: str = "docs") -> Column:
-    return (F.col(families) >= MIN_FAMILIES) & (2 * F.col(families) >= F.col(docs))
-
+def recurs() -> Column:
+    return (F.col("families") >= MIN_FAMILIES) & (2 * F.col("families") >= F.col("docs"))
 
-def fenced(df: DataFrame, name: str, value: Column) -> DataFrame:
-    """``value`` through a one-row generator, so that later steps read it instead of evaluating it again."""
-    return df.select("*", F.explode(F.array(value)).alias(name))
-
-
-def smallest(hashes: Column, n: int) -> Column:
-    return F.slice(F.sort_array(F.array_distinct(hashes)), 1, n)
 
+def open_groups(spread: DataFrame) -> DataFrame:
+    """Groups that the first rule leaves, with documents enough for the second."""
+    return spread.where(~recurs() & (F.col("docs") >= MIN_FAMILIES))
 
-def sketches(docs: DataFrame) -> DataFrame:
-    """doc, leaf, and the sketch of the document without the lines of that leaf; ``docs`` has doc and text."""
-    lines = F.array_distinct(F.filter(F.transform(F.split("text", "\n"), masked), lambda line: line != ""))
-    split = fenced(fenced(docs, "lines", lines), "words", F.transform("lines", lambda s: F.struct(leaf_of(s).alias("leaf"), F.split(s, " ").alias("w"))))
 
-    def runs(w: Column) -> Column:
-        return F.transform(w, lambda x, i: F.hash(x, *(F.get(w, i + k) for k in range(1, SHINGLE))))
+def own_families(members: DataFrame, *by: str) -> DataFrame:
+    """The groups that the second rule finds; ``members`` has a row or more per group and document, with its mains."""
+    openings = members.select(*by, "doc", F.size("mains").alias("n"), F.explode_outer("mains").alias("opening")).distinct()
+    shared = openings.groupBy(*by, "opening").agg(F.count("*").alias("docs"), F.min("doc").alias("doc"), F.min("n").alias("n"))
+    alone = shared.where((F.col("docs") == 1) & (F.col("n") >= OWN_LINES)).groupBy(*by, "doc").agg(F.count("*").alias("alone"), F.min("n").alias("n"))
+    alone = alone.where(F.col("alone") == F.col("n")).groupBy(*by).agg(F.count("*").alias("own"))
+    enough = (F.col("own") >= MIN_FAMILIES) | (F.col("own") == MIN_FAMILIES - 1) & (F.col("docs") > F.col("own"))
+    return alone.where(F.col("own") >= MIN_FAMILIES - 1).join(members.groupBy(*by).agg(F.count_distinct("doc").alias("docs")), [*by]).where(enough).select(*by)
 
-    each = fenced(split, "each", F.transform("words", lambda p: F.struct(p["leaf"].alias("leaf"), smallest(runs(p["w"]), SKETCH).alias("h"))))
-    tagged = F.flatten(F.transform("each", lambda p: F.transform(p["h"], lambda h: F.struct(h.alias("h"), p["leaf"].alias("leaf")))))
-    leaves = fenced(each, "whole", smallest(tagged, DOCUMENT_SKETCH)).select("doc", "whole", F.explode(F.array_distinct("each.leaf")).alias("leaf"))
-    rest = F.transform(F.filter("whole", lambda e: e["leaf"] != F.col("leaf")), lambda e: e["h"])
-    return leaves.select("doc", "leaf", F.slice(F.array_distinct(rest), 1, SKETCH).alias("sketch"))
 
-
-def related(a: str, b: str) -> Column:
-    """Whether at least ``RELATED`` of the smallest hashes of both sketches together are in both; two empty ones are."""
-    both = smallest(F.concat(a, b), SKETCH)
-    return F.size(F.array_intersect(F.array_intersect(both, F.col(a)), F.col(b))) >= RELATED * F.size(both)
-
-
-def in_families(members: DataFrame, *by: str) -> DataFrame:
-    """The groups that ``MIN_FAMILIES`` families of alike documents reach; ``members`` has a row per group and document."""
-    left = members.select(*by, "doc", "sketch")
-    for _ in range(MIN_FAMILIES - 1):
-        lead = left.groupBy(*by).agg(F.min(F.struct("doc", "sketch")).alias("lead")).select(*by, F.col("lead.sketch").alias("lead"))
-        left = stored(left.join(lead, [*by]).where(~related("sketch", "lead")).select(*by, "doc", "sketch"), "templates-families")
-    return left.select(*by).distinct()
+def forms(lines: DataFrame, spread: DataFrame) -> DataFrame:
+    """key, form, template of the lines whose form is a template; ``spread`` has the families of each line."""
+    # leaves where no single line tells the whole story
+    leaves = spread.groupBy("leaf").agg(F.count("*").alias("forms"), F.sum("families").alias("reach"))
+    leaves = stored(leaves.where((F.col("forms") > 1) & (F.col("reach") >= MIN_FAMILIES)).select("leaf"), "templates-leaves")
+    texts = lines.select("leaf", "key", "line").join(leaves, "leaf", "left_semi").groupBy("leaf", "key").agg(F.min("line").alias("line"))
+    texts = texts.join(spread.select("leaf", "key", "families"), ["leaf", "key"])
+    tokens = stored(texts.select("leaf", "key", "families", F.posexplode(F.split("line", " ")).alias("pos", "token")), "templates-tokens")
+    constant = tokens.groupBy("leaf", "pos", "token").agg(F.sum("families").alias("w")).where((F.col("w") >= MIN_FAMILIES) & (F.col("token") != FIELD)).select("leaf", "pos", "token", F.lit(True).alias("fixed"))
+    parts = tokens.join(constant, ["leaf", "pos", "token"], "left")
+    shape = parts.groupBy("leaf", "key").agg(F.count("fixed").alias("fixed"), F.count("*").alias("n"), F.sort_array(F.collect_list(F.struct("pos", F.when(F.col("fixed"), F.col("token")).otherwise(FIELD).alias("token")))).alias("parts"))
+    shape = shape.where(F.col("fixed") >= CONSTANT * F.col("n")).select("leaf", "key", F.array_join("parts.token", " ").alias("template"))
+    return shape.select("key", F.xxhash64("leaf", "template").alias("form"), "template")
 
 
 def recurring_lines(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(seen, keys): the distinct (key, leaf, family, doc), and the keys of lines to drop with their template."""
-    lines = keyed(lines_of(docs))
-    seen = stored(lines.select("key", "leaf", "family", "doc").distinct(), "templates-seen")
-    each = stored(spread_of(seen, "leaf", "key"), "templates-lines")
-    # leaves where no single line tells the whole story
-    leaves = each.groupBy("leaf").agg(F.count("*").alias("forms"), F.sum("families").alias("reach")).where((F.col("forms") > 1) & (F.col("reach") >= MIN_FAMILIES)).select("leaf")
-    leaves = stored(leaves, "templates-leaves")
-    texts = lines.join(leaves, "leaf", "left_semi").groupBy("leaf", "key").agg(F.min("line").alias("line"))
-    texts = stored(texts.join(each, ["leaf", "key"]).select("leaf", "key", "line", "families"), "templates-texts")
-    tokens = texts.select("leaf", "families", F.posexplode(F.split("line", " ")).alias("pos", "token"))
-    weight = tokens.groupBy("leaf", "pos", "token").agg(F.sum("families").alias("w"))
-    common = weight.groupBy("leaf", "pos").agg(F.max(F.struct("w", "token")).alias("top"), F.sum("w").alias("all"))
-    common = common.select("leaf", "pos", F.when((F.col("top.w") >= CONSTANT * F.col("all")) & (F.col("top.token") != FIELD), F.col("top.token")).alias("token"))
-    shape = common.groupBy("leaf").agg(F.count("token").alias("fixed"), F.count("*").alias("n"), F.sort_array(F.collect_list(F.struct("pos", "token"))).alias("parts"))
-    shape = shape.where(F.col("fixed") >= CONSTANT * F.col("n")).select("leaf", F.transform("parts", lambda p: p["token"]).alias("template"))
-    agree = F.forall(F.zip_with("template", F.split("line", " "), lambda t, w: t.isNull() | (t == w)), lambda ok: ok)
-    members = stored(texts.join(shape, "leaf").where(agree).select("leaf", "key", F.array_join(F.transform("template", lambda t: F.coalesce(t, F.lit(FIELD))), " ").alias("template")), "templates-members")
-    of_leaf = stored(seen.join(members.select("key"), "key", "left_semi").select("leaf", "family", "doc").distinct(), "templates-leaf-documents")
-    leaf_spread = stored(spread_of(of_leaf, "leaf"), "templates-leaf-spread")
-    # what the first rule leaves goes by the rest of the documents
-    open_ = ~recurs() & (F.col("docs") >= MIN_FAMILIES)
-    by_line = seen.join(each.where(open_).select("key"), "key", "left_semi").select(F.lit(False).alias("whole"), F.col("key").alias("group"), "leaf", "doc")
-    by_shape = of_leaf.join(leaf_spread.where(open_).select("leaf"), "leaf", "left_semi").select(F.lit(True).alias("whole"), F.col("leaf").alias("group"), "leaf", "doc")
-    asked = stored(by_line.unionByName(by_shape), "templates-open")
-    held = docs.select(F.xxhash64("text").alias("doc"), "text").where("text is not null").join(asked.select("doc").distinct(), "doc", "left_semi")
-    known = sketches(held).join(asked.select("doc", "leaf").distinct(), ["doc", "leaf"], "left_semi").distinct()
-    found = stored(in_families(stored(asked.join(known, ["doc", "leaf"]), "templates-sketches"), "whole", "group"), "templates-found")
-    groups = leaf_spread.where(recurs()).select("leaf").unionByName(found.where("whole").select(F.col("group").alias("leaf")))
-    by_leaf = members.join(groups, "leaf", "left_semi").select("key", "template")
-    lone = each.where(recurs()).select("key").unionByName(found.where("not whole").select(F.col("group").alias("key")))
-    alone = lone.select("key", F.lit(None).cast("string").alias("template"))
-    return seen, stored(by_leaf.unionByName(alone).groupBy("key").agg(F.max("template").alias("template")), "templates-keys")
+    """(lines, keys): all distinct lines by document, and the keys of those to drop with their template."""
+    lines = stored(lines_of(docs), "templates-lines")
+    family = F.coalesce(F.get("mains", F.lit(0)), F.lit(0)).alias("family")
+    spread = stored(spread_of(lines.select("leaf", "key", family, "doc"), "leaf", "key"), "templates-spread")
+    members = stored(forms(lines, spread), "templates-forms")
+    of_form = lines.select("key", family, "doc", "mains").join(members.select("key", "form"), "key")
+    of_form = stored(of_form.select("form", "family", "doc", "mains"), "templates-form-lines")
+    form_spread = stored(spread_of(of_form, "form"), "templates-form-spread")
+    # what the first rule leaves, by documents that share no main line
+    by_line = lines.select("key", "doc", "mains").join(open_groups(spread).select("key"), "key", "left_semi")
+    by_form = of_form.select("form", "doc", "mains").join(open_groups(form_spread).select("form"), "form", "left_semi")
+    groups = by_line.select(F.lit(False).alias("whole"), F.col("key").alias("group"), "doc", "mains").unionByName(by_form.select(F.lit(True).alias("whole"), F.col("form").alias("group"), "doc", "mains"))
+    found = stored(own_families(stored(groups, "templates-open"), "whole", "group"), "templates-found")
+    good = form_spread.where(recurs()).select("form").unionByName(found.where("whole").select(F.col("group").alias("form")))
+    by_template = members.join(good, "form", "left_semi").select("key", "template")
+    lone = spread.where(recurs()).select("key").unionByName(found.where("not whole").select(F.col("group").alias("key")))
+    every = by_template.unionByName(lone.select("key", F.lit(None).cast("string").alias("template")))
+    return lines, stored(every.groupBy("key").agg(F.max("template").alias("template")), "templates-keys")
 
 
 def without_templates(docs: DataFrame, counts: bool = False) -> DataFrame:
@@ -176,7 +158,7 @@ def without_templates(docs: DataFrame, counts: bool = False) -> DataFrame:
     """
     prepare(docs.sparkSession)
     seen, keys = recurring_lines(docs)
-    per_doc = stored(seen.join(keys, "key", "left_semi").groupBy("doc").agg(F.collect_set("key").alias("__drop")).withColumnRenamed("doc", "__doc"), "templates-docs")
+    per_doc = stored(seen.select("key", "doc").join(keys, "key", "left_semi").groupBy("doc").agg(F.collect_set("key").alias("__drop")).withColumnRenamed("doc", "__doc"), "templates-docs")
     rows = docs.withColumn("__hash", F.xxhash64("text")).join(per_doc, F.col("__hash") == F.col("__doc"), "left")
     lines = F.split("text", "\n")
 
