@@ -22,7 +22,7 @@ def plain(edges):
 
 
 CASES = {
-    "none": [], "loop": [(3, 3)], "chain": [(k, k + 1) for k in range(40)], "star": [(0, k) for k in range(1, 30)], "hub_last": [(99, k) for k in range(30)],
+    "none": [], "loop": [(3, 3)], "chain": [(k, k + 1) for k in range(40)], "long_chain": [(k * 7919 % 3001, (k + 1) * 7919 % 3001) for k in range(3000)], "star": [(0, k) for k in range(1, 30)], "hub_last": [(99, k) for k in range(30)],
     "ring": [(k, (k + 7) % 23) for k in range(23)], "twice": [(1, 2), (2, 1), (1, 2), (5, 4), (4, 6)],
     "random": [(random.Random(k).randrange(60), random.Random(k + 500).randrange(60)) for k in range(45)],
 }

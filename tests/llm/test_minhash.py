@@ -79,3 +79,18 @@ def test_blocks_find_the_links_that_a_plain_comparison_finds(spark, monkeypatch)
     every = [(a, b) for a in range(15) for b in range(a + 1, 15) if mh.similar(rows[a][1], rows[b][1], 50)]
     assert groups(links) == groups(every) and len(set(groups(every))) > 1
     assert mh.common_counts(sets[:3], sets[3:5]).tolist() == [[len(np.intersect1d(a, b)) for b in sets[3:5]] for a in sets[:3]]
+
+
+def test_rows_are_judged_by_id_and_text(spark, make_docs):
+    """Repeated ids lose no unique text; exact copies, repeated rows included, stay once."""
+    t, other, third = prose(71, 60), prose(72, 60), prose(73, 60)
+
+    def kept(rows):
+        return sorted(((r["doc_id"], r["text"]) for r in mh.keep_one_per_group(make_docs([(i, x, "s") for i, x in rows])).collect()), key=str)
+
+    assert kept([(1, t), (2, t), (2, other)]) == sorted([(1, t), (2, other)], key=str)
+    assert kept([(1, t), (1, t), (2, t)]) == [(1, t)]
+    assert kept([(None, t), (3, t), (None, third)]) == sorted([(3, t), (None, third)], key=str)
+    assert kept([(1, t), (1, edited(t, 30)), (1, edited(t, 40)), (5, None), (5, None), (6, ""), (7, other)]) == sorted(
+        [r for r in [(1, t), (1, edited(t, 30)), (1, edited(t, 40))] if r == kept([(1, t), (1, edited(t, 30)), (1, edited(t, 40))])[0]]
+        + [(5, None), (5, None), (6, ""), (7, other)], key=str)

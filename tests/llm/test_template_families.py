@@ -49,8 +49,9 @@ def test_edited_openings_of_copies_are_no_families(spark, make_docs):
     rows = []
     for k in range(60):
         copy = list(base)
+        longest = max(range(len(copy)), key=lambda j: len(copy[j]))
+        copy[longest - 1] += f" {'abcdefghijklmnopqrst'[k % 20]}{'uvw'[k // 20]}"
         if k % 3 == 0:
-            longest = max(range(len(copy)), key=lambda j: len(copy[j]))
             copy[longest] = f"{'abcdefghijklmnopqrst'[k // 3]}edit " + copy[longest]
         rows.append((k, "\n".join(copy), "s"))
     got = {r["doc_id"]: r["text"] for r in tp.document_lines(make_docs(rows)).collect()}

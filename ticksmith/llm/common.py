@@ -154,18 +154,19 @@ def shingle_hashes(words: np.ndarray, size: int) -> np.ndarray:
     return mix64(h)
 
 
-def components(edges: DataFrame, left: str, right: str, max_rounds: int = 60) -> DataFrame:
+def components(edges: DataFrame, left: str, right: str) -> DataFrame:
     """Connected components by alternating large-star and small-star rounds.
 
     Returns (node, component): every node with an edge and the smallest node
     reachable from it.  Each round keeps at most one edge per edge of the
     round before; the table is checkpointed in the shared folder, and only a
     count reaches the driver.  A hub only feeds partial minima
-    and joins that Spark can split.
+    and joins that Spark can split.  Rounds go on until nothing is left to do;
+    their number grows with the square of the logarithm of the nodes at most.
     """
     a, b = F.col(left), F.col(right)
     e = edges.select(F.greatest(a, b).alias("u"), F.least(a, b).alias("v")).where("u <> v").distinct().checkpoint()
-    for _ in range(max_rounds):
+    while True:
         # done when every node but the roots has one edge, to a root
         ends = e.select(F.col("u").alias("k"), F.lit(1).alias("up"), F.lit(0).alias("down")).unionByName(e.select(F.col("v").alias("k"), F.lit(0).alias("up"), F.lit(1).alias("down")))
         if not ends.groupBy("k").agg(F.sum("up").alias("up"), F.max("down").alias("down")).where("up > 1 or up = 1 and down = 1").count():

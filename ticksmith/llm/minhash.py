@@ -20,8 +20,9 @@ probability 0.684 ** 32, about 5e-6.
 
 Empty or null texts have n_shingles 0 and link with nothing.  Rows with a null
 doc_id get a null component and are kept.  Repeated rows of one doc_id are
-reported once per row with the same component.  Extra columns are ignored by
-``near_duplicates`` and kept by ``keep_one_per_group``.
+reported once per row; where they have different texts, each row has the
+component of its own text.  Extra columns are ignored by ``near_duplicates``
+and kept by ``keep_one_per_group``.
 """
 
 from __future__ import annotations
@@ -82,7 +83,7 @@ def digest(shingles: np.ndarray) -> bytes:
 
 
 def signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, n_shingles, node, bands): node is a digest of the whole set, null when empty."""
+    """(doc_id, n_shingles, node, bands, h): node is a digest of the whole set, null when empty; h a hash of the text."""
 
     def make():
         memo, orders = word_hashes(), donor_orders()
@@ -94,11 +95,12 @@ def signatures(docs: DataFrame) -> DataFrame:
                 sizes.append(len(s))
                 nodes.append(digest(s) if len(s) else None)
                 bands.append(band_keys(signature(s, orders)) if len(s) else None)
-            yield {"doc_id": batch.column(0), "n_shingles": sizes, "node": nodes, "bands": bands}
+            yield {"doc_id": batch.column(0), "n_shingles": sizes, "node": nodes, "bands": bands, "h": batch.column(2)}
 
         return step
 
-    return map_batches(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), make, "doc_id long, n_shingles long, node binary, bands array<bigint>")
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", F.xxhash64("text").alias("h"))
+    return map_batches(rows, make, "doc_id long, n_shingles long, node binary, bands array<bigint>, h long")
 
 
 def full_sets(docs: DataFrame) -> DataFrame:
@@ -201,9 +203,9 @@ def links_within(members: DataFrame, sets: DataFrame, percent: int) -> DataFrame
     return tasks.groupBy("bucket", "i", "j").applyInArrow(compare, "a binary, b binary")
 
 
-def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, kept."""
-    spark = prepare(docs.sparkSession)
+def linked_classes(docs: DataFrame, percent: int) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(signatures, classes, labels): the rows, the distinct sets, and the component of each linked one."""
+    prepare(docs.sparkSession)
     sig = stored(signatures(docs), "minhash-signatures")
     classes = sig.where("node is not null").groupBy("node").agg(F.min("doc_id").alias("rep"), F.first("n_shingles").alias("n"), F.first("bands").alias("bands"))
     members = classes.select("node", "rep", "n", F.explode("bands").alias("bucket"))
@@ -237,6 +239,12 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
         if not last.isEmpty():
             labels = components(links.unionByName(last), "a", "b")
 
+    return sig, classes, labels
+
+
+def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
+    """One row per document: doc_id, n_shingles, component_id, kept."""
+    sig, classes, labels = linked_classes(docs, percent)
     # the smallest doc_id of each component, over classes and then over their members
     owner = classes.select("node", "rep").join(labels, "node").groupBy("component").agg(F.min("rep").alias("least_id"))
     merged = labels.join(owner, "component").select("node", "least_id")
@@ -247,6 +255,27 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
 
 
 def keep_one_per_group(docs: DataFrame, percent: int = 75) -> DataFrame:
-    """The documents without near copies of a smaller doc_id; all columns stay."""
-    gone = near_duplicates(docs, percent).where("not kept").select(F.col("doc_id").alias("__gone")).distinct()
-    return docs.join(gone, docs["doc_id"].cast("long") == gone["__gone"], "left_anti")
+    """One row of each group of near copies, of its smallest doc_id; all columns stay.
+
+    Rows are judged one by one, by doc_id and text: an id that occurs with
+    several texts loses only those that are copies, and repeated rows stay
+    once.  A null doc_id comes after all others.  Texts without words stay.
+    """
+    sig, _, labels = linked_classes(docs, percent)
+    rows = sig.where("node is not null").join(labels, "node", "left").select("doc_id", "h", F.coalesce("component", "node").alias("group"))
+    pairs = rows.groupBy("group", "doc_id", "h").agg(F.count("*").alias("n"))
+    order = F.struct(F.col("doc_id").isNull().alias("no_id"), "doc_id", "h")
+    first = pairs.groupBy("group").agg(F.min(order).alias("first"), F.sum("n").alias("size")).where("size > 1").drop("size")
+    judged = stored(pairs.join(first, "group").select(F.col("doc_id").alias("__id"), F.col("h").alias("__h"), (order != F.col("first")).alias("__gone"), "n"), "minhash-judged")
+    known = docs.withColumns({"__row_id": F.col("doc_id").cast("long"), "__row_h": F.xxhash64("text")})
+
+    def same(marks: DataFrame):
+        return known["__row_id"].eqNullSafe(marks["__id"]) & (known["__row_h"] == marks["__h"])
+
+    gone = judged.where("__gone").select("__id", "__h").distinct()
+    again = judged.where("not __gone and n > 1").select("__id", "__h")
+    left = known.join(gone, same(gone), "left_anti")
+    if not again.isEmpty():
+        once = left.join(again, same(again), "left_semi").dropDuplicates(["__row_id", "__row_h"])
+        left = left.join(again, same(again), "left_anti").unionByName(once)
+    return left.drop("__row_id", "__row_h")
