@@ -159,7 +159,8 @@ def without_templates(docs: DataFrame, counts: bool = False) -> DataFrame:
     prepare(docs.sparkSession)
     seen, keys = recurring_lines(docs)
     per_doc = stored(seen.select("key", "doc").join(keys, "key", "left_semi").groupBy("doc").agg(F.collect_set("key").alias("__drop")).withColumnRenamed("doc", "__doc"), "templates-docs")
-    rows = docs.withColumn("__hash", F.xxhash64("text")).join(per_doc, F.col("__hash") == F.col("__doc"), "left")
+    # one plan at every size: both sides by hash of the text
+    rows = docs.withColumn("__hash", F.xxhash64("text")).join(per_doc.hint("merge"), F.col("__hash") == F.col("__doc"), "left")
     lines = F.split("text", "\n")
 
     # blank lines have no key, so none is ever dropped; the generator keeps the work from being repeated per use
