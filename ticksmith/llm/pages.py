@@ -5,20 +5,25 @@ The pages of one host are merged into one tree: elements with the same path
 important a node is.  Presentation: how evenly the pages of the node differ in
 the sequence of its children.  Content: how little its texts repeat over those
 pages.  A branch's importance joins its own presentation with the content of
-all leaves below it; branches under ``LOW`` are removed from every page of the
-host.  Nodes seen on fewer than ``MIN_PAGES`` pages are left alone, and so are
-the article itself, what holds it, and unmarked text elements inside it, since
-mirrored articles also repeat.
-
-Before that, elements that say what they are (menus, headers, footers, asides,
-forms, scripts, adverts, notices, reader comments; by tag, role, class or id)
-are left out.  Where a page marks its article (``article``, ``main`` or role
-main), only that is read; otherwise the whole body.
+all leaves below it.  Nodes seen on fewer than ``MIN_PAGES`` pages count as
+important, and so do unmarked text elements inside an article, since mirrored
+articles also repeat.
+
+A page is read once into its own tree.  What decides on a branch is its
+importance, lowered to nothing where the branch declares itself to be something
+else (menus, headers, footers, asides, forms, adverts, notices, reader
+comments; by tag, role, or a class or id that says so as a whole).  Branches
+under ``LOW`` are removed, from the root down, but never one that holds the
+article, nor, on a page that marks no article, one that holds most of its text
+(unless its tag declares it).  Of what is left, the article is chosen among the marked candidates
+(``article``, ``main``, role main) and the text outside of them by the text each
+holds, weighed by the importance of its branches and without links: a teaser
+does not stand in for an unmarked article beside it.
 
 The statistics are sums per (host, path, feature), made in parts before the
-shuffle, so a host may hold any share of the pages.  The table of branches to
-remove is stored first; Spark broadcasts it only if it is small, and else
-splits the join at a hot host.
+shuffle, so a host may hold any share of the pages.  The table of branches, a
+row per host with those that no low branch holds already, is stored first;
+Spark broadcasts it only if it is small, and else splits the join at a hot host.
 
 Blocks end at block elements; white space inside a block becomes one space,
 blocks are joined by a line feed.  Null or empty html gives an empty text.  A
@@ -31,6 +36,7 @@ from __future__ import annotations
 
 import html
 import re
+from collections import Counter
 
 import pyarrow as pa
 import xxhash
@@ -40,12 +46,19 @@ from pyspark.sql import functions as F
 from ticksmith.llm.common import map_batches, prepare, stored
 
 LOW = 0.3
+#: branches below this importance lower the weight of the text they hold
+WEIGHED = 0.7
 GAMMA = 0.9
 MIN_PAGES = 4
 MAX_DEPTH = 48
+#: share of a page's text that no branch may take with it unless it is marked by its tag
+MOST = 0.5
+#: a candidate stays beside the best one with at least this part of its weight
+BESIDE = 0.5
 
+#: quoted values are followed over angle brackets up to a length, so that one quote left open costs no more than that
 TAG = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*(?:>|\Z)|</([a-zA-Z][^\s/>]*)[^>]*(?:>|\Z)|<([a-zA-Z][^\s/>]*)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|<([a-zA-Z][^\s/>]*)([^>]*)(?:>|\Z)""",
+    r"""<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+(?:>|\Z)|</([a-zA-Z][^\s/>]*+)[^>]*+(?:>|\Z)|<([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]{0,4000}+"|'[^']{0,4000}+'){0,400}+)>|<([a-zA-Z][^\s/>]*+)([^>]*+)(?:>|\Z)""",
     re.S,
 )
 ATTRIBUTE = re.compile(r"""([a-zA-Z][\w:-]*)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))|\b(hidden)\b""")
@@ -66,7 +79,13 @@ NOISE_ROLES = frozenset("navigation banner contentinfo complementary search dial
 NOISE_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising adsense sponsor sponsored promo promotion banner cookie cookies consent gdpr notice notices notification newsletter subscribe subscription signup sidebar menu nav navbar navigation breadcrumb breadcrumbs footer comment comments respond disqus share sharing social related recommended popup modal overlay toolbar pagination pager skip login widget".split()
 )
+#: parts of a compound name that say nothing by themselves
+NEUTRAL_WORDS = frozenset(
+    "site page main top bottom left right global primary secondary header area block box container wrapper wrap section bar list link links item items inner outer content article post entry main-menu mobile desktop sticky fixed side wp js the 1 2 3 4 5".split()
+)
 ARTICLE = frozenset(("article", "main"))
+#: elements that can hold a page as a whole; a class takes them with it less easily than a tag does
+STRONG = frozenset("head script style noscript template iframe svg canvas object audio video select textarea button map applet".split())
 
 
 def site(url: str | None) -> str:
@@ -75,10 +94,19 @@ def site(url: str | None) -> str:
 
 
 class Node:
-    __slots__ = ("tag", "path", "drop", "inside", "marked", "children")
+    """An element: its place in the tree, what it declares, and the text and articles below it."""
 
-    def __init__(self, tag, path, drop, inside, marked):
-        self.tag, self.path, self.drop, self.inside, self.marked, self.children = tag, path, drop, inside, marked, []
+    __slots__ = ("tag", "path", "parent", "noise", "article", "inside", "doubt", "aside", "block", "children", "text", "holds")
+
+    def __init__(self, tag, path, parent, noise=0, article=False):
+        self.tag, self.path, self.parent, self.noise, self.article = tag, path, parent, noise, article
+        self.inside = article or parent is not None and parent.inside
+        #: in a branch that declares itself noise
+        self.doubt = bool(noise) or parent is not None and parent.doubt
+        self.block = self if tag in BLOCK or parent is None else parent.block
+        #: the nearest element inside of the same block that declares itself noise
+        self.aside = None if tag in BLOCK else self if noise else parent and parent.aside
+        self.children, self.text, self.holds = [], 0, False
 
 
 def attributes(source: str) -> dict[str, str]:
@@ -93,85 +121,125 @@ def attributes(source: str) -> dict[str, str]:
     return out
 
 
-def says_noise(tag: str, at: dict[str, str], inside: bool) -> bool:
-    """Whether an element declares itself to be something other than the article."""
-    if tag in NOISE_TAGS or tag == "header" and not inside:
+def noise_name(name: str) -> bool:
+    """Whether a class or id says as a whole that it names noise."""
+    if name in NOISE_WORDS:
         return True
+    words = set(re.split(r"[_-]+", name)) - {""}
+    return bool(words & NOISE_WORDS) and words <= NOISE_WORDS | NEUTRAL_WORDS
+
+
+#: how an element declares itself to be something other than the article
+BY_NAME, BY_TAG, HIDDEN = 1, 2, 3
+
+
+def declared(tag: str, at: dict[str, str], inside: bool) -> int:
+    if tag in STRONG:
+        return HIDDEN
+    if tag in NOISE_TAGS or tag == "header" and not inside:
+        return BY_TAG
     if not at or tag in ("html", "body"):
-        return False
+        return 0
     if "hidden" in at or at.get("aria-hidden") == "true" or re.search(r"display\s*:\s*none", at.get("style", "")):
-        return True
+        return HIDDEN
     if at.get("role", "").lower() in NOISE_ROLES:
-        return True
-    words = set(re.split(r"[\s_-]+", f"{at.get('class', '')} {at.get('id', '')}".lower()))
-    return bool(words & NOISE_WORDS) or not inside and "header" in words
+        return BY_TAG
+    names = f"{at.get('class', '')} {at.get('id', '')}".lower().split()
+    return BY_NAME if any(map(noise_name, names)) or not inside and "header" in names else 0
 
 
 class Page:
-    """Blocks of a page and, if asked for, the nodes of its tree."""
-
-    def __init__(self, source: str | None, low: frozenset = frozenset(), collect: bool = False):
-        self.blocks: list[tuple[str, bool, str]] = []  # path, inside the article, text
-        self.nodes: dict[str, list[str]] = {}
-        self.holders: set[str] = set()  # paths on the way to an article
-        self.low, self.collect = low, collect
-        self.stack = [Node("", "", False, False, False)]
-        self.parts: list[str] = []
+    """A page's blocks and nodes; ``low`` holds the importance of its host's branches that are below the limit."""
+
+    def __init__(self, source: str | None, low: dict[str, float] | None = None):
+        #: element, text, characters of it outside of links
+        self.blocks: list[tuple[Node, str, int]] = []
+        self.nodes: list[Node] = []
+        self.low = low or {}
+        self.root = Node("", "", None)
+        self.stack = [self.root]
+        #: open elements by tag since the last element of a kind that bounds a search
+        self.in_block, self.in_scope, self.opened = [Counter()], [Counter()], Counter()
+        self.parts: list[tuple[Node | None, str, bool]] = []
         if source:
             self._read(source)
         self._flush()
-        while len(self.stack) > 1:
-            self._close()
+        self._sum()
 
     def _flush(self):
-        text = " ".join("".join(self.parts).split())
-        self.parts = []
-        if text:
-            top = self.stack[-1]
-            self.blocks.append((self._block_path(), top.inside, text))
-
-    def _block_path(self) -> str:
-        for n in reversed(self.stack):
-            if n.tag in BLOCK or not n.tag:
-                return n.path
-        return ""
-
-    def _close(self):
-        n = self.stack.pop()
-        if self.collect and not n.drop:
-            self.nodes.setdefault(n.path, []).append(" ".join(n.children))
+        """End the block at hand; what declared itself noise inside of it is a block of its own."""
+        parts, self.parts = self.parts, []
+        holder = self.stack[-1].block
+        for aside in dict.fromkeys(p[0] for p in parts):
+            text = " ".join("".join(t for a, t, _ in parts if a is aside).split())
+            if text:
+                own = len("".join("".join(t for a, t, linked in parts if a is aside and not linked).split()))
+                (aside or holder).text += own
+                self.blocks.append((aside or holder, text, own))
+
+    def _text(self, text: str):
+        self.parts.append((self.stack[-1].aside, text, self.opened["a"] > 0))
+
+    def _push(self, node: Node):
+        tag = node.tag
+        self.opened[tag] += 1
+        self.in_block[-1][tag] += 1
+        self.in_scope[-1][tag] += 1
+        if tag in BLOCK:
+            self.in_block.append(Counter())
+        if tag in SCOPES:
+            self.in_scope.append(Counter())
+        self.stack.append(node)
+
+    def _pop(self):
+        tag = self.stack.pop().tag
+        if tag in BLOCK:
+            self.in_block.pop()
+        if tag in SCOPES:
+            self.in_scope.pop()
+        self.opened[tag] -= 1
+        self.in_block[-1][tag] -= 1
+        self.in_scope[-1][tag] -= 1
+
+    def _pop_to(self, tags) -> None:
+        while self.stack[-1].tag not in tags:
+            self._pop()
+        self._pop()
+
+    def _imply(self, tag: str) -> None:
+        """Close what a new element closes, up to the next element that bounds the search."""
+        tags = (*CLOSES.get(tag, ()), "p") if tag in CLOSES_P else CLOSES.get(tag, ())
+        if not tags:
+            return
+        here = self.in_scope[-1]
+        if any(here[t] > 0 for t in tags):
+            self._pop_to(tags)
+        elif len(self.in_scope) > 1 and any(t in SCOPES and self.in_scope[-2][t] > 0 for t in tags):
+            bound = next(n.tag for n in reversed(self.stack) if n.tag in SCOPES)
+            if bound in tags:
+                self._pop_to((bound,))
 
     def _open(self, tag: str, source: str):
-        for k in range(len(self.stack) - 1, 0, -1):
-            t = self.stack[k].tag
-            if t in CLOSES.get(tag, ()) or t == "p" and tag in CLOSES_P:
-                while len(self.stack) > k:
-                    self._close()
-                break
-            if t in SCOPES:
-                break
+        self._imply(tag)
         top = self.stack[-1]
         at = attributes(source)
         marks = sorted({*at.get("class", "").lower().split(), *(f"#{i}" for i in at.get("id", "").lower().split())})
         name = ".".join([tag, *(re.sub(r"\d+", "0", m.replace("/", "")) for m in marks)])
         path = f"{top.path}/{name}" if top.path.count("/") < MAX_DEPTH else top.path
-        article = tag in ARTICLE or at.get("role", "").lower() == "main"
-        drop = top.drop or says_noise(tag, at, top.inside)
-        if not drop and path in self.low:
-            drop = True
-        if self.collect and not drop and (not top.children or top.children[-1] != name):
+        noise = declared(tag, at, top.inside)
+        node = Node(tag, path, top, noise, (tag in ARTICLE or at.get("role", "").lower() == "main") and not noise)
+        if not top.children or top.children[-1] != name:
             top.children.append(name)
-        if article and not drop:
-            self.holders.update([path, *(n.path for n in self.stack)])
-        self.stack.append(Node(tag, path, drop, not drop and (top.inside or article), bool(marks)))
+        self.nodes.append(node)
+        self._push(node)
 
     def _read(self, source: str):
         at = 0
         while at < len(source):
             m = TAG.search(source, at)
             end = m.start() if m else len(source)
-            if end > at and not self.stack[-1].drop:
-                self.parts.append(html.unescape(source[at:end]))
+            if end > at:
+                self._text(html.unescape(source[at:end]))
             if not m:
                 break
             at = m.end()
@@ -181,11 +249,11 @@ class Page:
                 if tag in BLOCK:
                     self._flush()
                 if tag == "br":
-                    self.parts.append(" ")
+                    self._text(" ")
                 if tag in VOID:
                     continue
                 if tag in RAW:
-                    close = re.compile(rf"</{tag}\b[^>]*>", re.I).search(source, at)
+                    close = re.compile(rf"</{tag}\b[^>]*+>", re.I).search(source, at)
                     at = close.end() if close else len(source)
                     continue
                 self._open(tag, m[3] if m[2] else m[5])
@@ -193,27 +261,60 @@ class Page:
                 closing = closing.lower()
                 if closing in BLOCK:
                     self._flush()
-                for k in range(len(self.stack) - 1, 0, -1):
-                    if self.stack[k].tag == closing:
-                        while len(self.stack) > k:
-                            self._close()
-                        break
-                    if closing not in BLOCK and self.stack[k].tag in BLOCK:
-                        break
+                if (self.opened if closing in BLOCK else self.in_block[-1])[closing] > 0:
+                    self._pop_to((closing,))
+
+    def _sum(self):
+        """Text and articles below each element, children before parents.
+
+        An article in a branch that declares itself noise counts where the page has no other."""
+        certain = any(n.article and not n.doubt for n in self.nodes)
+        for n in reversed(self.nodes):
+            n.holds |= n.article and not (certain and n.doubt)
+            if n.noise != HIDDEN:
+                n.parent.text += n.text
+                n.parent.holds |= n.holds
+
+    def _gone(self, n: Node) -> bool:
+        """Whether an element goes with all below it, by its importance and what it declares."""
+        if n.noise == HIDDEN:
+            return True
+        importance = 0.0 if n.noise else self.low.get(n.path, 1.0)
+        return importance < LOW and not n.holds and (n.noise == BY_TAG or self.root.holds or n.text <= MOST * self.root.text)
 
     def text(self) -> str:
-        inside = [t for _, i, t in self.blocks if i]
-        return "\n".join(inside or [t for *_, t in self.blocks])
+        """The blocks of the chosen article."""
+        gone: dict[Node, bool] = {self.root: False}
+        owner: dict[Node, Node | None] = {self.root: None}
+        weight: dict[Node, float] = {self.root: 1.0}
+        for n in self.nodes:
+            gone[n] = gone[n.parent] or self._gone(n)
+            owner[n] = owner[n.parent] or (n if n.article else None)
+            weight[n] = min(weight[n.parent], self.low.get(n.path, 1.0))
+        kept = [b for b in self.blocks if not gone[b[0]]]
+        score: dict[Node | None, float] = {None: 0.0}
+        for n, _, own in kept:
+            score[owner[n]] = score.get(owner[n], 0.0) + own * weight[n]
+        best = max(score.values())
+        if score[None] == best:
+            chosen = {None} if best or len(score) == 1 else set(score)
+        else:
+            chosen = {a for a, x in score.items() if a is not None and x >= BESIDE * best}
+        return "\n".join(t for n, t, _ in kept if owner[n] in chosen)
 
 
 def page_features(page: Page):
-    """(path, kind, feature): one presentation per node of the page and its distinct texts."""
-    for path, styles in page.nodes.items():
-        yield path, 0, xxhash.xxh64_intdigest("|".join(dict.fromkeys(styles))) >> 1
-    for path, text in {(p, t) for p, _, t in page.blocks}:
+    """(path, kind, feature): one presentation per node of the page and its distinct texts; declared noise aside."""
+    styles: dict[str, list[str]] = {}
+    shown = {page.root}
+    for n in page.nodes:
+        if n.parent in shown and (not n.noise or n.holds):
+            shown.add(n)
+            styles.setdefault(n.path, []).append(" ".join(n.children))
+    for path, found in styles.items():
+        yield path, 0, xxhash.xxh64_intdigest("|".join(dict.fromkeys(found))) >> 1
+    for path, text in {(n.path, t) for n, t, _ in page.blocks if n in shown}:
         yield path, 1, xxhash.xxh64_intdigest(text) >> 1
-    for path in page.holders:
-        yield path, 2, 0
 
 
 def style_tree(pages: DataFrame) -> DataFrame:
@@ -224,7 +325,7 @@ def style_tree(pages: DataFrame) -> DataFrame:
             counts: dict[tuple, int] = {}
             for url, source in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
                 host = site(url)
-                for f in page_features(Page(source, collect=True)):
+                for f in page_features(Page(source)):
                     counts[host, *f] = counts.get((host, *f), 0) + 1
             yield {c: [k[i] for k in counts] for i, c in enumerate(("host", "path", "kind", "feature"))} | {"n": list(counts.values())}
 
@@ -234,19 +335,19 @@ def style_tree(pages: DataFrame) -> DataFrame:
     return parts.groupBy("host", "path", "kind", "feature").agg(F.sum("n").alias("n"))
 
 
-def low_branches(tree: DataFrame, low: float = LOW) -> DataFrame:
-    """host, paths: the highest branches whose importance is below ``low``."""
+def low_branches(tree: DataFrame, low: float = LOW, weighed: float = WEIGHED) -> DataFrame:
+    """host, paths (path -> importance): the branches whose importance is below ``weighed``, without those a low one holds."""
     log = F.log(F.col("n").cast("double"))
     nodes = tree.groupBy("host", "path").agg(
         F.sum(F.when(F.col("kind") == 0, F.col("n"))).alias("pages"), F.sum(F.when(F.col("kind") == 0, F.col("n") * log)).alias("styles"),
-        F.count(F.when(F.col("kind") == 1, 1)).alias("texts"), F.sum(F.when(F.col("kind") == 1, log)).alias("repeats"), F.max((F.col("kind") == 2).cast("int")).alias("holder"),
+        F.count(F.when(F.col("kind") == 1, 1)).alias("texts"), F.sum(F.when(F.col("kind") == 1, log)).alias("repeats"),
     )
     nodes = nodes.where("pages is not null")
     size = F.log(F.col("pages").cast("double"))
     one = F.col("pages") < 2
     presentation = F.when(one, 1.0).otherwise((size - F.col("styles") / F.col("pages")) / size)
     content = F.when(one, 1.0).otherwise(F.greatest(F.lit(0.0), 1 - F.col("repeats") / F.col("texts") / size))
-    nodes = stored(nodes.select("host", "path", "pages", "holder", "texts", presentation.alias("presentation"), content.alias("content")), "pages-nodes")
+    nodes = stored(nodes.select("host", "path", "pages", "texts", presentation.alias("presentation"), content.alias("content")), "pages-nodes")
     # a leaf's content counts for all its ancestors; there are as many rows as a site's template has paths
     steps = F.split("path", "/")
     above = nodes.where("texts > 0").select("host", "texts", "content", F.explode(F.transform(F.sequence(F.lit(2), F.size(steps)), lambda k: F.array_join(F.slice(steps, F.lit(1), k), "/"))).alias("path"))
@@ -256,14 +357,19 @@ def low_branches(tree: DataFrame, low: float = LOW) -> DataFrame:
     last = F.element_at(steps, -1)
     in_article = F.exists(steps, lambda s: F.split(s, "\\.")[0].isin(*ARTICLE))
     plain = last.isin(*sorted(TEXT)) & in_article
-    chosen = joined.where((F.col("pages") >= MIN_PAGES) & (F.col("holder") == 0) & (importance < low) & ~plain & ~last.isin("html", "body", "article", "main"))
-    return chosen.groupBy("host").agg(F.collect_list("path").alias("paths"))
+    chosen = joined.where((F.col("pages") >= MIN_PAGES) & (importance < weighed) & ~plain & ~last.isin("html", "body", "article", "main"))
+    chosen = stored(chosen.select("host", "path", importance.alias("importance")), "pages-low")
+    holders = chosen.where(F.col("importance") < low).select("host", F.col("path").alias("above"))
+    over = F.transform(F.sequence(F.lit(1), F.size(steps) - 1), lambda k: F.array_join(F.slice(steps, F.lit(1), k), "/"))
+    held = chosen.select("host", "path", F.explode(over).alias("above")).join(holders, ["host", "above"], "left_semi").select("host", "path").distinct()
+    left = chosen.join(held, ["host", "path"], "left_anti")
+    return left.groupBy("host").agg(F.map_from_entries(F.collect_list(F.struct("path", "importance"))).alias("paths"))
 
 
-def main_text(pages: DataFrame, low: float = LOW) -> DataFrame:
+def main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text, n_chars of every row."""
     prepare(pages.sparkSession)
-    branches = stored(low_branches(style_tree(pages), low), "pages-branches")
+    branches = stored(low_branches(style_tree(pages)), "pages-branches")
     hosts = F.lower(F.regexp_extract(F.coalesce("url", F.lit("")), r"^\s*[a-zA-Z][a-zA-Z0-9+.\-]*://(?:[^/?#@]*@)?([^/?#:]*)", 1))
     rows = pages.select(F.col("page_id").cast("long").alias("page_id"), "url", "html", hosts.alias("__host"))
     rows = rows.join(branches.withColumnRenamed("host", "__host"), "__host", "left").select("page_id", "url", "html", "paths")
@@ -273,8 +379,7 @@ def main_text(pages: DataFrame, low: float = LOW) -> DataFrame:
             cols = [batch.column(k).to_pylist() for k in (2, 3)]
             texts = []
             for source, paths in zip(*cols):
-                text = Page(source, frozenset(paths or ())).text()
-                texts.append(text if text or not paths else Page(source).text())
+                texts.append(Page(source, dict(paths or ())).text())
             yield {"page_id": batch.column(0), "url": batch.column(1), "text": texts, "n_chars": [len(t) for t in texts]}
 
         return step
