@@ -1,9 +1,10 @@
 """Katz backoff language model: training counts, discounts, backoff weights and scores.
 
 Tokens are words (A-Z lower-cased, split at white space) and one end per text;
-the first token's history is a begin symbol.  A token seen c times after its
-history h (c > 0) has probability g(h) * d(c) * c / c(h); any other gets
-alpha(h) times its probability one order lower, and at the lowest order the
+the first token's histories are begin symbols.  A token seen c times after its
+history h of up to ``order`` - 1 tokens (c > 0) has probability
+g(h) * d(c) * c / c(h); any other gets alpha(h) times its probability after the
+history without its first token, and so on down to single tokens, where the
 one unknown event gets what the discounted counts leave.  d is Good-Turing for
 c up to ``GT_MAX``; alpha(h) makes the probabilities after h sum to exactly
 one.  Where no mass is left for unseen tokens (all counts above ``GT_MAX``),
@@ -16,11 +17,13 @@ counts of all blocks and answers each block with the totals of its n-grams,
 which of them it owns (each n-gram has one owner) and which other blocks hold.  Owners sum the
 discounted mass and the lower-order mass per history; histories that occur in
 one block only are finished there, the others are added up in buckets the same
-way, which answer with the backoff weight.  The model tables (n-gram counts and
+way, which answer with the backoff weight; this goes from the lowest order up,
+as a history's lower-order mass needs the weights below.  The model tables (n-gram counts and
 backoff weights per bucket) are written as Parquet in the shared folder.  Only counts of counts, the number of training
 tokens and of types reach the driver.
 
-``ORDER`` is 2: with longer n-grams the tables alone pass four times the input.
+``order`` is a parameter; the query's is ``ORDER``.  What is stored and shuffled
+grows with it, as most longer n-grams are distinct (figures in the README).
 
 Null or empty texts hold the end token alone.  Without training rows every
 token is unknown with probability one (score 0).  Repeated rows are scored row
@@ -40,7 +43,7 @@ from pyspark.sql import functions as F
 
 from ticksmith.llm.common import ODD, U64, arrow_schema, hashed_words, map_batches, mix64, prepare, raw_texts, record_batch, stored, word_hashes
 
-ORDER = 2
+ORDER = 3
 GT_MAX = 5
 BLOCK_TOKENS = 1_500_000
 #: expected n-grams of one order in a bucket
@@ -74,33 +77,55 @@ def expand_sorted(data: bytes) -> np.ndarray:
     return np.cumsum(expand(data, U64), dtype=U64)
 
 
+def begins(length: int) -> np.uint64:
+    """The hash of a history of begin symbols alone."""
+    h = BEGIN
+    for _ in range(length - 1):
+        h = mix64(np.array([h * ODD + BEGIN]))[0]
+    return h
+
+
+class Level:
+    """The distinct n-grams of one length in a block.
+
+    ``at`` is each token's place among them (the n-gram that ends with it),
+    ``shown`` a token that shows each, ``history`` each token's history among
+    the n-grams one shorter; the place after the last is the begin history.
+    ``total``, ``free`` and ``alpha`` belong to the histories that end with an
+    n-gram of this level.
+    """
+
+    def __init__(self, keys, shown, at, history=None):
+        self.keys, self.shown, self.at, self.history = keys, shown, at, history
+        self.counts = self.owned = self.shared = self.total = self.free = self.alpha = None
+
+
 class Block:
-    """One block's tokens as codes into its sorted distinct words, and its bigrams."""
+    """One block's tokens as codes into its sorted distinct words, and its n-grams up to ``order``."""
 
-    def __init__(self, words: np.ndarray, codes: np.ndarray, lengths: np.ndarray, held_out: np.ndarray):
-        self.words, self.codes, self.held_out = words, codes, held_out
+    def __init__(self, words: np.ndarray, codes: np.ndarray, lengths: np.ndarray, held_out: np.ndarray, order: int):
+        self.held_out = held_out
         self.starts = np.cumsum(lengths) - lengths
         self.train = np.repeat(~held_out, lengths)
-        # each token's history; -1 is the begin symbol
-        self.before = np.roll(codes, 1)
-        self.before[self.starts] = -1
-
-    def history_hashes(self, codes: np.ndarray) -> np.ndarray:
-        h = self.words[np.maximum(codes, 0)]
-        return np.where(codes == -1, BEGIN, h)
-
-    def asked(self, total: np.ndarray):
-        """The trained histories that other blocks hold too: sorted hashes, and their places among the histories."""
-        place = np.flatnonzero(self.shared & (total > 0))
-        keys = np.append(self.words, BEGIN)[place]
+        token, run = words[codes], words[codes]
+        self.end = int(np.searchsorted(words, END))
+        self.levels = [Level(words, np.unique(codes, return_index=True)[1], codes)]
+        for n in range(2, order + 1):
+            shorter, before = self.levels[-1], np.roll(run, 1)
+            before[self.starts] = begins(n - 1)
+            run = mix64(before * ODD + token)
+            history = np.roll(shorter.at, 1)
+            history[self.starts] = len(shorter.keys)
+            self.levels.append(Level(*np.unique(run, return_index=True, return_inverse=True), history))
+
+    def asked(self, n: int):
+        """The trained histories of n tokens that other blocks hold too: sorted hashes, and their places."""
+        level = self.levels[n - 1]
+        place = np.flatnonzero(level.shared & (level.total > 0))
+        keys = np.append(level.keys, begins(n))[place]
         order = np.argsort(keys, kind="stable")
         return keys[order], place[order]
 
-    def bigrams(self):
-        """Sorted distinct keys, each token's position in them, and a token that shows each."""
-        keys = mix64(self.history_hashes(self.before) * ODD + self.words[self.codes])
-        return np.unique(keys, return_index=True, return_inverse=True)
-
 
 def bucket_of(keys: np.ndarray, buckets: int) -> np.ndarray:
     """Buckets are ranges of the key, so sorted keys stay sorted across them."""
@@ -140,21 +165,21 @@ def make_blocks(docs: DataFrame, block_tokens: int) -> DataFrame:
     return docs.mapInArrow(run, BLOCK_SCHEMA)
 
 
-def open_block(row: dict) -> Block:
+def open_block(row: dict, order: int) -> Block:
     words, codes = expand_sorted(row["words"]), expand(row["codes"], np.uint32).astype(np.int64)
-    return Block(words, codes, np.array(row["lengths"], np.int64), np.array(row["held_out"], bool))
+    return Block(words, codes, np.array(row["lengths"], np.int64), np.array(row["held_out"], bool), order)
 
 
-def grams_of(blocks: DataFrame, buckets: int) -> DataFrame:
+def grams_of(blocks: DataFrame, buckets: int, order: int) -> DataFrame:
     """What each block sends to the buckets: its distinct n-grams and their training counts."""
 
     def make():
         def step(batch: pa.RecordBatch):
             for row in batch.to_pylist():
-                b, out = open_block(row), []
-                pairs, _, at = b.bigrams()
-                for level, keys, inverse in ((1, b.words, b.codes), (2, pairs, at)):
-                    counts = np.bincount(inverse, weights=b.train, minlength=len(keys)).astype(np.uint32)
+                b, out = open_block(row, order), []
+                for level, grams in enumerate(b.levels, 1):
+                    keys = grams.keys
+                    counts = np.bincount(grams.at, weights=b.train, minlength=len(keys)).astype(np.uint32)
                     cuts = np.searchsorted(bucket_of(keys, buckets), np.arange(buckets + 1))
                     for k in np.flatnonzero(np.diff(cuts)):
                         s = slice(cuts[k], cuts[k + 1])
@@ -166,14 +191,6 @@ def grams_of(blocks: DataFrame, buckets: int) -> DataFrame:
     return map_batches(blocks, make, GRAM_SCHEMA)
 
 
-def free_shuffles(spark) -> None:
-    """Let Spark drop the shuffle files of finished steps now rather than at the driver's next collection."""
-    import gc
-
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
-
-
 def answer_buckets(grams: DataFrame) -> DataFrame:
     """Totals per bucket: each block's answer (totals and ownership of its n-grams), and a row of statistics."""
     schema = "block long, level int, bucket int, totals binary, owned binary, stats array<bigint>"
@@ -222,67 +239,105 @@ def good_turing(of: list[int]) -> np.ndarray:
 
 
 class Model:
-    """What every task needs: totals, types and discounts of both orders."""
+    """What every task needs: totals, types and the discounts of each order."""
 
-    def __init__(self, unigram: list[int], bigram: list[int]):
-        self.tokens, self.types = unigram[0], unigram[1]
-        self.d1, self.d2 = good_turing(unigram[2:]), good_turing(bigram[2:])
+    def __init__(self, stats: list[list[int]]):
+        self.order = len(stats)
+        self.tokens, self.types = stats[0][:2]
+        self.d = [good_turing(of[2:]) for of in stats]
         # discounted unigram mass, in tokens
-        kept = self.tokens - sum(n * r * (1 - self.d1[r]) for r, n in enumerate(unigram[2 : 2 + GT_MAX], 1))
+        kept = self.tokens - sum(n * r * (1 - self.d[0][r]) for r, n in enumerate(stats[0][2 : 2 + GT_MAX], 1))
         self.scale = 1.0 if kept < self.tokens else self.tokens / (self.tokens + 1)
         self.unknown = 1 - self.scale * kept / self.tokens if self.tokens else 1.0
 
-    def p1(self, c: np.ndarray) -> np.ndarray:
-        seen = self.scale * self.d1[np.minimum(c, GT_MAX + 1)] * c / max(self.tokens, 1)
-        return np.where(c > 0, seen, self.unknown)
+    def single(self, c: np.ndarray) -> np.ndarray:
+        """Probabilities of single tokens."""
+        return np.where(c > 0, self.scale * self.mass(1, c) / max(self.tokens, 1), self.unknown)
 
-    def mass2(self, c: np.ndarray) -> np.ndarray:
-        return self.d2[np.minimum(c, GT_MAX + 1)] * c
+    def mass(self, n: int, c: np.ndarray) -> np.ndarray:
+        """Discounted counts of n-grams."""
+        return self.d[n - 1][np.minimum(c, GT_MAX + 1)] * c
 
     def base(self, c: np.ndarray) -> np.ndarray:
         return np.log10((c + 0.1) / (self.tokens + 0.1 * (self.types + 1)))
 
 
-def read_block(block: dict, answers: list[dict]):
-    """A block with the totals of its words and bigrams."""
-    b = open_block(block)
-    answers = sorted(answers, key=lambda r: (r["level"], r["bucket"]))
-    found = []
-    for level in (1, 2):
-        mine = [r for r in answers if r["level"] == level]
-        found.append([np.concatenate([expand(r[c], t) for r in mine]) for c, t in (("totals", np.uint64), ("owned", np.uint8))])
-    (c1, flags1), (c2, flags2) = found
-    _, shown, at = b.bigrams()
-    # the begin symbol goes where the end goes
-    b.shared = np.append(flags1, flags1[np.searchsorted(b.words, END)]) & SHARED > 0
-    return b, c1.astype(np.int64), c2.astype(np.int64), flags2 & OWNED > 0, shown, at
-
-
-def history_sums(b: Block, c1, c2, owned, shown, model: Model):
-    """Per history (words, then begin): its total, and of the bigrams this block owns, how many occur 1 .. GT_MAX times,
-    the occurrences of the others, and the lower-order mass."""
-    n = len(b.words)
-    history = np.where(b.before[shown] == -1, n, b.before[shown])
-    use = owned & (c2 > 0)
-    h, c = history[use], c2[use]
-    times = np.stack([*(np.bincount(h[c == r], minlength=n + 1) for r in range(1, GT_MAX + 1)), np.bincount(h, weights=np.where(c > GT_MAX, c, 0), minlength=n + 1)])
-    lower = np.bincount(h, weights=model.p1(c1[b.codes[shown[use]]]), minlength=n + 1)
-    total = np.append(c1, c1[np.searchsorted(b.words, END)])  # as many begins as ends
-    return history, times.astype(np.int64), lower, total
-
-
-def backoff(times: np.ndarray, lower: np.ndarray, total: np.ndarray, model: Model) -> np.ndarray:
-    """alpha of each history, negative where g isn't one; 1 for histories without training."""
-    mass = model.d2[1 : GT_MAX + 1] * np.arange(1, GT_MAX + 1) @ times[:GT_MAX] + times[GT_MAX]
+#: replies that hold the weights of the histories of n tokens have this more than n as their level
+WEIGHTS = 100
+
+
+def read_block(row: dict, replies: list[dict], model: Model) -> Block:
+    """A block with the totals of its n-grams, and the weights of its histories as far as they are answered."""
+    b = open_block(row, model.order)
+    of: dict[int, list[dict]] = {}
+    for r in sorted(replies, key=lambda r: (r["level"], r["bucket"])):
+        of.setdefault(r["level"], []).append(r)
+    for n, level in enumerate(b.levels, 1):
+        counts, flags = (np.concatenate([expand(r[c], t) for r in of[n]]) for c, t in (("totals", np.uint64), ("owned", np.uint8)))
+        level.counts, level.owned = counts.astype(np.int64), flags & OWNED > 0
+        # a text's beginning is a history as often as its end is a token
+        ends = b.levels[0].counts[b.end]
+        level.total = np.append(level.counts, ends)
+        level.shared = np.append(flags & SHARED > 0, b.levels[0].shared[b.end] if n > 1 else flags[b.end] & SHARED > 0)
+    for n in range(1, model.order):
+        level = b.levels[n - 1]
+        if n > 1 and b.levels[n - 2].alpha is None:
+            break
+        known, given = True, of.get(WEIGHTS + n, [])
+        place = b.asked(n)[1]
+        if len(place) and not given:
+            known = False
+        if known:
+            alpha = backoff(*history_sums(b, n, model), level.total, n + 1, model)
+            if given:
+                alpha[place] = np.concatenate([expand(r["totals"], np.float64) for r in given])
+            level.free, level.alpha = np.where(alpha < 0, level.total / (level.total + 1.0), 1.0), np.abs(alpha)
+    return b
+
+
+def seen(b: Block, n: int, some: np.ndarray, model: Model) -> np.ndarray:
+    """Probabilities of the last token of some tokens' n-grams, all of them seen in training."""
+    level = b.levels[n - 1]
+    c = level.counts[level.at[some]]
+    if n == 1:
+        return model.single(c)
+    h, shorter = level.history[some], b.levels[n - 2]
+    return shorter.free[h] * model.mass(n, c) / np.maximum(shorter.total[h], 1)
+
+
+def history_sums(b: Block, n: int, model: Model):
+    """Per history of n tokens, of the n-grams one longer that this block owns: how many occur 1 .. GT_MAX times and the
+    occurrences of the others; and the mass of their last tokens one order lower.  What is seen is seen there too."""
+    longer, size = b.levels[n], len(b.levels[n - 1].keys) + 1
+    use = longer.owned & (longer.counts > 0)
+    some, c = longer.shown[use], longer.counts[use]
+    h = longer.history[some]
+    times = np.stack([*(np.bincount(h[c == r], minlength=size) for r in range(1, GT_MAX + 1)), np.bincount(h, weights=np.where(c > GT_MAX, c, 0), minlength=size)])
+    return times.astype(np.int64), np.bincount(h, weights=seen(b, n, some, model), minlength=size)
+
+
+def backoff(times: np.ndarray, lower: np.ndarray, total: np.ndarray, n: int, model: Model) -> np.ndarray:
+    """alpha of each history of n-grams, negative where g isn't one; 1 for histories without training."""
+    mass = model.d[n - 1][1 : GT_MAX + 1] * np.arange(1, GT_MAX + 1) @ times[:GT_MAX] + times[GT_MAX]
     with np.errstate(divide="ignore", invalid="ignore"):
-        seen = mass / total
-        full = seen >= 1 - 1e-12
-        alpha = (1 - np.where(full, total / (total + 1.0), 1.0) * seen) / (1 - lower)
+        share = mass / total
+        full = share >= 1 - 1e-12
+        alpha = (1 - np.where(full, total / (total + 1.0), 1.0) * share) / (1 - lower)
     return np.where(total > 0, np.where(full, -alpha, alpha), 1.0)
 
 
-def answer_histories(parts: DataFrame, model: Model) -> DataFrame:
-    """alpha of every history for each block that asks, in the order it asked; histories are added up per bucket."""
+def probabilities(b: Block, model: Model) -> np.ndarray:
+    """The probability of each token: from single tokens up, the longer n-gram where it was seen, else the shorter one's with the weight of its history."""
+    p = model.single(b.levels[0].counts[b.levels[0].at])
+    every = np.arange(len(p))
+    for n in range(2, model.order + 1):
+        level, shorter = b.levels[n - 1], b.levels[n - 2]
+        p = np.where(level.counts[level.at] > 0, seen(b, n, every, model), shorter.alpha[level.history] * p)
+    return p
+
+
+def answer_histories(parts: DataFrame, n: int, model: Model) -> DataFrame:
+    """alpha of every history of n tokens for each block that asks, in the order it asked; histories are added up per bucket."""
     schema = "block long, level int, bucket int, totals binary, owned binary"
     target = arrow_schema(parts.sparkSession, schema)
 
@@ -294,17 +349,19 @@ def answer_histories(parts: DataFrame, model: Model) -> DataFrame:
         times = np.stack([np.bincount(at, weights=t) for t in times])
         lower = np.bincount(at, weights=np.concatenate([expand(r["lower"], np.float64) for r in rows]))
         total = np.concatenate([expand(r["total"], np.uint32) for r in rows])[first].astype(np.int64)
-        alpha, out, p = backoff(times, lower, total, model)[at], [], 0
+        alpha, out, p = backoff(times, lower, total, n + 1, model)[at], [], 0
         for r, k in zip(rows, keys):
-            out.append({"block": r["block"], "level": 3, "bucket": r["bucket"], "totals": squeeze(alpha[p : p + len(k)]), "owned": None})
+            out.append({"block": r["block"], "level": WEIGHTS + n, "bucket": r["bucket"], "totals": squeeze(alpha[p : p + len(k)]), "owned": None})
             p += len(k)
         return pa.Table.from_pylist(out, schema=target)
 
     return parts.groupBy("bucket").applyInArrow(add_up, schema)
 
 
-def katz(docs: DataFrame, buckets: int | None = None, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
+def katz(docs: DataFrame, order: int = ORDER, buckets: int | None = None, block_tokens: int = BLOCK_TOKENS) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score of every row."""
+    if order < 1:
+        raise ValueError("the order is at least 1")
     spark = prepare(docs.sparkSession)
     held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 10 == 0, F.lit(False))
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), held_out.alias("held_out"), "text")
@@ -312,65 +369,50 @@ def katz(docs: DataFrame, buckets: int | None = None, block_tokens: int = BLOCK_
         size = rows.agg(F.coalesce(F.sum(F.octet_length("text").cast("long")), F.lit(0))).first()[0]
         buckets = max(8, int(size / 6 / BUCKET_GRAMS) + 1)
     blocks = stored(make_blocks(rows, block_tokens), "katz-blocks")
-    answers = stored(answer_buckets(grams_of(blocks, buckets)), "katz-counts")
-    free_shuffles(spark)
+    answers = stored(answer_buckets(grams_of(blocks, buckets, order)), "katz-counts")
     stats = {r["level"]: r["s"] for r in answers.where("block < 0").groupBy("level").agg(F.array(*[F.sum(F.col("stats")[k]) for k in range(GT_MAX + 3)]).alias("s")).collect()}
-    empty = [0] * (GT_MAX + 3)
-    model = Model(stats.get(1, empty), stats.get(2, empty))
+    model = Model([stats.get(n, [0] * (GT_MAX + 3)) for n in range(1, order + 1)])
     replies = answers.where("block >= 0").drop("stats")
+    for n in range(1, order):
+        parts = shared_histories(blocks, replies, n, buckets, model)
+        replies = replies.unionByName(stored(answer_histories(parts, n, model), f"katz-histories-{n}"))
 
-    parts_schema = "block long, bucket int, keys binary, times binary, lower binary, total binary"
-    parts_target = arrow_schema(spark, parts_schema)
+    schema = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
+    target = arrow_schema(spark, schema)
 
-    def shared_histories(left: pa.Table, right: pa.Table) -> pa.Table:
+    def score(left: pa.Table, right: pa.Table) -> pa.Table:
         if not left.num_rows:
-            return parts_target.empty_table()
+            return target.empty_table()
         row = left.to_pylist()[0]
-        b, c1, c2, owned, shown, _ = read_block(row, right.to_pylist())
-        _, times, lower, total = history_sums(b, c1, c2, owned, shown, model)
-        keys, order = b.asked(total)
+        b = read_block(row, right.to_pylist(), model)
+        c, cut = b.levels[0].counts[b.levels[0].at], b.starts
+        base = np.add.reduceat(model.base(c), cut) if model.tokens else np.zeros(len(cut))
+        known, own = np.add.reduceat((c > 0).astype(np.int64), cut), np.add.reduceat(np.log10(probabilities(b, model)), cut)
+        return pa.table([row["rows"], row["doc_ids"], row["held_out"], np.array(row["lengths"], np.int64), known, base, own], schema=target)
+
+    scored = blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(score, schema)
+    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+
+
+def shared_histories(blocks: DataFrame, replies: DataFrame, n: int, buckets: int, model: Model) -> DataFrame:
+    """What each block adds to the histories of n tokens that other blocks hold too."""
+    schema = "block long, bucket int, keys binary, times binary, lower binary, total binary"
+    target = arrow_schema(blocks.sparkSession, schema)
+
+    def parts(left: pa.Table, right: pa.Table) -> pa.Table:
+        if not left.num_rows:
+            return target.empty_table()
+        row = left.to_pylist()[0]
+        b = read_block(row, right.to_pylist(), model)
+        times, lower = history_sums(b, n, model)
+        total = b.levels[n - 1].total
+        keys, order = b.asked(n)
         cuts = np.searchsorted(bucket_of(keys, buckets), np.arange(buckets + 1))
         out = []
         for k in np.flatnonzero(np.diff(cuts)):
             o = order[cuts[k] : cuts[k + 1]]
             sums = squeeze(np.ascontiguousarray(times[:, o]).astype(np.uint32).reshape(-1))
             out.append({"block": row["block"], "bucket": int(k), "keys": squeeze_sorted(keys[cuts[k] : cuts[k + 1]]), "times": sums, "lower": squeeze(lower[o]), "total": squeeze(total[o].astype(np.uint32))})
-        return pa.Table.from_pylist(out, schema=parts_target)
-
-    parts = blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(shared_histories, parts_schema)
-    model_table = stored(answer_histories(parts, model), "katz-histories")
-    free_shuffles(spark)
-
-    score_schema = "row long, doc_id long, held_out boolean, n_tokens long, n_known long, base_score double, score double"
-    score_target = arrow_schema(spark, score_schema)
-    inputs = replies.unionByName(model_table)
+        return pa.Table.from_pylist(out, schema=target)
 
-    def score(left: pa.Table, right: pa.Table) -> pa.Table:
-        if not left.num_rows:
-            return score_target.empty_table()
-        row = left.to_pylist()[0]
-        rows = right.to_pylist()
-        b, c1, c2, owned, shown, at = read_block(row, rows)
-        history, times, lower, total = history_sums(b, c1, c2, owned, shown, model)
-        alpha = backoff(times, lower, total, model)
-        given = sorted((r for r in rows if r["level"] == 3), key=lambda r: r["bucket"])
-        if given:
-            alpha[b.asked(total)[1]] = np.concatenate([expand(r["totals"], np.float64) for r in given])
-        free = np.where(alpha < 0, total / (total + 1.0), 1.0)
-        alpha = np.abs(alpha)
-        low = model.p1(c1[b.codes[shown]])
-        high = free[history] * model.mass2(c2) / np.maximum(total[history], 1)
-        logp = np.log10(np.where(c2 > 0, high, alpha[history] * low))
-        per_token = logp[at]
-        c = c1[b.codes]
-        cut = b.starts
-        return pa.table(
-            [
-                row["rows"], row["doc_ids"], row["held_out"], np.array(row["lengths"], np.int64), np.add.reduceat((c > 0).astype(np.int64), cut),
-                np.add.reduceat(model.base(c), cut) if model.tokens else np.zeros(len(cut)), np.add.reduceat(per_token, cut),
-            ],
-            schema=score_target,
-        )
-
-    scored = blocks.groupBy("block").cogroup(inputs.groupBy("block")).applyInArrow(score, score_schema)
-    return scored.select("doc_id", "held_out", "n_tokens", "n_known", F.lit(model.tokens).cast("long").alias("train_tokens"), "base_score", "score")
+    return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(parts, schema)
