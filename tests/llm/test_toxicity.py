@@ -75,3 +75,13 @@ def test_byte_spans(text, words, toxic, runs):
     tokens = text.lower().split()
     assert len(tokens) == words
     assert [(s["start"], s["end"]) for s in tx.byte_spans(text, tokens, np.array(toxic))] == runs
+
+
+def test_fit_does_not_depend_on_partitions(spark, make_docs):
+    """Of documents with one opening and different labels the same one counts, however the table is dealt."""
+    rows = [(k, f"same ten words open each of these twenty documents here {'blockhead' if k % 3 else 'garden'} {prose(k, 20)}", "s") for k in range(20)]
+    rows += [(100 + k, prose(200 + k, 40) + (" you utter blockhead" if k % 2 else " a quiet garden"), "s") for k in range(40)]
+    labels = spark.createDataFrame([(i, 1, int("blockhead" in t)) for i, t, _ in rows], "doc_id bigint, quality int, toxic int")
+    docs = make_docs(rows)
+    first, second = ({r["doc_id"]: r["score"] for r in tx.toxicity(docs.repartition(n, c), labels).collect()} for n, c in ((1, "doc_id"), (7, "text")))
+    assert first == pytest.approx(second, abs=1e-9)

@@ -269,8 +269,9 @@ def training_rows(docs: DataFrame, labels: DataFrame, fit_rows: int = FIT_ROWS)
     l = stored(l.groupBy("__id").agg(F.max("toxic").alias("toxic")), "toxicity-labels")
     rows = docs.select(F.col("doc_id").cast("long").alias("__id"), "text").join(l, "__id")
     rows = rows.withColumn("__opening", F.xxhash64(F.lower(F.substring_index("text", " ", 10))))
-    rows = stored(rows.dropDuplicates(["__opening"]), "toxicity-training")
-    return rows.select(F.col("__id").alias("doc_id"), "text", "toxic")
+    # of equal openings the smallest row stands for all, however the table is partitioned
+    first = rows.groupBy("__opening").agg(F.min(F.struct("__id", "toxic", "text")).alias("row"))
+    return stored(first.select(F.col("row.__id").alias("doc_id"), "row.text", "row.toxic"), "toxicity-training")
 
 
 class Scorer:
@@ -307,7 +308,7 @@ def fit(docs: DataFrame, labels: DataFrame) -> Scorer:
 
     cells = map_batches(train.select("toxic", "text"), make, "toxic int, expected double, highest double")
     cells = cells.select("toxic", (F.floor(F.least("expected", F.lit(CELL_MAX)) * CELLS) / CELLS).alias("expected"), F.round("highest", 1).alias("highest"))
-    counted = cells.groupBy("expected", "highest").agg(F.sum("toxic").alias("y"), F.count("*").alias("n")).collect()
+    counted = sorted(cells.groupBy("expected", "highest").agg(F.sum("toxic").alias("y"), F.count("*").alias("n")).collect())
     y, n = (np.array([r[c] for r in counted], float) for c in ("y", "n"))
     share = float(y.sum() / n.sum()) if counted else 0.0
     if not 0 < share < 1:
