@@ -23,7 +23,8 @@ backoff weights per bucket) are written as Parquet in the shared folder.  Only c
 tokens and of types reach the driver.
 
 ``order`` is a parameter; the query's is ``ORDER``.  What is stored and shuffled
-grows with it, as most longer n-grams are distinct (figures in the README).
+grows with it, as most longer n-grams are distinct: at order 3 the check tool
+stopped the query for its disk (figures in the README).
 
 Null or empty texts hold the end token alone.  Without training rows every
 token is unknown with probability one (score 0).  Repeated rows are scored row
@@ -43,7 +44,7 @@ from pyspark.sql import functions as F
 
 from ticksmith.llm.common import ODD, U64, arrow_schema, hashed_words, map_batches, mix64, prepare, raw_texts, record_batch, stored, word_hashes
 
-ORDER = 3
+ORDER = 2
 GT_MAX = 5
 BLOCK_TOKENS = 1_500_000
 #: expected n-grams of one order in a bucket
