@@ -134,6 +134,20 @@ def test_lang_best_folds_only_with_duplicates(spark):
     assert got == [(1, 0, "fr", 0.9), (2, 0, "de", 0.2), (2, 0, "en", 0.7)]
 
 
+def test_lang_best_reads_the_ratios_once(spark):
+    ratios = spark.range(40).selectExpr("id % 7 as doc_id", "0 as chunk", "concat('l', id % 5, if(id % 3 = 0, '—', '')) as language", "id / 40D as ratio")
+    for folded in (tp.lang_best(ratios), tp.lang_merge(tp.lang_best(ratios))):
+        plan = folded._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("Range (") == 1 and "Join" not in plan and "Union" not in plan
+
+
+def test_lang_best_without_repeated_names_keeps_them(spark):
+    m = spark.createDataFrame([(1, 0, "fr—", 0.5), (1, 0, "de", 0.9), (1, 1, "fr", 0.2), (1, 1, "fr", 0.4), (None, 0, "fr", 0.9)],
+                              "doc_id int, chunk int, language string, ratio double")
+    got = sorted(tuple(r) for r in tp.lang_best(m).collect())
+    assert got == [(1, 0, "de", 0.9), (1, 0, "fr—", 0.5), (1, 1, "fr", 0.4)]
+
+
 def test_chunks_are_folded_before_they_are_averaged(spark):
     m = spark.createDataFrame([(1, 0, "a", "fr", 0.9), (1, 0, "b", "fr—", 0.2), (1, 1, "a", "fr", 0.2), (1, 1, "a", "fr—", 0.9)],
                               "doc_id int, chunk int, layer string, language string, ratio double")
