@@ -171,3 +171,29 @@ def test_filters_on_input_columns_reach_the_scan(spark, tmp_path):
     for df in (rq.normalise_requests(events).where("request_id = '1'"), parse_documents(docs).where("doc_id = '1'")):
         plan = df._jdf.queryExecution().executedPlan().toString()
         assert "EqualTo(request_id,1)" in plan
+
+
+def test_events_are_read_once_for_verdicts_and_manifest(spark, tmp_path, store):
+    from ticksmith.sources.answers import landed_answers
+
+    seen = spark.sparkContext.accumulator(0)
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    raw = spark.createDataFrame([("a", '{"symbols":["A"]}'), ("b", "{oops"), (None, '{"symbols":["B"]}')], "request_id string, event string")
+    reqs = rq.normalise_requests(raw.mapInArrow(counted, "request_id string, event string"))
+    root = str(tmp_path / "out")
+    rows = {r["request_id"]: r["status"] for r in ingest_requests(spark, reqs, root, FIXED_STAMP, answers=landed_answers(store)).collect()}
+    assert rows == {"a": 200, "b": 500, None: 200} and seen.value == 3
+    assert not reqs.storageLevel.useMemory
+    assert {r["symbol"] for r in files.read_table(spark, root, "fact").collect()} == {"A"}
+
+
+def test_requests_kept_by_the_caller_stay_kept(spark, tmp_path, fetcher):
+    reqs = rq.normalise_requests(spark.createDataFrame([("a", '{"symbols":["A"]}')], "request_id string, event string")).persist()
+    ingest_requests(spark, reqs, str(tmp_path), FIXED_STAMP, "unused")
+    assert reqs.storageLevel.useMemory
+    reqs.unpersist()

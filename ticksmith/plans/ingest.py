@@ -235,16 +235,20 @@ def ingest_requests(spark: SparkSession, requests: DataFrame, root: str, run: Ru
     attempt = files.new_attempt()
     landing = f"{root.rstrip('/')}/landing/extract_date={day}/run_id={run_id}/attempt={attempt}"
     answers = answers or called_answers(fetcher, fetch_options)
-    verdicts, documents = answers(spark, requests, landing)
-    if on_error == "raise":
-        # seven reasons and the requests' own errors at most, before anything but the landed answers is written
-        bad = verdicts.where("reason is not null").agg(F.collect_set("reason")).first()[0]
-        bad += [r[0] for r in requests.where("status <> 200").select("error").distinct().collect()]
-        if bad:
-            raise ValueError("request refused: " + ", ".join(sorted(bad)))
-    verdicts = verdicts.persist(StorageLevel.MEMORY_AND_DISK)
-    parsed = documents(verdicts).persist(StorageLevel.MEMORY_AND_DISK)
+    # legs, verdicts and the manifest read the requests; their events are parsed once
+    kept = [] if requests.storageLevel.useDisk or requests.storageLevel.useMemory else [requests.persist(StorageLevel.MEMORY_AND_DISK)]
     try:
+        verdicts, documents = answers(spark, requests, landing)
+        if on_error == "raise":
+            # seven reasons and the requests' own errors at most, before anything but the landed answers is written
+            bad = verdicts.where("reason is not null").agg(F.collect_set("reason")).first()[0]
+            bad += [r[0] for r in requests.where("status <> 200").select("error").distinct().collect()]
+            if bad:
+                raise ValueError("request refused: " + ", ".join(sorted(bad)))
+        verdicts = verdicts.persist(StorageLevel.MEMORY_AND_DISK)
+        kept.append(verdicts)
+        parsed = documents(verdicts).persist(StorageLevel.MEMORY_AND_DISK)
+        kept.append(parsed)
         files.write_raw(fl.accepted(parsed, ("doc_id",), F.col("body")), files.run_path(root, "raw", day, run_id, attempt))
         files.write_rejects(fl.rejected(parsed), root, day, run_id, attempt)
         entries = fl.entry_rows(parsed)
@@ -270,8 +274,8 @@ def ingest_requests(spark: SparkSession, requests: DataFrame, root: str, run: Ru
         rows = rows.unionByName(error_manifest(requests, run, run_id).select(*rows.columns))
         files.publish_manifest(rows, root, day, run_id, attempt)
     finally:
-        parsed.unpersist()
-        verdicts.unpersist()
+        for df in reversed(kept):
+            df.unpersist()
     return files.read_manifest(spark, root).where((F.col("extract_date") == day) & (F.col("run_id") == run_id))
 
 

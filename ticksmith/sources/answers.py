@@ -111,9 +111,12 @@ def landed_answers(store: str, interval: str = DEFAULT_INTERVAL) -> Answers:
         docs = read_answers(spark, store, interval=interval)
 
         def documents(verdicts: DataFrame) -> DataFrame:
-            legs = request_legs(requests).join(verdicts.where("reason is null").select("request_id"), "request_id", "left_semi").select(*LEG).distinct()
+            accepted = verdicts.where("reason is null and request_id is not null")
+            legs = accepted.select(F.explode("symbols").alias("symbol"), "start_date", "end_date").distinct()
+            # windows meet the days of a symbol, not its documents
             within = (docs["symbol"] == legs["symbol"]) & F.col("day").between(F.col("start_date"), F.col("end_date"))
-            needed = docs.join(legs, within, "left_semi").select("doc_id", "body")
+            days = docs.select("symbol", "day").distinct().join(legs, within, "left_semi")
+            needed = docs.join(days, ["symbol", "day"], "left_semi").select("doc_id", "body")
             covered = (legs["symbol"] == docs["symbol"]) & F.col("day").between(F.col("start_date"), F.col("end_date"))
             bare = legs.join(docs.select("symbol", "day").distinct(), covered, "left_anti").select(F.col("symbol").alias("s")).distinct()
             entry = F.to_json(F.create_map(F.col("s"), F.from_json(F.lit('{"values":[]}'), "struct<values:array<string>>")))
