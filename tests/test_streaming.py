@@ -59,6 +59,27 @@ def test_request_stream_answers_each_request_once(spark, tmp_path):
     assert got == [("1", 200, 1), ("2", 500, None), ("3", 200, 1)]
 
 
+def test_a_batch_of_requests_is_parsed_once(spark, tmp_path, monkeypatch):
+    from ticksmith.operators import requests as rq
+    from ticksmith.sources.answers import landed_answers, write_answers
+    from ticksmith.sources.landing import write_requests
+    from ticksmith.streaming.ingest_stream import start_request_stream
+
+    seen, normalise = spark.sparkContext.accumulator(0), rq.normalise_requests
+
+    def counted(batches):
+        for b in batches:
+            seen.add(b.num_rows)
+            yield b
+
+    monkeypatch.setattr(rq, "normalise_requests", lambda raw: normalise(raw).mapInArrow(counted, normalise(raw).schema))
+    store = write_answers(spark.createDataFrame([("A", "2026-01-02", "1day", "d", DOC1)], "symbol string, day string, interval string, doc_id string, body string"), str(tmp_path / "store"))
+    landing, out, ckpt = (str(tmp_path / d) for d in ("in", "out", "ckpt"))
+    write_requests(spark.createDataFrame([(str(k % 5), '{"symbols":["A"]}') for k in range(10)], "request_id string, event string"), landing)
+    start_request_stream(spark, landing, out, landed_answers(store), ckpt, stamp=lambda: FIXED_STAMP).awaitTermination()
+    assert files.read_manifest(spark, out).count() == seen.value == 5
+
+
 def test_a_batch_killed_before_its_pointer_is_done_again(spark, tmp_path, monkeypatch):
     import pytest
 

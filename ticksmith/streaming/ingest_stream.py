@@ -94,11 +94,7 @@ def start_request_stream(spark: SparkSession, landing: str, root: str, answers,
         from ticksmith.operators.requests import normalise_requests
         from ticksmith.plans.ingest import ingest_requests
 
-        # the batch is read several times; its deduplication happens once
-        events = batch.persist()
-        try:
-            ingest_requests(batch.sparkSession, normalise_requests(events), root, stamp(), answers=answers, run_id=run_id)
-        finally:
-            events.unpersist()
+        # ingest_requests keeps what it reads several times: events are deduplicated and parsed once
+        ingest_requests(batch.sparkSession, normalise_requests(batch), root, stamp(), answers=answers, run_id=run_id)
 
     return _start(events, run, root, checkpoint or shared_dir(spark, "stream-checkpoint"), run_prefix, available_now, processing_time)
