@@ -68,3 +68,22 @@ def test_packaged_defaults(spark):
     df = spark.createDataFrame([("1", "{}"), ("2", '{"end_date":"2026-03-15"}')], "request_id string, event string")
     got = {r["request_id"]: (r["start_date"], r["end_date"]) for r in rq.normalise_packaged_requests(df).collect()}
     assert got == {"1": ("2026-03-01", "2026-03-31"), "2": ("2026-03-01", "2026-03-15")}
+
+
+def test_one_row_group_of_events_is_spread_evenly(spark, tmp_path, monkeypatch):
+    from pyspark.sql import functions as F
+
+    from ticksmith.functions import columns
+    from ticksmith.plans.registry import QUERIES
+
+    events = spark.range(4000).selectExpr(
+        "id as event_id", "timestamp_ntz'2024-01-02 00:00:00' as ts", "id % 9 as user_id", "'click' as event_type", "1.5D as value", "'{}' as props")
+    events.coalesce(1).write.parquet(str(tmp_path / "events.parquet"))
+    monkeypatch.setattr(columns, "SMALL_INPUT", 0)  # as for a larger file
+    for per_task in (10**9, 1000):
+        monkeypatch.setattr(columns, "HEAVY_TASK", per_task)
+        out = QUERIES["request_defaults"](spark, str(tmp_path))
+        sizes = [r["count"] for r in out.groupBy(F.spark_partition_id().alias("p")).count().collect()]
+        tasks = max(2 * spark.sparkContext.defaultParallelism, 1)
+        assert sum(sizes) == 4000 and len(sizes) >= tasks and max(sizes) <= 2 * 4000 // tasks
+    assert len(sizes) > tasks  # more tasks for more bytes

@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 #: inputs up to this size are spread over the cores; anything larger is left as it scans
 SMALL_INPUT = 64 << 20
+#: bytes of input to a task whose work per row is heavy
+HEAVY_TASK = 2 << 20
 
 
 def fence(df: DataFrame, *passing: str) -> DataFrame:
@@ -39,3 +41,15 @@ def spread(df: DataFrame, *keys: str) -> DataFrame:
         return df
     n = max(want * 2, 1)
     return df.repartition(n, *keys) if keys else df.repartition(n)
+
+
+def spread_heavy(df: DataFrame) -> DataFrame:
+    """Spread an input of any size for heavy work per row, evenly by rows.
+
+    A scan never splits a row group, so a file of few large ones gives few
+    tasks that hold rows, and their number of partitions doesn't show it.  The
+    tasks here grow with the input: one to ``HEAVY_TASK`` bytes, and two to a
+    core at least.  One shuffle of the columns that are used.
+    """
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return df.repartition(max(2 * df.sparkSession.sparkContext.defaultParallelism, -(-size // HEAVY_TASK)))

@@ -46,9 +46,8 @@ def _kind(v: Column) -> Column:
     return F.split(F.schema_of_variant(v), "<", 2)[0]
 
 
-def _truthy(v: Column) -> Column:
-    """Python truthiness of a JSON value (None/false/0/""/[]/{} are false)."""
-    kind = _kind(v)
+def _truthy(v: Column, kind: Column) -> Column:
+    """Python truthiness of a JSON value of a kind (None/false/0/""/[]/{} are false)."""
     return (
         F.when(v.isNull(), F.lit(False))
         .when(kind == "VOID", F.lit(False))
@@ -71,18 +70,29 @@ def normalise_requests(raw: DataFrame, event: str = "event", request_id: str = "
         F.col(request_id).alias("request_id"),
         F.col(event).isNull().alias("_event_missing"),
         ev.alias("_ev"),
-    ).withColumn("_obj", F.col("_ev").try_cast("map<string,variant>"))
+    )
     step1 = fence(step1, "request_id")
+    obj = F.col("_ev").try_cast("map<string,variant>")
+    step1 = fence(step1.select("request_id", "_event_missing", "_ev", _kind(F.col("_ev")).alias("_ev_kind"), obj.alias("_obj")), "request_id")
 
+    # each of these is read several times below: a value and its kind are taken out once
     obj = F.col("_obj")
-    empty_event = F.col("_event_missing") | (F.col("_ev").isNotNull() & ~_truthy(F.col("_ev")))
+    empty_event = F.col("_event_missing") | (F.col("_ev").isNotNull() & ~_truthy(F.col("_ev"), F.col("_ev_kind")))
     has_top = F.lit(False)
     for k in REQUEST_KEYS:
         has_top = has_top | F.coalesce(F.map_contains_key(obj, k), F.lit(False))
-    body_v = obj["body"]
-    body_text = F.when(_kind(body_v) == "STRING", F.try_variant_get(body_v, "$", "string"))
-    is_b64 = _truthy(obj["isBase64Encoded"])
-    decoded = F.when(is_b64, base64_text(body_text)).otherwise(body_text)
+    body_v, base64_v = obj["body"], obj["isBase64Encoded"]
+    step1 = fence(step1.select(
+        "request_id", "_ev", "_obj", empty_event.alias("_empty"), has_top.alias("_top"), body_v.alias("_body_v"),
+        _kind(body_v).alias("_body_kind"), base64_v.alias("_b64_v"), _kind(base64_v).alias("_b64_kind")), "request_id")
+    body_v, kind = F.col("_body_v"), F.col("_body_kind")
+    body_text = F.when(kind == "STRING", F.try_variant_get(body_v, "$", "string"))
+    step1 = fence(step1.select(
+        "request_id", "_ev", "_obj", "_empty", "_top", _truthy(body_v, kind).alias("_has_body"),
+        _truthy(F.col("_b64_v"), F.col("_b64_kind")).alias("_is_b64"), body_text.alias("_body_text")), "request_id")
+
+    empty_event, has_top, has_body, body_text = (F.col(c) for c in ("_empty", "_top", "_has_body", "_body_text"))
+    decoded = F.when(F.col("_is_b64"), base64_text(body_text)).otherwise(body_text)
 
     step2 = step1.select(
         "request_id",
@@ -90,19 +100,22 @@ def normalise_requests(raw: DataFrame, event: str = "event", request_id: str = "
         .when(F.col("_ev").isNull(), F.lit(None))
         .when(obj.isNull(), F.lit(None))
         .when(has_top, F.lit(ROUTE_DIRECT))
-        .when(_truthy(body_v), F.lit(ROUTE_BODY))
+        .when(has_body, F.lit(ROUTE_BODY))
         .otherwise(F.lit(ROUTE_DEFAULT)).alias("route"),
         F.when(empty_event, F.lit(None))
         .when(F.col("_ev").isNull(), F.lit(ERR_EVENT_JSON))
         .when(obj.isNull(), F.lit(ERR_EVENT_OBJECT)).alias("_event_error"),
         obj.alias("_obj"),
-        F.when(~empty_event & ~has_top & _truthy(body_v), F.struct(
-            body_text.isNull().alias("not_string"),
-            decoded.alias("text"),
-            F.try_parse_json(decoded).alias("json"),
-        )).alias("_body"),
+        (~empty_event & ~has_top & has_body).alias("_use"),
+        F.when(~empty_event & ~has_top & has_body, decoded).alias("_text"),
+        body_text.isNull().alias("_not_string"),
     )
     step2 = fence(step2, "request_id")
+    step2 = fence(step2.select("request_id", "route", "_event_error", "_obj", F.when(F.col("_use"), F.struct(
+        F.col("_not_string").alias("not_string"),
+        F.col("_text").alias("text"),
+        F.try_parse_json("_text").alias("json"),
+    )).alias("_body")), "request_id")
 
     body = F.col("_body")
     body_obj = body["json"].try_cast("map<string,variant>")

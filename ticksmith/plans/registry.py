@@ -166,8 +166,16 @@ def reject_keep_rest(spark, sf_dir):
 
 # --- requests (A3-A10) -----------------------------------------------------------
 
+def _request_events(spark, sf_dir) -> DataFrame:
+    """Request events; routing one parses it, so they are spread evenly at any size."""
+    from ticksmith.functions.columns import spread_heavy
+
+    configure(spark)
+    return request_events(spread_heavy(spark.read.parquet(f"{sf_dir}/events.parquet")))
+
+
 def _requests(spark, sf_dir) -> DataFrame:
-    return rq.normalise_requests(request_events(table(spark, sf_dir, "events")))
+    return rq.normalise_requests(_request_events(spark, sf_dir))
 
 
 @query
@@ -175,7 +183,7 @@ def request_scan(spark, sf_dir):
     """A3: request events landed as JSON lines, read back as a table."""
     from ticksmith.sources.landing import read_requests, write_requests
 
-    landing = write_requests(request_events(table(spark, sf_dir, "events")), shared_dir(spark, "requests"))
+    landing = write_requests(_request_events(spark, sf_dir), shared_dir(spark, "requests"))
     return rq.normalise_requests(read_requests(spark, landing)).select("request_id", "route", "status")
 
 
@@ -234,13 +242,13 @@ def _handler_rows(reqs):
 @query
 def request_direct(spark, sf_dir):
     """A4 + A5 + A8, direct handler: top-level keys only, a body is never read."""
-    return _handler_rows(rq.normalise_direct_requests(request_events(table(spark, sf_dir, "events"))))
+    return _handler_rows(rq.normalise_direct_requests(_request_events(spark, sf_dir)))
 
 
 @query
 def request_packaged(spark, sf_dir):
     """A4 + A5, packaged handler: a later default start date, a null event fails."""
-    return _handler_rows(rq.normalise_packaged_requests(request_events(table(spark, sf_dir, "events"))))
+    return _handler_rows(rq.normalise_packaged_requests(_request_events(spark, sf_dir)))
 
 
 # --- sinks and runs (A29-A33, A36) ------------------------------------------------
@@ -424,7 +432,7 @@ def stream_requests(spark, sf_dir):
     from ticksmith.streaming.ingest_stream import start_request_stream
 
     base, answers = shared_dir(spark, "stream-requests"), landed_answers(_store(spark, sf_dir))
-    events = request_events(table(spark, sf_dir, "events"))
+    events = _request_events(spark, sf_dir)
     again = events.where(F.crc32("request_id") % 2 == 0)
     for arrived in (events.unionByName(again), again):
         write_requests(arrived, f"{base}/landing", mode="append")
