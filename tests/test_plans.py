@@ -44,3 +44,10 @@ def test_coherence_has_no_pair_rows(spark):
     assert plan.count("Join ") == 1 and plan.count("Exchange") == plan.count("BroadcastExchange") <= 1
     ranks = _plan(tp.letter_ranks(spark, docs))
     assert ranks.count("Exchange") == 1 and "Join" not in ranks and "Window" not in ranks
+
+
+def test_ranks_are_compared_by_a_worker(spark):
+    """Letters are counted and ranks compared by two workers' functions, none by expressions on each pair of letters."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
+    plan = _plan(tp.CorpusProfile(spark, docs).coherence())
+    assert plan.count("MapInArrow") == 2 and "array_position" not in plan and "array_intersect" not in plan

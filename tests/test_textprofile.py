@@ -1,5 +1,7 @@
 """Text profiles: character facts, block rule, both R9/R10 paths, R8 folding, URL cases."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -91,6 +93,68 @@ def test_many_languages_meet_in_blocks(spark, monkeypatch):
     assert len(ratios) == 1 and min(ratios) > 0.8
 
 
+def _approved_plainly(common, size, letters):
+    """The rule with each letter held against all others."""
+    n_ok = 0
+    for r, lr in common:
+        gap = abs(int(r * (size / letters)) - lr)
+        before = sum(o_lr < lr and o_r < r for o_r, o_lr in common)
+        after = sum(o_lr >= lr and o_r >= r for o_r, o_lr in common)
+        if size <= 26 and gap > 4:
+            continue
+        n_ok += (size > 26 and gap < size / 3 or lr == 0 and before <= 4 or lr > 0 and before / lr >= 0.4 or after / (size - lr) >= 0.4)
+    return n_ok
+
+
+def test_approved_letters_against_plain_loops():
+    rng = random.Random(7)
+    for size in (1, 5, 26, 27, 60) * 40:
+        letters = rng.randint(1, 80)
+        k = rng.randint(1, min(size, letters))
+        common = list(zip(sorted(rng.sample(range(letters), k)), rng.sample(range(size), k)))
+        assert tp.approved_letters(common, size, letters) == _approved_plainly(common, size, letters)
+    assert tp.approved_letters([], 5, 40) == 0
+
+
+def test_approved_letters_of_a_wide_alphabet_are_not_held_against_all_others():
+    seen = [0]
+
+    class Rank(int):
+        def __lt__(self, other):
+            seen[0] += 1
+            return int(self) < int(other)
+
+    k = 4000
+    ranks = range(k)[::-1]
+    got = tp.approved_letters([(r, Rank(lr)) for r, lr in enumerate(ranks)], k, k)
+    assert 0 < got < k and seen[0] < 4 * k * k.bit_length()
+    assert got == _approved_plainly(list(enumerate(ranks)), k, k)
+
+
+def test_letters_of_a_language_are_summed_where_the_text_is_read(spark):
+    """A row per language and letter of a batch, not of each chunk; letters in no block and texts of no language are left out."""
+    docs = spark.range(200, numPartitions=1).selectExpr("id as doc_id", "repeat('aÀé\U0002fffd1 ', 20) as text", "if(id % 4 = 3, null, concat('l', id % 2)) as lang")
+    letters = tp.language_letters(spark, docs)
+    want = [("l0", "a", 2000, False), ("l0", "à", 2000, True), ("l0", "é", 2000, True), ("l1", "a", 1000, False), ("l1", "à", 1000, True), ("l1", "é", 1000, True)]
+    assert sorted(tuple(r) for r in letters.collect()) == want
+    got = {r["language"]: (r["alphabet"], r["has_accents"]) for r in tp.learn_profiles(letters).collect()}
+    assert got == dict.fromkeys(["l0", "l0—", "l1", "l1—"], (["a", "à", "é"], True))
+    assert tp.language_letters(spark, docs.drop("lang")).count() == 0
+
+
+def test_long_alphabets_make_smaller_blocks(spark, monkeypatch):
+    docs = spark.createDataFrame([(k, "".join(chr(0x4E00 + 300 * k + i % 300) for i in range(900)), f"l{k}") for k in range(4)], "doc_id int, text string, lang string")
+
+    def found():
+        prof = tp.CorpusProfile(spark, docs)
+        return prof.profiles.agg(F.max("blocks")).first()[0], _rows(prof.candidates()), _rows(prof.coherence())
+
+    whole = found()
+    monkeypatch.setattr(tp, "LETTERS_PER_BLOCK", 600)
+    cut = found()
+    assert (whole[0], cut[0]) == (1, 4) and cut[1:] == whole[1:] and len(whole[1]) == 8
+
+
 @pytest.fixture(scope="module")
 def corpus(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text", "lang")
